@@ -1,0 +1,112 @@
+"""Attribution queries: views are sessions, purchases and clicks are communications."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ringlens.operators import attribution as at
+from ringlens.plans.registry import query
+from ringlens.plans.windows import CAMPAIGN_SQL, campaign
+
+DAYS = 7
+
+
+def _kind(m, kind):
+    rows = m.events().filter(F.col("kind") == kind)
+    return rows.select("event_id", "visitor_id", "date_time", "amount", campaign())
+
+
+def _sessions_and_sales(m):
+    return dict(
+        sessions=_kind(m, "view"),
+        comms=_kind(m, "purchase"),
+        key="visitor_id",
+        ts="date_time",
+        ident="event_id",
+        channel="campaign_id",
+        value="amount",
+        days=DAYS,
+    )
+
+
+PAIRS_SQL = f"""
+    SELECT c.event_id, c.value AS amount, s.event_id AS touch_id, s.campaign_id,
+      row_number() OVER (PARTITION BY c.event_id ORDER BY s.ts, s.event_id) AS place,
+      count(s.event_id) OVER (PARTITION BY c.event_id) AS touches
+    FROM events c LEFT JOIN
+      (SELECT event_id, ts, user_id, {CAMPAIGN_SQL} AS campaign_id FROM events
+       WHERE event_type = 'view') s
+      ON s.user_id = c.user_id AND s.ts <= c.ts AND s.ts >= c.ts - INTERVAL {DAYS} DAY
+    WHERE c.event_type = 'purchase'"""
+
+
+@query(
+    "attribution_window",
+    f"""
+    SELECT event_id, max(touches) AS touches,
+      max(CASE WHEN place = 1 THEN touch_id END) AS first_touch_id,
+      max(CASE WHEN place = touches THEN touch_id END) AS last_touch_id
+    FROM ({PAIRS_SQL}) GROUP BY 1
+    """,
+)
+def attribution_window(m):
+    return at.attribute(**_sessions_and_sales(m)).select(
+        "event_id",
+        "touches",
+        F.col("first_touch.id").alias("first_touch_id"),
+        F.col("last_touch.id").alias("last_touch_id"),
+    )
+
+
+@query(
+    "last_session_asof",
+    f"""
+    SELECT c.event_id, s.event_id AS session_id, s.campaign_id
+    FROM (SELECT * FROM events WHERE event_type = 'click') c ASOF LEFT JOIN
+      (SELECT event_id, ts, user_id, {CAMPAIGN_SQL} AS campaign_id FROM events
+       WHERE event_type = 'view') s
+      ON s.user_id = c.user_id AND c.ts >= s.ts
+    """,
+)
+def last_session_asof(m):
+    sessions = _kind(m, "view").withColumnRenamed("event_id", "session_id")
+    clicks = m.events().filter("kind = 'click'").select("event_id", "visitor_id", "date_time")
+    return at.asof(
+        clicks,
+        sessions,
+        "visitor_id",
+        "date_time",
+        "event_id",
+        "date_time",
+        "session_id",
+        ["session_id", "campaign_id"],
+    ).drop("visitor_id", "date_time")
+
+
+WEIGHT_SQL = {
+    "first": "CASE WHEN place = 1 THEN 1.0 ELSE 0.0 END",
+    "last": "CASE WHEN place = touches THEN 1.0 ELSE 0.0 END",
+    "linear": "1.0::DOUBLE / touches",
+    "position": """CASE WHEN touches = 1 THEN 1.0 WHEN touches = 2 THEN 0.5
+        WHEN place IN (1, touches) THEN 0.4 ELSE 0.2::DOUBLE / (touches - 2) END""",
+}
+
+
+def _model_query(model):
+    def build(m):
+        out = at.multichannel(**_sessions_and_sales(m), model=model)
+        return out.filter("credit <> 0").select(
+            F.col("channel").alias("campaign_id"),
+            F.round(F.col("credit").cast("double"), 4).alias("credit"),
+        )
+
+    return build
+
+
+for _model, _weight in WEIGHT_SQL.items():
+    query(
+        f"attribution_{_model}",
+        f"""
+        SELECT campaign_id, round(sum(amount * {_weight}::DOUBLE), 4) AS credit
+        FROM ({PAIRS_SQL}) WHERE touches > 0 GROUP BY 1 HAVING credit <> 0
+        """.replace(f"{_weight}::DOUBLE", f"CAST(({_weight}) AS DOUBLE)"),
+    )(_model_query(_model))
