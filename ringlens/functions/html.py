@@ -1,15 +1,15 @@
 """Cells, sections and text of HTML documentation pages as array expressions.
 
-Tags are found by splitting at the opening tag, so omitted closing tags do no harm.
-Each page is one row and stays one row; nothing is exploded until a caller asks.
+Tags are found by splitting at the opening tag, so omitted closing tags do no harm. Each
+page is one row and stays one row; nothing is exploded until a caller asks. The nested
+expressions are large, so the helpers compose SQL text, which Spark parses in one go.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ringlens.functions.numbers import col
-from ringlens.functions.text import trim_space
+from ringlens.functions.text import WHITE_SPACE
 
 # fixed values: named character references that occur in pages
 ENTITIES = {
@@ -17,7 +17,7 @@ ENTITIES = {
     "&gt;": ">",
     "&quot;": '"',
     "&apos;": "'",
-    "&nbsp;": "\u00a0",
+    "&nbsp;": " ",
     "&laquo;": "«",
     "&raquo;": "»",
     "&ndash;": "–",
@@ -26,149 +26,148 @@ ENTITIES = {
     "&copy;": "©",
     "&middot;": "·",
 }
+CELL_END = r"(?is)(?:</t[hdr]\s*>|<th[\s>]).*$"
+ALL = 1 << 30
 
 
-def _code_point(number: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _numeric(c: Column, pattern: str, base: int) -> Column:
-    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)))
+def let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` bound to a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-    def put(text, ref):
-        digits = F.regexp_extract(ref, pattern, 1)
-        value = F.conv(digits, base, 10).cast("long")
-        valid = value.between(1, 0x10FFFF) & ~value.between(0xD800, 0xDFFF)
-        return F.when(valid, F.replace(text, ref, _code_point(value))).otherwise(text)
 
-    return F.aggregate(refs, c, put)
+def _numeric(text: str, pattern: str, base: int) -> str:
+    refs = f"array_distinct(regexp_extract_all({text}, {quoted(pattern)}, 0))"
+    code = f"CAST(conv(regexp_extract(ref, {quoted(pattern)}, 1), {base}, 10) AS BIGINT)"
+    valid = f"({code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343)"
+    char = f"decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32')"
+    put = f"CASE WHEN {valid} THEN replace(acc, ref, {char}) ELSE acc END"
+    return f"aggregate({refs}, {text}, (acc, ref) -> {put})"
 
 
-def decode_entities(c: Column) -> Column:
+def _decode(text: str) -> str:
     """Decode character references; '&amp;' last, so nothing is decoded twice."""
-    out = c
     for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = F.when(out.contains("&#"), _numeric(_numeric(out, "&#([0-9]{1,7});", 10), "&#[xX]([0-9a-fA-F]{1,6});", 16)).otherwise(out)
-    return F.when(c.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+        text = f"replace({text}, {quoted(name)}, {quoted(char)})"
+    hexed = let(_numeric("dec", "&#([0-9]{1,7});", 10), "hex_", _numeric("hex_", "&#[xX]([0-9a-fA-F]{1,6});", 16))
+    return f"replace({let(text, 'dec', hexed)}, '&amp;', '&')"
 
 
-def text_of(fragment: str | Column) -> Column:
-    return decode_entities(F.regexp_replace(col(fragment), "<[^>]*>", ""))
+def text_of(fragment: str) -> str:
+    """Text of a fragment: no tags, references decoded. Plain text passes untouched."""
+    bare = f"CASE WHEN contains({fragment}, '<') THEN regexp_replace({fragment}, '<[^>]*>', '') ELSE {fragment} END"
+    return let(bare, "bare", f"CASE WHEN contains(bare, '&') THEN {_decode('bare')} ELSE bare END")
 
 
-def without_noise(html: str | Column) -> Column:
+def code_text(fragment: str) -> str:
+    """Text of all code elements; NULL when there is none."""
+    pattern = quoted(r"(?is)<code\b[^>]*>(.*?)</code\s*>")
+    codes = f"regexp_extract_all({fragment}, {pattern}, 1)"
+    joined = let(codes, "codes", "CASE WHEN size(codes) > 0 THEN array_join(codes, '') END")
+    raw = f"CASE WHEN contains({fragment}, '<') THEN {joined} END"
+    return let(raw, "raw", text_of("raw"))
+
+
+def without_noise(html: str) -> Column:
     """The page without comments, scripts and styles."""
     return F.regexp_replace(
-        col(html), "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", ""
+        F.col(html), r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>", ""
     )
 
 
-def _tail(array: Column) -> Column:
-    return F.slice(array, 2, 1 << 30)
-
-
-def code_text(fragment: Column) -> Column:
-    """Text of all code elements; NULL when there is none."""
-    codes = F.regexp_extract_all(fragment, F.lit("(?is)<code\\b[^>]*>(.*?)</code\\s*>"), F.lit(1))
-    return F.when(F.size(codes) > 0, text_of(F.array_join(codes, "")))
-
+def first_heading(html: str) -> Column:
+    """Trimmed text of the first h1; '' when there is none."""
+    pattern = quoted(r"(?is)<h1\b[^>]*>(.*?)</h1\s*>")
+    heading = let(f"regexp_extract({html}, {pattern}, 1)", "h", text_of("h"))
+    return F.expr(f"btrim({heading}, {quoted(WHITE_SPACE)})")
 
-def _cell(fragment: Column) -> Column:
-    inner = F.regexp_replace(fragment, "(?is)^<t[hd]\\b[^>]*>|</t[hdr]\\s*>.*$", "")
-    return F.struct(
-        F.lower(F.substring(fragment, 2, 2)).alias("tag"),
-        text_of(inner).alias("text"),
-        code_text(inner).alias("code"),
-    )
 
+def _row_parts(fragment: str) -> str:
+    return f"slice(split({fragment}, {quoted(r'(?i)<tr(?=[\s>])[^>]*>')}), 2, {ALL})"
 
-def rows_of(fragment: str | Column) -> Column:
-    """Rows of a table fragment, each an array of (tag, text, code) cells."""
-    rows = _tail(F.split(col(fragment), "(?i)<tr(?=[\\s>])[^>]*>"))
 
-    def cells(row):
-        starts = F.split(row, "(?i)(?=<t[hd][\\s>])")
-        return F.filter(starts, lambda c: c.rlike("(?i)^<t[hd][\\s>]"))
+def rows_of(html: str, *labels: str) -> Column:
+    """Rows that hold one of the labels, as arrays of (tag, text, code) cells.
 
-    return F.transform(rows, lambda r: F.transform(cells(r), _cell))
+    A label is looked for in the raw row first, so other rows cost one search.
+    """
+    wanted = " OR ".join(
+        ["contains(r, '&#')"] + [f"contains(r, {quoted(label)})" for label in labels]
+    )
+    cells = (
+        f"filter(split(r, {quoted(r'(?i)(?=<t[hd][\s>])')}), "
+        f"c -> c RLIKE {quoted(r'(?i)^<t[hd][\s>]')})"
+    )
+    inner = f"regexp_replace(c, {quoted(r'(?is)^<t[hd]\b[^>]*>|</t[hdr]\s*>.*$')}, '')"
+    cell = let(
+        inner,
+        "inner_",
+        f"named_struct('tag', lower(substring(c, 2, 2)), 'text', {text_of('inner_')}, "
+        f"'code', {code_text('inner_')})",
+    )
+    return F.expr(
+        f"transform(filter({_row_parts(html)}, r -> {wanted}), r -> transform({cells}, c -> {cell}))"
+    )
 
 
-def sections_of(html: str | Column) -> Column:
+def sections_of(html: str) -> Column:
     """Header blocks: (level, title, body up to the next header)."""
-    blocks = F.filter(
-        F.split(col(html), "(?i)(?=<h[1-6][\\s>])"), lambda b: b.rlike("(?i)^<h[1-6][\\s>]")
+    blocks = (
+        f"filter(split({html}, {quoted(r'(?i)(?=<h[1-6][\s>])')}), "
+        f"b -> b RLIKE {quoted(r'(?i)^<h[1-6][\s>]')})"
     )
-    whole = "(?is)^<h([1-6])[^>]*>(.*?)</h[1-6]\\s*>"
-    return F.transform(
-        blocks,
-        lambda b: F.struct(
-            F.substring(b, 3, 1).cast("int").alias("level"),
-            text_of(F.regexp_extract(b, whole, 2)).alias("title"),
-            F.regexp_replace(b, whole, "").alias("body"),
-        ),
+    whole = quoted(r"(?is)^<h[1-6][^>]*>(.*?)</h[1-6]\s*>")
+    title = let(f"regexp_extract(b, {whole}, 1)", "h", text_of("h"))
+    return F.expr(
+        f"transform({blocks}, b -> named_struct('level', CAST(substring(b, 3, 1) AS INT), "
+        f"'title', {title}, 'body', regexp_replace(b, {whole}, '')))"
     )
 
 
-def pick_sections(sections: str | Column, title: str) -> Column:
+def pick_sections(sections: str, title: str) -> str:
     """Sections whose header holds ``title``, on the highest header level that has any."""
-    hits = F.filter(col(sections), lambda s: s.title.contains(title))
-    top = F.array_min(F.transform(hits, lambda s: s.level))
-    return F.filter(hits, lambda s: s.level == top)
-
-
-def table_after(picked: Column) -> Column:
-    """Data rows of the tables that directly follow the headers (the first row is a head)."""
-    table = "(?is)^[^<]*<table\\b[^>]*>(.*?)(?:</table\\s*>|$)"
-    rows = F.flatten(
-        F.transform(picked, lambda s: rows_of(F.regexp_extract(s.body, table, 1)))
+    hits = f"filter({sections}, s -> contains(s.title, {quoted(title)}))"
+    top = "filter(hits, s -> s.level = array_min(transform(hits, x -> x.level)))"
+    return let(hits, "hits", top)
+
+
+def table_after(picked: str) -> str:
+    """Data rows of the tables that directly follow the headers (the first row is a head).
+
+    A row is an array of (text, code) data cells.
+    """
+    table = quoted(r"(?is)^[^<]*<table\b[^>]*>(.*?)(?:</table\s*>|$)")
+    rows = f"flatten(transform({picked}, s -> {_row_parts(f'regexp_extract(s.body, {table}, 1)')}))"
+    cells = f"slice(split(r, {quoted(r'(?i)<td(?=[\s>])[^>]*>')}), 2, {ALL})"
+    cell = let(
+        f"regexp_replace(c, {quoted(CELL_END)}, '')",
+        "inner_",
+        f"named_struct('text', {text_of('inner_')}, 'code', {code_text('inner_')})",
     )
-    data = F.transform(_tail(rows), lambda r: F.filter(r, lambda c: c.tag == "td"))
-    return F.coalesce(data, F.array())
+    return f"transform(slice({rows}, 2, {ALL}), r -> transform({cells}, c -> {cell}))"
 
 
-def code_after(picked: Column) -> Column:
+def code_after(picked: str) -> str:
     """Code text of the pre block that directly follows the header; NULL when absent."""
-    block = "(?is)^[^<]*<pre\\b[^>]*>(.*?)</pre\\s*>"
-    parts = F.filter(
-        F.transform(picked, lambda s: code_text(F.regexp_extract(s.body, block, 1))),
-        lambda t: t.isNotNull(),
-    )
-    return F.when(F.size(parts) > 0, F.array_join(parts, ""))
-
-
-def first_heading(html: str | Column) -> Column:
-    """Trimmed text of the first h1; '' when there is none."""
-    return trim_space(
-        text_of(F.regexp_extract(col(html), "(?is)<h1\\b[^>]*>(.*?)</h1\\s*>", 1))
-    )
+    block = quoted(r"(?is)^[^<]*<pre\b[^>]*>(.*?)</pre\s*>")
+    one = let(f"regexp_extract(s.body, {block}, 1)", "pre_", code_text("pre_"))
+    parts = f"filter(transform({picked}, s -> {one}), t -> t IS NOT NULL)"
+    return let(parts, "parts", "CASE WHEN size(parts) > 0 THEN array_join(parts, '') END")
 
 
-def code_beside(rows: str | Column, label: str) -> Column:
+def code_beside(rows: str, label: str) -> str:
     """Code text of the cells after the first head cell in rows labelled ``label``."""
-    def is_head(c):
-        return c.tag == "th"
-
-    labelled = F.filter(
-        col(rows), lambda r: F.exists(r, lambda c: is_head(c) & c.text.contains(label))
-    )
-    beside = F.flatten(
-        F.transform(
-            labelled,
-            lambda r: F.filter(r, lambda c, i: (i > 0) & is_head(F.get(r, i - 1))),
-        )
-    )
-    return F.array_join(F.transform(beside, lambda c: c.code), "")
+    labelled = f"filter({rows}, r -> exists(r, c -> c.tag = 'th' AND contains(c.text, {quoted(label)})))"
+    beside = f"flatten(transform({labelled}, r -> filter(r, (c, i) -> i > 0 AND get(r, i - 1).tag = 'th')))"
+    return f"array_join(transform({beside}, c -> c.code), '')"
 
 
-def text_beside(rows: str | Column, label: str) -> Column:
+def text_beside(rows: str, label: str) -> str:
     """Text of the cell after each data cell that holds ``label``."""
-    def holds(c):
-        return (c.tag == "td") & c.text.contains(label)
-
-    beside = F.flatten(
-        F.transform(
-            col(rows), lambda r: F.filter(r, lambda c, i: (i > 0) & holds(F.get(r, i - 1)))
-        )
-    )
-    return F.array_join(F.transform(beside, lambda c: c.text), "")
+    before = f"get(r, i - 1).tag = 'td' AND contains(get(r, i - 1).text, {quoted(label)})"
+    beside = f"flatten(transform({rows}, r -> filter(r, (c, i) -> i > 0 AND {before})))"
+    return f"array_join(transform({beside}, c -> c.text), '')"

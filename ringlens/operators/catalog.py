@@ -115,8 +115,14 @@ def json_object(text: Column) -> Column:
 
 
 def _example(titles: tuple[str, str]) -> Column:
+    """Code after the first spelling of a title, after the second only if that is absent."""
     first, second = (ht.pick_sections("sections", t) for t in titles)
-    return F.when(F.size(first) > 0, ht.code_after(first)).otherwise(ht.code_after(second))
+    picked = ht.let(first, "one", f"CASE WHEN size(one) > 0 THEN one ELSE {second} END")
+    return F.expr(ht.let(picked, "found", ht.code_after("found")))
+
+
+def _table(title: str) -> Column:
+    return F.expr(ht.table_after(ht.pick_sections("sections", title)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -126,17 +132,17 @@ def extract(pages: DataFrame) -> DataFrame:
     parsed = clean.select(
         *kept,
         ht.first_heading("html").alias("title"),
-        ht.rows_of("html").alias("rows"),
+        ht.rows_of("html", METHOD_LABEL, DESCRIPTION_LABEL).alias("rows"),
         ht.sections_of("html").alias("sections"),
     )
     tables = parsed.select(
         *kept,
         "title",
-        F.btrim(ht.code_beside("rows", METHOD_LABEL), F.lit("\"'")).alias("name"),
-        tx.clean_text(ht.text_beside("rows", DESCRIPTION_LABEL)).alias("description"),
-        ht.table_after(ht.pick_sections("sections", REQUEST_TITLE)).alias("request_rows"),
-        ht.table_after(ht.pick_sections("sections", RESPONSE_TITLE)).alias("response_rows"),
-        ht.table_after(ht.pick_sections("sections", ERRORS_TITLE)).alias("error_rows"),
+        F.btrim(F.expr(ht.code_beside("rows", METHOD_LABEL)), F.lit("\"'")).alias("name"),
+        tx.clean_text(F.expr(ht.text_beside("rows", DESCRIPTION_LABEL))).alias("description"),
+        _table(REQUEST_TITLE).alias("request_rows"),
+        _table(RESPONSE_TITLE).alias("response_rows"),
+        _table(ERRORS_TITLE).alias("error_rows"),
         _example(REQUEST_EXAMPLES).alias("request_text"),
         _example(RESPONSE_EXAMPLES).alias("response_text"),
     )
@@ -170,16 +176,23 @@ def methods(catalog: DataFrame) -> DataFrame:
     return catalog.filter(F.col("name") != "")
 
 
+def each(rows: DataFrame, keep: list[str], array: str) -> DataFrame:
+    """One row per array entry: the kept columns, ``pos`` and the entry's fields.
+
+    The outer form is used because the plain one makes the optimizer derive a size filter
+    that would run the whole extraction a second time below the generator.
+    """
+    exploded = rows.select(*keep, F.posexplode_outer(array).alias("pos", "__entry"))
+    return exploded.filter(F.col("__entry").isNotNull()).select(*keep, "pos", "__entry.*")
+
+
 def explode_params(catalog: DataFrame, direction: str) -> DataFrame:
-    return catalog.select(
-        "path", "name", F.posexplode(f"{direction}_params").alias("pos", "param")
-    ).select("path", F.col("name").alias("method"), "pos", "param.*")
+    rows = catalog.withColumnRenamed("name", "method")
+    return each(rows, ["path", "method"], f"{direction}_params")
 
 
 def explode_errors(catalog: DataFrame) -> DataFrame:
-    return catalog.select("path", "name", F.posexplode("errors").alias("pos", "error")).select(
-        "path", F.col("name").alias("method"), "pos", "error.*"
-    )
+    return each(catalog.withColumnRenamed("name", "method"), ["path", "method"], "errors")
 
 
 def with_defaults(catalog: DataFrame, brand: str = "Service") -> DataFrame:
@@ -242,10 +255,8 @@ def responses() -> Column:
 
 
 def explode_responses(catalog: DataFrame) -> DataFrame:
-    rows = catalog.withColumn("responses", responses())
-    return rows.select("path", "name", F.explode("responses").alias("r")).select(
-        "path", F.col("name").alias("method"), F.col("r.name").alias("code"), "r.description"
-    )
+    rows = catalog.select("path", F.col("name").alias("method"), responses().alias("responses"))
+    return each(rows, ["path", "method"], "responses").withColumnRenamed("name", "code")
 
 
 def _param_schema(p: Column) -> Column:
@@ -533,14 +544,12 @@ def derive_rules(catalog: DataFrame) -> DataFrame:
     )
     tagged = methods(catalog).select(
         F.col("name").alias("method"),
-        F.explode(
-            F.concat(
-                F.transform(envelope, lambda r: F.struct(F.lit("envelope").alias("part"), r.alias("r"))),
-                F.transform(rules_of(), lambda r: F.struct(F.lit("params").alias("part"), r.alias("r"))),
-            )
-        ).alias("x"),
+        F.concat(
+            F.transform(envelope, lambda r: F.struct(F.lit("envelope").alias("part"), r.alias("r"))),
+            F.transform(rules_of(), lambda r: F.struct(F.lit("params").alias("part"), r.alias("r"))),
+        ).alias("rules"),
     )
-    return tagged.select("method", "x.part", "x.r.*")
+    return each(tagged, ["method"], "rules").select("method", "part", "r.*")
 
 
 def _kind(value: Column) -> Column:
@@ -622,7 +631,7 @@ def validate(records: DataFrame, payload: str, rules: Column | str) -> DataFrame
 
 
 def validation_errors(validated: DataFrame, ident: str) -> DataFrame:
-    return validated.select(ident, F.explode("errors").alias("e")).select(ident, "e.*")
+    return each(validated, [ident], "errors").drop("pos")
 
 
 # ---- batch results -----------------------------------------------------------

@@ -12,6 +12,7 @@ from ringlens.functions import text as tx
 from ringlens.operators import catalog as ct
 from ringlens.plans.registry import query
 from ringlens.sources import pages as pg
+from ringlens.sources.model import spread
 
 VERBS = ["get", "create", "update", "delete", "start"]
 DOMAINS = ["ca_deal", "contact", "ca_contact", "campaign", "ca_employee", "ca_sales_funnel", "tag"]
@@ -99,7 +100,7 @@ PATH = f"""concat('/site/', CASE WHEN p_partkey % 23 = 0 THEN 'misc' WHEN p_size
 
 
 def doc_pages(m):
-    return m.table("part").select(
+    return spread(m.table("part")).select(
         F.col("p_partkey").alias("page"), F.expr(PATH).alias("path"), F.expr(PAGE).alias("html")
     )
 
@@ -253,7 +254,8 @@ def file_stats(m):
 def page_title(m):
     from ringlens.functions.html import first_heading, without_noise
 
-    return m.pages().select("page_id", first_heading(without_noise("html")).alias("title"))
+    clean = m.pages().select("page_id", without_noise("html").alias("html"))
+    return clean.select("page_id", first_heading("html").alias("title"))
 
 
 # ---- extraction ----------------------------------------------------------------
@@ -278,16 +280,15 @@ def doc_description(m):
 def doc_sections(m):
     from ringlens.functions import html as ht
 
-    parsed = doc_pages(m).select(
-        "page", ht.sections_of(ht.without_noise("html")).alias("sections")
-    )
+    clean = doc_pages(m).select("page", ht.without_noise("html").alias("html"))
+    parsed = clean.select("page", ht.sections_of("html").alias("sections"))
     request = ht.pick_sections("sections", ct.REQUEST_TITLE)
     examples = F.filter("sections", lambda s: s.title.isin(*ct.REQUEST_EXAMPLES))
     return parsed.select(
         "page",
-        F.get(request, F.lit(0)).level.alias("request_level"),
+        F.expr(f"get({request}, 0).level").alias("request_level"),
         F.size(examples).alias("examples"),
-        F.size(ht.table_after(request)).alias("request_rows"),
+        F.expr(f"size({ht.table_after(request)})").alias("request_rows"),
     )
 
 
@@ -295,8 +296,7 @@ PARAM_COLUMNS = "page, name, type, required, allowed_values, description, array_
 
 
 def _params(m, direction):
-    rows = catalog(m).select("page", F.explode(f"{direction}_params").alias("p"))
-    return rows.select("page", "p.*")
+    return ct.each(catalog(m), ["page"], f"{direction}_params").drop("pos")
 
 
 @query("doc_request_params", f"{CTE} SELECT {PARAM_COLUMNS} FROM request")
@@ -311,8 +311,7 @@ def doc_response_params(m):
 
 @query("doc_errors", f"{CTE} SELECT page, code, mnemonic, description FROM error")
 def doc_errors(m):
-    rows = catalog(m).select("page", F.explode("errors").alias("e"))
-    return rows.select("page", "e.*")
+    return ct.each(catalog(m), ["page"], "errors").drop("pos")
 
 
 @query(
@@ -402,8 +401,8 @@ def assemble_params(m):
     rows = ct.methods(catalog(m)).withColumns(ct.assemble())
     sides = [
         rows.select(
-            F.lit(side).alias("side"), "page", F.explode(f"{side}_schema").alias("name", "s")
-        )
+            F.lit(side).alias("side"), "page", F.explode_outer(f"{side}_schema").alias("name", "s")
+        ).filter("name IS NOT NULL")
         for side in ("request", "response")
     ]
     return sides[0].unionByName(sides[1]).select(
@@ -455,8 +454,8 @@ def render_description(m):
     UNION ALL SELECT page, '400', 'Error response' FROM ok UNION ALL SELECT * FROM special""",
 )
 def response_fanout(m):
-    rows = ct.methods(catalog(m)).withColumn("r", F.explode(ct.responses()))
-    return rows.select("page", F.col("r.name").alias("code"), "r.description")
+    rows = ct.methods(catalog(m)).withColumn("path", F.col("page"))
+    return ct.explode_responses(rows).select(F.col("path").alias("page"), "code", "description")
 
 
 @query(
@@ -502,16 +501,14 @@ def bundle_by_domain(m):
 @query(
     "bundle_by_type",
     f"""{CTE} SELECT api, count(*) AS files, count(DISTINCT name) AS paths FROM keyed
-    WHERE name <> '' AND raw_domain <> 'tag' GROUP BY 1""",
+    WHERE name <> '' AND NOT contains(path, '/tag/') GROUP BY 1""",
 )
 def bundle_by_type(m):
     filed = _items(m).withColumn(
         "path",
         F.concat(
             F.lit("/spec/"),
-            F.when(F.split("path", "/")[3] == "tag", "other")
-            .when(F.col("key").startswith("tag."), "other")
-            .otherwise(F.col("api")),
+            F.when(F.col("path").contains("/tag/"), "other").otherwise(F.col("api")),
             F.lit("/"),
             "key",
         ),
@@ -566,9 +563,10 @@ def first_wins_dedupe(m):
 )
 def merge_components(m):
     items = ct.keyed(ct.methods(catalog(m)))
-    components = items.select(
-        "domain", "api", "path", F.posexplode("request_params").alias("pos", "p")
-    ).select("domain", "api", "path", "pos", "p.type", "p.name", "p.array_item_type")
+    keep = ["domain", "api", "path"]
+    components = ct.each(items.drop("name"), keep, "request_params").select(
+        *keep, "pos", "type", "name", "array_item_type"
+    )
     return ct.merge_components(components).select("domain", "api", "type", "name", "array_item_type")
 
 
@@ -578,8 +576,8 @@ def merge_components(m):
     FROM error JOIN keyed USING (page) WHERE name <> ''""",
 )
 def merge_errors(m):
-    rows = _items(m).select("domain", "api", F.explode("errors").alias("e"))
-    return ct.merge_errors(rows.select("domain", "api", "e.*"), ["domain", "api"])
+    rows = ct.each(_items(m), ["domain", "api"], "errors")
+    return ct.merge_errors(rows, ["domain", "api"])
 
 
 @query(

@@ -136,3 +136,13 @@ class Model:
 def phone(contact_id: Column) -> Column:
     """Derived E.164 number of a contact."""
     return F.concat(F.lit("7"), F.lpad(contact_id.cast("string"), 10, "0"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores when a small input has fewer partitions than cores.
+
+    For row-wise work that is heavy per row. A large input has partitions enough and is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
