@@ -1,11 +1,10 @@
 """Ordered computations per key that survive a key holding a large share of all rows.
 
-A plain window sends every row of a key to one task. Here a key is cut into buckets
-(normally a time slice, a function of the leading order column). Rows are windowed inside
-(key, bucket); bucket totals are aggregated with map-side combine, carried over the few
-buckets of the key, and joined back on (key, bucket). The rows are shuffled once.
-
-Keys must not be NULL: an absent key is no key, and callers drop such rows.
+A plain window sends every row of a key to one task. Here keys are counted first (with
+map-side combine). Rows of ordinary keys are windowed per key. A heavy key is cut into
+buckets, normally time slices given as a function of the leading order column: its rows
+are windowed inside (key, bucket), bucket totals are carried over the key's buckets, and
+the carry is joined back on (key, bucket). The rows are shuffled once either way.
 """
 from __future__ import annotations
 
@@ -15,6 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
+# A key with more rows than this is cut into buckets. Heavy keys number at most
+# (all rows / HEAVY_ROWS): a million for 10^12 rows, which is what bounds their broadcast.
+HEAVY_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -52,17 +54,31 @@ def following(name: str, value: Column) -> Running:
 def running(
     df: DataFrame, keys: list[str], order: list[str], bucket: Column, *specs: Running
 ) -> DataFrame:
-    """Add one column per spec, computed over each key in ``order`` (a total order)."""
-    df = df.withColumn(BUCKET, bucket)
+    """Add one column per spec, computed over each key in ``order`` (a total order).
+
+    ``bucket`` must not decrease along ``order``.
+    """
+    heavy = (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("__rows"))
+        .filter(F.col("__rows") > HEAVY_ROWS)
+        .select(*keys, F.lit(True).alias("__heavy"))
+    )
+    df = df.join(F.broadcast(heavy), keys, "left")
+    df = df.withColumn(BUCKET, F.when(F.col("__heavy"), bucket))
     group = [*keys, BUCKET]
     local = Window.partitionBy(*group).orderBy(*order)
     buckets = Window.partitionBy(*keys).orderBy(BUCKET)
-    before, after = Window.unboundedPreceding, Window.unboundedFollowing
+    # Looking ahead is looking back in descending order: Spark grows a preceding frame row
+    # by row but evaluates an unbounded following frame anew for every row.
+    local_back = Window.partitionBy(*group).orderBy(*[F.col(o).desc() for o in order])
+    buckets_back = Window.partitionBy(*keys).orderBy(F.col(BUCKET).desc())
+    before = Window.unboundedPreceding
     rank = F.struct(*order)
 
     inside, totals, carries = {}, [], {}
     for s in specs:
-        edge = 0 if s.inclusive else (-1 if s.kind != "next" else 1)
+        edge = 0 if s.inclusive else -1
         t = f"__t_{s.name}"
         if s.kind == "sum":
             inside[s.name] = F.sum(s.value).over(local.rowsBetween(before, edge))
@@ -73,14 +89,17 @@ def running(
             totals.append(F.max_by(s.value, F.when(s.value.isNotNull(), rank)).alias(t))
             carries[t] = F.last(t, True).over(buckets.rowsBetween(before, -1))
         elif s.kind == "next":
-            inside[s.name] = F.first(s.value, True).over(local.rowsBetween(edge, after))
+            inside[s.name] = F.last(s.value, True).over(local_back.rowsBetween(before, edge))
             totals.append(F.min_by(s.value, F.when(s.value.isNotNull(), rank)).alias(t))
-            carries[t] = F.first(t, True).over(buckets.rowsBetween(1, after))
+            carries[t] = F.last(t, True).over(buckets_back.rowsBetween(before, -1))
         else:
             raise ValueError(f"unknown kind {s.kind!r}")
 
-    summary = df.groupBy(*group).agg(*totals).select(
-        *group, *[c.alias(t) for t, c in carries.items()]
+    summary = (
+        df.filter("__heavy")
+        .groupBy(*group)
+        .agg(*totals)
+        .select(*group, *[c.alias(t) for t, c in carries.items()])
     )
     joined = df.withColumns(inside).join(summary, group, "left")
     final = {}
@@ -90,7 +109,7 @@ def running(
             final[s.name] = F.coalesce(F.col(s.name), zero) + F.coalesce(t, zero)
         else:
             final[s.name] = F.coalesce(F.col(s.name), t)
-    return joined.withColumns(final).drop(BUCKET, *carries)
+    return joined.withColumns(final).drop(BUCKET, "__heavy", *carries)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:

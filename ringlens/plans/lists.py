@@ -1,0 +1,131 @@
+"""Dictionary lists, trees, filter values and free numbers."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ringlens.operators import lists as ls
+from ringlens.operators.filters import Cond
+from ringlens.plans.registry import query
+from ringlens.sources.model import named
+
+
+@query(
+    "list_campaigns",
+    """SELECT n_nationkey AS campaign_id, n_name AS campaign_name, r_name AS site_name
+    FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
+)
+def list_campaigns(m):
+    table = m.campaigns().join(m.sites(), "site_id", "left")
+    return ls.dim_list(table, "campaign_id", ["campaign_id", "campaign_name", "site_name"])
+
+
+@query(
+    "list_employees",
+    """SELECT s_suppkey AS employee_id, s_name AS employee_name, n_name AS group_name
+    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey ORDER BY s_name DESC, s_suppkey LIMIT 30 OFFSET 10""",
+)
+def list_employees(m):
+    groups = named(m.campaigns(), group_id="campaign_id", group_name="campaign_name")
+    return ls.dim_list(
+        m.employees().join(groups, "group_id", "left"),
+        "employee_id",
+        ["employee_id", "employee_name", "group_name"],
+        sort=[("employee_name", "desc")],
+        limit=30,
+        offset=10,
+    )
+
+
+@query(
+    "list_contacts",
+    """SELECT c_custkey AS contact_id, c_name AS contact_name, c_mktsegment AS segment FROM customer
+    WHERE contains(c_name, '77')""",
+)
+def list_contacts(m):
+    return ls.dim_list(
+        m.contacts(),
+        "contact_id",
+        ["contact_id", "contact_name", "segment"],
+        Cond("contact_name", "sub", "77"),
+    )
+
+
+@query(
+    "list_numbers",
+    """SELECT p_partkey AS number_id, p_name AS number_name, p_type AS category, p_retailprice AS charge
+    FROM part WHERE p_size BETWEEN 5 AND 10""",
+)
+def list_numbers(m):
+    return ls.dim_list(
+        m.numbers(),
+        "number_id",
+        ["number_id", "number_name", "category", "charge"],
+        Cond("size", "between", [5, 10]),
+    )
+
+
+@query("list_tags", "SELECT o_orderpriority AS tag_name, count(*) AS used FROM orders GROUP BY 1")
+def list_tags(m):
+    tags = m.calls().groupBy(F.col("tag").alias("tag_name")).agg(F.count("*").alias("used"))
+    return ls.dim_list(tags, "tag_name", sort=[("used", "desc")])
+
+
+@query(
+    "list_customers",
+    """SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal AS balance,
+    c_mktsegment AS tariff FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 100""",
+)
+def list_customers(m):
+    table = named(
+        m.contacts(),
+        customer_id="contact_id",
+        customer_name="contact_name",
+        balance="balance",
+        tariff="segment",
+    )
+    return ls.dim_list(table, "customer_id", sort=[("balance", "desc")], limit=100)
+
+
+@query(
+    "tree_paths",
+    """
+    SELECT 'r' || r_regionkey AS id, r_name AS path, 0 AS depth FROM region
+    UNION ALL SELECT 'n' || n_nationkey, r_name || ' / ' || n_name, 1 FROM nation
+      JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT 's' || s_suppkey, r_name || ' / ' || n_name || ' / ' || s_name, 2 FROM supplier
+      JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    """,
+)
+def tree_paths(m):
+    def node(df, ident, name, parent=None):
+        prefix, key = ident
+        above = F.lit(None).cast("string")
+        if parent:
+            above = F.concat(F.lit(parent[0]), F.col(parent[1]).cast("string"))
+        return df.select(
+            F.concat(F.lit(prefix), F.col(key).cast("string")).alias("id"),
+            above.alias("parent_id"),
+            F.col(name).alias("name"),
+        )
+
+    nodes = (
+        node(m.sites(), ("r", "site_id"), "site_name")
+        .unionByName(node(m.campaigns(), ("n", "campaign_id"), "campaign_name", ("r", "site_id")))
+        .unionByName(node(m.employees(), ("s", "employee_id"), "employee_name", ("n", "group_id")))
+    )
+    return ls.tree(nodes, levels=2)
+
+
+@query("filter_values", "SELECT p_brand AS value, count(*) AS n FROM part GROUP BY 1")
+def filter_values(m):
+    return ls.filter_values(m.numbers(), "brand")
+
+
+@query(
+    "available_except",
+    """SELECT p_partkey AS number_id FROM part
+    WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 47)""",
+)
+def available_except(m):
+    used = m.legs().filter("duration > 47")
+    return ls.available(m.numbers().select("number_id"), used, "number_id")

@@ -74,6 +74,10 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
     from ringlens.session import local_session
 
+    if os.environ.get("HEAVY"):
+        from ringlens.operators import ordered
+
+        ordered.HEAVY_ROWS = int(os.environ["HEAVY"])
     sf = f"/root/testdata/{sys.argv[1]}"
     picks = sys.argv[2:]
     spark = local_session(8)
