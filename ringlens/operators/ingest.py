@@ -27,14 +27,24 @@ def ingest_sessions(batch: DataFrame, existing: DataFrame, order: list[str]) ->
     return first_wins(fresh, ["ext_id"], order)
 
 
+def upload_status(audit: DataFrame) -> DataFrame:
+    """State of every uploaded id: loaded, given up (too many failures) or to be retried."""
+    counts = audit.groupBy("ext_id").agg(
+        F.count("*").alias("attempts"),
+        F.count_if(~F.col("ok")).alias("failures"),
+        F.bool_or("ok").alias("__loaded"),
+    )
+    state = (
+        F.when(F.col("__loaded"), "loaded")
+        .when(F.col("failures") >= MAX_FAILURES, "given up")
+        .otherwise("retry")
+    )
+    return counts.withColumn("state", state).drop("__loaded")
+
+
 def finished_ids(audit: DataFrame) -> DataFrame:
     """Ids that are not tried again: loaded once, or failed too often."""
-    return (
-        audit.groupBy("ext_id")
-        .agg(F.bool_or("ok").alias("loaded"), F.count_if(~F.col("ok")).alias("failures"))
-        .filter(F.col("loaded") | (F.col("failures") >= MAX_FAILURES))
-        .select("ext_id")
-    )
+    return upload_status(audit).filter(F.col("state") != "retry").select("ext_id")
 
 
 def ingest_calls(batch: DataFrame, audit: DataFrame) -> DataFrame:
@@ -103,17 +113,14 @@ def ingest_emails(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     filled = [F.coalesce(F.size(F.col(f)) > 0, F.lit(False)) for f in fields]
     checked = with_reason(batch, {"no recipient": reduce(lambda a, b: a | b, filled)})
     accepted = checked.filter(F.col("reason").isNull())
-    everyone = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(f), F.array().cast("array<string>")),
-                    lambda a, f=f: F.struct(F.lit(f).alias("field"), a.alias("address")),
-                )
-                for f in fields
-            ]
+
+    def tagged(field):
+        addresses = F.coalesce(F.col(field), F.array().cast("array<string>"))
+        return F.transform(
+            addresses, lambda a: F.struct(F.lit(field).alias("field"), a.alias("address"))
         )
-    )
+
+    everyone = F.flatten(F.array(*[tagged(f) for f in fields]))
     recipients = accepted.select("ext_id", F.explode(everyone).alias("r")).select("ext_id", "r.*")
     return checked, recipients
 

@@ -24,6 +24,12 @@ def ingest_sessions_dedupe(m):
     return ig.ingest_sessions(batch, rows.filter("kind = 'error'"), ["event_id"])
 
 
+def _audit(m):
+    """Upload attempts: one per leg, a long answered leg being a success."""
+    ok = (F.col("finish_reason") == "A") & (F.col("duration") > 40)
+    return m.legs().select(F.col("call_id").alias("ext_id"), ok.alias("ok"))
+
+
 @query(
     "ingest_calls",
     """
@@ -37,11 +43,21 @@ def ingest_sessions_dedupe(m):
 def ingest_calls(m):
     finish = F.expr("start_time + make_interval(0, 0, 0, CAST(call_id % 5 - 1 AS INT))")
     batch = m.calls().select(F.col("call_id").alias("ext_id"), "start_time", finish.alias("finish_time"))
-    audit = m.legs().select(
-        F.col("call_id").alias("ext_id"),
-        ((F.col("finish_reason") == "A") & (F.col("duration") > 40)).alias("ok"),
-    )
-    return ig.ingest_calls(batch, audit).select("ext_id", "reason")
+    return ig.ingest_calls(batch, _audit(m)).select("ext_id", "reason")
+
+
+@query(
+    "uploaded_calls",
+    """
+    SELECT *, CASE WHEN failures < attempts THEN 'loaded' WHEN failures >= 3 THEN 'given up'
+      ELSE 'retry' END AS state
+    FROM (SELECT l_orderkey AS ext_id, count(*) AS attempts,
+      count(*) FILTER (WHERE NOT (l_returnflag = 'A' AND l_quantity > 40)) AS failures
+      FROM lineitem GROUP BY 1)
+    """,
+)
+def uploaded_calls(m):
+    return ig.upload_status(_audit(m))
 
 
 def _named_rows(m):

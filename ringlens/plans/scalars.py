@@ -17,7 +17,7 @@ SPACE_SQL = r"E'[\n\r\t ]+'"
 @query(
     "clean_text",
     f"""SELECT doc_id AS transcript_id, trim(regexp_replace(text, {SPACE_SQL}, ' ', 'g'),
-    E' \\n\\t\\r\\u00a0\\u2003\\u3000') AS text FROM documents""",
+    ' ' || chr(133) || chr(160) || chr(8195) || chr(12288)) AS text FROM documents""",
 )
 def clean_text(m):
     return m.transcripts().select("transcript_id", tx.clean_text("text").alias("text"))

@@ -1,0 +1,121 @@
+"""Streaming queries drained to a table in the shared folder, and sinks read back."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ringlens.operators import catalog as ct
+from ringlens.operators.report import Metric, ReportSpec, report_table
+from ringlens.plans.aggregates import dsum
+from ringlens.plans.docs import CTE, catalog
+from ringlens.plans.registry import query
+from ringlens.session import shared_dir
+from ringlens.sources import sinks
+from ringlens.streaming import live
+
+
+@query(
+    "visits_live",
+    """SELECT event_id, ts AS date_time, user_id AS visitor_id FROM events
+    WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE""",
+)
+def visits_live(m):
+    return live.visits_last(m.events(), "date_time").select("event_id", "date_time", "visitor_id")
+
+
+@query(
+    "visits_live_stream",
+    """
+    SELECT w AS "from", w + INTERVAL 30 MINUTE AS till, count(*) AS visits FROM (
+      SELECT unnest([time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * k for k in range(6)]) AS w
+      FROM events WHERE event_type = 'view') GROUP BY 1
+    """,
+)
+def visits_live_stream(m):
+    out = shared_dir(m.spark, "visits")
+    views = live.table_stream(m.spark, m.path, "events").filter("event_type = 'view'")
+    live.drain(live.visits_live(views), out, mode="update")
+    return live.latest_update(live.drained(m.spark, out), ["from", "till"])
+
+
+@query(
+    "ingest_stream",
+    "SELECT DISTINCT user_id || '-' || event_type AS ext_id FROM events",
+)
+def ingest_stream(m):
+    """Each id comes out once: repeats inside the watermark fall in the stream, later ones
+    in the batch rule applied to the written table."""
+    out = shared_dir(m.spark, "ingest")
+    ext = F.concat_ws("-", F.col("user_id").cast("string"), "event_type")
+    stream = live.table_stream(m.spark, m.path, "events").withColumn("ext_id", ext)
+    live.drain(live.ingest_stream(stream), out)
+    written = live.drained(m.spark, out)
+    return ct.first_wins(written.select("ext_id", "ts"), ["ext_id"], ["ts"]).select("ext_id")
+
+
+@query(
+    "pages_stream",
+    "SELECT page_id, strlen(html) > 0 AS read, false AS success FROM pages",
+)
+def pages_stream(m):
+    out = shared_dir(m.spark, "pages")
+    stream = live.table_stream(m.spark, m.path, "pages").select(
+        F.col("page_id").cast("string").alias("path"), "html"
+    )
+    live.drain(live.pages_results(stream), out)
+    return live.drained(m.spark, out).select(
+        F.col("path").cast("long").alias("page_id"), (F.col("cost") > 0).alias("read"), "success"
+    )
+
+
+@query(
+    "catalog_scan",
+    f"{CTE} SELECT page, name, domain, api, replace(name, '.', '_') AS file FROM keyed WHERE name <> ''",
+)
+def catalog_scan(m):
+    """Write the catalog partitioned by API and domain, then discover and read it."""
+    out = shared_dir(m.spark, "catalog")
+    rows = catalog(m)
+    sinks.write_catalog(rows, out, "json")
+    schema = rows.schema.add("key", "string").add("file", "string")
+    schema = schema.add("api", "string").add("domain", "string")
+    return sinks.read_catalog(m.spark, out, "json", schema).select(
+        "page", "name", "domain", "api", "file"
+    )
+
+
+@query(
+    "catalog_openapi",
+    f"{CTE} SELECT domain, api, count(*) AS documents FROM keyed WHERE name <> '' GROUP BY 1, 2",
+)
+def catalog_openapi(m):
+    out = shared_dir(m.spark, "openapi")
+    sinks.write_catalog(catalog(m), out, "openapi")
+    documents = sinks.read_catalog(m.spark, out)
+    return documents.groupBy("domain", "api").agg(F.count("document").alias("documents"))
+
+
+@query(
+    "batch_report_file",
+    f"""{CTE} SELECT count(*) AS total, count(*) FILTER (WHERE name <> '') AS success_count,
+    count(*) FILTER (WHERE name = '') AS error_count FROM page""",
+)
+def batch_report_file(m):
+    out = shared_dir(m.spark, "report")
+    results = ct.batch_results(catalog(m), F.lit(1))
+    sinks.write_batch_report(ct.batch_report(results), out)
+    return m.spark.read.json(out).select("total", "success_count", "error_count")
+
+
+@query(
+    "report_export",
+    f"SELECT o_orderpriority AS tag, count(*) AS calls, {dsum('o_totalprice')} AS revenue FROM orders GROUP BY 1",
+)
+def report_export(m):
+    out = shared_dir(m.spark, "export")
+    spec = ReportSpec(
+        dimensions=("tag",),
+        metrics=(Metric("calls", "count"), Metric("revenue", "sum", "revenue")),
+        limit=None,
+    )
+    sinks.export_report(report_table(m.calls(), spec), out, "csv")
+    return m.spark.read.csv(out, header=True, schema="tag string, calls long, revenue double")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ringlens.functions.text import safe_name
 from ringlens.operators import catalog as ct
@@ -27,8 +28,12 @@ def write_catalog(catalog: DataFrame, path: str, fmt: str = "json", brand: str =
         raise ValueError(f"unknown catalog format {fmt!r}")
 
 
-def read_catalog(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_catalog(
+    spark: SparkSession, path: str, fmt: str = "json", schema: StructType | None = None
+) -> DataFrame:
+    """Discover and read a written catalog. A known schema saves the JSON inference pass."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def write_batch_report(report: DataFrame, path: str) -> None:
