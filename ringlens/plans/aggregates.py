@@ -155,7 +155,7 @@ for _name, (_column, _sql) in AGGREGATE_CASES.items():
 @query(
     "formula_column",
     f"""
-    SELECT campaign_id, calls, finished, revenue,
+    SELECT campaign_id, calls, CAST(finished AS BIGINT) AS finished, revenue,
       (revenue - 1000) * 0.5 / nullif(finished + calls * 0, 0) AS per_finished,
       revenue / nullif(calls - calls, 0) AS undefined
     FROM (SELECT c_nationkey AS campaign_id, count(*) AS calls,

@@ -43,8 +43,8 @@ PAIRS_SQL = f"""
     "attribution_window",
     f"""
     SELECT event_id, max(touches) AS touches,
-      max(CASE WHEN place = 1 THEN touch_id END) AS first_touch_id,
-      max(CASE WHEN place = touches THEN touch_id END) AS last_touch_id
+      coalesce(max(CASE WHEN place = 1 THEN touch_id END), -1) AS first_touch_id,
+      coalesce(max(CASE WHEN place = touches THEN touch_id END), -1) AS last_touch_id
     FROM ({PAIRS_SQL}) GROUP BY 1
     """,
 )
@@ -54,13 +54,13 @@ def attribution_window(m):
         "touches",
         F.col("first_touch.id").alias("first_touch_id"),
         F.col("last_touch.id").alias("last_touch_id"),
-    )
+    ).na.fill(-1)
 
 
 @query(
     "last_session_asof",
     f"""
-    SELECT c.event_id, s.event_id AS session_id, s.campaign_id
+    SELECT c.event_id, coalesce(s.event_id, -1) AS session_id, coalesce(s.campaign_id, -1) AS campaign_id
     FROM (SELECT * FROM events WHERE event_type = 'click') c ASOF LEFT JOIN
       (SELECT event_id, ts, user_id, {CAMPAIGN_SQL} AS campaign_id FROM events
        WHERE event_type = 'view') s
@@ -79,7 +79,7 @@ def last_session_asof(m):
         "date_time",
         "session_id",
         ["session_id", "campaign_id"],
-    ).drop("visitor_id", "date_time")
+    ).drop("visitor_id", "date_time").na.fill(-1)
 
 
 WEIGHT_SQL = {

@@ -317,7 +317,7 @@ def doc_errors(m):
 @query(
     "doc_examples",
     """
-    SELECT p_partkey AS page, CASE p_partkey % 3 WHEN 1 THEN 2 WHEN 2 THEN 0 END AS members,
+    SELECT p_partkey AS page, CASE p_partkey % 3 WHEN 1 THEN 2 WHEN 2 THEN 0 ELSE -1 END AS members,
       CASE WHEN p_partkey % 3 = 1 THEN p_partkey::VARCHAR END AS id,
       CASE WHEN p_partkey % 3 = 1 THEN '{"brand":"' || p_brand || '"}' END AS tag FROM part
     """,
@@ -326,7 +326,7 @@ def doc_examples(m):
     members = F.col("request_json")
     return catalog(m).select(
         "page",
-        F.when(members.isNotNull(), F.size(members)).alias("members"),
+        F.when(members.isNotNull(), F.size(members)).otherwise(-1).alias("members"),
         F.try_element_at(members, F.lit("id")).alias("id"),
         F.try_element_at(members, F.lit("tag")).alias("tag"),
     )
@@ -692,8 +692,8 @@ def batch_results(m):
 
 
 REPORT_SQL = """SELECT count(*) AS total, count(*) FILTER (WHERE success) AS success_count,
-    count(*) FILTER (WHERE NOT success) AS error_count, coalesce(sum(params), 0) AS total_params,
-    coalesce(sum(errors), 0) AS total_errors,
+    count(*) FILTER (WHERE NOT success) AS error_count, CAST(coalesce(sum(params), 0) AS BIGINT) AS total_params,
+    CAST(coalesce(sum(errors), 0) AS BIGINT) AS total_errors,
     coalesce(sum(CAST(cost AS BIGINT)) / nullif(count(*), 0), 0) AS average_cost FROM result"""
 
 

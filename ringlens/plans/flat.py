@@ -18,7 +18,7 @@ from ringlens.sources.model import named
     f"""
     SELECT o_orderkey AS call_id, o_orderdate AS start_time, o_orderstatus AS status,
       c_name AS contact_name, n_name AS campaign_name, r_name AS site_name,
-      legs, total_duration, is_lost
+      coalesce(legs, -1) AS legs, coalesce(total_duration, -1) AS total_duration, coalesce(is_lost, false) AS is_lost
     FROM {WIDE_SQL} LEFT JOIN (SELECT l_orderkey, count(*) AS legs, {dsum('l_quantity')} AS total_duration,
       bool_or(l_returnflag = 'R') AS is_lost FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
     WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
@@ -30,7 +30,8 @@ def calls_report(m):
         "call_id", "start_time", "status", "contact_name", "campaign_name", "site_name",
         "legs", "total_duration", "is_lost",
     ]
-    return flt.select_fields(fl.calls_report(calls, m.legs()), fields)
+    rows = flt.select_fields(fl.calls_report(calls, m.legs()), fields)
+    return rows.na.fill(-1).na.fill(False)
 
 
 @query(
@@ -162,7 +163,7 @@ def visits_list(m):
       FROM orders
     UNION ALL SELECT 'goal', event_id, user_id, ts FROM events WHERE event_type = 'signup'
     UNION ALL SELECT 'offline_message', event_id, user_id, ts FROM events WHERE event_type = 'click'
-    UNION ALL SELECT DISTINCT 'chat', conv_id, CAST(NULL AS BIGINT), CAST(NULL AS TIMESTAMP) FROM conversations
+    UNION ALL SELECT DISTINCT 'chat', conv_id, -1, CAST(NULL AS TIMESTAMP) FROM conversations
     """,
 )
 def communications_union(m):
@@ -174,7 +175,7 @@ def communications_union(m):
         goal=events("signup"),
         offline_message=events("click"),
         chat=named(m.messages(), id="chat_id").distinct(),
-    )
+    ).na.fill(-1)
 
 
 @query(
@@ -243,7 +244,7 @@ def leads_list(m):
 @query(
     "api_requests",
     f"""
-    SELECT event_type AS method, count(*) AS requests, sum(user_id) AS weight, {dsum('value')} AS total_time,
+    SELECT event_type AS method, count(*) AS requests, CAST(sum(user_id) AS BIGINT) AS weight, {dsum('value')} AS total_time,
       max(value) AS max_time, min(value) FILTER (WHERE rank >= ceil(0.9 * n)) AS p90_time
     FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value) AS rank,
       count(*) OVER (PARTITION BY event_type) AS n FROM events) GROUP BY 1

@@ -102,11 +102,11 @@ def created_names(m):
 @query(
     "ingest_chats",
     """SELECT conv_id AS chat_id, arg_min(role, turn) AS initiator,
-      arg_max(conv_id % 9 + turn, turn) FILTER (WHERE role = 'assistant') AS owner
+      coalesce(arg_max(conv_id % 9 + turn, turn) FILTER (WHERE role = 'assistant'), -1) AS owner
     FROM conversations GROUP BY 1""",
 )
 def ingest_chats(m):
-    return ig.ingest_chats(m.messages(), F.col("chat_id") % 9 + F.col("turn"))
+    return ig.ingest_chats(m.messages(), F.col("chat_id") % 9 + F.col("turn")).na.fill(-1)
 
 
 @query(

@@ -234,7 +234,7 @@ def _score_sql():
         for c, tests in MATCH_SQL.items()
     ]
     return f"""
-    SELECT page_id, score, CASE WHEN score > 0 THEN campaign_id END AS campaign_id FROM (
+    SELECT page_id, score, CASE WHEN score > 0 THEN campaign_id ELSE -1 END AS campaign_id FROM (
       SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, campaign_id) AS rn
       FROM ({' UNION ALL '.join(parts)})) WHERE rn = 1
     """
@@ -243,9 +243,8 @@ def _score_sql():
 @query("campaign_score", _score_sql())
 def campaign_score(m):
     weights = m.spark.createDataFrame(WEIGHTS, "site_id long, parameter string, weight int")
-    return jn.score_campaign(_visits(m), CONDITIONS, weights).select(
-        "page_id", "score", "campaign_id"
-    )
+    scored = jn.score_campaign(_visits(m), CONDITIONS, weights)
+    return scored.select("page_id", "score", "campaign_id").na.fill(-1)
 
 
 # (stage, order, name)

@@ -95,7 +95,7 @@ def latest_state(m):
 @query(
     "lost_call_reaction",
     f"""
-    SELECT event_id, {secs('ts', 'nxt')} AS reaction FROM (
+    SELECT event_id, coalesce({secs('ts', 'nxt')}, -1) AS reaction FROM (
       SELECT event_id, event_type, ts, min(CASE WHEN event_type = 'click' THEN ts END) OVER
         ({ORDER} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM events)
     WHERE event_type = 'error'
@@ -105,7 +105,7 @@ def lost_call_reaction(m):
     events = m.events().select("event_id", "visitor_id", "date_time", "kind")
     return wn.lost_call_reaction(
         events, F.col("kind") == "error", F.col("kind") == "click"
-    ).select("event_id", "reaction")
+    ).select("event_id", "reaction").na.fill(-1)
 
 
 GAP = 6 * 3600
@@ -114,23 +114,24 @@ GAP = 6 * 3600
 @query(
     "hit_durations",
     f"""
-    SELECT event_id, CASE WHEN s <= {GAP} THEN s END AS duration FROM (
+    SELECT event_id, CASE WHEN s <= {GAP} THEN s ELSE -1 END AS duration FROM (
       SELECT event_id, {secs('ts', f'lead(ts) OVER ({ORDER})')} AS s FROM events)
     """,
 )
 def hit_durations(m):
     hits = m.events().select("event_id", "visitor_id", "date_time")
-    return wn.hit_durations(hits, GAP).select("event_id", "duration")
+    return wn.hit_durations(hits, GAP).select("event_id", "duration").na.fill(-1)
 
 
 @query(
     "chat_answer_wait",
     """
-    SELECT *, answered - asked AS wait FROM (SELECT conv_id AS chat_id,
+    SELECT chat_id, coalesce(asked, -1) AS asked, coalesce(answered, -1) AS answered,
+      coalesce(answered - asked, -1) AS wait FROM (SELECT conv_id AS chat_id,
       min(turn) FILTER (WHERE role = 'user') AS asked,
       min(turn) FILTER (WHERE role = 'assistant') AS answered
       FROM conversations GROUP BY 1)
     """,
 )
 def chat_answer_wait(m):
-    return wn.answer_wait(m.messages())
+    return wn.answer_wait(m.messages()).na.fill(-1)
