@@ -6,6 +6,8 @@ and the time-bucketed form of ``running`` keeps one busy visitor from filling a
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,12 +106,13 @@ def _exact(c: Column) -> Column:
     return c.cast("decimal(28,12)")
 
 
-# model -> (weight of every touch, extra weight of the first, extra weight of the last),
-# each a function of the number of touches; 1 in total. The models are chosen rules.
+# model -> (weight of every touch, extra weight of the first, extra weight of the last) by
+# the number of touches, 1 in total; None where a part has no weight. The models are chosen
+# rules.
 MODELS = {
-    "first": lambda n: (F.lit(0.0), F.lit(1.0), F.lit(0.0)),
-    "last": lambda n: (F.lit(0.0), F.lit(0.0), F.lit(1.0)),
-    "linear": lambda n: (1.0 / n, F.lit(0.0), F.lit(0.0)),
+    "first": lambda n: (None, F.lit(1.0), None),
+    "last": lambda n: (None, None, F.lit(1.0)),
+    "linear": lambda n: (1.0 / n, None, None),
     "position": lambda n: (
         F.when(n > 2, 0.2 / F.greatest(n - 2, F.lit(1))).otherwise(0.0),
         F.when(n == 1, 1.0).when(n == 2, 0.5).otherwise(0.4 - 0.2 / F.greatest(n - 2, F.lit(1))),
@@ -140,22 +143,17 @@ def multichannel(
     )
     n, amount = F.col("touches"), F.col(value)
     every, first, last = MODELS[model](n)
-    ends = hits.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("first_touch.channel").alias("channel"),
-                    _exact(amount * first).alias("credit"),
-                ),
-                F.struct(
-                    F.col("last_touch.channel").alias("channel"),
-                    _exact(amount * last).alias("credit"),
-                ),
-            )
-        ).alias("part")
-    ).select("part.*")
-    credits = ends
-    if model in ("linear", "position"):
+    ends = [
+        F.struct(
+            F.col(f"{end}.channel").alias("channel"), _exact(amount * weight).alias("credit")
+        )
+        for end, weight in (("first_touch", first), ("last_touch", last))
+        if weight is not None
+    ]
+    credits = []
+    if ends:
+        credits.append(hits.select(F.explode(F.array(*ends)).alias("part")).select("part.*"))
+    if every is not None:
         window = F.expr(f"INTERVAL {days} DAY")
         share = _exact(amount * every)
         probe = {"channel": F.col(channel)}
@@ -170,8 +168,9 @@ def multichannel(
             )
         )
         run = _run(line, width, Running("total", "sum", F.coalesce("share", _exact(F.lit(0)))))
-        middle = run.filter("__side <> 0").select(
-            "channel", _exact(F.col("total") * F.col("__side")).alias("credit")
-        )
-        credits = credits.unionByName(middle)
-    return credits.groupBy("channel").agg(F.sum("credit").alias("credit"))
+        # a sign change keeps all decimals, a product would not
+        total = F.col("total")
+        signed = F.when(F.col("__side") < 0, -total).otherwise(total)
+        middle = run.filter("__side <> 0").select("channel", _exact(signed).alias("credit"))
+        credits.append(middle)
+    return reduce(DataFrame.unionByName, credits).groupBy("channel").agg(F.sum("credit").alias("credit"))

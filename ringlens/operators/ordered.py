@@ -125,9 +125,9 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataF
     )
     counts = base.groupBy(*keys, *flat, "__v").agg(F.count("*").alias("__n"))
     # 4096 value ranges between the global extremes: a constant range count per key
-    low = base.agg(F.min("__v")).scalar()
-    high = base.agg(F.max("__v")).scalar()
-    step = F.greatest((high - low) / 4096, F.lit(1e-9))
+    ends = base.agg(F.struct(F.min("__v").alias("low"), F.max("__v").alias("high"))).scalar()
+    low = ends["low"]
+    step = F.greatest((ends["high"] - low) / 4096, F.lit(1e-9))
     cum = running(
         counts.withColumn("__b", F.floor((F.col("__v") - low) / step)),
         flat,

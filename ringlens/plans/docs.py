@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ringlens.functions import text as tx
 from ringlens.operators import catalog as ct
 from ringlens.plans.registry import query
+from ringlens.session import settled
 from ringlens.sources import pages as pg
 from ringlens.sources.model import spread
 
@@ -540,7 +541,7 @@ def bundle_members(m):
     QUALIFY row_number() OVER (PARTITION BY domain, api, name ORDER BY path) > 1""",
 )
 def bundle_conflicts(m):
-    rows = _items(m).select("page", "domain", "api", "name", "path")
+    rows = settled(_items(m).select("page", "domain", "api", "name", "path"), "items")
     return ct.conflicts(rows, ["domain", "api", "name"], ["path"]).select("page", "name", "path")
 
 

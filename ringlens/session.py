@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = "*", app: str = "ringlens") -> SparkSession:
@@ -25,6 +26,21 @@ def local_session(cpus: str | int = "*", app: str = "ringlens") -> SparkSession:
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ringlens-")
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame that several branches read to the shared folder and read it back.
+
+    The work behind it runs once, and a lost executor does not bring it back.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
@@ -35,6 +51,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="ringlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
