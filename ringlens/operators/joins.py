@@ -79,8 +79,8 @@ def longest_prefix(phones: DataFrame, key: str, prefixes: DataFrame) -> DataFram
 def in_schedule(rows: DataFrame, ts: str, key: str, schedule: DataFrame) -> DataFrame:
     """Flag rows whose time falls into an active span of their schedule.
 
-    The spans of one (schedule, weekday) are folded into an array first (a day has few), so
-    the join never multiplies rows. Weekday 1 is Monday; spans are minutes, end excluded.
+    The spans of one (schedule, weekday) are folded into a set first, which the minutes of a
+    day bound, so the join never multiplies rows. Weekday 1 is Monday; spans are minutes, end excluded.
     """
     spans = schedule.groupBy(key, "weekday").agg(
         F.collect_set(F.struct("minute_from", "minute_till")).alias("spans")
@@ -140,8 +140,9 @@ def score_campaign(
     Chosen rule: every matched condition adds its parameter's weight; the highest score
     wins, the lower campaign id on ties; a score of 0 assigns none.
     """
-    # a site has about ten weights, one per parameter
-    per_site = weights.groupBy("site_id").agg(
+    # one weight per site and parameter, so a site's map is as small as the parameter list
+    single = weights.groupBy("site_id", "parameter").agg(F.max("weight").alias("weight"))
+    per_site = single.groupBy("site_id").agg(
         F.map_from_entries(F.collect_list(F.struct("parameter", "weight"))).alias("weights")
     )
 

@@ -25,6 +25,9 @@ AGGREGATES = {
     "count": F.count,
     "count_distinct": F.count_distinct,
     "approx_count_distinct": F.approx_count_distinct,
+    # merges of columns made by ``preaggregate``
+    "total": lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long")),
+    "money_total": lambda c: F.sum(c).cast("double"),
 }
 
 
@@ -45,7 +48,7 @@ class Metric:
         if self.agg not in AGGREGATES:
             raise ValueError(f"unknown aggregate {self.agg!r}")
         out = AGGREGATES[self.agg](self.source())
-        if self.agg == "sum":
+        if self.agg in ("sum", "money_total"):
             out = F.coalesce(out, F.lit(0.0))
         return out.alias(self.name)
 
@@ -160,6 +163,39 @@ def aggregate(df: DataFrame, dims: list[str | Column], metrics, extra=()) -> Dat
     return out.drop("__rows")
 
 
+# aggregate -> (partial form, aggregate that merges the partial values)
+DECOMPOSED = {
+    "count": (F.count, "total"),
+    "sum": (lambda c: F.sum(money(c)), "money_total"),
+    "min": (F.min, "min"),
+    "max": (F.max, "max"),
+}
+
+
+def preaggregate(df: DataFrame, spec: ReportSpec, keys: list[str]) -> tuple[DataFrame, ReportSpec]:
+    """Shrink a fact to its join keys before a dimension is joined to it.
+
+    Returns partial rows per (keys, report dimensions the fact has itself) and the report
+    that merges them. A key with very many fact rows leaves each map task as one row, so it
+    can neither skew the join nor the shuffle before it. Counts, sums, minima and maxima only.
+    """
+    own = [d for d in spec.dimensions if d in df.columns or d in spec.derived]
+    partial, merged = [], []
+    for m in spec.metrics:
+        if m.agg not in DECOMPOSED:
+            raise ValueError(f"aggregate {m.agg!r} cannot be merged from parts")
+        first, then = DECOMPOSED[m.agg]
+        partial.append(first(m.source()).alias(f"__p_{m.name}"))
+        merged.append(Metric(m.name, then, f"__p_{m.name}"))
+    group = list(dict.fromkeys([*keys, *own]))
+    rows = scoped(df, spec).groupBy(*group).agg(*partial)
+    rest = replace(
+        spec, metrics=tuple(merged), tenant=None, date_from=None, filter=None,
+        rapid_filter=None, derived={},
+    )
+    return rows, rest
+
+
 def finish(df: DataFrame, spec: ReportSpec, dims: list[str]) -> DataFrame:
     """Formulas, shares, column filter, order, page and field list over aggregated rows."""
     for f in spec.formulas:

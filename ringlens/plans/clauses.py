@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ringlens.functions.numbers import money_sum
 from ringlens.operators import filters as flt
 from ringlens.operators.filters import Cond, SavedFilters, Tree
-from ringlens.operators.report import Metric, ReportSpec, report_table
+from ringlens.operators.report import Metric, ReportSpec, preaggregate, report_table
 from ringlens.plans.registry import query
 
 CALL_FIELDS = ["call_id", "contact_id", "start_time", "status", "revenue", "tag"]
@@ -178,7 +178,8 @@ def columns_filter(m):
         columns_filter=Tree("and", (Cond("calls", ">", 500), Cond("revenue", ">", 1e6))),
         limit=None,
     )
-    return report_table(m.calls().join(m.contacts(), "contact_id", "left"), spec)
+    rows, merged = preaggregate(m.calls(), spec, ["contact_id"])
+    return report_table(rows.join(m.contacts(), "contact_id", "left"), merged)
 
 
 @query(

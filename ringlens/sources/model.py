@@ -125,9 +125,12 @@ class Model:
 
     def calls_wide(self) -> DataFrame:
         """Calls with contact, campaign and site columns; unmatched keys are kept."""
+        return self.calls().join(self.contacts_wide(), "contact_id", "left")
+
+    def contacts_wide(self) -> DataFrame:
+        """Contacts with campaign and site columns."""
         return (
-            self.calls()
-            .join(self.contacts(), "contact_id", "left")
+            self.contacts()
             .join(self.campaigns(), "campaign_id", "left")
             .join(self.sites(), "site_id", "left")
         )

@@ -48,6 +48,17 @@ def export_report(report: DataFrame, path: str, fmt: str = "csv") -> None:
     (writer.option("header", True) if fmt == "csv" else writer).save(path)
 
 
+def write_fact(
+    df: DataFrame, table: str, key: str, buckets: int, path: str, partition: str | None = None
+) -> None:
+    """Store a fact bucketed by its join key, and partitioned for pruning if asked.
+
+    Facts bucketed alike on one key join and aggregate on it without a shuffle.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
+
+
 def data_files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """Files of a written table with their row counts."""
     return (

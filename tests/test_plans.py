@@ -3,7 +3,9 @@ import pytest
 
 import __spark_entry__ as entry
 from ringlens.operators import filters as flt
+from ringlens.operators.joins import calls_legs
 from ringlens.plans.registry import ENTRIES
+from ringlens.sources import sinks
 from ringlens.sources.model import Model
 
 SF = "/root/testdata/sf0.001"
@@ -32,6 +34,29 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "o_totalprice" not in text
 
 
+def test_bucketed_facts_join_without_a_shuffle(spark, tmp_path):
+    m = Model(spark, SF)
+    try:
+        sinks.write_fact(m.calls(), "t_calls", "call_id", 4, str(tmp_path / "c"))
+        sinks.write_fact(m.legs(), "t_legs", "call_id", 4, str(tmp_path / "l"), "direction")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = calls_legs(spark.table("t_calls"), spark.table("t_legs"))
+        assert "Exchange" not in plan(joined)
+        assert joined.count() == calls_legs(m.calls(), m.legs()).count()
+        text = plan(spark.table("t_legs").filter("direction = 'O'"))
+        assert "PartitionFilters" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS t_calls")
+        spark.sql("DROP TABLE IF EXISTS t_legs")
+
+
+def test_facts_shrink_before_the_join(spark):
+    """The call table is aggregated below its join with the contacts."""
+    text = plan(entry.queries()["report_rollup"](spark, SF)).split("(1) Scan")[0]
+    assert text.count("HashAggregate") == 4
+
+
 def test_page_is_a_top_k(spark):
     text = plan(entry.queries()["page_topk"](spark, SF))
     assert "TakeOrderedAndProject" in text and "Exchange rangepartitioning" not in text
