@@ -235,10 +235,12 @@ def page_categories(m):
 @query(
     "file_stats",
     f"""
-    SELECT {_category(CATEGORY_SQL)} AS category, count(*) AS files,
+    SELECT coalesce(category, '*') AS category, count(*) AS files,
       arg_min(path, (-strlen(html), path)) AS largest_file, max(strlen(html)) AS largest_size,
       arg_min(path, (strlen(html), path)) AS smallest_file, min(strlen(html)) AS smallest_size
-    FROM (SELECT regexp_replace(path, '^[^/]+/', 'site/') AS path, html FROM {PAGE_PATH_SQL}) GROUP BY 1
+    FROM (SELECT *, {_category(CATEGORY_SQL)} AS category FROM
+      (SELECT regexp_replace(path, '^[^/]+/', 'site/') AS path, html FROM {PAGE_PATH_SQL}))
+    GROUP BY ROLLUP (category)
     """,
 )
 def file_stats(m):

@@ -145,7 +145,10 @@ def categorise(pages: DataFrame, root: str = "") -> DataFrame:
 
 
 def file_stats(pages: DataFrame, root: str = "") -> DataFrame:
-    """Per category: page count, and the largest and smallest page with its size in bytes."""
+    """Page count, and the largest and smallest page with its size in bytes.
+
+    One row per category and a row '*' for all pages, from one pass.
+    """
     sized = pages.select(
         category("path", root).alias("category"),
         "path",
@@ -153,10 +156,11 @@ def file_stats(pages: DataFrame, root: str = "") -> DataFrame:
     )
     largest = F.struct(-F.col("size"), F.col("path"))
     smallest = F.struct("size", "path")
-    return sized.groupBy("category").agg(
+    per_category = sized.rollup("category").agg(
         F.count("*").alias("files"),
         F.min_by("path", largest).alias("largest_file"),
         F.max("size").alias("largest_size"),
         F.min_by("path", smallest).alias("smallest_file"),
         F.min("size").alias("smallest_size"),
     )
+    return per_category.withColumn("category", F.coalesce("category", F.lit("*")))

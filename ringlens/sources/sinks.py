@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ringlens.functions.text import safe_name
@@ -57,12 +56,3 @@ def write_fact(
     """
     writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
-
-
-def data_files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """Files of a written table with their row counts."""
-    return (
-        read_catalog(spark, path, fmt)
-        .groupBy(F.input_file_name().alias("file"))
-        .agg(F.count("*").alias("rows"))
-    )
