@@ -36,8 +36,12 @@ def page_stream(spark: SparkSession, folder: str) -> DataFrame:
 def drain(stream: DataFrame, out: str, mode: str = "append") -> None:
     """Run a stream to completion into ``out/batch=<n>`` folders.
 
-    With mode 'update' a folder holds the rows changed by its batch.
+    With mode 'update' a folder holds the rows changed by its batch. An empty folder -1
+    keeps the schema, so a stream without input can be read back too.
     """
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{out}/batch=-1")
+
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 

@@ -31,6 +31,14 @@ def test_counts_are_updated_across_runs(spark, tmp_path):
     assert run() == {0: 11, 10: 1}
 
 
+def test_stream_without_input(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    stream = spark.readStream.schema(SCHEMA).parquet(str(source))
+    live.drain(live.visits_live(stream), out, "update")
+    assert live.latest_update(live.drained(spark, out), ["from", "till"]).count() == 0
+
+
 def test_repeated_ids_come_out_once(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     land(spark, source, [("a", START), ("a", START + timedelta(minutes=1)), ("b", START)])
