@@ -1,9 +1,7 @@
 """Session defaults and the shared work folder."""
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,11 +24,6 @@ def local_session(cpus: str | int = "*", app: str = "ringlens") -> SparkSession:
     return spark
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="ringlens-")
-
-
 def settled(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder and read it back.
 
@@ -42,14 +35,11 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
+    """A fresh path below ``spark.checkpoint.dir``, or else below the warehouse folder.
 
-    The folder must be readable by every executor, so a temporary folder stands in
-    only when the setting is absent and all tasks run in this JVM.
+    Both are readable by every executor, so a lost executor takes nothing with it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
