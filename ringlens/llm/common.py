@@ -1,6 +1,8 @@
 """Helpers that the operators share."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,18 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("string")
 
 
-def row_key(id: str, text: str) -> list[Column]:
-    """``id`` and ``text_hash``: what names a document when ids repeat or are null.
+def row_key(id: str, text: str) -> Column:
+    """``key``: id and text hash as one value, for tables whose ids repeat or are null.
 
     Rows that agree in both are the same document, so anything computed from its text
-    holds for each of them.
+    holds for each of them. Null ids inside the struct compare as equal.
     """
-    return [F.col(id).alias("id"), F.xxhash64(whole(text)).alias("text_hash")]
+    return F.struct(F.col(id).alias("id"), F.xxhash64(whole(text)).alias("text_hash")).alias("key")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def uniform(*key: Column | int) -> Column:

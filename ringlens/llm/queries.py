@@ -5,9 +5,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens.llm.common import table
+from ringlens.llm.decontam import contamination, is_contaminated
 from ringlens.llm.exact import exact_groups
 from ringlens.llm.mix import mix_sources, taken_words
 from ringlens.llm.shard import shard_rows
+from ringlens.llm.simhash import near_groups
 
 SQL: dict[str, str] = {}
 
@@ -69,6 +71,54 @@ FROM p
 """
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return found.select(
+        F.col("key.id").alias("doc_id"), "n_words", "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
+SQL["op5_decontaminate"] = r"""
+WITH low AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b,
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), a, b), word) AS w
+  FROM documents, low),
+i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), a, b), word) AS w
+  FROM benchmark, low),
+iw AS (
+  SELECT DISTINCT item, least(len(w), 13) AS t, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT t FROM iw),
+dw AS (
+  SELECT doc_id, t, s, array_to_string(w[s:s + t - 1], ' ') AS win
+  FROM (SELECT d.*, t, unnest(range(1, len(w) - t + 2)) AS s FROM d, lens WHERE len(w) >= t)),
+hit AS (SELECT doc_id, dw.t, s, item FROM dw JOIN iw USING (win)),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + t)) AS p FROM (SELECT DISTINCT doc_id, s, t FROM hit)) GROUP BY 1),
+m AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hit GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_rows(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -77,7 +127,16 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_mix_sources, op10_shard_rows)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_mix_sources,
+        op5_decontaminate,
+        op8_simhash_near_dedup,
+        op10_shard_rows,
+    )
+}
 
 
 def queries():

@@ -4,18 +4,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import uniform, whole
+from ringlens.llm.common import let, uniform, whole
 from ringlens.session import settled
 
 #: Children of a node when the matrix is drawn level by level.
 FAN_BITS = 4
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def hypergeometric(n: Column, good: Column, total: Column, *seed: Column) -> Column:
     """How many of ``n`` draws without replacement from ``total`` fall on ``good``.
 
@@ -61,13 +56,13 @@ def hypergeometric(n: Column, good: Column, total: Column, *seed: Column) -> Col
                     w["down"].alias("w_down"), total.alias("sum"), pick.alias("pick"),
                 )
 
-            return _let(F.struct(w_up.alias("up"), w_down.alias("down")), choose)
+            return let(F.struct(w_up.alias("up"), w_down.alias("down")), choose)
 
         walk = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
         return F.aggregate(walk, start, step, lambda s: s["pick"].cast("long"))
 
     names = ("n", "m", "size")
-    return _let(F.struct(*(c.alias(k) for c, k in zip(as_double, names))), drawn)
+    return let(F.struct(*(c.alias(k) for c, k in zip(as_double, names))), drawn)
 
 
 def _rows_of_matrix(counts: Column, sizes: Column, shards: int, *seed: Column) -> Column:
@@ -83,7 +78,7 @@ def _rows_of_matrix(counts: Column, sizes: Column, shards: int, *seed: Column) -
         def cell(s: Column, k: Column) -> Column:
             good = F.get(left, k)
             x = hypergeometric(s["n"], good, s["rest"], *seed, child, k)
-            return _let(
+            return let(
                 x,
                 lambda x: F.struct(
                     (s["n"] - x).alias("n"), (s["rest"] - good).alias("rest"),
@@ -98,7 +93,7 @@ def _rows_of_matrix(counts: Column, sizes: Column, shards: int, *seed: Column) -
     )
 
     def child(s: Column, c: Column) -> Column:
-        return _let(
+        return let(
             row(c["n"], s["left"], c["child"]),
             lambda r: F.struct(
                 F.zip_with(s["left"], r, lambda a, b: a - b).alias("left"),
