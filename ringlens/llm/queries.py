@@ -8,8 +8,11 @@ from ringlens.llm.common import table
 from ringlens.llm.decontam import contamination, is_contaminated
 from ringlens.llm.exact import exact_groups
 from ringlens.llm.mix import mix_sources, taken_words
+from ringlens.llm.labelled import held_out
+from ringlens.llm.quality import quality_scores
 from ringlens.llm.shard import shard_rows
 from ringlens.llm.simhash import near_groups
+from ringlens.llm.toxicity import toxicity_scores
 
 SQL: dict[str, str] = {}
 
@@ -112,6 +115,21 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 
+def _classified(scores: DataFrame, limit: float) -> DataFrame:
+    return scores.select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+        (F.col("score") >= limit).cast("int").alias("predicted"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.5)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.3)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -133,6 +151,8 @@ QUERIES = {
         op1_exact_dedup,
         op2_mix_sources,
         op5_decontaminate,
+        op6_toxicity,
+        op7_quality,
         op8_simhash_near_dedup,
         op10_shard_rows,
     )
