@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ringlens.llm.common import whole
 from ringlens.llm.labelled import held_out, sample_texts, sigmoid
 
-DICTIONARY_BYTES, LEVEL = 112_640, 3
+DICTIONARY_BYTES, LEVEL, BLOCK = 112_640, 3, 1024
 #: Good and bad documents to learn from, and bytes of each kind.
 SAMPLE, SAMPLE_BYTES = 4000, 16 << 20
 
@@ -61,11 +61,17 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def differences(good: bytes, bad: bytes, texts: list[bytes]) -> np.ndarray:
-    """Compressed size with the bad dictionary less that with the good one, per byte."""
+    """Compressed size with the bad dictionary less that with the good one, per byte.
+
+    A text is compressed in blocks, so that its own past, which helps both alike, doesn't
+    drown the dictionaries' share in long texts. All blocks count.
+    """
     with_good, with_bad = compressor(good), compressor(bad)
-    return np.array(
-        [(len(with_bad.compress(t)) - len(with_good.compress(t))) / (len(t) + 1) for t in texts], float
-    )
+    out = np.empty(len(texts))
+    for i, t in enumerate(texts):
+        blocks = [t[a : a + BLOCK] for a in range(0, len(t), BLOCK)]
+        out[i] = sum(len(with_bad.compress(x)) - len(with_good.compress(x)) for x in blocks) / (len(t) + 1)
+    return out
 
 
 def dictionary(texts: list[bytes]) -> bytes:

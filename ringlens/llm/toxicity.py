@@ -96,20 +96,21 @@ def _rates(texts: list[bytes]) -> np.ndarray:
     return np.bincount(feature, minlength=1 << BITS)
 
 
-def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> Model:
+def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, steps: int = 500, rate: float = 0.1, decay: float = 3e-5) -> Model:
     """Weights that minimise the non-negative risk
 
         prior * E_p[loss(g)] + max(0, E_u[loss(-g)] - prior * E_p[loss(-g)])
 
     with the logistic loss, by Adam on all of the sample. Where the bracket turns negative,
     the step goes the other way, which undoes the overfit that makes it so. Features are
-    those that toxic texts have much oftener than the unlabelled mixture.
+    those that toxic texts have much oftener than the unlabelled mixture; they never count
+    against it.
     """
     prior = min(max(prior, 1e-3), 0.999)
     n_p, n_u = max(1, len(toxic)), max(1, len(unlabelled))
     in_p, in_u = _rates(toxic), _rates(unlabelled)
     lift = ((in_p + 0.1) / n_p) / ((in_u + 1) / n_u)
-    chosen = np.flatnonzero((in_p >= max(3, 0.01 * n_p)) & (lift >= max(1.5, 0.4 / prior)))
+    chosen = np.flatnonzero((in_p >= max(3, 0.02 * n_p)) & (lift >= max(1.5, 0.6 / prior)))
     wanted = np.full(1 << BITS, -1, np.int64)
     wanted[chosen] = np.arange(len(chosen))
     k = len(chosen)
@@ -136,6 +137,7 @@ def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, steps: int =
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        np.maximum(w[:k], 0, out=w[:k])
     return Model(wanted, w)
 
 
