@@ -12,6 +12,7 @@ from ringlens.llm.labelled import held_out
 from ringlens.llm.quality import quality_scores
 from ringlens.llm.shard import shard_rows
 from ringlens.llm.simhash import near_groups
+from ringlens.llm.substring import remove_repeats
 from ringlens.llm.toxicity import toxicity_scores
 
 SQL: dict[str, str] = {}
@@ -137,6 +138,32 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+SQL["op9_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13)),
+hit AS (
+  SELECT doc_id, s FROM win JOIN (SELECT win, min(doc_id) AS low FROM win GROUP BY 1) USING (win)
+  WHERE doc_id > low),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM hit),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_rows(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -154,6 +181,7 @@ QUERIES = {
         op6_toxicity,
         op7_quality,
         op8_simhash_near_dedup,
+        op9_substring_dedup,
         op10_shard_rows,
     )
 }
