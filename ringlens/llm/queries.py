@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 from ringlens.llm.common import table
 from ringlens.llm.decontam import contamination, is_contaminated
 from ringlens.llm.exact import exact_groups
+from ringlens.llm.lm import lm_scores
 from ringlens.llm.mix import mix_sources, taken_words
 from ringlens.llm.labelled import held_out
 from ringlens.llm.quality import quality_scores
 from ringlens.llm.shard import shard_rows
 from ringlens.llm.simhash import near_groups
 from ringlens.llm.substring import remove_repeats
+from ringlens.llm.tokens import read_vocabulary, token_counts
 from ringlens.llm.toxicity import toxicity_scores
 
+#: The vocabulary that op4 counts with.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 SQL: dict[str, str] = {}
 
 
@@ -75,6 +80,17 @@ FROM p
 """
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_scores(table(spark, sf_dir, "documents"))
+    per_word = F.col("log_prob") / F.greatest("n_words", F.lit(1))
+    return scores.select(F.col("id").alias("doc_id"), "n_words", "log_prob", per_word.alias("mean_log_prob"))
+
+
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(table(spark, sf_dir, "documents"), read_vocabulary(VOCABULARY))
+    return counts.withColumnRenamed("id", "doc_id")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.coalesce("items", F.array().cast("array<string>"))
@@ -177,6 +193,8 @@ QUERIES = {
     for f in (
         op1_exact_dedup,
         op2_mix_sources,
+        op3_lm_score,
+        op4_token_count,
         op5_decontaminate,
         op6_toxicity,
         op7_quality,
