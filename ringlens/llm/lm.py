@@ -20,9 +20,9 @@ SIDES = (-2, -1, 1, 2)
 CLASSES, MEMBERS, FREQUENT, HASH_BITS = 64, 64, 3072, 18
 TOKENS = CLASSES * MEMBERS
 #: Width of the hidden layer; tokens per step and per scoring block; text bytes at a time.
-HIDDEN, STEP, BLOCK, CHUNK = 24, 2048, 1 << 15, 1 << 21
+HIDDEN, STEP, BLOCK, CHUNK = 24, 4096, 1 << 13, 1 << 21
 #: Training rounds; in round r each document gives its words r, r + STRIDE, ...
-ROUNDS, STRIDE, RATE = 2, 8, 0.1
+ROUNDS, STRIDE, RATE = 2, 16, 0.1
 #: Parts into which parameters are cut to be averaged, and models averaged at a time.
 PARTS, FAN_IN = 16, 16
 
@@ -113,13 +113,32 @@ def contexts(doc: np.ndarray, token: np.ndarray) -> np.ndarray:
 def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
     total = p["inputs"][0][context[0]]
     for table, row in zip(p["inputs"][1:], context[1:]):
-        total = total + table[row]
-    return np.tanh(total + p["hidden"])
+        total += table[row]
+    total += p["hidden"]
+    return np.tanh(total, out=total)
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Scores whose exponentials stay in range: the hidden layer lies within -1 and 1, so
+    only weights that could carry a score too far need the rows' greatest ones."""
+    z = h @ weights
+    z += bias
+    if np.abs(weights).sum(0).max() + np.abs(bias).max() > 60:
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    np.exp(z, out=z)
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
+    return z
+
+
+def _picked(z: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log-softmax of one column in each row; ``z`` is used up."""
+    own = z[np.arange(len(z)), column]
+    np.exp(z, out=z)
+    return own - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
 def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -128,16 +147,14 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, token: np.n
     for at in range(0, len(token), BLOCK):
         part = slice(at, at + BLOCK)
         h, own = _hidden(p, context[:, part]), token[part]
-        kind, member = own // MEMBERS, own % MEMBERS
-        rows = np.arange(len(own))
-        log_p = _log_softmax(h @ p["classes"] + p["class_bias"])[rows, kind].astype(np.float64)
+        kind, member = (own // MEMBERS).astype(np.uint8), own % MEMBERS
+        log_p = _picked(_logits(h, p["classes"], p["class_bias"]), kind).astype(np.float64)
         order = np.argsort(kind, kind="stable")
         edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             of = order[edges[c] : edges[c + 1]]
             if len(of):
-                within = _log_softmax(h[of] @ p["members"][c] + p["member_bias"][c])
-                log_p[of] += within[np.arange(len(of)), member[of]]
+                log_p[of] += _picked(_logits(h[of], p["members"][c], p["member_bias"][c]), member[of])
         out[part] = log_p
     return out
 
@@ -148,7 +165,7 @@ class Trainer:
     def __init__(self, flat: np.ndarray):
         self.flat = flat.copy()
         self.p = split(self.flat)
-        self.squares = np.full(SIZE, 1e-2, np.float32)
+        self.squares = np.full(SIZE, 1e-8, np.float32)
         self.seen = 0
 
     def step(self, context: np.ndarray, token: np.ndarray) -> None:
@@ -156,8 +173,8 @@ class Trainer:
         grad = np.zeros(SIZE, np.float32)
         g = split(grad)
         h = _hidden(p, context)
-        kind, member = token // MEMBERS, token % MEMBERS
-        d = np.exp(_log_softmax(h @ p["classes"] + p["class_bias"]))
+        kind, member = (token // MEMBERS).astype(np.uint8), token % MEMBERS
+        d = _softmax(_logits(h, p["classes"], p["class_bias"]))
         d[np.arange(n), kind] -= 1
         g["classes"][:] = h.T @ d
         g["class_bias"][:] = d.sum(0)
@@ -167,7 +184,7 @@ class Trainer:
         for c in range(CLASSES):
             of = order[edges[c] : edges[c + 1]]
             if len(of):
-                d = np.exp(_log_softmax(h[of] @ p["members"][c] + p["member_bias"][c]))
+                d = _softmax(_logits(h[of], p["members"][c], p["member_bias"][c]))
                 d[np.arange(len(of)), member[of]] -= 1
                 g["members"][c] = h[of].T @ d
                 g["member_bias"][c] = d.sum(0)
@@ -175,12 +192,14 @@ class Trainer:
         back *= 1 - h * h
         g["hidden"][:] = back.sum(0)
         for table, row in zip(g["inputs"], context):
-            by = np.argsort(row, kind="stable")
+            by = np.argsort(row.astype(np.uint16), kind="stable")
             first = np.flatnonzero(np.diff(row[by], prepend=-1))
             table[row[by[first]]] = np.add.reduceat(back[by], first, axis=0)
         grad /= n
         self.squares += grad * grad
-        self.flat -= RATE * grad / np.sqrt(self.squares)
+        grad /= np.sqrt(self.squares)
+        grad *= np.float32(RATE)
+        self.flat -= grad
         self.seen += n
 
 
