@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringlens.llm.common import whole
+from ringlens.llm.substring import _fold, _mix, word_bounds, word_hashes
 from ringlens.session import settled
 
 
@@ -17,8 +18,27 @@ def held_out(id: str | Column) -> Column:
     return F.crc32(F.encode(F.coalesce(id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
+def without_copies(texts: list[bytes], shingle: int = 5, hashes: int = 6) -> list[bytes]:
+    """The texts but those that look like near copies of an earlier one: half or more of
+    their smallest shingle hashes occurred before. Copies would pass for evidence."""
+    seen: set[tuple[int, int]] = set()
+    kept = []
+    for text in texts:
+        words = text.lower().split()
+        if not words:
+            continue
+        joined = b" ".join(words)
+        h = word_hashes(joined, *word_bounds(joined))
+        h = _fold(h, min(shingle, len(h)), lambda a, b: _mix(a * np.uint64(0x9E3779B97F4A7C15) + b))
+        own = {(k, int(_mix(h ^ np.uint64(0xD1B54A32D192ED03 * (k + 1) % (1 << 64))).min())) for k in range(hashes)}
+        if 2 * len(own & seen) < hashes:
+            kept.append(text)
+        seen |= own
+    return kept
+
+
 def sample_texts(docs: DataFrame, picks: dict[str, DataFrame], each: int, max_bytes: int, text: str, id: str) -> dict[str, list[bytes]]:
-    """Distinct whole texts of at most ``each`` ids from every frame in ``picks`` (column ``id``).
+    """Whole texts, near copies left out, of at most ``each`` ids from every frame in ``picks`` (column ``id``).
 
     Ids are taken in the order of a hash, and texts in that order as long as the sample of a
     kind stays within ``max_bytes``; so the driver's share is bounded by the two parameters.
@@ -48,7 +68,7 @@ def sample_texts(docs: DataFrame, picks: dict[str, DataFrame], each: int, max_by
         return {kind: [] for kind in picks}
     wanted = docs.sparkSession.createDataFrame(fits, texts.select("kind", "id").schema)
     rows = texts.join(F.broadcast(wanted), ["kind", "id"]).orderBy("o", "id").select("kind", "text").collect()
-    return {kind: list(dict.fromkeys(bytes(r.text) for r in rows if r.kind == kind)) for kind in picks}
+    return {kind: without_copies([bytes(r.text) for r in rows if r.kind == kind]) for kind in picks}
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -22,10 +22,12 @@ EPOCHS = 2
 
 @dataclass(frozen=True)
 class Mix:
-    """``documents``: tag, id, source, size, sid. ``sources``: sid, source, source_size,
-    weight, target, quota, slots. ``pieces``: the mix itself, a row per run of words taken
-    from one document into one slot."""
+    """``input``: tag, id, source, size and, where asked for, all columns in ``doc``.
+    ``documents``: the same but doc, with sid. ``sources``: sid, source, source_size, weight,
+    target, quota, slots. ``pieces``: the mix itself, a row per run of words taken from one
+    document into one slot."""
 
+    input: DataFrame
     documents: DataFrame
     sources: DataFrame
     pieces: DataFrame
@@ -112,7 +114,7 @@ def _block_of(word: Column) -> Column:
 
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 150, seed: int = 2,
-    text: str = "text", id: str = "doc_id", source: str = "source",
+    text: str = "text", id: str = "doc_id", source: str = "source", payload: bool = False,
 ) -> Mix:
     """A mix of all sources by target weight, ``percent`` of the input's words long.
 
@@ -138,6 +140,7 @@ def mix_sources(
             F.monotonically_increasing_id().alias("tag"), F.col(id).alias("id"),
             F.col(source).alias("source"), words.alias("size"),
             F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))).alias("order"),
+            *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if payload else []),
         ),
         "mix-input",
     )
@@ -160,7 +163,7 @@ def mix_sources(
     )
     planned = planned.unionByName(closing)
 
-    documents = raw.join(
+    documents = raw.select("tag", "id", "source", "size", "order").join(
         sources.select("sid", F.col("source").alias("of")), F.col("source").eqNullSafe(F.col("of"))
     ).drop("of")
     bucket = F.conv(F.substring("order", 1, 3), 16, 10).cast("int") % ORDER_BUCKETS
@@ -190,7 +193,7 @@ def mix_sources(
         "sid", "rank", "tag", "id", "epoch", (start - F.col("first")).alias("first_word"),
         (end - start).alias("n_words"),
     ).join(planned, ["sid", "rank"])
-    return Mix(documents, sources, pieces)
+    return Mix(raw, documents, sources, pieces)
 
 
 def taken_words(mix: Mix) -> DataFrame:
@@ -201,3 +204,33 @@ def taken_words(mix: Mix) -> DataFrame:
         .join(taken, "tag", "left")
         .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     )
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", **settings) -> DataFrame:
+    """The mix as documents, with the columns that came: a row for each time that words of
+    a document are taken.
+
+    A document whose words are taken in part (at most one a source, where its target ends)
+    has the words taken, joined by blanks, and its length in ``n_chars`` if that exists. A
+    document none of whose words are taken is not in the mix.
+    """
+    mix = mix_sources(docs, text=text, payload=True, **settings)
+    taken = taken_words(mix).filter("taken > 0").select("tag", "taken")
+    rows = mix.input.select("tag", "size", "doc").join(taken, "tag").withColumn(
+        "time", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
+    )
+    own = F.least(F.col("size"), F.col("taken") - (F.col("time") - 1) * F.col("size"))
+    cut = own < F.col("size")
+    full = F.col(f"doc.`{text}`")
+    part = F.array_join(F.slice(F.regexp_extract_all(full, F.lit(f"({WORD})")), F.lit(1), own.cast("int")), " ")
+    rows = rows.withColumn("cut", cut).withColumn("part", F.when(cut, part))
+
+    def column(name: str) -> Column:
+        came = F.col(f"doc.`{name}`")
+        if name == text:
+            came = F.when(F.col("cut"), F.col("part")).otherwise(came)
+        elif name == n_chars:
+            came = F.when(F.col("cut"), F.char_length("part").cast(docs.schema[name].dataType)).otherwise(came)
+        return came.alias(name)
+
+    return rows.select(*[column(c) for c in docs.columns])

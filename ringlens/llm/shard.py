@@ -205,3 +205,17 @@ def shard_rows(
         .select("tag", "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
     )
     return base.join(placed, "tag")
+
+
+def sharded_documents(docs: DataFrame, **settings) -> DataFrame:
+    """All columns of ``docs`` with ``size, text_crc32, law, shard, slot, grown_shard``.
+
+    A column of ``docs`` that has one of these names gives way to it.
+    """
+    rows = shard_rows(docs, payload=True, **settings)
+    own = {
+        "size": F.col("size"), "text_crc32": F.col("text_crc32"), "law": F.lit("rows"),
+        "shard": F.col("shard"), "slot": F.col("slot"), "grown_shard": F.lit(None).cast("int"),
+    }
+    came = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in own]
+    return rows.select(*came, *[c.alias(name) for name, c in own.items()])

@@ -20,6 +20,8 @@ PREFIXES = (4, 5, 6)
 CHUNK = 1 << 22
 #: Positive and unlabelled documents to learn from, and bytes of each kind.
 SAMPLE, SAMPLE_BYTES = 10000, 40 << 20
+#: Least log-likelihood ratio (Poisson) of a feature's count among toxic texts.
+SURPRISE = 8.0
 
 
 def word_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,14 +105,15 @@ def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, steps: int =
 
     with the logistic loss, by Adam on all of the sample. Where the bracket turns negative,
     the step goes the other way, which undoes the overfit that makes it so. Features are
-    those that toxic texts have much oftener than the unlabelled mixture; they never count
-    against it.
+    those that toxic texts have much oftener than the unlabelled mixture, by more than
+    chance would give among so many features; they never count against it.
     """
     prior = min(max(prior, 1e-3), 0.999)
     n_p, n_u = max(1, len(toxic)), max(1, len(unlabelled))
     in_p, in_u = _rates(toxic), _rates(unlabelled)
-    lift = ((in_p + 0.1) / n_p) / ((in_u + 1) / n_u)
-    chosen = np.flatnonzero((in_p >= max(3, 0.02 * n_p)) & (lift >= max(1.5, 0.6 / prior)))
+    expected = (in_u + 1) / n_u * n_p
+    surprise = in_p * np.log(np.maximum(in_p, 1) / expected) - (in_p - expected)
+    chosen = np.flatnonzero((surprise >= SURPRISE) & (in_p >= max(1.5, 0.6 / prior) * expected))
     wanted = np.full(1 << BITS, -1, np.int64)
     wanted[chosen] = np.arange(len(chosen))
     k = len(chosen)
