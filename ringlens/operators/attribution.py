@@ -2,7 +2,7 @@
 
 Nothing here pairs a session with a communication. Both are laid on one time line per
 visitor and read off running values, so the work grows with the rows, not with the pairs,
-and the time-bucketed form of ``running`` keeps one busy visitor from filling a task.
+and ``running`` cuts a long line into pieces, which keeps one busy visitor from filling a task.
 """
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.operators.ordered import Running, running, time_bucket
+from ringlens.operators.ordered import Running, running, time_place
+from ringlens.session import settled
 
 
 def _line(rows: DataFrame, key: str, at: Column, side: int, ident: str, **extra: Column) -> DataFrame:
@@ -24,11 +25,13 @@ def _line(rows: DataFrame, key: str, at: Column, side: int, ident: str, **extra:
     )
 
 
-def _run(line: DataFrame, width: str, *specs: Running) -> DataFrame:
-    line = line.filter(F.col("__key").isNotNull())
-    return running(
-        line, ["__key"], ["__at", "__side", "__id"], time_bucket("__at", width), *specs
-    )
+def _run(line: DataFrame, *specs: Running) -> DataFrame:
+    return running(line, ["__key"], ["__at", "__side", "__id"], time_place("__at"), *specs)
+
+
+def _known(rows: DataFrame, key: str) -> DataFrame:
+    """History that a fact can meet: a NULL key meets nothing, but its facts stay."""
+    return rows.filter(F.col(key).isNotNull())
 
 
 def asof(
@@ -40,15 +43,14 @@ def asof(
     history_ts: str,
     history_id: str,
     payload: list[str],
-    width: str = "day",
 ) -> DataFrame:
     """Each fact with the last history row at or before it (NULL payload when none)."""
     fact_row = F.struct(*facts.columns)
     past = F.struct(*payload)
-    line = _line(history, key, F.col(history_ts), 0, history_id, past=past).unionByName(
+    line = _line(_known(history, key), key, F.col(history_ts), 0, history_id, past=past).unionByName(
         _line(facts, key, F.col(fact_ts), 1, fact_id, fact=fact_row), allowMissingColumns=True
     )
-    out = _run(line, width, Running("hit", "last", F.col("past")))
+    out = _run(line, Running("hit", "last", F.col("past")))
     return out.filter("__side = 1").select("fact.*", *[F.col(f"hit.{p}") for p in payload])
 
 
@@ -61,7 +63,6 @@ def attribute(
     channel: str,
     value: str,
     days: int,
-    width: str = "day",
 ) -> DataFrame:
     """Per communication: sessions in the ``days`` before it and the first and last of them.
 
@@ -73,7 +74,7 @@ def attribute(
     at = F.col(ts)
     line = (
         _line(comms, key, at - window, -1, ident, amount=F.col(value))
-        .unionByName(_line(sessions, key, at, 0, ident, touch=touch), allowMissingColumns=True)
+        .unionByName(_line(_known(sessions, key), key, at, 0, ident, touch=touch), allowMissingColumns=True)
         .unionByName(
             _line(comms, key, at, 1, ident, amount=F.col(value)), allowMissingColumns=True
         )
@@ -81,7 +82,6 @@ def attribute(
     seen = F.when(F.col("__side") == 0, 1).otherwise(0).cast("long")
     probes = _run(
         line,
-        width,
         Running("n", "sum", seen),
         Running("after", "next", F.col("touch")),
         Running("before", "last", F.col("touch")),
@@ -131,15 +131,15 @@ def multichannel(
     value: str,
     days: int,
     model: str,
-    width: str = "day",
 ) -> DataFrame:
     """Value credited to each channel under an attribution model.
 
     The equal share of a touch is a difference of two running sums of the credits of later
     communications, so middle touches need no pairing either.
     """
-    hits = attribute(sessions, comms, key, ts, ident, channel, value, days, width).filter(
-        "touches > 0"
+    hits = settled(
+        attribute(sessions, comms, key, ts, ident, channel, value, days).filter("touches > 0"),
+        "hits",
     )
     n, amount = F.col("touches"), F.col(value)
     every, first, last = MODELS[model](n)
@@ -158,16 +158,16 @@ def multichannel(
         share = _exact(amount * every)
         probe = {"channel": F.col(channel)}
         line = (
-            _line(sessions, key, F.col(ts), -1, ident, **probe)
+            _line(_known(sessions, key), key, F.col(ts), -1, ident, **probe)
             .unionByName(
                 _line(hits, key, F.col(ts), 0, ident, share=share), allowMissingColumns=True
             )
             .unionByName(
-                _line(sessions, key, F.col(ts) + window, 1, ident, **probe),
+                _line(_known(sessions, key), key, F.col(ts) + window, 1, ident, **probe),
                 allowMissingColumns=True,
             )
         )
-        run = _run(line, width, Running("total", "sum", F.coalesce("share", _exact(F.lit(0)))))
+        run = _run(line, Running("total", "sum", F.coalesce("share", _exact(F.lit(0)))))
         # a sign change keeps all decimals, a product would not
         total = F.col("total")
         signed = F.when(F.col("__side") < 0, -total).otherwise(total)

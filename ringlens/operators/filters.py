@@ -6,9 +6,11 @@ from datetime import datetime, timedelta
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringlens.session import settled
+
 
 @dataclass(frozen=True)
 class Cond:
@@ -115,6 +117,28 @@ def order(df: DataFrame, sort: list[tuple[str, str]]) -> DataFrame:
     return df.orderBy(*sort_columns(sort))
 
 
+def placed(df: DataFrame, sort: list[tuple[str, str]], name: str = "place") -> DataFrame:
+    """The sorted list with every row's place, counted from 1; ``sort`` must be total.
+
+    Rows are sorted by range partitions and settled, numbered inside their partition, and
+    moved by the rows of the partitions before: no task sees more than its share.
+    """
+    columns = sort_columns(sort)
+    rows = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    rows = settled(rows.withColumn("__at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("__at", 33)
+    sizes = rows.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    ahead = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+    inside = F.col("__at").bitwiseAND((1 << 33) - 1)
+    return (
+        rows.withColumn("__part", part)
+        .join(sizes, "__part")
+        .withColumn(name, F.col("__ahead") + inside + 1)
+        .drop("__part", "__ahead", "__at")
+    )
+
+
 def sort_columns(sort) -> list[Column]:
     """(field, 'asc'|'desc') pairs; empty values come last either way."""
     out = []

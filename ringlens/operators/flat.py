@@ -56,8 +56,7 @@ def chats_report(messages: DataFrame) -> DataFrame:
 
 def chat_messages(messages: DataFrame) -> DataFrame:
     """Messages numbered within their chat in time order."""
-    slices = F.floor(F.col("turn") / 1000)
-    return ordered.running(messages, ["chat_id"], ["turn"], slices, ordered.number("place"))
+    return ordered.running(messages, ["chat_id"], ["turn"], F.col("turn"), ordered.number("place"))
 
 
 def visitor_sessions(hits: DataFrame) -> DataFrame:
@@ -86,7 +85,7 @@ def call_details(legs: DataFrame, employees: DataFrame) -> DataFrame:
     """Time line of each call: its legs numbered in order, with the participant."""
     order = ["leg_time", "leg_no", "employee_id", "number_id", "charge"]
     placed = ordered.running(
-        legs, ["call_id"], order, ordered.time_bucket("leg_time", "month"), ordered.number("place")
+        legs, ["call_id"], order, ordered.time_place("leg_time"), ordered.number("place")
     )
     return placed.join(employees, "employee_id", "left")
 
@@ -110,14 +109,16 @@ def leads(deals_: DataFrame) -> DataFrame:
 
 
 def api_requests(log: DataFrame, method: str, weight: str, elapsed: str) -> DataFrame:
-    """Request log rolled up by method, with the 90th percentile from a bounded sketch."""
-    return log.groupBy(method).agg(
+    """Request log rolled up by method, with the exact 90th percentile of the times."""
+    rolled = log.groupBy(method).agg(
         F.count("*").alias("requests"),
         F.sum(weight).alias("weight"),
         money_sum(elapsed).alias("total_time"),
         F.max(elapsed).alias("max_time"),
-        F.percentile_approx(elapsed, 0.9, 10000).alias("p90_time"),
     )
+    p90 = ordered.exact_percentile(log, [method], elapsed, "p90_time", 0.9)
+    p90 = p90.withColumnRenamed(method, "__method")
+    return rolled.join(p90, F.col(method).eqNullSafe(F.col("__method")), "left").drop("__method")
 
 
 def phrase_matches(rows: DataFrame, text: str, texts: list[str], separator: str) -> DataFrame:
@@ -227,7 +228,7 @@ def person_timeline(parts: dict[str, DataFrame]) -> DataFrame:
         together,
         ["person_id"],
         ["at", "communication_type", "ref_id"],
-        ordered.time_bucket("at", "day"),
+        ordered.time_place("at"),
         ordered.number("place"),
     )
 
@@ -275,11 +276,13 @@ def deal_cycle(deals_: DataFrame, legs: DataFrame) -> DataFrame:
 
 def coverage(visits: DataFrame, shown: Column, keys: list[str]) -> DataFrame:
     """Share of distinct visitors that were shown a number."""
+    each = visits.groupBy(*keys, "visitor_id").agg(F.max(F.coalesce(shown, F.lit(False))).alias("__shown"))
+    known = F.col("visitor_id").isNotNull()
     return (
-        visits.groupBy(*keys)
+        each.groupBy(*keys)
         .agg(
-            F.count_distinct("visitor_id").alias("visitors"),
-            F.count_distinct(F.when(shown, F.col("visitor_id"))).alias("covered"),
+            F.count_if(known).alias("visitors"),
+            F.count_if(known & F.col("__shown")).alias("covered"),
         )
         .withColumn("coverage", ratio(F.col("covered"), F.col("visitors")))
     )

@@ -1,10 +1,13 @@
 """Dictionary lists, trees, filter values and number pools."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlens.operators import filters as flt
+from ringlens.session import settled
 
 
 def dim_list(
@@ -25,12 +28,15 @@ def dim_list(
     return flt.select_fields(rows, fields)
 
 
-def tree(nodes: DataFrame, levels: int, separator: str = " / ") -> DataFrame:
+def tree(nodes: DataFrame, separator: str = " / ") -> DataFrame:
     """Path and depth of every node of an (id, parent_id, name) table.
 
-    ``levels`` equi-joins against the node table lift each node one level at a time; a
-    parent is unique, so no join multiplies rows.
+    Each round lifts the unfinished nodes by one level, joining them with the node table; a
+    parent is unique, so no join multiplies rows. Rounds end when no node has a parent left.
+    A node whose parents run in a circle, or into one, is on no tree: its path and depth are
+    NULL.
     """
+    nodes = settled(nodes.select("id", "parent_id", "name"), "nodes")
     above = nodes.select(
         F.col("id").alias("__up"), F.col("parent_id").alias("__up_parent"), F.col("name").alias("__up_name")
     )
@@ -40,16 +46,32 @@ def tree(nodes: DataFrame, levels: int, separator: str = " / ") -> DataFrame:
         F.lit(0).alias("depth"),
         F.col("parent_id").alias("__next"),
     )
-    for _ in range(levels):
-        found = F.col("__up").isNotNull()
-        joined = rows.join(above, F.col("__next") == F.col("__up"), "left")
-        rows = joined.select(
-            "id",
-            F.when(found, F.concat("__up_name", F.lit(separator), "path")).otherwise(F.col("path")).alias("path"),
-            (F.col("depth") + found.cast("int")).alias("depth"),
-            F.when(found, F.col("__up_parent")).alias("__next"),
+    known = nodes.select(F.col("id").alias("__up"))
+    rows = rows.join(known, F.col("__next") == F.col("__up"), "left").withColumn("__next", F.col("__up")).drop("__up")
+    done, left = [], rows
+    while True:
+        left = settled(left, "tree")
+        top = left.filter("__next IS NULL").drop("__next")
+        left = left.filter("__next IS NOT NULL")
+        done.append(top)
+        if left.isEmpty():
+            break
+        if top.isEmpty():  # every depth up to the deepest has a node: what is left goes round
+            lost = F.lit(None)
+            done.append(left.select("id", lost.cast("string").alias("path"), lost.cast("int").alias("depth")))
+            break
+        left = (
+            left.join(above, F.col("__next") == F.col("__up"))
+            .select(
+                "id",
+                F.concat("__up_name", F.lit(separator), "path").alias("path"),
+                (F.col("depth") + 1).alias("depth"),
+                F.col("__up_parent").alias("__parent"),
+            )
+            .join(known, F.col("__parent") == F.col("__up"), "left")
+            .select("id", "path", "depth", F.col("__up").alias("__next"))
         )
-    return rows.drop("__next")
+    return reduce(DataFrame.unionByName, done)
 
 
 def filter_values(df: DataFrame, field: str) -> DataFrame:

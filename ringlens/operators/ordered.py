@@ -1,10 +1,10 @@
 """Ordered computations per key that survive a key holding a large share of all rows.
 
-A plain window sends every row of a key to one task. Here keys are counted first (with
-map-side combine). Rows of ordinary keys are windowed per key. A heavy key is cut into
-buckets, normally time slices given as a function of the leading order column: its rows
-are windowed inside (key, bucket), bucket totals are carried over the key's buckets, and
-the carry is joined back on (key, bucket). The rows are shuffled once either way.
+A plain window sends every row of a key to one task. Here the input is settled once and its
+keys are counted (with map-side combine). Rows of ordinary keys are windowed per key. A heavy
+key is cut into pieces of like row counts, at quantiles of its leading order column: its rows
+are windowed inside (key, piece), piece totals are carried over the key's pieces, and the
+carry is joined back on (key, piece). A NULL key is a key like any other.
 """
 from __future__ import annotations
 
@@ -13,10 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "__bucket"
-# A key with more rows than this is cut into buckets. Heavy keys number at most
-# (all rows / HEAVY_ROWS): a million for 10^12 rows, which is what bounds their broadcast.
+from ringlens.session import settled
+
+GROUP, PIECE, PLACE = "__group", "__piece", "__place"
+# A key is heavy beyond this many rows or one HEAVY_KEYS-th of all rows, whichever is more:
+# so there are at most HEAVY_KEYS heavy keys, and as many pieces, at any size.
 HEAVY_ROWS = 1_000_000
+HEAVY_KEYS = 4096
+STRIDE = 64  # edges between two coarse edges
 
 
 @dataclass(frozen=True)
@@ -33,9 +37,10 @@ class Running:
     inclusive: bool = True
 
 
-def time_bucket(ts: str | Column, width: str = "day") -> Column:
+def time_place(ts: str | Column) -> Column:
+    """Where a row lies on the time line: microseconds."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_trunc(width, c)
+    return F.unix_micros(c.cast("timestamp"))
 
 
 def number(name: str) -> Running:
@@ -51,28 +56,81 @@ def following(name: str, value: Column) -> Running:
     return Running(name, "next", value, inclusive=False)
 
 
+@dataclass(frozen=True)
+class Line:
+    """Settled rows with their key, their piece of it (NULL for an ordinary key) and order."""
+
+    rows: DataFrame
+    order: tuple[str, ...]
+    heavy: bool
+
+    @staticmethod
+    def of(df: DataFrame, keys: list[str], order: list[str], place: Column) -> Line:
+        """``place`` is numeric and must not decrease along ``order``; NULL comes first."""
+        base = settled(df.withColumn(PLACE, place.cast("double")), "line")
+        group = F.struct(*keys) if keys else F.struct(F.lit(0))
+        base = base.withColumn(GROUP, group)
+        limit = max(HEAVY_ROWS, base.count() // HEAVY_KEYS)
+        heavy = base.groupBy(GROUP).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > limit)
+        heavy = settled(heavy, "heavy-keys")
+        if heavy.isEmpty():
+            return Line(base.withColumn(PIECE, F.lit(None).cast("int")), tuple(order), False)
+        cuts = settled(_cuts(base, heavy, limit), "cuts")
+        rows = base.join(cuts, GROUP, "left").withColumn(PIECE, _piece(F.col(PLACE)))
+        return Line(rows.drop("__coarse", "__edges"), tuple(order), True)
+
+    def add(self, df: DataFrame, *specs: Running) -> DataFrame:
+        """One column per spec on ``df``: ``rows``, or what came of them by adding columns."""
+        return _added(df, list(self.order), self.heavy, specs)
+
+    @staticmethod
+    def bare(df: DataFrame) -> DataFrame:
+        return df.drop(GROUP, PIECE, PLACE)
+
+
+def _cuts(base: DataFrame, heavy: DataFrame, limit: int) -> DataFrame:
+    """Edges between the pieces of each heavy key: as many quantiles as it has limits of rows."""
+    steps = [i / HEAVY_KEYS for i in range(1, HEAVY_KEYS)]
+    quantiles = F.coalesce(
+        F.percentile_approx(PLACE, steps, 10 * HEAVY_KEYS), F.array().cast("array<double>")
+    )
+    apart = F.greatest(F.lit(1), F.floor(F.lit(HEAVY_KEYS * limit) / F.first("__rows"))).cast("int")
+    return (
+        base.join(heavy, GROUP)
+        .groupBy(GROUP)
+        .agg(quantiles.alias("__q"), apart.alias("__apart"))
+        .withColumn("__edges", F.array_distinct(F.filter("__q", lambda e, i: (i + 1) % F.col("__apart") == 0)))
+        .select(GROUP, "__edges", F.filter("__edges", lambda e, i: i % STRIDE == 0).alias("__coarse"))
+    )
+
+
+def _piece(place: Column) -> Column:
+    """How many edges lie at or below ``place``: coarse edges first, then those between two."""
+    up_to = F.size(F.filter("__coarse", lambda e: e <= place))
+    between = F.slice("__edges", F.greatest(F.lit(1), (up_to - 1) * STRIDE + 1), F.lit(STRIDE))
+    fine = F.size(F.filter(between, lambda e: e <= place))
+    return F.when(F.col("__edges").isNotNull(), F.when(up_to > 0, (up_to - 1) * STRIDE + fine).otherwise(0))
+
+
 def running(
-    df: DataFrame, keys: list[str], order: list[str], bucket: Column, *specs: Running
+    df: DataFrame, keys: list[str], order: list[str], place: Column, *specs: Running
 ) -> DataFrame:
     """Add one column per spec, computed over each key in ``order`` (a total order).
 
-    ``bucket`` must not decrease along ``order``.
+    ``place`` is numeric (a time: ``time_place``) and must not decrease along ``order``.
     """
-    heavy = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("__rows"))
-        .filter(F.col("__rows") > HEAVY_ROWS)
-        .select(*keys, F.lit(True).alias("__heavy"))
-    )
-    df = df.join(F.broadcast(heavy), keys, "left")
-    df = df.withColumn(BUCKET, F.when(F.col("__heavy"), bucket))
-    group = [*keys, BUCKET]
+    line = Line.of(df, keys, order, place)
+    return line.bare(line.add(line.rows, *specs))
+
+
+def _added(df: DataFrame, order: list[str], heavy: bool, specs) -> DataFrame:
+    group = [GROUP, PIECE]
     local = Window.partitionBy(*group).orderBy(*order)
-    buckets = Window.partitionBy(*keys).orderBy(BUCKET)
+    pieces = Window.partitionBy(GROUP).orderBy(PIECE)
     # Looking ahead is looking back in descending order: Spark grows a preceding frame row
     # by row but evaluates an unbounded following frame anew for every row.
     local_back = Window.partitionBy(*group).orderBy(*[F.col(o).desc() for o in order])
-    buckets_back = Window.partitionBy(*keys).orderBy(F.col(BUCKET).desc())
+    pieces_back = Window.partitionBy(GROUP).orderBy(F.col(PIECE).desc())
     before = Window.unboundedPreceding
     rank = F.struct(*order)
 
@@ -83,20 +141,24 @@ def running(
         if s.kind == "sum":
             inside[s.name] = F.sum(s.value).over(local.rowsBetween(before, edge))
             totals.append(F.sum(s.value).alias(t))
-            carries[t] = F.sum(t).over(buckets.rowsBetween(before, -1))
+            carries[t] = F.sum(t).over(pieces.rowsBetween(before, -1))
         elif s.kind == "last":
             inside[s.name] = F.last(s.value, True).over(local.rowsBetween(before, edge))
             totals.append(F.max_by(s.value, F.when(s.value.isNotNull(), rank)).alias(t))
-            carries[t] = F.last(t, True).over(buckets.rowsBetween(before, -1))
+            carries[t] = F.last(t, True).over(pieces.rowsBetween(before, -1))
         elif s.kind == "next":
             inside[s.name] = F.last(s.value, True).over(local_back.rowsBetween(before, edge))
             totals.append(F.min_by(s.value, F.when(s.value.isNotNull(), rank)).alias(t))
-            carries[t] = F.last(t, True).over(buckets_back.rowsBetween(before, -1))
+            carries[t] = F.last(t, True).over(pieces_back.rowsBetween(before, -1))
         else:
             raise ValueError(f"unknown kind {s.kind!r}")
 
+    zero = F.lit(0)
+    if not heavy:
+        sums = {s.name: F.coalesce(F.col(s.name), zero) for s in specs if s.kind == "sum"}
+        return df.withColumns(inside).withColumns(sums) if sums else df.withColumns(inside)
     summary = (
-        df.filter("__heavy")
+        df.filter(F.col(PIECE).isNotNull())
         .groupBy(*group)
         .agg(*totals)
         .select(*group, *[c.alias(t) for t, c in carries.items()])
@@ -104,45 +166,39 @@ def running(
     joined = df.withColumns(inside).join(summary, group, "left")
     final = {}
     for s in specs:
-        t, zero = F.col(f"__t_{s.name}"), F.lit(0)
+        t = F.col(f"__t_{s.name}")
         if s.kind == "sum":
             final[s.name] = F.coalesce(F.col(s.name), zero) + F.coalesce(t, zero)
         else:
             final[s.name] = F.coalesce(F.col(s.name), t)
-    return joined.withColumns(final).drop(BUCKET, "__heavy", *carries)
+    return joined.withColumns(final).drop(*carries)
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Exact median per key without holding a key's values in one task.
+def exact_quantile(df: DataFrame, keys: list[str], value: str, name: str, positions) -> DataFrame:
+    """Mean of the values at the 1-based ``positions(size)`` of each key's values in order.
 
-    Equal values are counted first; the counts are accumulated in value order over
-    value-range buckets, and the middle positions are read off. NULL keys form a group.
+    No key's values meet in one task: equal values are counted first, the counts are
+    accumulated in value order, and the positions are read off. NULL values don't count;
+    NULL keys form a group.
     """
-    null_safe = [F.coalesce(F.col(k).cast("string"), F.lit("\0")).alias(f"__k_{k}") for k in keys]
-    flat = [f"__k_{k}" for k in keys] or ["__k"]
-    base = df.filter(F.col(value).isNotNull()).select(
-        *keys, *(null_safe or [F.lit(0).alias("__k")]), F.col(value).cast("double").alias("__v")
-    )
-    counts = base.groupBy(*keys, *flat, "__v").agg(F.count("*").alias("__n"))
-    # 4096 value ranges between the global extremes: a constant range count per key
-    ends = base.agg(F.struct(F.min("__v").alias("low"), F.max("__v").alias("high"))).scalar()
-    low = ends["low"]
-    step = F.greatest((ends["high"] - low) / 4096, F.lit(1e-9))
-    cum = running(
-        counts.withColumn("__b", F.floor((F.col("__v") - low) / step)),
-        flat,
-        ["__v"],
-        F.col("__b"),
-        Running("__cum", "sum", F.col("__n")),
-    )
-    size = counts.groupBy(*flat).agg(F.sum("__n").alias("__size"))
-    lower, upper = F.floor((F.col("__size") + 1) / 2), F.floor(F.col("__size") / 2) + 1
+    base = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    line = Line.of(base.groupBy(*keys, "__v").agg(F.count("*").alias("__n")), keys, ["__v"], F.col("__v"))
+    size = line.rows.groupBy(GROUP).agg(F.sum("__n").alias("__size"))
+    cum = line.add(line.rows, Running("__cum", "sum", F.col("__n"))).join(size, GROUP)
+    wanted = positions(F.col("__size"))
     first = F.col("__cum") - F.col("__n")
+    holds = lambda p: (first < p) & (p <= F.col("__cum"))
+    hit = cum.filter(holds(wanted[0]) | holds(wanted[-1]))
+    return hit.groupBy(*keys).agg(((F.min("__v") + F.max("__v")) / 2).alias(name))
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Exact median per key: the middle value, or the mean of the two middle ones."""
+    return exact_quantile(
+        df, keys, value, name, lambda n: (F.floor((n + 1) / 2), F.floor(n / 2) + 1)
+    )
 
-    def holds(position):
-        return (first < position) & (position <= F.col("__cum"))
 
-    hit = cum.join(size, flat).filter(holds(lower) | holds(upper))
-    return hit.groupBy(*keys, *flat).agg(
-        ((F.min("__v") + F.max("__v")) / 2).alias(name)
-    ).drop(*flat)
+def exact_percentile(df: DataFrame, keys: list[str], value: str, name: str, share: float) -> DataFrame:
+    """The smallest value that at least ``share`` of a key's values don't exceed."""
+    return exact_quantile(df, keys, value, name, lambda n: (F.greatest(F.lit(1), F.ceil(n * F.lit(share).cast("decimal(9,6)")).cast("long")),))

@@ -137,6 +137,8 @@ def scoped(df: DataFrame, spec: ReportSpec) -> DataFrame:
     """The detail rows a report looks at, with its derived dimensions."""
     if spec.tenant:
         df = flt.for_tenant(df, *spec.tenant)
+    if bool(spec.date_from) != bool(spec.date_till):
+        raise ValueError("a date range needs both date_from and date_till")
     if spec.date_from:
         df = flt.date_range(df, spec.date_column, spec.date_from, spec.date_till, spec.max_days)
     df = flt.where(flt.where(df, spec.filter), spec.rapid_filter)
@@ -190,7 +192,7 @@ def preaggregate(df: DataFrame, spec: ReportSpec, keys: list[str]) -> tuple[Data
     group = list(dict.fromkeys([*keys, *own]))
     rows = scoped(df, spec).groupBy(*group).agg(*partial)
     rest = replace(
-        spec, metrics=tuple(merged), tenant=None, date_from=None, filter=None,
+        spec, metrics=tuple(merged), tenant=None, date_from=None, date_till=None, filter=None,
         rapid_filter=None, derived={},
     )
     return rows, rest
@@ -290,7 +292,7 @@ def benchmark_table(
         lambda g: g.isNotNull(),
     )
     rows = scoped(df, spec).withColumn("test_group", F.explode(member))
-    inner = replace(spec, tenant=None, date_from=None, filter=None, rapid_filter=None, derived={})
+    inner = replace(spec, tenant=None, date_from=None, date_till=None, filter=None, rapid_filter=None, derived={})
     return report_table(rows, replace(inner, dimensions=("test_group", *spec.dimensions)))
 
 
@@ -305,7 +307,7 @@ def period_compare(
     def inside(period):
         return Cond(spec.date_column, "between", [_edge(period[0]), _edge(period[1], end=True)])
 
-    rows = scoped(df, replace(spec, date_from=None))
+    rows = scoped(df, replace(spec, date_from=None, date_till=None))
     rows = rows.filter(compile_filter(Tree("or", (inside(main), inside(compared)))))
     metrics = []
     for m in spec.metrics:

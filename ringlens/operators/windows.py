@@ -5,12 +5,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringlens.operators.ordered import (
+    Line,
     Running,
     following,
     number,
     previous,
     running,
-    time_bucket,
+    time_place,
 )
 
 KEY, TS, ID = "visitor_id", "date_time", "event_id"
@@ -24,10 +25,12 @@ def seconds_between(a: str | Column, b: str | Column) -> Column:
     return (micros / 1000000).cast("long")
 
 
-def along(events: DataFrame, *specs: Running, width: str = "day") -> DataFrame:
-    """Running columns along each visitor's events in time order."""
-    rows = events.filter(F.col(KEY).isNotNull())
-    return running(rows, [KEY], [TS, ID], time_bucket(TS, width), *specs)
+def along(events: DataFrame, *specs: Running) -> DataFrame:
+    """Running columns along each visitor's events in time order.
+
+    Events without a visitor are a group of their own.
+    """
+    return running(events, [KEY], [TS, ID], time_place(TS), *specs)
 
 
 def communication_number(comms: DataFrame) -> DataFrame:
@@ -45,7 +48,8 @@ def first_campaign(visits: DataFrame, campaign: str) -> DataFrame:
     first = visits.groupBy(KEY).agg(
         F.min_by(campaign, F.struct(TS, ID)).alias("first_campaign_id")
     )
-    return visits.join(first, KEY).withColumn(
+    first = first.withColumnRenamed(KEY, "__visitor")
+    return visits.join(first, F.col(KEY).eqNullSafe(F.col("__visitor"))).drop("__visitor").withColumn(
         "other_campaign", F.col(campaign) != F.col("first_campaign_id")
     )
 
@@ -98,11 +102,13 @@ def hit_durations(hits: DataFrame, gap_seconds: int) -> DataFrame:
 
 def sessionize(hits: DataFrame, gap_seconds: int) -> DataFrame:
     """Number the sessions of a visitor; a longer pause than ``gap_seconds`` starts one."""
-    with_prev = along(hits, previous("__prev", F.col(TS)))
+    line = Line.of(hits, [KEY], [TS, ID], time_place(TS))
+    with_prev = line.add(line.rows, previous("__prev", F.col(TS)))
     pause = seconds_between("__prev", TS)
     fresh = F.when(F.col("__prev").isNull() | (pause > gap_seconds), 1).otherwise(0)
     flagged = with_prev.withColumn("__fresh", fresh.cast("long"))
-    return along(flagged, Running("session_no", "sum", F.col("__fresh"))).drop("__prev", "__fresh")
+    numbered = line.add(flagged, Running("session_no", "sum", F.col("__fresh")))
+    return line.bare(numbered).drop("__prev", "__fresh")
 
 
 def state_intervals(history: DataFrame) -> DataFrame:

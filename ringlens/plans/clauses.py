@@ -125,30 +125,16 @@ def date_range(m):
 @query(
     "sort_multi",
     """
-    SELECT * FROM (SELECT o_orderkey AS call_id, o_orderstatus AS status, o_totalprice AS revenue,
+    SELECT o_orderkey AS call_id, o_orderstatus AS status, o_totalprice AS revenue,
       row_number() OVER (ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey) AS place
-      FROM orders)
-    WHERE place <= 200
+    FROM orders
     """,
 )
 def sort_multi(m):
-    """The first 200 places of the sorted list; the position comes from the page itself."""
-    top = flt.page(
+    """The whole sorted list with every row's place in it."""
+    return flt.placed(
         m.calls().select("call_id", "status", "revenue"),
-        [("status", "asc"), ("revenue", "desc")],
-        ["call_id"],
-        limit=200,
-    )
-    # the page has a fixed size, so numbering it needs one small array, not a global window
-    packed = top.agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct("status", (-F.col("revenue")).alias("minus"), "call_id", "revenue")
-            )
-        ).alias("rows")
-    )
-    return packed.select(F.posexplode("rows").alias("i", "r")).select(
-        "r.call_id", "r.status", "r.revenue", (F.col("i") + 1).alias("place")
+        [("status", "asc"), ("revenue", "desc"), ("call_id", "asc")],
     )
 
 
@@ -208,6 +194,7 @@ def rapid_filter(m):
         metrics=(Metric("calls", "count"),),
         filter=Cond("status", "in", ["F", "O"]),
         rapid_filter=Cond("revenue", ">", 150000.0),
+        limit=None,
     )
     return report_table(m.calls(), spec)
 

@@ -94,6 +94,10 @@ def list_customers(m):
       JOIN region ON n_regionkey = r_regionkey
     UNION ALL SELECT 's' || s_suppkey, r_name || ' / ' || n_name || ' / ' || s_name, 2 FROM supplier
       JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT 'c' || c_custkey, r_name || ' / ' || n_name || ' / ' || s_name || ' / ' || c_name, 3
+      FROM customer JOIN supplier ON s_suppkey = c_custkey % 10 + 1
+      JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT * FROM (VALUES ('x1', NULL, NULL), ('x2', NULL, NULL), ('x3', 'lone', 0))
     """,
 )
 def tree_paths(m):
@@ -108,12 +112,19 @@ def tree_paths(m):
             F.col(name).alias("name"),
         )
 
+    # customers as a fourth level, two nodes in a circle, one whose parent is unknown
+    served = m.contacts().withColumn("served_by", F.col("contact_id") % 10 + 1)
+    circle = m.spark.createDataFrame(
+        [("x1", "x2", "a"), ("x2", "x1", "b"), ("x3", "nobody", "lone")], "id string, parent_id string, name string"
+    )
     nodes = (
         node(m.sites(), ("r", "site_id"), "site_name")
         .unionByName(node(m.campaigns(), ("n", "campaign_id"), "campaign_name", ("r", "site_id")))
         .unionByName(node(m.employees(), ("s", "employee_id"), "employee_name", ("n", "group_id")))
+        .unionByName(node(served, ("c", "contact_id"), "contact_name", ("s", "served_by")))
+        .unionByName(circle)
     )
-    return ls.tree(nodes, levels=2)
+    return ls.tree(nodes)
 
 
 @query("filter_values", "SELECT p_brand AS value, count(*) AS n FROM part GROUP BY 1")

@@ -13,13 +13,13 @@ from ringlens.operators import catalog as ct
 
 
 def table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Stream the parquet files of one table below ``folder``."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}*.parquet")
-        .parquet(folder)
-    )
+    """Stream one table below ``folder``: a parquet file, or a folder of part files.
+
+    The source wants a folder, so the table is named by a pattern that only its path meets.
+    """
+    path = f"{folder}/{table}.parquet"
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{table}.[p]arquet")
 
 
 def page_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -72,6 +72,6 @@ def test_shared_folder_is_taken_from_the_session(spark):
 
     named = session("yarn", **{"spark.checkpoint.dir": "hdfs:/work/"})
     assert shared_dir(named, "x").startswith("hdfs:/work/x-")
-    with pytest.raises(RuntimeError):
-        shared_dir(session("yarn"), "x")
+    unset = session("yarn", **{"spark.sql.warehouse.dir": "hdfs:/warehouse/"})
+    assert shared_dir(unset, "x").startswith("hdfs:/warehouse/_work/x-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
