@@ -21,8 +21,9 @@ WINDOW, KMER = 13, 3
 CHUNK, FLUSH, BUCKET = 1 << 21, 24 << 20, 16 << 20
 #: Longest stretch of words handled in one piece.
 SEGMENT = 1 << 17
-#: A minimiser is hot from this many super-k-mers on, if it has more than this share of all.
-HOT_ROWS, HOT_SHARE = 2000, 1 / 16384
+#: A minimiser is hot if its super-k-mers (about 128 bytes each) fill a quarter of a bucket
+#: and are more than this share of all.
+HOT_ROWS, HOT_SHARE = BUCKET // 512, 1 / 16384
 #: Super-k-mer bytes of one bucket held in memory; what is beyond goes the hot way.
 HELD = 8 * BUCKET
 NO_ID = (1 << 63) - 1
@@ -210,11 +211,13 @@ def _hot_windows(hot: np.ndarray):
 
 
 def _digest_rows(joined: bytes, a: np.ndarray, b: np.ndarray, rank, text_hash, place) -> pd.DataFrame:
+    """One row for each window's digest and text, with all the places that it has there."""
     digest = xxhash.xxh3_128_digest
-    return pd.DataFrame({
-        "digest": [digest(joined[x:y]) for x, y in zip(a.tolist(), b.tolist())],
-        "rank": rank, "text_hash": text_hash, "place": place.astype(np.int32), "n": np.int32(-1),
-    })
+    places: dict[tuple[bytes, int, int], list[int]] = {}
+    for x, y, r, h, p in zip(a.tolist(), b.tolist(), rank.tolist(), text_hash.tolist(), place.tolist()):
+        places.setdefault((digest(joined[x:y]), r, h), []).append(p)
+    keys = list(zip(*places)) or [(), (), ()]
+    return _rows(keys[0], keys[1], keys[2], list(places.values()), np.full(len(places), -1))
 
 
 class _Bucket:
@@ -261,7 +264,7 @@ class _Bucket:
         several = np.repeat(sizes > 1, sizes)
         order, sizes = order[several], sizes[sizes > 1]
         if not len(order):
-            return _runs()
+            return _rows()
         begins = np.cumsum(sizes) - sizes
         low = np.repeat(np.minimum.reduceat(rank[order], begins), sizes)
         lead = np.maximum.reduceat(np.where(rank[order] == low, order, -1), begins)
@@ -284,16 +287,17 @@ class _Bucket:
             hit = np.r_[hit[~clash[hit]], np.array(more, np.int64)]
         hit = np.sort(hit)
         if not len(hit):
-            return _runs()
+            return _rows()
         fresh = np.r_[True, (np.diff(hit) != 1) | (np.diff(own[hit]) != 0)]
         head = np.flatnonzero(fresh)
-        return _runs(rank[hit[head]], text_hash[hit[head]], place[hit[head]], np.diff(np.r_[head, len(hit)]))
+        lead = hit[head]
+        return _rows([None] * len(lead), rank[lead], text_hash[lead], place[lead, None], np.diff(np.r_[head, len(hit)]))
 
 
-def _runs(rank=(), text_hash=(), place=(), n=()) -> pd.DataFrame:
+def _rows(digest=(), rank=(), text_hash=(), places=(), n=()) -> pd.DataFrame:
     return pd.DataFrame({
-        "digest": pd.Series([None] * len(rank), dtype=object), "rank": np.array(rank, np.int64), "text_hash": np.array(text_hash, np.int64),
-        "place": np.array(place, np.int32), "n": np.array(n, np.int32),
+        "digest": pd.Series(list(digest), dtype=object), "rank": np.array(rank, np.int64), "text_hash": np.array(text_hash, np.int64),
+        "places": pd.Series(list(places), dtype=object), "n": np.array(n, np.int32),
     })
 
 
@@ -315,18 +319,18 @@ def _bucket_repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield held.overflow() if over else held.repeats()
 
 
-ROWS = "digest binary, rank bigint, text_hash bigint, place int, n int"
+ROWS = "digest binary, rank bigint, text_hash bigint, places array<int>, n int"
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``rank, text_hash, place, n``: runs of n windows, the first one starting at word
-    ``place``, that also start in a document with a smaller id (``rank``; null is last).
+    """``rank, text_hash, places, n``: runs of n windows, each starting at one of ``places``,
+    that also start in a document with a smaller id (``rank``; null is last).
 
     1. Count minimisers in all texts and find the hot ones: at most twice 1 / HOT_SHARE.
     2. Super-k-mers of other minimisers go, packed and compressed, to their buckets; a bucket
        sorts its windows by hash, compares them as text and answers with runs.
-    3. Windows of hot minimisers (and of buckets that outgrow memory) are single rows with a
-       digest: smallest ids are aggregated before the shuffle, and the join back to the rows
+    3. Windows of hot minimisers (and of buckets that outgrow memory) are rows of a digest, a
+       document and its places there: smallest ids are aggregated before the shuffle, and the join back to the rows
        is one that AQE can split.
     """
     thin = docs.select(
@@ -357,7 +361,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     singles = settled(singles, "hot-windows")
     least = singles.groupBy("digest").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).filter("low < high")
     hits = singles.join(least, "digest").filter("rank > low").withColumn("n", F.lit(1))
-    columns = ("rank", "text_hash", "place", "n")
+    columns = ("rank", "text_hash", "places", "n")
     return found.filter("n > 0").select(*columns).unionByName(hits.select(*columns))
 
 
@@ -393,8 +397,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", id: str = "doc_id") -> D
     an empty result. Other columns are not read.
     """
     kind = docs.schema[id].dataType.simpleString()
-    packed = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
-    runs = repeated_windows(docs, text, id).groupBy("rank", "text_hash").agg(F.collect_list(packed).alias("runs"))
+    packed = F.transform("places", lambda p: F.shiftleft(p.cast("long"), 32).bitwiseOR(F.col("n").cast("long")))
+    runs = repeated_windows(docs, text, id).groupBy("rank", "text_hash").agg(F.flatten(F.collect_list(packed)).alias("runs"))
     rows = docs.select(
         F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("rank"),
         F.xxhash64(whole(text)).alias("text_hash"), whole(text).alias("text"),
