@@ -110,10 +110,19 @@ def _errors(rows: Column) -> Column:
 
 
 def json_object(text: Column) -> Column:
-    """Top-level members of a JSON object as text: NULL when absent, empty when malformed."""
-    parsed = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    """Top-level members of a JSON object as text: NULL when absent, empty when malformed.
+
+    Text after the object is malformed too. The parser stops at the closing brace, so the
+    object is read as the one member of an array and as the one value of an object: what
+    follows it would have to end both.
+    """
+    strict = {"allowSingleQuotes": "false"}
+    boxed = F.concat(F.lit("["), text, F.lit("]"))
+    parsed = F.from_json(boxed, "array<map<string,string>>", strict)
     empty = F.create_map().cast("map<string,string>")
-    return F.when(text.isNotNull(), F.coalesce(parsed, empty))
+    held = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "map<string,string>", strict)
+    alone = (F.size(parsed) == 1) & (F.size(held) == 1) & F.ltrim(text).startswith("{")
+    return F.when(text.isNotNull(), F.coalesce(F.when(alone, parsed[0]), empty))
 
 
 def _example(titles: tuple[str, str]) -> Column:

@@ -108,6 +108,11 @@ def leads(deals_: DataFrame) -> DataFrame:
     )
 
 
+def lead_deals(deals_: DataFrame) -> DataFrame:
+    """The deals of each lead, a row each, keyed by the lead."""
+    return deals_.select("contact_id", "call_id", "status", "start_time", "revenue")
+
+
 def api_requests(log: DataFrame, method: str, weight: str, elapsed: str) -> DataFrame:
     """Request log rolled up by method, with the exact 90th percentile of the times."""
     rolled = log.groupBy(method).agg(
@@ -195,22 +200,22 @@ def employee_stat(
 
 
 def person_details(
-    persons: DataFrame, visits: DataFrame, comms: DataFrame, deals_: DataFrame
+    persons: DataFrame, events: DataFrame, is_visit: Column, deals_: DataFrame
 ) -> DataFrame:
-    """Profile per person. Every fact is aggregated per person before it is joined."""
-    by_visit = visits.groupBy(F.col("visitor_id").alias("contact_id")).agg(
-        F.count("*").alias("visits"),
-        F.min("date_time").alias("first_visit"),
-        F.max("date_time").alias("last_visit"),
-    )
-    by_comm = comms.groupBy(F.col("visitor_id").alias("contact_id")).agg(
-        F.count("*").alias("communications")
+    """Profile per person. Every fact is aggregated per person, in one pass, before it is
+    joined; events are visits or else communications."""
+    visit_time = F.when(is_visit, F.col("date_time"))
+    by_event = events.groupBy(F.col("visitor_id").alias("contact_id")).agg(
+        F.count_if(is_visit).alias("visits"),
+        F.min(visit_time).alias("first_visit"),
+        F.max(visit_time).alias("last_visit"),
+        F.count_if(~is_visit).alias("communications"),
     )
     by_deal = deals_.groupBy("contact_id").agg(
         F.count("*").alias("deals"), money_sum("revenue").alias("revenue")
     )
     out = persons
-    for side in (by_visit, by_comm, by_deal):
+    for side in (by_event, by_deal):
         out = out.join(side, "contact_id", "left")
     counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("visits", "communications", "deals")}
     return out.withColumn("average_deal", ratio(F.col("revenue"), F.col("deals"))).withColumns(

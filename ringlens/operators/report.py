@@ -6,6 +6,7 @@ column filter, sort and page, field list.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,7 @@ AGGREGATES = {
     # merges of columns made by ``preaggregate``
     "total": lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long")),
     "money_total": lambda c: F.sum(c).cast("double"),
+    "average_total": lambda c: F.sum(c["sum"]).cast("double") / F.nullif(F.sum(c["n"]), F.lit(0)),
 }
 
 
@@ -165,12 +167,14 @@ def aggregate(df: DataFrame, dims: list[str | Column], metrics, extra=()) -> Dat
     return out.drop("__rows")
 
 
-# aggregate -> (partial form, aggregate that merges the partial values)
+# aggregate -> (partial form, aggregate that merges the partial values); an average is kept
+# as (sum, count)
 DECOMPOSED = {
     "count": (F.count, "total"),
     "sum": (lambda c: F.sum(money(c)), "money_total"),
     "min": (F.min, "min"),
     "max": (F.max, "max"),
+    "avg": (lambda c: F.struct(F.sum(money(c)).alias("sum"), F.count(c).alias("n")), "average_total"),
 }
 
 
@@ -179,7 +183,8 @@ def preaggregate(df: DataFrame, spec: ReportSpec, keys: list[str]) -> tuple[Data
 
     Returns partial rows per (keys, report dimensions the fact has itself) and the report
     that merges them. A key with very many fact rows leaves each map task as one row, so it
-    can neither skew the join nor the shuffle before it. Counts, sums, minima and maxima only.
+    can neither skew the join nor the shuffle before it. Counts, sums, averages,
+    minima and maxima only.
     """
     own = [d for d in spec.dimensions if d in df.columns or d in spec.derived]
     partial, merged = [], []
@@ -198,14 +203,22 @@ def preaggregate(df: DataFrame, spec: ReportSpec, keys: list[str]) -> tuple[Data
     return rows, rest
 
 
-def finish(df: DataFrame, spec: ReportSpec, dims: list[str]) -> DataFrame:
-    """Formulas, shares, column filter, order, page and field list over aggregated rows."""
+def finish(df: DataFrame, spec: ReportSpec, dims: list[str], paged: bool = True) -> DataFrame:
+    """Formulas, shares, column filter, order, page and field list over aggregated rows.
+
+    Trees, charts and comparisons are whole: ``paged=False`` leaves ``limit`` aside, and an
+    offset, which would cut them, raises. Shares of a tree would count its levels twice.
+    """
+    if not paged and spec.offset:
+        raise ValueError("this report has no pages")
+    if spec.shares and "level_mask" in df.columns:
+        raise ValueError("a tree has no column shares")
     for f in spec.formulas:
         df = df.withColumn(f.name, formula_column(f, df.columns))
     for s in spec.shares:
         df = with_share(df, s)
     df = flt.where(df, spec.columns_filter)
-    if spec.limit is not None:
+    if paged and spec.limit is not None:
         df = flt.page(df, list(spec.sort), dims, spec.limit, spec.offset)
     elif spec.sort:
         df = flt.order(df, list(spec.sort))
@@ -238,10 +251,34 @@ def report_level(df: DataFrame, spec: ReportSpec, parents: tuple = ()) -> DataFr
 
 
 def report_tree(df: DataFrame, spec: ReportSpec) -> DataFrame:
-    """Every level of the dimension tree and the grand total from one scan."""
-    dims = list(spec.dimensions)
-    aggs = [m.aggregate() for m in spec.metrics]
-    return scoped(df, spec).rollup(*dims).agg(F.grouping_id().alias("level_mask"), *aggs)
+    """Every level of the dimension tree and the grand total from one scan.
+
+    Exact medians are computed once per level and joined to it.
+    """
+    dims, rows = list(spec.dimensions), scoped(df, spec)
+    plain = [m.aggregate() for m in spec.metrics if m.agg != "median"]
+    out = rows.rollup(*dims).agg(F.grouping_id().alias("level_mask"), *plain)
+    for m in spec.metrics:
+        if m.agg != "median":
+            continue
+        levels = []
+        for depth in range(len(dims) + 1):
+            side = exact_median(rows.withColumn("__m", m.source()), dims[:depth], "__m", m.name)
+            levels.append(
+                side.select(
+                    F.lit((1 << (len(dims) - depth)) - 1).cast("long").alias("__level"),
+                    *[
+                        (F.col(d) if i < depth else F.lit(None).cast(rows.schema[d].dataType)).alias(f"__r_{d}")
+                        for i, d in enumerate(dims)
+                    ],
+                    m.name,
+                )
+            )
+        match = [F.col("level_mask") == F.col("__level")]
+        match += [F.col(d).eqNullSafe(F.col(f"__r_{d}")) for d in dims]
+        joined = out.join(reduce(DataFrame.unionByName, levels), match, "left")
+        out = joined.drop("__level", *[f"__r_{d}" for d in dims])
+    return finish(out, spec, ["level_mask", *dims], paged=False)
 
 
 def report_total(df: DataFrame, spec: ReportSpec) -> DataFrame:
@@ -325,7 +362,7 @@ def period_compare(
     for m in spec.metrics:
         a, b = F.col(f"{m.name}_main"), F.col(f"{m.name}_compared")
         out = out.withColumns({f"{m.name}_delta": a - b, f"{m.name}_ratio": ratio(a, b)})
-    return out
+    return finish(out, spec, list(spec.dimensions), paged=False)
 
 
 def _edge(day: str, end: bool = False):
@@ -354,7 +391,8 @@ def bucket(ts: str | Column, unit: str) -> Column:
 def linechart(df: DataFrame, spec: ReportSpec, unit: str) -> DataFrame:
     """Metrics per time bucket and series (the report dimensions)."""
     rows = scoped(df, spec).withColumn("bucket", bucket(spec.date_column, unit))
-    return aggregate(rows, ["bucket", *spec.dimensions], spec.metrics)
+    out = aggregate(rows, ["bucket", *spec.dimensions], spec.metrics)
+    return finish(out, spec, ["bucket", *spec.dimensions], paged=False)
 
 
 def linechart_total(df: DataFrame, spec: ReportSpec, unit: str) -> DataFrame:
@@ -368,9 +406,10 @@ def linechart_total(df: DataFrame, spec: ReportSpec, unit: str) -> DataFrame:
     axis = df.sparkSession.range(1).select(F.explode(steps).alias("bucket"))
     axis = axis.select(F.col("bucket").cast("timestamp_ntz").alias("bucket"))
     zero = {m.name: F.coalesce(F.col(m.name), F.lit(0)) for m in spec.metrics}
-    return (
+    out = (
         axis.join(sums, "bucket", "left")
         .withColumns(zero)
         .withColumn("till", F.expr(f"bucket + {UNITS[unit]} - INTERVAL 1 SECOND"))
         .withColumnRenamed("bucket", "from")
     )
+    return finish(out, spec, ["from"], paged=False)

@@ -367,3 +367,81 @@ def linechart_total(m):
         date_till="2024-02-05",
     )
     return rp.linechart_total(m.events(), spec, "day")
+
+
+@query(
+    "tree_clauses",
+    f"""
+    SELECT site_name, segment, level_mask, calls, revenue, middle, revenue / nullif(calls, 0) AS each_call FROM (
+      SELECT r_name AS site_name, c_mktsegment AS segment, grouping(r_name) * 2 + grouping(c_mktsegment) AS level_mask,
+        count(*) AS calls, {dsum('o_totalprice')} AS revenue, median(o_totalprice) AS middle
+      FROM {WIDE_SQL} GROUP BY ROLLUP (r_name, c_mktsegment))
+    WHERE calls > 20
+    """,
+)
+def tree_clauses(m):
+    """A tree with an exact median, a formula and a column filter on every level."""
+    spec = ReportSpec(
+        dimensions=("site_name", "segment"),
+        metrics=(CALLS, REVENUE, Metric("middle", "median", "revenue")),
+        formulas=(EACH_CALL,),
+        columns_filter=Cond("calls", ">", 20),
+        sort=(("calls", "desc"),),
+    )
+    return rp.report_tree(m.calls_wide(), spec)
+
+
+EACH_CALL = Formula("each_call", (("column", "revenue"), ("operator", "/"), ("column", "calls")))
+
+
+@query(
+    "linechart_clauses",
+    f"""
+    SELECT *, revenue / nullif(calls, 0) AS each_call, CAST(calls AS DOUBLE) / sum(calls) OVER () AS calls_share
+    FROM (SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS bucket, o_orderstatus AS status, count(*) AS calls,
+      {dsum('o_totalprice')} AS revenue, median(o_totalprice) AS middle FROM orders GROUP BY 1, 2)
+    QUALIFY calls > 3
+    """,
+)
+def linechart_clauses(m):
+    spec = ReportSpec(
+        dimensions=("status",),
+        metrics=(CALLS, REVENUE, Metric("middle", "median", "revenue")),
+        formulas=(EACH_CALL,),
+        shares=("calls",),
+        columns_filter=Cond("calls", ">", 3),
+        date_column="start_time",
+    )
+    return rp.linechart(m.calls(), spec, "month")
+
+
+@query(
+    "compare_clauses",
+    """
+    SELECT tag, main AS calls_main, compared AS calls_compared, main - compared AS calls_delta,
+      CAST(main AS DOUBLE) / nullif(compared, 0) AS calls_ratio, CAST(main + compared AS DOUBLE) AS both_periods
+    FROM (SELECT o_orderpriority AS tag, count(*) FILTER (WHERE year(o_orderdate) = 1997) AS main,
+      count(*) FILTER (WHERE year(o_orderdate) = 1996) AS compared FROM orders
+      WHERE year(o_orderdate) IN (1996, 1997) GROUP BY 1) WHERE main > 10
+    """,
+)
+def compare_clauses(m):
+    both = (("column", "calls_main"), ("operator", "+"), ("column", "calls_compared"))
+    spec = ReportSpec(
+        dimensions=("tag",), metrics=(CALLS,), formulas=(Formula("both_periods", both),),
+        columns_filter=Cond("calls_main", ">", 10), date_column="start_time",
+    )
+    return rp.period_compare(
+        m.calls(), spec, ("1997-01-01", "1997-12-31"), ("1996-01-01", "1996-12-31")
+    )
+
+
+@query(
+    "average_by_site",
+    f"""SELECT r_name AS site_name, count(*) AS calls, {dsum('o_totalprice')} / count(o_totalprice) AS average
+    FROM {WIDE_SQL} GROUP BY 1""",
+)
+def average_by_site(m):
+    """An average merged from partial sums and counts per contact."""
+    spec = ReportSpec(dimensions=("site_name",), metrics=(CALLS, Metric("average", "avg", "revenue")), limit=None)
+    return rp.report_table(*star(m, spec))

@@ -82,12 +82,18 @@ def last_session_asof(m):
     ).drop("visitor_id", "date_time").na.fill(-1)
 
 
+# the weights of every touch and of the first and last ones besides, as in the models
 WEIGHT_SQL = {
-    "first": "CASE WHEN place = 1 THEN 1.0 ELSE 0.0 END",
-    "last": "CASE WHEN place = touches THEN 1.0 ELSE 0.0 END",
-    "linear": "1.0::DOUBLE / touches",
-    "position": """CASE WHEN touches = 1 THEN 1.0 WHEN touches = 2 THEN 0.5
-        WHEN place IN (1, touches) THEN 0.4 ELSE 0.2::DOUBLE / (touches - 2) END""",
+    "first": ["CASE WHEN place = 1 THEN 1.0 ELSE 0.0 END"],
+    "last": ["CASE WHEN place = touches THEN 1.0 ELSE 0.0 END"],
+    "linear": ["1.0::DOUBLE / touches"],
+    "position": [
+        "CASE WHEN touches > 2 THEN 0.2::DOUBLE / greatest(touches - 2, 1) ELSE 0.0 END",
+        """CASE WHEN place <> 1 THEN 0.0 WHEN touches = 1 THEN 1.0 WHEN touches = 2 THEN 0.5
+           ELSE 0.4::DOUBLE - 0.2::DOUBLE / greatest(touches - 2, 1) END""",
+        """CASE WHEN place <> touches OR touches = 1 THEN 0.0 WHEN touches = 2 THEN 0.5
+           ELSE 0.4::DOUBLE - 0.2::DOUBLE / greatest(touches - 2, 1) END""",
+    ],
 }
 
 
@@ -102,11 +108,12 @@ def _model_query(model):
     return build
 
 
-for _model, _weight in WEIGHT_SQL.items():
+for _model, _weights in WEIGHT_SQL.items():
+    _credit = " + ".join(f"CAST(amount * CAST(({w}) AS DOUBLE) AS DECIMAL(28,12))" for w in _weights)
     query(
         f"attribution_{_model}",
         f"""
-        SELECT campaign_id, round(sum(amount * {_weight}::DOUBLE), 4) AS credit
+        SELECT campaign_id, round(CAST(sum({_credit}) AS DOUBLE), 4) AS credit
         FROM ({PAIRS_SQL}) WHERE touches > 0 GROUP BY 1 HAVING credit <> 0
-        """.replace(f"{_weight}::DOUBLE", f"CAST(({_weight}) AS DOUBLE)"),
+        """,
     )(_model_query(_model))

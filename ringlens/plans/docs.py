@@ -207,9 +207,10 @@ def scan_filter(m):
     f"""
     WITH f AS (SELECT * FROM {PAGE_PATH_SQL} WHERE NOT regexp_matches(path, '/de/')),
     d AS (SELECT unnest(list_transform(range(1, len(string_split(path, '/'))),
-      lambda n: array_to_string(string_split(path, '/')[1:n], '/'))) AS dir FROM f)
+      lambda n: array_to_string(string_split(path, '/')[1:n], '/'))) AS dir FROM {PAGE_PATH_SQL}
+      WHERE true)
     SELECT count(*) AS total_files, count(*) FILTER (WHERE lower(path) LIKE '%.html') AS html_files,
-      0 AS skipped_files, 0 AS error_files, (SELECT count(DISTINCT dir) FROM d) AS total_dirs FROM f
+      0 AS skipped_files, 0 AS error_files, (SELECT count(DISTINCT dir) FROM d WHERE NOT regexp_matches(dir, '/de/')) AS total_dirs FROM f
     """,
 )
 def scan_summary(m):
@@ -250,9 +251,9 @@ def file_stats(m):
 
 @query(
     "page_title",
-    r"""SELECT page_id, trim(replace(replace(replace(regexp_replace(
+    r"""SELECT page_id, trim(replace(replace(replace(replace(replace(regexp_replace(
       regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g'),
-      '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), E' \n\t') AS title FROM pages""",
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), E' \n\t') AS title FROM pages""",
 )
 def page_title(m):
     from ringlens.functions.html import first_heading, without_noise

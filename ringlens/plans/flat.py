@@ -40,12 +40,10 @@ def calls_report(m):
     SELECT l_orderkey AS call_id, l_linenumber AS leg_no, l_shipdate AS leg_time,
       l_returnflag AS finish_reason, o_orderstatus AS status, s_name AS employee_name
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey
-    WHERE l_quantity > 45
     """,
 )
 def call_legs_report(m):
-    legs = flt.where(m.legs(), flt.Cond("duration", ">", 45.0))
-    return fl.call_legs_report(legs, m.calls(), m.employees()).select(
+    return fl.call_legs_report(m.legs(), m.calls(), m.employees()).select(
         "call_id", "leg_no", "leg_time", "finish_reason", "status", "employee_name"
     )
 
@@ -241,6 +239,17 @@ def leads_list(m):
     return fl.leads(m.calls())
 
 
+@query(
+    "lead_deals",
+    """
+    SELECT o_custkey AS contact_id, o_orderkey AS call_id, o_orderstatus AS status, o_orderdate AS start_time,
+      o_totalprice AS revenue FROM orders
+    """,
+)
+def lead_deals(m):
+    return fl.lead_deals(m.calls())
+
+
 @query(
     "api_requests",
     f"""
@@ -279,14 +288,13 @@ def notifications(m):
     "sms_list",
     """
     SELECT event_id AS sms_id, '7' || lpad(user_id::VARCHAR, 10, '0') AS phone, ts AS date_time, value AS price
-    FROM events WHERE event_type = 'click' AND value > 20
+    FROM events WHERE event_type = 'click'
     """,
 )
 def sms_list(m):
     from ringlens.sources.model import phone
 
-    rows = flt.where(_of_kind(m, "click"), flt.Cond("amount", ">", 20.0))
-    return rows.select(
+    return _of_kind(m, "click").select(
         F.col("event_id").alias("sms_id"),
         phone(F.col("visitor_id")).alias("phone"),
         "date_time",
@@ -443,10 +451,7 @@ def employee_stat(m):
 )
 def person_details(m):
     return fl.person_details(
-        m.contacts().select("contact_id", "contact_name"),
-        _of_kind(m, "view"),
-        m.events().filter("kind <> 'view'"),
-        m.calls(),
+        m.contacts().select("contact_id", "contact_name"), m.events(), F.col("kind") == "view", m.calls()
     )
 
 

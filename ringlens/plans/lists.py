@@ -22,7 +22,7 @@ def list_campaigns(m):
 @query(
     "list_employees",
     """SELECT s_suppkey AS employee_id, s_name AS employee_name, n_name AS group_name
-    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey ORDER BY s_name DESC, s_suppkey LIMIT 30 OFFSET 10""",
+    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
 )
 def list_employees(m):
     groups = named(m.campaigns(), group_id="campaign_id", group_name="campaign_name")
@@ -31,36 +31,31 @@ def list_employees(m):
         "employee_id",
         ["employee_id", "employee_name", "group_name"],
         sort=[("employee_name", "desc")],
-        limit=30,
-        offset=10,
     )
 
 
 @query(
     "list_contacts",
-    """SELECT c_custkey AS contact_id, c_name AS contact_name, c_mktsegment AS segment FROM customer
-    WHERE contains(c_name, '77')""",
+    """SELECT c_custkey AS contact_id, c_name AS contact_name, c_mktsegment AS segment FROM customer""",
 )
 def list_contacts(m):
     return ls.dim_list(
         m.contacts(),
         "contact_id",
         ["contact_id", "contact_name", "segment"],
-        Cond("contact_name", "sub", "77"),
     )
 
 
 @query(
     "list_numbers",
     """SELECT p_partkey AS number_id, p_name AS number_name, p_type AS category, p_retailprice AS charge
-    FROM part WHERE p_size BETWEEN 5 AND 10""",
+    FROM part""",
 )
 def list_numbers(m):
     return ls.dim_list(
         m.numbers(),
         "number_id",
         ["number_id", "number_name", "category", "charge"],
-        Cond("size", "between", [5, 10]),
     )
 
 
@@ -73,7 +68,7 @@ def list_tags(m):
 @query(
     "list_customers",
     """SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal AS balance,
-    c_mktsegment AS tariff FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 100""",
+    c_mktsegment AS tariff FROM customer""",
 )
 def list_customers(m):
     table = named(
@@ -83,7 +78,7 @@ def list_customers(m):
         balance="balance",
         tariff="segment",
     )
-    return ls.dim_list(table, "customer_id", sort=[("balance", "desc")], limit=100)
+    return ls.dim_list(table, "customer_id", sort=[("balance", "desc")])
 
 
 @query(

@@ -142,10 +142,11 @@ def phone(contact_id: Column) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows to all cores when a small input has fewer partitions than cores.
+    """Deal rows of an input of few partitions to more tasks, for work heavy per row.
 
-    For row-wise work that is heavy per row. A large input has partitions enough and is
-    returned as it is, without a shuffle.
+    AQE reads as many of the dealt partitions together as its advisory size says, so this
+    neither depends on the cluster's cores nor makes tiny tasks; an input that comes in
+    more partitions than a shuffle has is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -1,6 +1,7 @@
 """Documentation pages: scan, path rules, audit and statistics."""
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -56,16 +57,33 @@ def _name(path: Column) -> Column:
     return F.lower(F.substring_index(path, "/", -1))
 
 
+def _glob(pattern: str) -> str:
+    """A file-name pattern as a regular expression: ``*``, ``?``, ``[a-z]``, ``[^a-z]``, and a
+    backslash before a character meant as it is. A bracket that is never closed raises."""
+    out, rest = "", pattern
+    while rest:
+        c, rest = rest[0], rest[1:]
+        if c in "*?":
+            out += "[^/]" + ("*" if c == "*" else "")
+        elif c == "[":
+            inside = re.match(r"(\^?)((?:\\.|[^\]\\])+)\]", rest)
+            if not inside:
+                raise ValueError(f"bad pattern {pattern!r}")
+            out += "[" + inside[1] + re.sub(r"([\[&^])", r"\\\1", inside[2]) + "]"
+            rest = rest[inside.end() :]
+        else:
+            if c == "\\" and rest:
+                c, rest = rest[0], rest[1:]
+            out += re.escape(c)
+    return f"(?i)^{out}$"
+
+
 def is_html(path: str | Column, options: ScanOptions = ScanOptions()) -> Column:
     """``.html`` in any case whose name fits one of the glob patterns."""
     name = F.substring_index(col(path), "/", -1)
     test = F.lower(name).endswith(".html")
     if options.patterns:
-        globs = [
-            "(?i)^" + ".*".join("\\Q" + p + "\\E" for p in glob.split("*")) + "$"
-            for glob in options.patterns
-        ]
-        test = test & reduce(lambda a, b: a | b, [name.rlike(g) for g in globs])
+        test = test & reduce(lambda a, b: a | b, [name.rlike(_glob(g)) for g in options.patterns])
     return test
 
 
@@ -130,7 +148,10 @@ def scan_summary(pages: DataFrame, options: ScanOptions = ScanOptions()) -> Data
     """One row of counts: files, html, skipped, unreadable, directories."""
     seen = pages.filter(_reached("path", options)).select("path", F.col("html").isNull().alias("bad"))
     html, skip = is_html("path", options), skip_file("path", options)
-    folders = seen.select(F.explode(folders_of("path", options.root)).alias("dir"))
+    # a skipped folder counts where it is met; what lies below it is never met
+    folders = pages.select(F.explode(folders_of("path", options.root)).alias("dir")).filter(
+        _reached("dir", options)
+    )
     return seen.agg(
         F.count("*").alias("total_files"),
         F.count_if(html & ~skip & ~F.col("bad")).alias("html_files"),

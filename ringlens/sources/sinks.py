@@ -20,9 +20,10 @@ def write_catalog(catalog: DataFrame, path: str, fmt: str = "json", brand: str =
         documents = ct.openapi(catalog, brand)
         out = ct.keyed(documents).withColumn("file", safe_name("name"))
         out = out.select("api", "domain", "file", "document")
-        out.write.partitionBy("api", "domain").mode("overwrite").json(path)
+        # few files a folder: a folder's rows meet, and AQE splits a large folder again
+        out.hint("rebalance", "api", "domain").write.partitionBy("api", "domain").mode("overwrite").json(path)
     elif fmt in ("json", "parquet"):
-        items.write.partitionBy("api", "domain").mode("overwrite").format(fmt).save(path)
+        items.hint("rebalance", "api", "domain").write.partitionBy("api", "domain").mode("overwrite").format(fmt).save(path)
     else:
         raise ValueError(f"unknown catalog format {fmt!r}")
 

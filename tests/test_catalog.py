@@ -128,13 +128,12 @@ def test_status_codes(spark):
 
 def test_strict_enums(spark):
     cases = {
-        "value1, value2, value3": ["value1", "value2", "value3"],
-        "true, false": ["true", "false"],
-        "single": ["single"],
+        "lime,kiwi , plum": ["lime", "kiwi", "plum"],
+        "  fig": ["fig"],
+        ",,pear,": ["pear"],
         "": None,
-        "value1, , value3": ["value1", "value3"],
-        " value1 , value2 ": ["value1", "value2"],
-        "E.164, other": None,
+        "E.164, kiwi": None,
+        "10, 20": ["10", "20"],
     }
     assert column(spark, cases, tx.allowed_enum_strict) == list(cases.values())
 
@@ -145,8 +144,8 @@ def test_lax_enums(spark):
 
 
 def test_formats(spark):
-    cases = {"E.164 format": True, "International format": True, "формат E.164": True,
-             "value1, value2": False, "true, false": False, "": False}
+    cases = {"phone in E.164": True, "an International format": True, "lime, kiwi": False, "7": False,
+             "": False}
     assert column(spark, cases, lambda c: tx.is_format(c, strict=True)) == list(cases.values())
 
 
@@ -184,69 +183,91 @@ def test_text(spark):
 
 def test_categories(spark):
     cases = {
-        "/root/api.html": "Api.Html",
-        "/root/subdir/api.html": "Subdir",
-        "/root/call_api/create_call/index.html": "Call Api",
-        "/root/data_api/contact/index.html": "Data Api",
-        "/root/authentication/login/index.html": "Authentication",
+        "/srv/docs/fruit.html": "Fruit.Html",
+        "/srv/docs/citrus/lime/a.html": "Citrus",
+        "/srv/docs/stone_fruit/plum.html": "Stone Fruit",
+        "/srv/docs/x/y/z/deep.html": "X",
     }
-    assert column(spark, cases, lambda c: tx.category(c, "/root")) == list(cases.values())
+    assert column(spark, cases, lambda c: tx.category(c, "/srv/docs")) == list(cases.values())
 
 
 def test_depth(spark):
-    cases = {"/": 0, "/root": 1, "/root/subdir": 2, "/root/subdir/nested": 3,
-             "./relative": 1, "./relative/nested": 2}
+    cases = {"/": 0, "/srv": 1, "/srv/docs/fruit/lime": 4, "./fruit": 1, "./fruit/lime/peel": 3}
     assert column(spark, cases, pg.depth) == list(cases.values())
 
 
 def test_skip_rules(spark):
-    files = {"/root/index.html": False, "/subdir/index.html": False, "/assets/style.css": True,
-             "/api.html": False, "/404.html": True, "/data.json": False}
+    files = {"/docs/plum.html": False, "/docs/index.html": False, "/docs/js/plum.html": True,
+             "/docs/deep/404.html": True, "/404.htm": False, "/notes.txt": False}
     assert column(spark, files, pg.skip_file) == list(files.values())
-    options = pg.ScanOptions(exclude_dirs=("excluded",), include_dirs=("included",))
-    dirs = {"/assets": True, "/css": True, "/excluded": True, "/included": False,
-            "/normal": True, "/.hidden": True}
+    options = pg.ScanOptions(exclude_dirs=("old",), include_dirs=("fruit",))
+    dirs = {"/docs/fruit": False, "/docs/fruit/old": True, "/docs/nuts": True, "/fruit/.git": True,
+            "/fruit/assets": True}
     assert column(spark, dirs, lambda c: pg.skip_directory(c, options)) == list(dirs.values())
 
 
-TREE = {
-    "index.html": "root index",
-    "api.html": "api file",
-    "subdir/index.html": "subdir index",
-    "subdir/api.HTML": "subdir api, the longest of all",
-    "assets/style.css": "css file",
-    "assets/page.html": "asset page",
-    "data.json": "json file",
-    "404.html": "404 page",
+FILES = {
+    "fruit/lime.html": "<h1>Lime</h1>",
+    "fruit/plum.HTML": "<h1>Plum</h1> with a long text",
+    "fruit/index.html": "fruit",
+    "index.html": "start",
+    "nuts/hazel/page.html": "<p>hazel</p>",
+    "js/lime.html": "never seen",
+    "fruit/404.html": "gone",
+    "nuts/list.txt": "plain",
 }
 
 
 @pytest.fixture()
-def tree(tmp_path):
-    for name, body in TREE.items():
-        (tmp_path / name).parent.mkdir(exist_ok=True)
+def site(tmp_path):
+    for name, body in FILES.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text(body)
     return tmp_path
 
 
-def test_scan(spark, tree):
-    root = str(tree)
+def test_scan(spark, site):
+    root = str(site)
     pages = pg.read_pages(spark, root)
-    assert pages.count() == 6
+    assert pages.count() == 7
     options = pg.ScanOptions(root=root)
     kept = {r.path.removeprefix(root + "/") for r in pg.scan_filter(pages, options).collect()}
-    assert kept == {"index.html", "api.html", "subdir/index.html", "subdir/api.HTML"}
+    assert kept == {"fruit/lime.html", "fruit/plum.HTML", "fruit/index.html", "index.html", "nuts/hazel/page.html"}
     bare = pg.ScanOptions(root=root, skip_root_index=True)
-    assert pg.scan_filter(pages, bare).count() == 3
+    assert pg.scan_filter(pages, bare).count() == 4
     listing = spark.createDataFrame(
-        [(f"{root}/{n}", b) for n, b in TREE.items()], "path string, html string"
+        [(f"{root}/{n}", b) for n, b in FILES.items()], "path string, html string"
     )
     got = pg.scan_summary(listing, options).first()
-    # files below a skipped folder are not visited
-    assert (got.total_files, got.html_files, got.skipped_files, got.error_files) == (6, 4, 1, 0)
+    # files below a skipped folder are not visited; the folder itself is met and counted
+    assert (got.total_files, got.html_files, got.skipped_files, got.error_files) == (7, 5, 1, 0)
+    assert got.total_dirs == 5
     stats = {r.category: r for r in pg.file_stats(pg.scan_filter(pages, options), root).collect()}
-    assert stats["Subdir"].largest_file.endswith("api.HTML") and stats["Subdir"].files == 2
-    assert stats["Subdir"].smallest_file.endswith("index.html")
+    assert stats["Fruit"].largest_file.endswith("plum.HTML") and stats["Fruit"].files == 3
+    assert stats["Fruit"].smallest_file.endswith("index.html")
+
+
+def test_patterns(spark):
+    names = ["ab1.html", "ab2.html", "abc.html", "a.html", "AB9.HTML", "ab-.html", "a*b.html"]
+    cases = {
+        "ab?.html": ["ab1.html", "ab2.html", "abc.html", "AB9.HTML", "ab-.html"],
+        "ab[0-9].html": ["ab1.html", "ab2.html", "AB9.HTML"],
+        "ab[^0-9-].html": ["abc.html"],
+        "a*.html": names,
+        "a\\*b.html": ["a*b.html"],
+        "a[&&b]*.html": ["ab1.html", "ab2.html", "abc.html", "AB9.HTML", "ab-.html"],
+    }
+    for pattern, want in cases.items():
+        got = column(spark, names, lambda c, p=pattern: pg.is_html(c, pg.ScanOptions(patterns=(p,))))
+        assert [n for n, ok in zip(names, got) if ok] == want, pattern
+    with pytest.raises(ValueError):
+        pg.is_html("path", pg.ScanOptions(patterns=("a[b.html",)))
+
+
+def test_text_after_an_example(spark):
+    cases = {'{"a": 1}': {"a": "1"}, '{"a": 1} x': {}, '{"a": 1}, {"b": 2}': {}, ' {"a": [1, 2]} ': {"a": "[1,2]"},
+             "[1]": {}, "{": {}, '{"a": 1}}': {}, '{"a": 1}] {}': {}, '{"a": 1}, "w": {}': {}, '{"a": 1}]': {}, "": {}, "{}": {}}
+    assert column(spark, cases, ct.json_object) == list(cases.values())
 
 
 def test_validation(spark):
@@ -271,20 +292,22 @@ def test_validation(spark):
 
 def test_batch_report(spark):
     rows = [
-        ("file1.html", True, None, "test.method1", 2, 1, 100.0),
-        ("file2.html", False, "Parsing failed", None, 0, 0, 50.0),
-        ("file3.html", True, None, "test.method2", 1, 0, 200.0),
+        ("lime.html", True, None, "get.lime", 4, 2, 12.0),
+        ("plum.html", True, None, "get.plum", 0, 1, 3.0),
+        ("husk.html", False, "no method", None, 0, 0, 30.0),
+        ("peel.html", True, None, "get.lime", 7, 0, 5.0),
+        ("core.html", False, "no method", None, 0, 0, 10.0),
     ]
     results = spark.createDataFrame(
         rows, "path string, success boolean, error string, name string, params int, errors int, cost double"
     )
     r = ct.batch_report(results).first()
-    assert (r.total, r.success_count, r.error_count, r.total_params, r.total_errors) == (3, 2, 1, 3, 1)
-    assert r.average_cost == pytest.approx(350 / 3)
+    assert (r.total, r.success_count, r.error_count, r.total_params, r.total_errors) == (5, 3, 2, 11, 3)
+    assert r.average_cost == pytest.approx(12.0)
     e = ct.extremes(results, "path", "cost").first()
-    assert (e.fastest, e.slowest) == ("file2.html", "file3.html")
+    assert (e.fastest, e.slowest) == ("plum.html", "husk.html")
     lists = {(x["list"], x.entry): x.n for x in ct.summary_lists(results).collect()}
-    assert lists == {("method", "test.method1"): 1, ("method", "test.method2"): 1, ("error", "Parsing failed"): 1}
+    assert lists == {("method", "get.lime"): 2, ("method", "get.plum"): 1, ("error", "no method"): 2}
     empty = ct.batch_report(results.limit(0)).first()
     assert tuple(empty) == (0, 0, 0, 0, 0, 0)
 

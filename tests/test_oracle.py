@@ -4,9 +4,11 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 from ringlens.operators import ordered
+from ringlens.plans import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+MAY_BE_EMPTY = {"columns_filter"}  # its condition meets nothing in the smallest tables
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 ORDERED = [
     "agg_median", "communication_number", "running_visits", "stage_before_failure",
     "lost_call_reaction", "hit_durations", "session_hits", "visitor_sessions", "tags_history",
@@ -25,7 +27,7 @@ def con():
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     if name in ORACLES:
-        assert compare(df, con, ORACLES[name]) in (None, "EMPTY")
+        assert compare(df, con, ORACLES[name]) in ((None, "EMPTY") if name in MAY_BE_EMPTY else (None,))
     else:
         assert df.count() > 0
 
@@ -34,10 +36,11 @@ def test_query(spark, con, name):
 def test_heavy_keys(spark, con, name, monkeypatch):
     """The same results when nearly every key is cut into buckets."""
     monkeypatch.setattr(ordered, "HEAVY_ROWS", 5)
-    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) in (None, "EMPTY")
+    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
 def test_every_query_has_a_twin():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert sorted(set(QUERIES) - set(ORACLES)) == ["openapi_documents"]
 
