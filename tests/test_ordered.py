@@ -103,3 +103,70 @@ def test_longest_prefix(spark):
     )
     got = {r.phone: r.prefix_name for r in longest_prefix(phones, "phone", prefixes).collect()}
     assert got == {"7495": "c", "7496": "b", "8": None, "12": None}
+
+
+@pytest.mark.parametrize("heavy", [10**9, 3])
+def test_null_keys_and_times(spark, monkeypatch, heavy):
+    """A NULL key is a group of its own; a NULL time comes first in its key."""
+    monkeypatch.setattr(ordered, "HEAVY_ROWS", heavy)
+    rng = random.Random(9)
+    rows = [
+        (None if rng.random() < 0.3 else 1, None if rng.random() < 0.2 else t, i, v)
+        for _, t, i, v in sample(120, 8)
+    ]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int, v int")
+    out = running(
+        df, ["k"], ["ts", "id"], time_place("ts"),
+        Running("total", "sum", F.col("v")), Running("next", "next", F.col("v"), inclusive=False),
+    ).collect()
+    place = lambda t, i: (t is not None, t or START, i)
+    assert len(out) == len(rows)
+    for r in out:
+        own = sorted((place(t, i), v) for k, t, i, v in rows if k == r.k)
+        here = place(r.ts, r.id)
+        assert r.total == sum(v or 0 for p, v in own if p <= here)
+        assert r.next == next((v for p, v in own if p > here and v is not None), None)
+
+
+@pytest.mark.parametrize("heavy", [10**9, 3])
+def test_facts_without_a_key_stay(spark, monkeypatch, heavy):
+    monkeypatch.setattr(ordered, "HEAVY_ROWS", heavy)
+    schema = "k int, ts timestamp_ntz, id int, channel int, value double"
+    sessions = spark.createDataFrame([(None, START, 1, 0, 0.0), (7, START, 2, 0, 0.0)], schema)
+    comms = spark.createDataFrame([(None, START, 10 + i, 0, 1.0) for i in range(8)] + [(7, START, 30, 0, 1.0)], schema)
+    got = {r.id: r.touches for r in at.attribute(sessions, comms, "k", "ts", "id", "channel", "value", 3).collect()}
+    assert got == {**{10 + i: 0 for i in range(8)}, 30: 1}
+    past = sessions.select("k", "ts", F.col("id").alias("session"))
+    seen = at.asof(comms.select("k", "ts", "id"), past, "k", "ts", "id", "ts", "session", ["session"])
+    assert {r.id: r.session for r in seen.collect()} == {**{10 + i: None for i in range(8)}, 30: 2}
+
+
+@pytest.mark.parametrize(
+    "places",
+    [
+        [i * 1e-3 for i in range(3000)],  # all within one instant of any calendar unit
+        [float(i) for i in range(2999)] + [1e12],  # one outlier
+        [float(i * i * i) for i in range(3000)],  # ever thinner
+        [0.0] * 1000 + [float(i) for i in range(2000)],  # a third at one place
+    ],
+)
+def test_pieces_follow_the_rows(spark, monkeypatch, places):
+    monkeypatch.setattr(ordered, "HEAVY_ROWS", 100)
+    df = spark.createDataFrame([(1, p, i) for i, p in enumerate(places)], "k int, p double, id int")
+    line = ordered.Line.of(df, ["k"], ["p", "id"], F.col("p"))
+    pieces = {r[ordered.PIECE]: r["count"] for r in line.rows.groupBy(ordered.PIECE).count().collect()}
+    tied = max(places.count(0.0), 1)
+    assert len(pieces) > 15 and max(pieces.values()) <= max(250, tied + 100)
+
+
+def test_percentile_and_median_are_exact(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice([1, 2, None]), float(rng.randint(0, 50)) if rng.random() < 0.9 else None) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    p90 = {r.k: r.p for r in ordered.exact_percentile(df, ["k"], "v", "p", 0.9).collect()}
+    mid = {r.k: r.m for r in ordered.exact_median(df, ["k"], "v", "m").collect()}
+    for k in (1, 2, None):
+        own = sorted(v for i, v in rows if i == k and v is not None)
+        n = len(own)
+        assert p90[k] == own[-(-n * 9 // 10) - 1]
+        assert mid[k] == (own[(n + 1) // 2 - 1] + own[n // 2]) / 2

@@ -73,3 +73,28 @@ def test_python_functions_stay_out_of_plans(spark):
     for name in ("doc_request_params", "attribution_linear", "openapi_documents"):
         text = plan(entry.queries()[name](spark, SF))
         assert "Python" not in text and "Pandas" not in text
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [("attribution_window", 3), ("attribution_linear", 6), ("attribution_position", 6), ("running_visits", 2),
+     ("visitor_sessions", 2), ("employee_stat", 1), ("person_details", 1)],
+)
+def test_inputs_are_read_once(spark, monkeypatch, name, most):
+    """Scans of the events in everything that a query settles and in what is left to run."""
+    from ringlens.operators import attribution, ordered
+
+    plans, settle = [], ordered.settled
+
+    def settled(df, purpose):
+        plans.append(plan(df))
+        return settle(df, purpose)
+
+    monkeypatch.setattr(ordered, "settled", settled)
+    monkeypatch.setattr(attribution, "settled", settled)
+    plans.append(plan(entry.queries()[name](spark, SF)))
+    assert sum(p.count("/events.parquet]") for p in plans) <= most
+
+
+def test_coverage_expands_nothing(spark):
+    assert "Expand" not in plan(entry.queries()["coverage"](spark, SF))
