@@ -164,16 +164,27 @@ def campaign_daily(
     return together.groupBy(key, "day").agg(*columns)
 
 
-def ct_summary(calls: DataFrame, numbers: str, keys: list[str]) -> DataFrame:
-    """Call-tracking summary: numbers in use, calls, calls without a session, calls per number."""
+def tracked(calls: DataFrame, keys: list[str]) -> DataFrame:
+    """Calls summed per ``keys`` (a number and what leads to dimensions), to be joined then."""
+    return calls.groupBy(*keys).agg(
+        F.count("*").alias("calls"),
+        F.count_if(~F.col("has_session")).alias("non_session_calls"),
+        F.bool_or(F.col("dynamic")).alias("has_dynamic"),
+        F.bool_or(~F.col("dynamic")).alias("has_static"),
+    )
+
+
+def ct_summary(parts: DataFrame, numbers: str, keys: list[str]) -> DataFrame:
+    """Call-tracking summary of ``tracked`` parts: numbers in use, calls, calls without a
+    session, calls per number."""
     return (
-        calls.groupBy(*keys)
+        parts.groupBy(*keys)
         .agg(
             F.count_distinct(numbers).alias("active_numbers"),
-            F.count("*").alias("calls"),
-            F.count_if(~F.col("has_session")).alias("non_session_calls"),
-            F.bool_or(F.col("dynamic")).alias("has_dynamic"),
-            F.bool_or(~F.col("dynamic")).alias("has_static"),
+            F.sum("calls").alias("calls"),
+            F.sum("non_session_calls").alias("non_session_calls"),
+            F.bool_or("has_dynamic").alias("has_dynamic"),
+            F.bool_or("has_static").alias("has_static"),
         )
         .withColumn("dt_ratio", ratio(F.col("calls"), F.col("active_numbers")))
     )

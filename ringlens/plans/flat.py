@@ -387,7 +387,7 @@ def _tracked(m):
         (F.col("direction") == "O").alias("dynamic"),
     )
     campaigns = m.campaigns().join(m.sites(), "site_id", "left")
-    return legs.join(m.employees(), "employee_id", "left").join(
+    return fl.tracked(legs, ["employee_id", "number_id"]).join(m.employees(), "employee_id", "left").join(
         campaigns, F.col("group_id") == F.col("campaign_id"), "left"
     )
 
