@@ -536,6 +536,39 @@ def merge_errors(errors: DataFrame, keys: list[str]) -> DataFrame:
     return errors.select(*keys, "code", "mnemonic", "description").distinct()
 
 
+def bundle_output(catalog: DataFrame, min_files: int = 1, brand: str = "Service") -> DataFrame:
+    """Everything that the bundles hold, a row each: ``bundle, kind, entry, source, body``.
+
+    'info' names and describes a bundle, a 'path' is a method's path item as JSON (of pages
+    that document the same method the first in path order), a 'component' is a parameter
+    (the first of its type and name), an 'error' every distinct error. Rows, not one
+    document, so no bundle has to fit one task.
+    """
+    bundles = bundle_by_domain(keyed(methods(catalog)), min_files, brand).select("domain", "api", "bundle", "title")
+    within = ["domain", "api"]
+    nothing = F.lit(None).cast("string")
+    documents = first_wins(keyed(openapi(catalog, brand)), [*within, "name"], ["path"]).select(
+        *within, F.lit("path").alias("kind"), F.col("name").alias("entry"), F.col("path").alias("source"),
+        F.get_json_object("document", "$.paths").alias("body"),
+    )
+    items = keyed(methods(catalog)).drop("name")
+    components = merge_components(each(items, [*within, "path"], "request_params")).select(
+        *within, F.lit("component").alias("kind"), F.concat_ws(" ", "type", "name").alias("entry"),
+        F.col("path").alias("source"),
+        F.to_json(F.struct("type", "description", "allowed_values", "array_item_type")).alias("body"),
+    )
+    errors = merge_errors(each(items, within, "errors"), within).select(
+        *within, F.lit("error").alias("kind"), F.concat_ws(" ", "code", "mnemonic", "description").alias("entry"),
+        nothing.alias("source"), F.to_json(F.struct("code", "mnemonic", "description")).alias("body"),
+    )
+    info = bundles.select(
+        "bundle", F.lit("info").alias("kind"), F.col("title").alias("entry"), nothing.alias("source"),
+        F.to_json(F.struct("title", F.concat(F.lit("Methods of "), "title").alias("description"))).alias("body"),
+    )
+    held = documents.unionByName(components).unionByName(errors).join(bundles.drop("title"), within)
+    return info.unionByName(held.drop(*within))
+
+
 # ---- rules and validation ----------------------------------------------------
 
 

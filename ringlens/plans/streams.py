@@ -67,6 +67,28 @@ def pages_stream(m):
     )
 
 
+@query(
+    "bundle_output",
+    f"""{CTE}, k AS (SELECT * FROM keyed WHERE name <> ''),
+    b AS (SELECT domain, api, domain || CASE WHEN api = 'calls' THEN '_calls' ELSE '' END AS bundle,
+      'Service ' || upper(domain[1]) || domain[2:] || CASE WHEN api = 'calls' THEN ' Calls API' ELSE ' API' END AS title
+      FROM k GROUP BY 1, 2 HAVING count(*) >= 5)
+    SELECT bundle, 'info' AS kind, title AS entry, '' AS source FROM b
+    UNION ALL SELECT bundle, 'path', name, min(path) FROM k JOIN b USING (domain, api) GROUP BY bundle, name
+    UNION ALL SELECT bundle, 'component', r.type || ' ' || r.name, min(path)
+      FROM request r JOIN k USING (page) JOIN b USING (domain, api) GROUP BY ALL
+    UNION ALL SELECT DISTINCT bundle, 'error', concat_ws(' ', code, mnemonic, error.description), ''
+      FROM error JOIN k USING (page) JOIN b USING (domain, api)
+    """,
+)
+def bundle_output(m):
+    """Write the merged bundles and read their entries back."""
+    out = shared_dir(m.spark, "bundles")
+    sinks.write_bundles(ct.bundle_output(catalog(m), min_files=5), out)
+    back = sinks.read_catalog(m.spark, out, "json", "bundle string, kind string, entry string, source string, body string")
+    return back.filter("body IS NOT NULL").select("bundle", "kind", "entry", F.coalesce("source", F.lit("")).alias("source"))
+
+
 @query(
     "catalog_scan",
     f"{CTE} SELECT page, name, domain, api, replace(name, '.', '_') AS file FROM keyed WHERE name <> ''",

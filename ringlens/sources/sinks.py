@@ -28,6 +28,11 @@ def write_catalog(catalog: DataFrame, path: str, fmt: str = "json", brand: str =
         raise ValueError(f"unknown catalog format {fmt!r}")
 
 
+def write_bundles(bundles: DataFrame, path: str) -> None:
+    """Write ``catalog.bundle_output``: one folder per bundle and kind of entry, as JSON."""
+    bundles.hint("rebalance", "bundle", "kind").write.partitionBy("bundle", "kind").mode("overwrite").json(path)
+
+
 def read_catalog(
     spark: SparkSession, path: str, fmt: str = "json", schema: StructType | None = None
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from ringlens.sources.model import Model
 SF = "/root/testdata/sf0.001"
 WRITES = {
     "visits_live_stream", "ingest_stream", "pages_stream", "catalog_scan", "catalog_openapi",
-    "batch_report_file", "report_export", "bundle_conflicts",
+    "batch_report_file", "report_export", "bundle_conflicts", "bundle_output",
 }
 
 
