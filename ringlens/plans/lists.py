@@ -4,9 +4,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ringlens.operators import lists as ls
-from ringlens.operators.filters import Cond
 from ringlens.plans.registry import query
-from ringlens.sources.model import named
+from ringlens.sources.model import named, phone
 
 
 @query(
@@ -135,3 +134,81 @@ def filter_values(m):
 def available_except(m):
     used = m.legs().filter("duration > 47")
     return ls.available(m.numbers().select("number_id"), used, "number_id")
+
+
+@query(
+    "list_lines",
+    """SELECT s_suppkey AS line_id, '7' || lpad(s_suppkey::VARCHAR, 10, '0') AS phone, s_suppkey AS employee_id,
+      s_name AS employee_name, n_nationkey AS group_id, n_name AS group_name
+    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
+)
+def list_lines(m):
+    """Lines with the employee and the group they belong to, a line for each employee."""
+    groups = named(m.campaigns(), group_id="campaign_id", group_name="campaign_name")
+    lines = m.employees().withColumns({"line_id": F.col("employee_id"), "phone": phone(F.col("employee_id"))})
+    fields = ["line_id", "phone", "employee_id", "employee_name", "group_id", "group_name"]
+    return ls.dim_list(lines.join(groups, "group_id", "left"), "line_id", fields)
+
+
+@query(
+    "list_scenarios",
+    """SELECT p_brand AS scenario_name, p_type AS category, count(*) AS numbers FROM part GROUP BY 1, 2""",
+)
+def list_scenarios(m):
+    """Scenarios with their categories: the nested group as rows of its own."""
+    rows = m.numbers().groupBy(F.col("brand").alias("scenario_name"), "category").agg(F.count("*").alias("numbers"))
+    return ls.dim_list(rows, "scenario_name")
+
+
+@query(
+    "list_schedules",
+    """SELECT c_nationkey AS campaign_id, isodow(o_orderdate) - 1 AS weekday, min(hour(o_orderdate)) AS hour_from,
+      max(hour(o_orderdate)) AS hour_till FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
+)
+def list_schedules(m):
+    """Hours of each weekday in which a campaign is called: the schedule as rows."""
+    calls = m.calls().join(m.contacts(), "contact_id")
+    hour = F.hour("start_time")
+    rows = calls.groupBy("campaign_id", F.weekday("start_time").cast("long").alias("weekday")).agg(
+        F.min(hour).cast("long").alias("hour_from"), F.max(hour).cast("long").alias("hour_till")
+    )
+    return ls.dim_list(rows, "campaign_id")
+
+
+@query(
+    "list_funnels",
+    """SELECT o_orderpriority AS funnel, o_orderstatus AS stage, count(*) AS deals FROM orders GROUP BY 1, 2""",
+)
+def list_funnels(m):
+    """Sales funnels with their stages, a stage a row."""
+    rows = m.calls().groupBy(F.col("tag").alias("funnel"), F.col("status").alias("stage")).agg(F.count("*").alias("deals"))
+    return ls.dim_list(rows, "funnel")
+
+
+@query(
+    "list_fields",
+    """SELECT event_type AS kind, field, count(*) AS used
+    FROM (SELECT event_type, unnest(json_keys(props)) AS field FROM events) GROUP BY 1, 2""",
+)
+def list_fields(m):
+    """Fields that messages and deals of each kind carry, and how many do."""
+    named_fields = F.explode(F.json_object_keys("properties")).alias("field")
+    rows = m.events().select("kind", named_fields).groupBy("kind", "field").agg(F.count("*").alias("used"))
+    return ls.dim_list(rows, "field")
+
+
+@query(
+    "visitor_card",
+    """SELECT user_id AS visitor_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS events,
+      count(DISTINCT event_type) AS kinds FROM events GROUP BY 1""",
+)
+def visitor_card(m):
+    """What a visitor's card shows: first and last event, their number and kinds."""
+    card = m.events().groupBy("visitor_id", "kind").agg(
+        F.min("date_time").alias("first"), F.max("date_time").alias("last"), F.count("*").alias("n")
+    )
+    rows = card.groupBy("visitor_id").agg(
+        F.min("first").alias("first_seen"), F.max("last").alias("last_seen"),
+        F.sum("n").alias("events"), F.count("kind").alias("kinds"),
+    )
+    return ls.dim_list(rows, "visitor_id")
