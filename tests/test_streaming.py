@@ -75,3 +75,17 @@ def test_shared_folder_is_taken_from_the_session(spark):
     unset = session("yarn", **{"spark.sql.warehouse.dir": "hdfs:/warehouse/"})
     assert shared_dir(unset, "x").startswith("hdfs:/warehouse/_work/x-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+@pytest.mark.parametrize("parts", [0, 1, 5])
+def test_streams_read_files_and_folders(spark, tmp_path, parts):
+    """A table is a file or a folder of part files; a neighbour with a like name is not it."""
+    rows = spark.range(100).withColumnRenamed("id", "event_id")
+    rows.write.parquet(str(tmp_path / "events_old.parquet"))
+    if parts:
+        rows.repartition(parts).write.parquet(str(tmp_path / "events.parquet"))
+    else:
+        rows.toPandas().to_parquet(tmp_path / "events.parquet")
+    out = str(tmp_path / "out")
+    live.drain(live.table_stream(spark, str(tmp_path), "events"), out)
+    assert sorted(r.event_id for r in live.drained(spark, out).collect()) == list(range(100))
