@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ringlens.operators import catalog as ct
 from ringlens.operators.report import Metric, ReportSpec, report_table
 from ringlens.plans.aggregates import dsum
-from ringlens.plans.docs import CTE, catalog
+from ringlens.plans.docs import CTE, catalog, doc_pages
 from ringlens.plans.registry import query
 from ringlens.session import shared_dir
 from ringlens.sources import sinks
@@ -54,17 +54,16 @@ def ingest_stream(m):
 
 @query(
     "pages_stream",
-    "SELECT page_id, strlen(html) > 0 AS read, false AS success FROM pages",
+    f"""{CTE} SELECT page_id::VARCHAR AS path, strlen(html) > 0 AS read, false AS success FROM pages
+    UNION ALL SELECT path, true, name <> '' FROM page""",
 )
 def pages_stream(m):
-    out = shared_dir(m.spark, "pages")
-    stream = live.table_stream(m.spark, m.path, "pages").select(
-        F.col("page_id").cast("string").alias("path"), "html"
-    )
-    live.drain(live.pages_results(stream), out)
-    return live.drained(m.spark, out).select(
-        F.col("path").cast("long").alias("page_id"), (F.col("cost") > 0).alias("read"), "success"
-    )
+    """Raw pages, which hold no method, and rendered ones arrive together."""
+    inbox, out = shared_dir(m.spark, "inbox"), shared_dir(m.spark, "pages")
+    raw = m.pages().select(F.col("page_id").cast("string").alias("path"), "html")
+    raw.unionByName(doc_pages(m).select("path", "html")).write.parquet(f"{inbox}/pages.parquet")
+    live.drain(live.pages_results(live.table_stream(m.spark, inbox, "pages")), out)
+    return live.drained(m.spark, out).select("path", (F.col("cost") > 0).alias("read"), "success")
 
 
 @query(
