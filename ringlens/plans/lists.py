@@ -89,7 +89,7 @@ def list_customers(m):
     UNION ALL SELECT 's' || s_suppkey, r_name || ' / ' || n_name || ' / ' || s_name, 2 FROM supplier
       JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     UNION ALL SELECT 'c' || c_custkey, r_name || ' / ' || n_name || ' / ' || s_name || ' / ' || c_name, 3
-      FROM customer JOIN supplier ON s_suppkey = c_custkey % 10 + 1
+      FROM customer JOIN supplier ON s_suppkey = c_custkey % 10
       JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     UNION ALL SELECT * FROM (VALUES ('x1', NULL, NULL), ('x2', NULL, NULL), ('x3', 'lone', 0))
     """,
@@ -107,7 +107,7 @@ def tree_paths(m):
         )
 
     # customers as a fourth level, two nodes in a circle, one whose parent is unknown
-    served = m.contacts().withColumn("served_by", F.col("contact_id") % 10 + 1)
+    served = m.contacts().withColumn("served_by", F.col("contact_id") % 10)
     circle = m.spark.createDataFrame(
         [("x1", "x2", "a"), ("x2", "x1", "b"), ("x3", "nobody", "lone")], "id string, parent_id string, name string"
     )
