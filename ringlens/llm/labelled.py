@@ -67,8 +67,10 @@ def sample_texts(docs: DataFrame, picks: dict[str, DataFrame], each: int, max_by
     if not fits:
         return {kind: [] for kind in picks}
     wanted = docs.sparkSession.createDataFrame(fits, texts.select("kind", "id").schema)
-    rows = texts.join(F.broadcast(wanted), ["kind", "id"]).orderBy("o", "id").select("kind", "text").collect()
-    return {kind: without_copies([bytes(r.text) for r in rows if r.kind == kind]) for kind in picks}
+    found: dict[str, list[bytes]] = {kind: [] for kind in picks}
+    for row in texts.join(F.broadcast(wanted), ["kind", "id"]).orderBy("o", "id").select("kind", "text").toLocalIterator():
+        found[row.kind].append(bytes(row.text))
+    return {kind: without_copies(sample) for kind, sample in found.items()}
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ PREFIXES = (4, 5, 6)
 #: Text bytes whose words are taken at a time.
 CHUNK = 1 << 22
 #: Positive and unlabelled documents to learn from, and bytes of each kind.
-SAMPLE, SAMPLE_BYTES = 10000, 40 << 20
+SAMPLE, SAMPLE_BYTES = 10000, 32 << 20
 #: Least log-likelihood ratio (Poisson) of a feature's count among toxic texts.
 SURPRISE = 8.0
 
@@ -94,8 +94,12 @@ class Model:
 
 
 def _rates(texts: list[bytes]) -> np.ndarray:
-    doc, feature = present(texts, np.arange(1 << BITS))
-    return np.bincount(feature, minlength=1 << BITS)
+    """In how many texts each feature is."""
+    total = np.zeros(1 << BITS, np.int64)
+    for _, part in _chunks(texts):
+        doc, feature = word_features(part)
+        total += np.bincount(np.unique((doc << BITS) | feature) & ((1 << BITS) - 1), minlength=1 << BITS)
+    return total
 
 
 def fit(toxic: list[bytes], unlabelled: list[bytes], prior: float, steps: int = 500, rate: float = 0.1, decay: float = 3e-5) -> Model:
