@@ -67,9 +67,11 @@ class Line:
     @staticmethod
     def of(df: DataFrame, keys: list[str], order: list[str], place: Column) -> Line:
         """``place`` is numeric and must not decrease along ``order``; NULL comes first."""
-        base = settled(df.withColumn(PLACE, place.cast("double")), "line")
-        group = F.struct(*keys) if keys else F.struct(F.lit(0))
-        base = base.withColumn(GROUP, group)
+        df = df.withColumn(PLACE, place.cast("double"))
+        if keys:
+            base = settled(df, "line").withColumn(GROUP, F.struct(*keys))
+        else:  # one group: a stored value, as joins on a constant would be pairings
+            base = settled(df.withColumn(GROUP, F.struct(F.lit(0).alias("all"))), "line")
         limit = max(HEAVY_ROWS, base.count() // HEAVY_KEYS)
         heavy = base.groupBy(GROUP).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > limit)
         heavy = settled(heavy, "heavy-keys")
