@@ -17,7 +17,7 @@ from ringlens.llm.labelled import held_out, sample_texts, sigmoid
 BITS = 18
 PREFIXES = (4, 5, 6)
 #: Text bytes whose words are taken at a time.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Positive and unlabelled documents to learn from, and bytes of each kind.
 SAMPLE, SAMPLE_BYTES = 10000, 32 << 20
 #: Least log-likelihood ratio (Poisson) of a feature's count among toxic texts.
