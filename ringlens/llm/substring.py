@@ -18,12 +18,12 @@ from ringlens.session import settled
 #: Words of a window, and of the k-mers whose smallest hash is a window's minimiser.
 WINDOW, KMER = 13, 3
 #: Text bytes taken at a time, packed at a time, and packed bytes that one bucket should get.
-CHUNK, FLUSH, BUCKET = 1 << 21, 24 << 20, 16 << 20
+CHUNK, FLUSH, BUCKET = 1 << 21, 24 << 20, 8 << 20
 #: Longest stretch of words handled in one piece.
 SEGMENT = 1 << 17
-#: A minimiser is hot if its super-k-mers (about 128 bytes each) fill a quarter of a bucket
+#: A minimiser is hot if its super-k-mers (about 128 bytes each) fill half of a bucket
 #: and are more than this share of all.
-HOT_ROWS, HOT_SHARE = BUCKET // 512, 1 / 16384
+HOT_ROWS, HOT_SHARE = BUCKET // 256, 1 / 16384
 #: Super-k-mer bytes of one bucket held in memory; what is beyond goes the hot way.
 HELD = 8 * BUCKET
 NO_ID = (1 << 63) - 1
