@@ -21,8 +21,9 @@ CLASSES, MEMBERS, FREQUENT, HASH_BITS = 64, 64, 3072, 18
 TOKENS = CLASSES * MEMBERS
 #: Width of the hidden layer; tokens per step and per scoring block; text bytes at a time.
 HIDDEN, STEP, BLOCK, CHUNK = 24, 4096, 1 << 13, 1 << 21
-#: Training rounds; in round r each document gives its words r, r + STRIDE, ...
-ROUNDS, STRIDE, RATE = 2, 16, 0.1
+#: Training rounds: in round r each document gives its words r, r + rounds, ..., so that
+#: every word is predicted once, whatever the number of rounds.
+ROUNDS, RATE = 2, 0.1
 #: Parts into which parameters are cut to be averaged, and models averaged at a time.
 PARTS, FAN_IN = 16, 16
 
@@ -212,7 +213,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"hash": found, "n": total[found]})
 
 
-def _train(flat: np.ndarray, table: np.ndarray, turn: int):
+def _train(flat: np.ndarray, table: np.ndarray, turn: int, rounds: int):
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trainer = Trainer(flat)
         for batch in batches:
@@ -220,7 +221,7 @@ def _train(flat: np.ndarray, table: np.ndarray, turn: int):
                 token = table[h]
                 context = contexts(doc, token)
                 first = np.searchsorted(doc, doc)
-                pick = np.flatnonzero((np.arange(len(doc)) - first) % STRIDE == turn % STRIDE)
+                pick = np.flatnonzero((np.arange(len(doc)) - first) % rounds == turn)
                 pick = np.random.default_rng(len(pick)).permutation(pick)
                 for at in range(0, len(pick), STEP):
                     some = pick[at : at + STEP]
@@ -249,7 +250,8 @@ MODEL_ROW = "grp int, part int, seen bigint, blob binary"
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Parameters and token table from all documents.
 
-    Word counts cover the whole corpus. In each round every task starts from the same
+    Word counts cover the whole corpus, and every word of it is predicted in one of the
+    rounds. In each round every task starts from the same
     parameters, trains on its own documents and hands back what it learnt; these models are
     averaged by number of words, sixteen at a time in a tree of shuffles, so no task and not
     the driver takes more than a few models, however large the input.
@@ -262,7 +264,7 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[np
     table = token_table(counts)
     flat = start_parameters(np.bincount(table, counts, TOKENS))
     for turn in range(rounds):
-        models = settled(texts.mapInPandas(_train(flat, table, turn), MODEL_ROW), "lm-models")
+        models = settled(texts.mapInPandas(_train(flat, table, turn, rounds), MODEL_ROW), "lm-models")
         groups = models.agg(F.max("grp")).first()[0]
         if groups is None:
             break

@@ -153,6 +153,23 @@ def test_lm_against_plain_sums(spark):
     assert total[0] > lm.score_texts(start, table, texts)[1][0]
 
 
+def test_lm_learns_from_every_word(spark):
+    """In texts of four words, every side of every word has something to learn from."""
+    texts = ["red green blue grey", "one two three four"] * 40
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    start = lm.split(lm.start_parameters(np.ones(lm.TOKENS)))
+    for rounds in (1, lm.ROUNDS, 3):
+        flat, table = lm.train(docs, rounds=rounds)
+        learnt = lm.split(flat)
+        for text in texts[:2]:
+            ids = [int(table[h]) for _, hs in lm.hashed_words([text]) for h in hs]
+            for k, side in enumerate(lm.SIDES):
+                for place in range(len(ids)):
+                    if 0 <= place + side < len(ids):
+                        at = ids[place + side]
+                        assert np.abs(learnt["inputs"][k][at] - start["inputs"][k][at]).max() > 1e-3, (rounds, side, place)
+
+
 def test_lm_on_odd_tables(odd, empty):
     rows = lm.lm_scores(odd, rounds=1).collect()
     assert sorted(r.n_words for r in rows) == sorted(len((t or "").encode().split()) for _, t, *_ in odd_rows())
