@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -15,10 +16,14 @@ from ringlens.session import settled
 
 #: Words left and right of the predicted one.
 SIDES = (-2, -1, 1, 2)
-#: Tokens are CLASSES x MEMBERS ids: the FREQUENT most frequent word hashes have their own,
-#: all other words share the rest.
-CLASSES, MEMBERS, FREQUENT, HASH_BITS = 64, 64, 3072, 18
+#: Tokens are CLASSES x MEMBERS ids: the FREQUENT most frequent words have their own, all
+#: other words share the rest.
+CLASSES, MEMBERS, FREQUENT, HASH_BITS = 64, 64, 3072, 63
 TOKENS = CLASSES * MEMBERS
+SHARED = TOKENS - FREQUENT
+#: Words after the frequent ones whose counts go to the tasks, and steps of an octave in
+#: which counts are ranked. Counts of all other words are joined.
+KNOWN, OCTAVE = 1 << 17, 64
 #: Width of the hidden layer; tokens per step and per scoring block; text bytes at a time.
 HIDDEN, STEP, BLOCK, CHUNK = 24, 4096, 1 << 13, 1 << 21
 #: Training rounds: in round r each document gives its words r, r + rounds, ..., so that
@@ -88,15 +93,74 @@ def hashed_words(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield from flush()
 
 
-def token_table(counts: np.ndarray) -> np.ndarray:
-    """The token of each word hash. Tokens in order of frequency go to the classes in turn,
-    so that classes have like shares."""
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(counts), np.int64)
-    rank[order] = np.arange(len(counts))
-    rest = TOKENS - FREQUENT
-    token = np.where(rank < FREQUENT, rank, FREQUENT + rank % rest)
-    return (token % CLASSES) * MEMBERS + token // CLASSES
+def _token(rank: np.ndarray) -> np.ndarray:
+    """Tokens in order of frequency go to the classes in turn, so that classes have like shares."""
+    return (rank % CLASSES) * MEMBERS + rank // CLASSES
+
+
+@dataclass(frozen=True)
+class Words:
+    """Tokens of words by hash, and what part of a shared token a word is.
+
+    ``frequent``: sorted hashes of the words with their own token, ``own``. ``known``: sorted
+    hashes of the next words, with the logarithms of their counts. ``log_total``: of each
+    token's count. Only whole steps of counts are frequent or known, ties not cut, so both
+    may be fewer than their limits; results do not depend on how many are known.
+    """
+
+    frequent: np.ndarray
+    own: np.ndarray
+    known: np.ndarray
+    log_count: np.ndarray
+    total: np.ndarray
+    log_total: np.ndarray
+
+    @classmethod
+    def of(cls, counts: DataFrame) -> Words:
+        """From ``hash, n`` of all words; what is collected is bounded by the constants."""
+        leveled = counts.withColumn("level", F.floor(F.log2("n") * OCTAVE))
+        room, least = FREQUENT + KNOWN, None
+        for row in sorted(leveled.groupBy("level").agg(F.count("*").alias("words")).collect(), reverse=True):
+            room -= row.words
+            if room < 0:
+                break
+            least = row.level
+        head = leveled.filter(F.col("level") >= F.lit(least)).select("hash", "n").collect()
+        head.sort(key=lambda r: (-r.n, r.hash))
+        hashes, n = (np.array([r[k] for r in head], np.int64) for k in range(2))
+        total = np.zeros(TOKENS, np.int64)
+        by = (F.col("hash") % SHARED).alias("shared")
+        for row in counts.groupBy(by).agg(F.sum("n").alias("n")).collect():
+            total[_token(np.int64(FREQUENT + row.shared))] = row.n
+        frequent, own = hashes[:FREQUENT], _token(np.arange(len(hashes[:FREQUENT])))
+        np.subtract.at(total, _token(FREQUENT + frequent % SHARED), n[:FREQUENT])
+        total[own] = n[:FREQUENT]
+        first, then = np.argsort(frequent), np.argsort(hashes[FREQUENT:])
+        return cls(
+            frequent[first], own[first], hashes[FREQUENT:][then], np.log(n[FREQUENT:][then]),
+            total, np.log(np.maximum(total, 1)),
+        )
+
+    def __getitem__(self, h: np.ndarray) -> np.ndarray:
+        """Tokens of word hashes."""
+        at, hit = _find(self.frequent, h)
+        return np.where(hit, self.own[at] if len(self.own) else 0, _token(FREQUENT + h % SHARED))
+
+    def shares(self, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log(count of word / count of its token), and places of words that are not known,
+        whose share still lacks the logarithm of their count."""
+        share = np.zeros(len(h))
+        tail = np.flatnonzero(token % MEMBERS >= FREQUENT // CLASSES)
+        at, hit = _find(self.known, h[tail])
+        share[tail] = -self.log_total[token[tail]]
+        share[tail[hit]] += self.log_count[at[hit]]
+        return share, tail[~hit]
+
+
+def _find(ordered: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``h`` in sorted numbers, and whether it is there."""
+    at = np.minimum(np.searchsorted(ordered, h), max(0, len(ordered) - 1))
+    return at, (ordered[at] == h if len(ordered) else np.zeros(np.shape(h), bool))
 
 
 def contexts(doc: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -171,8 +235,13 @@ class Trainer:
 
     def step(self, context: np.ndarray, token: np.ndarray) -> None:
         p, n = self.p, len(token)
-        grad = np.zeros(SIZE, np.float32)
-        g = split(grad)
+        inputs = int(np.prod(SHAPES["inputs"]))
+        grad = np.zeros(SIZE - inputs, np.float32)
+        g, at = {}, 0
+        for name, shape in list(SHAPES.items())[1:]:
+            size = int(np.prod(shape))
+            g[name] = grad[at : at + size].reshape(shape)
+            at += size
         h = _hidden(p, context)
         kind, member = (token // MEMBERS).astype(np.uint8), token % MEMBERS
         d = _softmax(_logits(h, p["classes"], p["class_bias"]))
@@ -192,28 +261,39 @@ class Trainer:
                 back[of] += d @ p["members"][c].T
         back *= 1 - h * h
         g["hidden"][:] = back.sum(0)
-        for table, row in zip(g["inputs"], context):
+        # Rows of the input tables that no context has do not move, so they are left alone.
+        squares = split(self.squares)["inputs"]
+        for table, seen, row in zip(p["inputs"], squares, context):
             by = np.argsort(row.astype(np.uint16), kind="stable")
             first = np.flatnonzero(np.diff(row[by], prepend=-1))
-            table[row[by[first]]] = np.add.reduceat(back[by], first, axis=0)
+            rows = row[by[first]]
+            slope = np.add.reduceat(back[by], first, axis=0) / n
+            seen[rows] += slope * slope
+            table[rows] -= slope / np.sqrt(seen[rows]) * np.float32(RATE)
         grad /= n
-        self.squares += grad * grad
-        grad /= np.sqrt(self.squares)
+        rest = self.squares[inputs:]
+        rest += grad * grad
+        grad /= np.sqrt(rest)
         grad *= np.float32(RATE)
-        self.flat -= grad
+        self.flat[inputs:] -= grad
         self.seen += n
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(1 << HASH_BITS, np.int64)
     for batch in batches:
         for _, h in hashed_words(batch["text"].tolist()):
-            total += np.bincount(h, minlength=1 << HASH_BITS)
-    found = np.flatnonzero(total)
-    yield pd.DataFrame({"hash": found, "n": total[found]})
+            found, n = np.unique(h, return_counts=True)
+            yield pd.DataFrame({"hash": found, "n": n})
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``hash, n`` of every word of the corpus, as a stored table that grows with it."""
+    texts = docs.select(whole(text).alias("text"))
+    counted = texts.mapInPandas(_count, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    return settled(counted, "lm-words")
 
 
-def _train(flat: np.ndarray, table: np.ndarray, turn: int, rounds: int):
+def _train(flat: np.ndarray, table: Words, turn: int, rounds: int):
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trainer = Trainer(flat)
         for batch in batches:
@@ -247,8 +327,8 @@ def _added(rows: pd.DataFrame) -> pd.DataFrame:
 MODEL_ROW = "grp int, part int, seen bigint, blob binary"
 
 
-def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Parameters and token table from all documents.
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[np.ndarray, Words]:
+    """Parameters and words from all documents.
 
     Word counts cover the whole corpus, and every word of it is predicted in one of the
     rounds. In each round every task starts from the same
@@ -257,12 +337,8 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[np
     the driver takes more than a few models, however large the input.
     """
     texts = docs.select(whole(text).alias("text"))
-    counted = texts.mapInPandas(_count, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
-    counts = np.zeros(1 << HASH_BITS, np.int64)
-    for row in counted.collect():  # at most 2**HASH_BITS numbers
-        counts[row["hash"]] = row["n"]
-    table = token_table(counts)
-    flat = start_parameters(np.bincount(table, counts, TOKENS))
+    table = Words.of(word_counts(docs, text) if counts is None else counts)
+    flat = start_parameters(table.total)
     for turn in range(rounds):
         models = settled(texts.mapInPandas(_train(flat, table, turn, rounds), MODEL_ROW), "lm-models")
         groups = models.agg(F.max("grp")).first()[0]
@@ -278,13 +354,25 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[np
     return flat, table
 
 
-def score_texts(flat: np.ndarray, table: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and summed conditional log-probability of each text."""
+def score_parts(flat: np.ndarray, table: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Number of words, summed conditional log-probability, and hashes of unknown words of
+    each text. The sum still lacks the logarithms of the unknown words' counts."""
     p, n, total = split(flat), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    docs, rare = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for doc, h in hashed_words(texts):
         token = table[h]
+        share, unknown = table.shares(h, token)
         n += np.bincount(doc, minlength=len(texts))
-        total += np.bincount(doc, log_probabilities(p, contexts(doc, token), token), len(texts))
+        total += np.bincount(doc, log_probabilities(p, contexts(doc, token), token) + share, len(texts))
+        docs.append(doc[unknown])
+        rare.append(h[unknown])
+    ends = np.cumsum(np.bincount(np.concatenate(docs), minlength=len(texts)))
+    return n, total, np.split(np.concatenate(rare), ends[:-1])
+
+
+def score_texts(flat: np.ndarray, table: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words and summed conditional log-probability of texts without unknown words."""
+    n, total, _ = score_parts(flat, table, texts)
     return n, total
 
 
@@ -292,18 +380,31 @@ def lm_scores(docs: DataFrame, text: str = "text", id: str = "doc_id", rounds: i
     """``id, n_words, log_prob`` of every row, from a model trained on all rows.
 
     ``log_prob`` is the sum over the words of a whole text of the log-probability of the word
-    given two words on either side, the word itself masked. Null and empty texts: no words,
-    sum 0. Null and repeated ids are rows of their own, an empty table gives an empty result,
-    other columns are not read.
+    given two words on either side, the word itself masked: that of its token, and of the word
+    among all words of the corpus that share the token, by their counts. Counts of words too
+    rare to be known to the tasks are joined. Null and empty texts: no words, sum 0. Null and
+    repeated ids are rows of their own, an empty table gives an empty result, other columns
+    are not read.
     """
-    flat, table = train(docs, text, rounds)
+    counts = word_counts(docs, text)
+    flat, table = train(docs, text, rounds, counts)
     kind = docs.schema[id].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            n, total = score_texts(flat, table, batch["text"].tolist())
-            yield batch[["id"]].assign(n_words=n, log_prob=total)
-
-    return docs.select(F.col(id).alias("id"), whole(text).alias("text")).mapInPandas(
-        scored, f"id {kind}, n_words bigint, log_prob double"
+            n, total, rare = score_parts(flat, table, batch["text"].tolist())
+            yield batch[["tag", "id"]].assign(n_words=n, log_prob=total, rare=pd.Series(rare, batch.index, object))
+
+    rows = settled(
+        docs.select(
+            F.monotonically_increasing_id().alias("tag"), F.col(id).alias("id"), whole(text).alias("text")
+        ).mapInPandas(scored, f"tag bigint, id {kind}, n_words bigint, log_prob double, rare array<bigint>"),
+        "lm-scores",
+    )
+    lacking = (
+        rows.select("tag", F.explode("rare").alias("hash")).join(counts, "hash")
+        .groupBy("tag").agg(F.sum(F.log("n")).alias("lacking"))
+    )
+    return rows.select("tag", "id", "n_words", "log_prob").join(lacking, "tag", "left").select(
+        "id", "n_words", (F.col("log_prob") + F.coalesce("lacking", F.lit(0.0))).alias("log_prob")
     )

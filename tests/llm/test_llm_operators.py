@@ -170,6 +170,31 @@ def test_lm_learns_from_every_word(spark):
                         assert np.abs(learnt["inputs"][k][at] - start["inputs"][k][at]).max() > 1e-3, (rounds, side, place)
 
 
+@pytest.mark.parametrize("known", [None, 0])
+def test_lm_gives_rare_words_their_own_share(spark, monkeypatch, known):
+    """A shared token's probability is split by word counts, whether these are known or joined."""
+    if known is not None:
+        monkeypatch.setattr(lm, "KNOWN", known)
+    head = " ".join(f"w{i}" for i in range(lm.FREQUENT))
+    tail, junk = " ".join(f"t{i}" for i in range(4000)), " ".join(f"u{i}" for i in range(2000))
+    texts = [head] * 3 + [tail] * 2 + [junk, "w1 t1 u1 w2", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    flat, table = lm.train(docs)
+    p, hashes = lm.split(flat), [np.concatenate([h for _, h in lm.hashed_words([t or ""])] or [np.empty(0, np.int64)]) for t in texts]
+    words = Counter(int(h) for hs in hashes for h in hs)
+    assert len(words) == lm.FREQUENT + 6000
+    tokens = Counter()
+    for h, n in words.items():
+        tokens[int(table[np.int64(h)])] += n
+    got = {r.id: r for r in lm.lm_scores(docs).collect()}
+    for i, hs in enumerate(hashes):
+        ids = np.array([int(table[h]) for h in hs], np.int64)
+        want = lm.log_probabilities(p, lm.contexts(np.zeros(len(ids), np.int64), ids), ids).sum()
+        want += sum(math.log(words[int(h)] / tokens[t]) for h, t in zip(hs, ids))
+        assert got[i].n_words == len(hs)
+        assert math.isclose(got[i].log_prob, want, rel_tol=1e-3, abs_tol=1e-6), (i, got[i].log_prob, want)
+
+
 def test_lm_on_odd_tables(odd, empty):
     rows = lm.lm_scores(odd, rounds=1).collect()
     assert sorted(r.n_words for r in rows) == sorted(len((t or "").encode().split()) for _, t, *_ in odd_rows())
