@@ -1,7 +1,7 @@
 """Helpers that the operators share."""
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +39,22 @@ def uniform(*key: Column | int) -> Column:
     """A double in [0, 1) that depends on ``key`` only."""
     cols = [F.lit(k).cast("long") if isinstance(k, int) else k for k in key]
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
+
+
+def plain_bytes(more: bytes = b"") -> bytes:
+    """A table for ``bytes.translate``: A-Z lower-cased; letters, bytes of non-ASCII characters
+    and ``more`` as they are; blanks for all else."""
+    letters = bytes(range(ord("a"), ord("z") + 1))
+    keep = {*letters, *range(0x80, 0x100), *more}
+    upper = {b - 32: b for b in letters}
+    return bytes(b if b in keep else upper.get(b, 0x20) for b in range(256))
+
+
+def term_blocks(raw: bytes, table: bytes, block: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The terms of a text, about ``block`` bytes of it at a time."""
+    plain, at = raw.translate(table), 0
+    while at < len(plain):
+        cut = plain.find(b" ", at + block)
+        cut = len(plain) if cut < 0 else cut
+        yield plain[at:cut].split()
+        at = cut

@@ -11,6 +11,7 @@ from ringlens.llm.lm import lm_scores
 from ringlens.llm.mix import mix_sources, taken_words
 from ringlens.llm.labelled import held_out
 from ringlens.llm.quality import quality_scores
+from ringlens.llm.search import search
 from ringlens.llm.shard import shard_rows
 from ringlens.llm.simhash import near_groups
 from ringlens.llm.substring import remove_repeats
@@ -188,6 +189,36 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_ranked_search"] = r"""
+WITH low AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b,
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), a, b), term) AS w FROM documents, low),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (
+  SELECT item_id, term, count(*) AS often
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), a, b), term)) AS term
+        FROM benchmark, low) GROUP BY 1, 2),
+x AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) SEMI JOIN q USING (term) GROUP BY 1, 2, 3),
+f AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+      FROM x, s GROUP BY term, n_docs),
+g AS (
+  SELECT item_id, doc_id,
+         sum(often * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM x JOIN f USING (term) JOIN q USING (term), s GROUP BY 1, 2)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM g WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -201,6 +232,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_substring_dedup,
         op10_shard_rows,
+        op13_ranked_search,
     )
 }
 
