@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ringlens.llm.common import table
 from ringlens.llm.decontam import contamination, is_contaminated
+from ringlens.llm.divergence import source_divergence
 from ringlens.llm.exact import exact_groups
 from ringlens.llm.lm import lm_scores
 from ringlens.llm.mix import mix_sources, taken_words
@@ -189,6 +190,43 @@ def op10_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+x AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM x GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM x SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY 1),
+g AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN c USING (lang, source) GROUP BY 1, 2),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 2)) // (v.total + 2 * v.v) AS q
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY 1, 2, 3),
+u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -232,6 +270,7 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_substring_dedup,
         op10_shard_rows,
+        op11_source_divergence,
         op13_ranked_search,
     )
 }
