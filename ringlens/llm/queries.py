@@ -9,6 +9,7 @@ from ringlens.llm.decontam import contamination, is_contaminated
 from ringlens.llm.divergence import source_divergence
 from ringlens.llm.exact import exact_groups
 from ringlens.llm.lm import lm_scores
+from ringlens.llm.minhash import minhash_groups
 from ringlens.llm.mix import mix_sources, taken_words
 from ringlens.llm.labelled import held_out
 from ringlens.llm.quality import quality_scores
@@ -227,6 +228,14 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -271,6 +280,7 @@ QUERIES = {
         op9_substring_dedup,
         op10_shard_rows,
         op11_source_divergence,
+        op12_minhash_near_dedup,
         op13_ranked_search,
     )
 }
