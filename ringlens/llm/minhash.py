@@ -280,9 +280,8 @@ def minhash_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id", perce
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     rows = settled(docs.select(F.monotonically_increasing_id().alias("row"), row), "rows")
-    found = minhash_groups(
-        rows.select(F.col(f"doc.`{text}`").alias("text"), F.struct(F.isnull(f"doc.`{id}`").alias("none"), F.col(f"doc.`{id}`").alias("id"), "row").alias("id")),
-        percent=percent, width=width,
-    )
-    keep = found.groupBy("group").agg(F.min("id").alias("id")).select("id.row")
+    own = F.col(f"doc.`{id}`")
+    name = F.struct(own.isNull().alias("none"), own.alias("id"), "row").alias("name")
+    found = minhash_groups(rows.select(F.col(f"doc.`{text}`").alias("text"), name), "text", "name", percent, width)
+    keep = found.groupBy("group").agg(F.min("id").alias("name")).select("name.row")
     return rows.join(keep, "row", "left_semi").select("doc.*")
