@@ -56,7 +56,7 @@ def chats_report(messages: DataFrame) -> DataFrame:
 
 def chat_messages(messages: DataFrame) -> DataFrame:
     """Messages numbered within their chat in time order."""
-    return ordered.running(messages, ["chat_id"], ["turn"], F.col("turn"), ordered.number("place"))
+    return ordered.running(messages, ["chat_id"], ["turn"], ordered.number("place"))
 
 
 def visitor_sessions(hits: DataFrame) -> DataFrame:
@@ -84,9 +84,7 @@ def communications(**parts: DataFrame) -> DataFrame:
 def call_details(legs: DataFrame, employees: DataFrame) -> DataFrame:
     """Time line of each call: its legs numbered in order, with the participant."""
     order = ["leg_time", "leg_no", "employee_id", "number_id", "charge"]
-    placed = ordered.running(
-        legs, ["call_id"], order, ordered.time_place("leg_time"), ordered.number("place")
-    )
+    placed = ordered.running(legs, ["call_id"], order, ordered.number("place"))
     return placed.join(employees, "employee_id", "left")
 
 
@@ -244,7 +242,6 @@ def person_timeline(parts: dict[str, DataFrame]) -> DataFrame:
         together,
         ["person_id"],
         ["at", "communication_type", "ref_id"],
-        ordered.time_place("at"),
         ordered.number("place"),
     )
 

@@ -170,7 +170,7 @@ def batch_cap(rows: DataFrame, batch: str, order: list[str], cap: int) -> DataFr
     """
     from ringlens.operators.ordered import number, running
 
-    placed = running(rows, [batch], order, F.col(order[0]), number("place"))
+    placed = running(rows, [batch], order, number("place"))
     return placed.withColumn("rejected", F.col("place") > cap)
 
 

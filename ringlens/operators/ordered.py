@@ -1,10 +1,12 @@
 """Ordered computations per key that survive a key holding a large share of all rows.
 
-A plain window sends every row of a key to one task. Here the input is settled once and its
-keys are counted (with map-side combine). Rows of ordinary keys are windowed per key. A heavy
-key is cut into pieces of like row counts, at quantiles of its leading order column: its rows
-are windowed inside (key, piece), piece totals are carried over the key's pieces, and the
-carry is joined back on (key, piece). A NULL key is a key like any other.
+A plain window sends every row of a key to one task. Here the rows of each key are counted
+first, from the scan and with map-side combine. Where no key is heavy, which is the rule, the
+rows are windowed as they come and nothing is written. The rows of heavy keys alone are put
+in order by range partitions and settled; each partition is a piece of about ``HEAVY_ROWS``
+rows, whatever the size of the table. Rows are windowed inside (key, piece), piece totals are
+carried over a key's pieces, and the carry is joined back on (key, piece). A NULL key is a
+key like any other.
 """
 from __future__ import annotations
 
@@ -15,12 +17,9 @@ from pyspark.sql import functions as F
 
 from ringlens.session import settled
 
-GROUP, PIECE, PLACE = "__group", "__piece", "__place"
-# A key is heavy beyond this many rows or one HEAVY_KEYS-th of all rows, whichever is more:
-# so there are at most HEAVY_KEYS heavy keys, and as many pieces, at any size.
+GROUP, PIECE = "__group", "__piece"
+# A key with more rows is heavy, and a piece has about as many.
 HEAVY_ROWS = 1_000_000
-HEAVY_KEYS = 4096
-STRIDE = 64  # edges between two coarse edges
 
 
 @dataclass(frozen=True)
@@ -37,12 +36,6 @@ class Running:
     inclusive: bool = True
 
 
-def time_place(ts: str | Column) -> Column:
-    """Where a row lies on the time line: microseconds."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
-
-
 def number(name: str) -> Running:
     """Row number within the key."""
     return Running(name, "sum", F.lit(1).cast("long"))
@@ -58,28 +51,27 @@ def following(name: str, value: Column) -> Running:
 
 @dataclass(frozen=True)
 class Line:
-    """Settled rows with their key, their piece of it (NULL for an ordinary key) and order."""
+    """Rows with their key, their piece of it (NULL for an ordinary key) and order."""
 
     rows: DataFrame
     order: tuple[str, ...]
     heavy: bool
 
     @staticmethod
-    def of(df: DataFrame, keys: list[str], order: list[str], place: Column) -> Line:
-        """``place`` is numeric and must not decrease along ``order``; NULL comes first."""
-        df = df.withColumn(PLACE, place.cast("double"))
-        if keys:
-            base = settled(df, "line").withColumn(GROUP, F.struct(*keys))
-        else:  # one group: a stored value, as joins on a constant would be pairings
-            base = settled(df.withColumn(GROUP, F.struct(F.lit(0).alias("all"))), "line")
-        limit = max(HEAVY_ROWS, base.count() // HEAVY_KEYS)
-        heavy = base.groupBy(GROUP).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > limit)
-        heavy = settled(heavy, "heavy-keys")
-        if heavy.isEmpty():
+    def of(df: DataFrame, keys: list[str], order: list[str]) -> Line:
+        """``order`` is total within a key; NULL comes first."""
+        base = df.withColumn(GROUP, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
+        counts = base.groupBy(GROUP).agg(F.count("*").alias("__rows"))
+        heavy = settled(counts.filter(F.col("__rows") > HEAVY_ROWS), "heavy-keys")
+        rows = heavy.agg(F.sum("__rows")).first()[0]
+        if not rows:
             return Line(base.withColumn(PIECE, F.lit(None).cast("int")), tuple(order), False)
-        cuts = settled(_cuts(base, heavy, limit), "cuts")
-        rows = base.join(cuts, GROUP, "left").withColumn(PIECE, _piece(F.col(PLACE)))
-        return Line(rows.drop("__coarse", "__edges"), tuple(order), True)
+        if not keys:  # all rows are heavy; a join on a constant would be a pairing
+            return Line(_pieces(base, order, rows), tuple(order), True)
+        pieces = _pieces(base.join(heavy.select(GROUP), GROUP, "left_semi"), order, rows)
+        ordinary = base.join(heavy.select(GROUP), GROUP, "left_anti")
+        ordinary = ordinary.withColumn(PIECE, F.lit(None).cast("int"))
+        return Line(ordinary.unionByName(pieces), tuple(order), True)
 
     def add(self, df: DataFrame, *specs: Running) -> DataFrame:
         """One column per spec on ``df``: ``rows``, or what came of them by adding columns."""
@@ -87,41 +79,22 @@ class Line:
 
     @staticmethod
     def bare(df: DataFrame) -> DataFrame:
-        return df.drop(GROUP, PIECE, PLACE)
-
-
-def _cuts(base: DataFrame, heavy: DataFrame, limit: int) -> DataFrame:
-    """Edges between the pieces of each heavy key: as many quantiles as it has limits of rows."""
-    steps = [i / HEAVY_KEYS for i in range(1, HEAVY_KEYS)]
-    quantiles = F.coalesce(
-        F.percentile_approx(PLACE, steps, 10 * HEAVY_KEYS), F.array().cast("array<double>")
-    )
-    apart = F.greatest(F.lit(1), F.floor(F.lit(HEAVY_KEYS * limit) / F.first("__rows"))).cast("int")
-    return (
-        base.join(heavy, GROUP)
-        .groupBy(GROUP)
-        .agg(quantiles.alias("__q"), apart.alias("__apart"))
-        .withColumn("__edges", F.array_distinct(F.filter("__q", lambda e, i: (i + 1) % F.col("__apart") == 0)))
-        .select(GROUP, "__edges", F.filter("__edges", lambda e, i: i % STRIDE == 0).alias("__coarse"))
-    )
+        return df.drop(GROUP, PIECE)
 
 
-def _piece(place: Column) -> Column:
-    """How many edges lie at or below ``place``: coarse edges first, then those between two."""
-    up_to = F.size(F.filter("__coarse", lambda e: e <= place))
-    between = F.slice("__edges", F.greatest(F.lit(1), (up_to - 1) * STRIDE + 1), F.lit(STRIDE))
-    fine = F.size(F.filter(between, lambda e: e <= place))
-    return F.when(F.col("__edges").isNotNull(), F.when(up_to > 0, (up_to - 1) * STRIDE + fine).otherwise(0))
+def _pieces(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The rows of the heavy keys in order, cut into pieces and settled with the piece.
 
+    The cuts follow the whole order, so rows that tie in its first column don't stay together.
+    """
+    pieces = -(-n // HEAVY_ROWS)
+    dealt = rows.repartitionByRange(pieces, GROUP, *order).withColumn(PIECE, F.spark_partition_id())
+    return settled(dealt, "pieces")
 
-def running(
-    df: DataFrame, keys: list[str], order: list[str], place: Column, *specs: Running
-) -> DataFrame:
-    """Add one column per spec, computed over each key in ``order`` (a total order).
 
-    ``place`` is numeric (a time: ``time_place``) and must not decrease along ``order``.
-    """
-    line = Line.of(df, keys, order, place)
+def running(df: DataFrame, keys: list[str], order: list[str], *specs: Running) -> DataFrame:
+    """Add one column per spec, computed over each key in ``order`` (a total order)."""
+    line = Line.of(df, keys, order)
     return line.bare(line.add(line.rows, *specs))
 
 
@@ -184,7 +157,7 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, name: str, positi
     NULL keys form a group.
     """
     base = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    line = Line.of(base.groupBy(*keys, "__v").agg(F.count("*").alias("__n")), keys, ["__v"], F.col("__v"))
+    line = Line.of(base.groupBy(*keys, "__v").agg(F.count("*").alias("__n")), keys, ["__v"])
     size = line.rows.groupBy(GROUP).agg(F.sum("__n").alias("__size"))
     cum = line.add(line.rows, Running("__cum", "sum", F.col("__n"))).join(size, GROUP)
     wanted = positions(F.col("__size"))

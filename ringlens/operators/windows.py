@@ -11,7 +11,6 @@ from ringlens.operators.ordered import (
     number,
     previous,
     running,
-    time_place,
 )
 
 KEY, TS, ID = "visitor_id", "date_time", "event_id"
@@ -30,7 +29,7 @@ def along(events: DataFrame, *specs: Running) -> DataFrame:
 
     Events without a visitor are a group of their own.
     """
-    return running(events, [KEY], [TS, ID], time_place(TS), *specs)
+    return running(events, [KEY], [TS, ID], *specs)
 
 
 def communication_number(comms: DataFrame) -> DataFrame:
@@ -102,7 +101,7 @@ def hit_durations(hits: DataFrame, gap_seconds: int) -> DataFrame:
 
 def sessionize(hits: DataFrame, gap_seconds: int) -> DataFrame:
     """Number the sessions of a visitor; a longer pause than ``gap_seconds`` starts one."""
-    line = Line.of(hits, [KEY], [TS, ID], time_place(TS))
+    line = Line.of(hits, [KEY], [TS, ID])
     with_prev = line.add(line.rows, previous("__prev", F.col(TS)))
     pause = seconds_between("__prev", TS)
     fresh = F.when(F.col("__prev").isNull() | (pause > gap_seconds), 1).otherwise(0)

@@ -57,6 +57,46 @@ def attribution_window(m):
     ).na.fill(-1)
 
 
+@query(
+    "attribution_paths",
+    f"""
+    SELECT event_id, touch_id, campaign_id, place, touches,
+      CASE WHEN place = 1 AND touches = 1 THEN 'only' WHEN place = 1 THEN 'first'
+        WHEN place = touches THEN 'last' ELSE 'middle' END AS role
+    FROM ({PAIRS_SQL}) WHERE touch_id IS NOT NULL
+    """,
+)
+def attribution_paths(m):
+    paths = at.touch_paths(
+        _kind(m, "view"), _kind(m, "purchase"), "visitor_id", "date_time", "event_id", DAYS, ["campaign_id"]
+    )
+    first, last = F.col("place") == 1, F.col("place") == F.col("touches")
+    role = F.when(first & last, "only").when(first, "first").when(last, "last").otherwise("middle")
+    return paths.select(
+        "event_id", F.col("touch").alias("touch_id"), "campaign_id", "place", "touches", role.alias("role")
+    )
+
+
+CHAIN_SQL = f"""
+    SELECT string_agg(coalesce(campaign_id::VARCHAR, ''), ' > ' ORDER BY place) AS chain, any_value(amount) AS amount
+    FROM ({PAIRS_SQL}) WHERE touch_id IS NOT NULL AND touches <= 5 GROUP BY event_id"""
+
+
+@query(
+    "attribution_chains",
+    f"""
+    SELECT chain, count(*) AS conversions, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+    FROM ({CHAIN_SQL}) GROUP BY 1
+    """,
+)
+def attribution_chains(m):
+    comms = _kind(m, "purchase")
+    paths = at.touch_paths(
+        _kind(m, "view"), comms, "visitor_id", "date_time", "event_id", DAYS, ["campaign_id"]
+    )
+    return at.path_chains(paths, comms, "event_id", "campaign_id", "amount", most=5)
+
+
 @query(
     "last_session_asof",
     f"""

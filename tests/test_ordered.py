@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ringlens.operators import attribution as at
 from ringlens.operators import ordered
 from ringlens.operators.joins import longest_prefix
-from ringlens.operators.ordered import Running, running, time_place
+from ringlens.operators.ordered import Running, running
 
 START = datetime(2024, 1, 1)
 
@@ -30,7 +30,7 @@ def test_running(spark, monkeypatch, heavy):
     rows = sample()
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int, v int")
     out = running(
-        df, ["k"], ["ts", "id"], time_place("ts"),
+        df, ["k"], ["ts", "id"],
         Running("total", "sum", F.col("v")),
         Running("before", "sum", F.col("v"), inclusive=False),
         Running("last", "last", F.col("v"), inclusive=False),
@@ -116,7 +116,7 @@ def test_null_keys_and_times(spark, monkeypatch, heavy):
     ]
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int, v int")
     out = running(
-        df, ["k"], ["ts", "id"], time_place("ts"),
+        df, ["k"], ["ts", "id"],
         Running("total", "sum", F.col("v")), Running("next", "next", F.col("v"), inclusive=False),
     ).collect()
     place = lambda t, i: (t is not None, t or START, i)
