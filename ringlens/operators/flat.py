@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ringlens.functions.numbers import money, money_sum, ratio
 from ringlens.operators import ordered
+from ringlens.operators.attribution import asof
 from ringlens.operators.windows import seconds_between
 
 
@@ -94,6 +95,28 @@ def deals(deals_: DataFrame, contacts: DataFrame, links: DataFrame) -> DataFrame
     return deals_.join(contacts, "contact_id", "left").join(counts, "contact_id", "left")
 
 
+def deal_links(deals_: DataFrame, **parts: DataFrame) -> DataFrame:
+    """The communications of each deal, a row each: ``deal_id, communication_type, ref_id, at``.
+
+    Each part has ``ref_id``, ``at`` and either the ``deal_id`` it was made for or the
+    ``contact_id`` it was made by; the keyword is its type. A contact's communication belongs
+    to the contact's last deal created at or before it (chosen rule), so every communication
+    is one row at most and nothing is paired.
+    """
+    columns = ["deal_id", "communication_type", "ref_id", "at"]
+    own = deals_.select(F.col("call_id").alias("deal_id"), "contact_id", F.col("start_time").alias("__since"))
+    linked = []
+    direct = {name: df for name, df in parts.items() if "deal_id" in df.columns}
+    if direct:
+        linked.append(communications(**direct).join(own.select("deal_id"), "deal_id", "left_semi").select(*columns))
+    by_contact = {name: df for name, df in parts.items() if name not in direct}
+    if by_contact:
+        rows = communications(**by_contact).filter(F.col("contact_id").isNotNull())
+        found = asof(rows, own, "contact_id", "at", "ref_id", "__since", "deal_id", ["deal_id"])
+        linked.append(found.filter(F.col("deal_id").isNotNull()).select(*columns))
+    return reduce(DataFrame.unionByName, linked)
+
+
 def leads(deals_: DataFrame) -> DataFrame:
     """One row per lead (a contact) summarising its deals; the deals stay rows of their own."""
     rank = F.struct("start_time", "call_id")

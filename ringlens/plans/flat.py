@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from ringlens.functions.numbers import money_sum
 from ringlens.operators import filters as flt
 from ringlens.operators import flat as fl
+from ringlens.operators import sessions as ss
 from ringlens.operators import windows as wn
+from ringlens.operators.windows import seconds_between
 from ringlens.plans.aggregates import WIDE_SQL, dsum
 from ringlens.plans.registry import query
 from ringlens.plans.windows import CAMPAIGN_SQL, GAP, ORDER, campaign, secs
@@ -141,6 +143,98 @@ def visitor_sessions(m):
     return fl.visitor_sessions(wn.sessionize(hits, GAP))
 
 
+# hits open sessions; purchases and errors are the communications of the sample data
+HIT_KINDS, COMM_KINDS = ("view", "click"), ("purchase", "error")
+SESSION_ROWS = f"""
+WITH line AS (
+  SELECT event_id, user_id AS visitor_id, ts, event_type, value, event_type IN {HIT_KINDS} AS is_hit,
+    CASE WHEN event_type IN {HIT_KINDS} THEN ts END AS hit_ts,
+    CASE WHEN event_type IN {HIT_KINDS} THEN 0 ELSE 1 END AS side
+  FROM events WHERE event_type IN {HIT_KINDS + COMM_KINDS}),
+seen AS (
+  SELECT *, max(hit_ts) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev,
+    min(hit_ts) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt
+  FROM line WINDOW w AS (PARTITION BY visitor_id ORDER BY ts, side, event_id)),
+opened AS (
+  SELECT *, is_hit AND (prev IS NULL OR {secs('prev', 'ts')} > {GAP}) AS opens,
+    is_hit OR coalesce({secs('prev', 'ts')} <= {GAP}, false) AS inside FROM seen),
+carried AS (
+  SELECT *, sum(opens::INT) OVER w AS no, max(CASE WHEN opens THEN ts END) OVER w AS start
+  FROM opened WINDOW w AS (PARTITION BY visitor_id ORDER BY ts, side, event_id ROWS UNBOUNDED PRECEDING)),
+numbered AS (
+  SELECT *, CASE WHEN inside THEN no::BIGINT END AS session_no, CASE WHEN inside THEN start END AS session_start,
+    CASE WHEN is_hit AND {secs('ts', 'nxt')} <= {GAP} THEN {secs('ts', 'nxt')} END AS hit_duration
+  FROM carried),
+sessions AS (
+  SELECT visitor_id, session_no, min(ts) AS start_time, max(hit_ts) AS end_time,
+    count(*) FILTER (WHERE is_hit) AS hits_count, count(*) FILTER (WHERE NOT is_hit) AS communications_count,
+    arg_min(event_id, (ts, event_id)) FILTER (WHERE is_hit) AS entrance_id,
+    arg_max(event_id, (ts, event_id)) FILTER (WHERE is_hit) AS exit_id
+  FROM numbered WHERE session_no IS NOT NULL GROUP BY 1, 2)"""
+
+
+def _streams(m):
+    events = m.events().select("event_id", "visitor_id", "date_time", "kind", "amount")
+    hits = events.filter(F.col("kind").isin(*HIT_KINDS)).drop("amount")
+    return hits, events.filter(F.col("kind").isin(*COMM_KINDS))
+
+
+@query(
+    "session_communications",
+    f"""{SESSION_ROWS}
+    SELECT event_id, visitor_id, event_type AS kind, coalesce(session_no, -1) AS session_no,
+      coalesce({secs('session_start', 'ts')}, -1) AS seconds_in
+    FROM numbered WHERE NOT is_hit""",
+)
+def session_communications(m):
+    rows = ss.session_rows(*_streams(m), GAP).filter("NOT is_hit")
+    return rows.select(
+        "event_id", "visitor_id", "kind", "session_no",
+        seconds_between("session_start", "date_time").alias("seconds_in"),
+    ).na.fill(-1)
+
+
+@query(
+    "session_summary",
+    f"""{SESSION_ROWS}
+    SELECT *, {secs('start_time', 'end_time')} AS duration FROM sessions""",
+)
+def session_summary(m):
+    return ss.session_summary(ss.session_rows(*_streams(m), GAP))
+
+
+@query(
+    "visitor_sessions_nested",
+    f"""{SESSION_ROWS},
+    page AS (
+      SELECT * FROM sessions ORDER BY communications_count DESC, start_time DESC, visitor_id, session_no
+      LIMIT 50 OFFSET 10),
+    lists AS (
+      SELECT visitor_id, session_no,
+        string_agg(event_id || ':' || event_type || ':' || coalesce(hit_duration, -1), ',' ORDER BY ts, event_id)
+          FILTER (WHERE is_hit) AS hits,
+        string_agg(event_id || ':' || event_type, ',' ORDER BY ts, event_id) FILTER (WHERE NOT is_hit) AS communications
+      FROM numbered WHERE session_no IS NOT NULL GROUP BY 1, 2)
+    SELECT visitor_id, session_no, start_time, hits_count, communications_count, hits,
+      coalesce(communications, '') AS communications, coalesce(c_mktsegment, '') AS segments
+    FROM page JOIN lists USING (visitor_id, session_no) LEFT JOIN customer ON c_custkey = visitor_id""",
+)
+def visitor_sessions_nested(m):
+    segments = m.contacts().select(F.col("contact_id").alias("visitor_id"), F.col("segment").alias("segment_name"))
+    page = ss.nested_page(
+        *_streams(m), segments, GAP, [("communications_count", "desc"), ("start_time", "desc")], 50, 10,
+        hit_fields=("event_id", "kind", "hit_duration"), comm_fields=("event_id", "kind"),
+    )
+    hit = lambda h: F.concat_ws(":", h["event_id"], h["kind"], F.coalesce(h["hit_duration"], F.lit(-1)))
+    comm = lambda c: F.concat_ws(":", c["event_id"], c["kind"])
+    return page.select(
+        "visitor_id", "session_no", "start_time", "hits_count", "communications_count",
+        F.array_join(F.transform("hits", hit), ",").alias("hits"),
+        F.array_join(F.transform("communications", comm), ",").alias("communications"),
+        F.array_join("segments", ",").alias("segments"),
+    )
+
+
 @query(
     "visits_list",
     f"""SELECT event_id AS visit_id, ts AS date_time, user_id AS visitor_id, {CAMPAIGN_SQL} AS campaign_id
@@ -227,6 +321,29 @@ def deals_list(m):
     )
 
 
+@query(
+    "deal_communications",
+    """
+    SELECT l_orderkey AS deal_id, 'leg' AS communication_type, l_linenumber::BIGINT AS ref_id, l_shipdate AS at
+    FROM lineitem SEMI JOIN orders ON l_orderkey = o_orderkey
+    UNION ALL
+    SELECT o_orderkey, event_type, event_id, ts FROM
+      (SELECT * FROM events WHERE event_type IN ('purchase', 'error')) e ASOF JOIN
+      (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2) o
+      ON e.user_id = o.o_custkey AND e.ts >= o.o_orderdate
+    """,
+)
+def deal_communications(m):
+    legs = m.legs().select(
+        F.col("call_id").alias("deal_id"), F.col("leg_no").cast("long").alias("ref_id"), F.col("leg_time").alias("at")
+    )
+    made = m.events().select(
+        F.col("visitor_id").alias("contact_id"), F.col("event_id").alias("ref_id"), F.col("date_time").alias("at"), "kind"
+    )
+    parts = {k: made.filter(F.col("kind") == k).drop("kind") for k in ("purchase", "error")}
+    return fl.deal_links(m.calls(), leg=legs, **parts)
+
+
 @query(
     "leads_list",
     f"""

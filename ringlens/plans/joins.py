@@ -1,9 +1,13 @@
 """Join queries."""
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlens.functions.numbers import money_sum
+from ringlens.operators import conditions as cn
 from ringlens.operators import joins as jn
 from ringlens.operators.joins import CampaignCondition
 from ringlens.plans.aggregates import WIDE_SQL, dsum
@@ -247,6 +251,82 @@ def campaign_score(m):
     return scored.select("page_id", "score", "campaign_id").na.fill(-1)
 
 
+# campaigns whose conditions lie in a table: one for each nation, and one for each host
+CONDITION_SQL = f"""
+WITH visit AS {VISIT_SQL},
+host AS (SELECT host, min(page_id) AS first_page FROM visit WHERE host IS NOT NULL GROUP BY 1),
+cond AS (
+  SELECT n_nationkey AS campaign_id, 'host' AS parameter, 'sub' AS operator,
+    CASE n_nationkey % 5 WHEN 0 THEN 'blog.' WHEN 1 THEN 'm.' WHEN 2 THEN '.org' WHEN 3 THEN 'the' ELSE 'e' END AS value
+  FROM nation
+  UNION ALL SELECT n_nationkey, 'path', '~', '^/(en|fr)/[0-9]*' || (n_nationkey % 10) || '([.]html)?/?$'
+  FROM nation WHERE n_nationkey % 3 = 0
+  UNION ALL SELECT n_nationkey, 'path', 'sub', '/' || (n_nationkey % 9 + 1) FROM nation WHERE n_nationkey % 3 = 1
+  UNION ALL SELECT n_nationkey, 'utm_source', '=', 'feed' FROM nation WHERE n_nationkey % 3 = 2
+  UNION ALL SELECT 1000000 + first_page, 'host', '=', host FROM host),
+hit AS (
+  SELECT page_id, site_id, campaign_id, c.parameter, operator, value,
+    CASE operator WHEN '=' THEN v.text = value WHEN 'sub' THEN contains(v.text, value)
+      ELSE regexp_matches(v.text, value) END AS holds
+  FROM cond c JOIN (
+    SELECT page_id, site_id, 'host' AS parameter, host AS text FROM visit
+    UNION ALL SELECT page_id, site_id, 'path', path FROM visit
+    UNION ALL SELECT page_id, site_id, 'utm_source', utm_source FROM visit) v USING (parameter))"""
+
+
+def _condition_table(m):
+    k = F.col("campaign_id").cast("long")
+    nations = m.campaigns().select(k.alias("campaign_id"))
+    part = F.element_at(F.array(*[F.lit(x) for x in ("blog.", "m.", ".org", "the", "e")]), (F.col("campaign_id") % 5 + 1).cast("int"))
+    hosts = _visits(m).filter("host IS NOT NULL").groupBy("host").agg(F.min("page_id").alias("first_page"))
+
+    def rows(frame, parameter, operator, value):
+        return frame.select("campaign_id", F.lit(parameter).alias("parameter"), F.lit(operator).alias("operator"), value.alias("value"))
+
+    digit = lambda n, more: (F.col("campaign_id") % n + more).cast("string")
+    pattern = F.concat(F.lit("^/(en|fr)/[0-9]*"), digit(10, 0), F.lit("([.]html)?/?$"))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rows(nations, "host", "sub", part),
+            rows(nations.filter("campaign_id % 3 = 0"), "path", "~", pattern),
+            rows(nations.filter("campaign_id % 3 = 1"), "path", "sub", F.concat(F.lit("/"), digit(9, 1))),
+            rows(nations.filter("campaign_id % 3 = 2"), "utm_source", "=", F.lit("feed")),
+            rows(hosts.withColumn("campaign_id", F.col("first_page") + 1000000), "host", "=", F.col("host")),
+        ],
+    )
+
+
+@query(
+    "campaign_match_table",
+    f"""{CONDITION_SQL}
+    SELECT page_id, campaign_id FROM (
+      SELECT page_id, campaign_id, count(*) FILTER (WHERE holds) AS met FROM hit GROUP BY 1, 2)
+    JOIN (SELECT campaign_id, count(*) AS n FROM cond GROUP BY 1) USING (campaign_id) WHERE met = n
+    """,
+)
+def campaign_match_table(m):
+    return cn.assign_campaigns(_visits(m), "page_id", _condition_table(m))
+
+
+@query(
+    "campaign_score_table",
+    f"""{CONDITION_SQL},
+    scored AS (
+      SELECT page_id, campaign_id, sum(((site_id * 3 + CASE parameter WHEN 'utm_source' THEN 0 WHEN 'host' THEN 2
+        ELSE 4 END) % 7 + 1) * holds::INT) AS score FROM hit GROUP BY 1, 2),
+    best AS (SELECT page_id, max(score) AS score, arg_min(campaign_id, (-score, campaign_id)) AS campaign_id
+      FROM scored WHERE score > 0 GROUP BY 1)
+    SELECT v.page_id, coalesce(score, 0)::BIGINT AS score, coalesce(campaign_id, -1) AS campaign_id
+    FROM visit v LEFT JOIN best USING (page_id)
+    """,
+)
+def campaign_score_table(m):
+    weights = m.spark.createDataFrame(WEIGHTS, "site_id long, parameter string, weight int")
+    scored = cn.score_campaigns(_visits(m), "page_id", _condition_table(m), weights)
+    return scored.na.fill(-1, ["campaign_id"])
+
+
 # (stage, order, name)
 STAGES = [("O", 1, "new"), ("P", 2, "in progress"), ("F", 3, "closed")]
 
