@@ -149,15 +149,20 @@ def _added(df: DataFrame, order: list[str], heavy: bool, specs) -> DataFrame:
     return joined.withColumns(final).drop(*carries)
 
 
-def exact_quantile(df: DataFrame, keys: list[str], value: str, name: str, positions) -> DataFrame:
+def exact_quantile(
+    df: DataFrame, keys: list[str], value: str, name: str, positions, times: Column | None = None
+) -> DataFrame:
     """Mean of the values at the 1-based ``positions(size)`` of each key's values in order.
 
     No key's values meet in one task: equal values are counted first, the counts are
     accumulated in value order, and the positions are read off. NULL values don't count;
-    NULL keys form a group.
+    NULL keys form a group. ``times``: how often a row's value occurs, where it isn't once.
     """
-    base = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    line = Line.of(base.groupBy(*keys, "__v").agg(F.count("*").alias("__n")), keys, ["__v"])
+    times = F.lit(1).cast("long") if times is None else times
+    base = df.filter(F.col(value).isNotNull()).select(
+        *keys, F.col(value).cast("double").alias("__v"), times.alias("__times")
+    )
+    line = Line.of(base.groupBy(*keys, "__v").agg(F.sum("__times").alias("__n")), keys, ["__v"])
     size = line.rows.groupBy(GROUP).agg(F.sum("__n").alias("__size"))
     cum = line.add(line.rows, Running("__cum", "sum", F.col("__n"))).join(size, GROUP)
     wanted = positions(F.col("__size"))
@@ -167,10 +172,12 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, name: str, positi
     return hit.groupBy(*keys).agg(((F.min("__v") + F.max("__v")) / 2).alias(name))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, name: str, times: Column | None = None
+) -> DataFrame:
     """Exact median per key: the middle value, or the mean of the two middle ones."""
     return exact_quantile(
-        df, keys, value, name, lambda n: (F.floor((n + 1) / 2), F.floor(n / 2) + 1)
+        df, keys, value, name, lambda n: (F.floor((n + 1) / 2), F.floor(n / 2) + 1), times
     )
 
 

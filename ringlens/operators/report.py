@@ -30,7 +30,10 @@ AGGREGATES = {
     "total": lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long")),
     "money_total": lambda c: F.sum(c).cast("double"),
     "average_total": lambda c: F.sum(c["sum"]).cast("double") / F.nullif(F.sum(c["n"]), F.lit(0)),
+    "sketch_total": lambda c: F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0).cast("long")),
 }
+# aggregates of values, not of rows: computed apart and joined on the dimensions
+APART = ("median", "counted_median", "counted_distinct")
 
 
 @dataclass(frozen=True)
@@ -148,34 +151,52 @@ def scoped(df: DataFrame, spec: ReportSpec) -> DataFrame:
 
 
 def aggregate(df: DataFrame, dims: list[str | Column], metrics, extra=()) -> DataFrame:
-    """Group once for all metrics; exact medians are computed apart and joined on the dimensions."""
-    plain = [m for m in metrics if m.agg != "median"]
-    medians = [m for m in metrics if m.agg == "median"]
+    """Group once for all metrics; medians and what is counted by value are computed apart and
+    joined on the dimensions."""
+    plain = [m for m in metrics if m.agg not in APART]
+    apart = [m for m in metrics if m.agg in APART]
     aggs = [m.aggregate() for m in plain] + list(extra)
-    if not medians:
-        return df.groupBy(*dims).agg(*aggs) if dims else df.agg(*aggs)
-    out = df.groupBy(*dims).agg(*(aggs or [F.count("*").alias("__rows")]))
+    rows = df.filter(F.col(KIND) == "") if KIND in df.columns else df
+    if not apart:
+        return rows.groupBy(*dims).agg(*aggs) if dims else rows.agg(*aggs)
+    out = rows.groupBy(*dims).agg(*(aggs or [F.count("*").alias("__rows")]))
     names = [d for d in dims]
-    for m in medians:
-        side = exact_median(df.withColumn("__m", m.source()), names, "__m", m.name)
+    for m in apart:
+        side = values_apart(df, names, m)
         renamed = side.select(*[F.col(n).alias(f"__r_{n}") for n in names], m.name)
         if names:
             match = [F.col(n).eqNullSafe(F.col(f"__r_{n}")) for n in names]
             out = out.join(renamed, match, "left").drop(*[f"__r_{n}" for n in names])
         else:
             out = out.withColumn(m.name, side.scalar())
-    return out.drop("__rows")
+    counts = [m.name for m in apart if m.agg == "counted_distinct"]
+    return (out.na.fill(0, counts) if counts else out).drop("__rows")
+
+
+def values_apart(df: DataFrame, names: list[str], m: Metric) -> DataFrame:
+    """One metric of values per ``names``."""
+    if m.agg == "median":
+        return exact_median(df.withColumn("__m", m.source()), names, "__m", m.name)
+    counted = df.filter(F.col(KIND) == m.column)
+    if m.agg == "counted_median":
+        return exact_median(counted, names, m.column, m.name, F.col("__times"))
+    once = counted.groupBy(*names, m.column).agg(F.lit(1).alias("__once"))
+    return once.groupBy(*names).agg(F.count("*").alias(m.name))
 
 
 # aggregate -> (partial form, aggregate that merges the partial values); an average is kept
-# as (sum, count)
+# as (sum, count), an approximate distinct count as a sketch
 DECOMPOSED = {
     "count": (F.count, "total"),
     "sum": (lambda c: F.sum(money(c)), "money_total"),
     "min": (F.min, "min"),
     "max": (F.max, "max"),
     "avg": (lambda c: F.struct(F.sum(money(c)).alias("sum"), F.count(c).alias("n")), "average_total"),
+    "approx_count_distinct": (F.hll_sketch_agg, "sketch_total"),
 }
+# aggregate -> what merges counted values: rows of (keys, value, times)
+COUNTED = {"count_distinct": "counted_distinct", "median": "counted_median"}
+KIND = "__kind"
 
 
 def preaggregate(df: DataFrame, spec: ReportSpec, keys: list[str]) -> tuple[DataFrame, ReportSpec]:
@@ -183,19 +204,33 @@ def preaggregate(df: DataFrame, spec: ReportSpec, keys: list[str]) -> tuple[Data
 
     Returns partial rows per (keys, report dimensions the fact has itself) and the report
     that merges them. A key with very many fact rows leaves each map task as one row, so it
-    can neither skew the join nor the shuffle before it. Counts, sums, averages,
-    minima and maxima only.
+    can neither skew the join nor the shuffle before it. Distinct counts and medians need the
+    values: for each of them follow rows of (keys, value, how often), marked by their kind, so
+    a key leaves a map task as one row per distinct value. The report reads only the rows of
+    the kind that a metric needs, and the other branches fall out of that plan.
     """
     own = [d for d in spec.dimensions if d in df.columns or d in spec.derived]
-    partial, merged = [], []
+    group = list(dict.fromkeys([*keys, *own]))
+    fact = scoped(df, spec)
+    partial, merged, counted = [], [], []
     for m in spec.metrics:
+        if m.agg in COUNTED:
+            value = f"__v_{m.name}"
+            rows = fact.withColumn(value, m.source()).filter(F.col(value).isNotNull())
+            counted.append(
+                rows.groupBy(*group, value).agg(F.count("*").alias("__times")).withColumn(KIND, F.lit(value))
+            )
+            merged.append(Metric(m.name, COUNTED[m.agg], value))
+            continue
         if m.agg not in DECOMPOSED:
             raise ValueError(f"aggregate {m.agg!r} cannot be merged from parts")
         first, then = DECOMPOSED[m.agg]
         partial.append(first(m.source()).alias(f"__p_{m.name}"))
         merged.append(Metric(m.name, then, f"__p_{m.name}"))
-    group = list(dict.fromkeys([*keys, *own]))
-    rows = scoped(df, spec).groupBy(*group).agg(*partial)
+    rows = fact.groupBy(*group).agg(*(partial or [F.count("*").alias("__rows")]))
+    if counted:
+        parts = [rows.withColumn(KIND, F.lit("")), *counted]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     rest = replace(
         spec, metrics=tuple(merged), tenant=None, date_from=None, date_till=None, filter=None,
         rapid_filter=None, derived={},
@@ -253,17 +288,18 @@ def report_level(df: DataFrame, spec: ReportSpec, parents: tuple = ()) -> DataFr
 def report_tree(df: DataFrame, spec: ReportSpec) -> DataFrame:
     """Every level of the dimension tree and the grand total from one scan.
 
-    Exact medians are computed once per level and joined to it.
+    Medians and counted values are computed once per level and joined to it.
     """
     dims, rows = list(spec.dimensions), scoped(df, spec)
-    plain = [m.aggregate() for m in spec.metrics if m.agg != "median"]
-    out = rows.rollup(*dims).agg(F.grouping_id().alias("level_mask"), *plain)
+    plain = [m.aggregate() for m in spec.metrics if m.agg not in APART]
+    whole = rows.filter(F.col(KIND) == "") if KIND in rows.columns else rows
+    out = whole.rollup(*dims).agg(F.grouping_id().alias("level_mask"), *plain)
     for m in spec.metrics:
-        if m.agg != "median":
+        if m.agg not in APART:
             continue
         levels = []
         for depth in range(len(dims) + 1):
-            side = exact_median(rows.withColumn("__m", m.source()), dims[:depth], "__m", m.name)
+            side = values_apart(rows, dims[:depth], m)
             levels.append(
                 side.select(
                     F.lit((1 << (len(dims) - depth)) - 1).cast("long").alias("__level"),
@@ -278,6 +314,7 @@ def report_tree(df: DataFrame, spec: ReportSpec) -> DataFrame:
         match += [F.col(d).eqNullSafe(F.col(f"__r_{d}")) for d in dims]
         joined = out.join(reduce(DataFrame.unionByName, levels), match, "left")
         out = joined.drop("__level", *[f"__r_{d}" for d in dims])
+        out = out.na.fill(0, [m.name]) if m.agg == "counted_distinct" else out
     return finish(out, spec, ["level_mask", *dims], paged=False)
 
 

@@ -52,6 +52,61 @@ def star(m, spec, contacts=None):
     return rows.join(contacts, "contact_id", "left"), merged
 
 
+VALUE_METRICS = (
+    CALLS, REVENUE,
+    Metric("average", "avg", "revenue"),
+    Metric("least", "min", "revenue"),
+    Metric("most", "max", "revenue"),
+    Metric("tags", "count_distinct", "tag"),
+    Metric("open_days", "count_distinct", "day", Cond("status", "=", "O")),
+    Metric("median", "median", "revenue"),
+    Metric("contacts", "count_distinct", "contact_id"),
+    Metric("about_contacts", "approx_count_distinct", "contact_id"),
+)
+VALUES_SQL = f"""count(*) AS calls, {dsum('o_totalprice')} AS revenue,
+      {dsum('o_totalprice')} / count(*) AS average, min(o_totalprice) AS least, max(o_totalprice) AS most,
+      count(DISTINCT o_orderpriority) AS tags,
+      count(DISTINCT CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d') END) AS open_days,
+      median(o_totalprice) AS median, count(DISTINCT o_custkey) AS contacts, true AS about_right"""
+
+
+def _values(m, spec):
+    calls = m.calls().withColumn("day", F.date_format("start_time", "yyyy-MM-dd"))
+    rows, merged = rp.preaggregate(calls, spec, ["contact_id"])
+    return rows.join(m.contacts_wide(), "contact_id", "left"), merged
+
+
+def _about(df):
+    near = F.abs(F.col("about_contacts") - F.col("contacts")) <= F.greatest(F.lit(2), F.col("contacts") * 0.05)
+    return df.withColumn("about_right", near).drop("about_contacts")
+
+
+@query(
+    "report_values",
+    f"""SELECT n_name AS campaign_name, {VALUES_SQL} FROM {WIDE_SQL} GROUP BY 1""",
+)
+def report_values(m):
+    rows, spec = _values(m, ReportSpec(dimensions=("campaign_name",), metrics=VALUE_METRICS, limit=None))
+    return _about(rp.report_table(rows, spec))
+
+
+@query(
+    "report_values_tree",
+    f"""
+    SELECT CAST(grouping(r_name, c_mktsegment) AS BIGINT) AS level_mask, r_name AS site_name,
+      c_mktsegment AS segment, {VALUES_SQL} FROM {WIDE_SQL} GROUP BY ROLLUP (r_name, c_mktsegment)""",
+)
+def report_values_tree(m):
+    rows, spec = _values(m, ReportSpec(dimensions=("site_name", "segment"), metrics=VALUE_METRICS, limit=None))
+    return _about(rp.report_tree(rows, spec))
+
+
+@query("report_values_total", f"SELECT {VALUES_SQL} FROM orders")
+def report_values_total(m):
+    rows, spec = _values(m, ReportSpec(dimensions=(), metrics=VALUE_METRICS))
+    return _about(rp.report_total(rows, spec))
+
+
 TREE_SPEC = ReportSpec(
     dimensions=("site_name", "campaign_name", "segment"), metrics=(CALLS, REVENUE), limit=None
 )
