@@ -20,8 +20,8 @@ SHINGLE, PERCENT = 2, 80
 #: A signature has 256 bins, of which the bands use 42 * 6: two sets with a similarity of 0.8
 #: share no band once in 300,000 times, two with 0.1 share one once in 20,000.
 BIN_BITS, BANDS, ROWS = 8, 42, 6
-#: Centres of a bucket's stars in the first round; each round takes eight times as many.
-CENTRES, MORE = 1, 8
+#: Centres of a bucket's stars in the first round; each round takes 64 times as many.
+CENTRES, MORE = 1, 64
 #: Members that are compared with one copy of their centre's text.
 STAR = 2000
 #: Bytes of text hashed at a time, words whose hashes a task remembers.
@@ -188,7 +188,7 @@ def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, wi
 
     In each bucket the nodes with the most company in all their buckets are centres, and only
     pairs with a centre are compared, on the whole sets. Then linked nodes form components.
-    Buckets whose other nodes lie in several components go through further rounds with eight
+    Buckets whose other nodes lie in several components go through further rounds with 64
     times as many centres each, until every pair of a bucket was compared or lies in one
     component: no candidate pair is lost, and copies of one text, however many, need a star.
     """
@@ -198,15 +198,16 @@ def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, wi
     weights = met.groupBy("node").agg((-F.sum("size")).alias("weight"))
     active = met.drop("size").join(weights, "node")
     texts = settled(signed.select(F.col("tag").alias("node"), "packed").join(weights.select("node"), "node", "left_semi"), "met-texts")
-    links = roots = tried = None
+    roots = tried = None
     centres = CENTRES
     while True:
-        if roots is not None:
+        if roots is None:
+            active = active.withColumn("part", F.col("node"))
+        else:
             active = active.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+        if tried is not None:
             mixed = active.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
             active = active.join(mixed.select("bucket"), "bucket", "left_semi")
-        else:
-            active = active.withColumn("part", F.col("node"))
         active = settled(active, "active")
         if active.isEmpty():
             return roots if roots is not None else active.select("node", F.col("node").alias("root"))
@@ -224,9 +225,10 @@ def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, wi
             pairs = pairs.join(tried, ["centre", "node"], "left_anti")
         pairs = settled(pairs, "candidates")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = settled(confirmed(pairs, texts, percent, width), "confirmed")
-        links = found if links is None else links.unionByName(found)
-        roots = settled(components(links).withColumnRenamed("code", "node"), "roots")
+        found = None if pairs.isEmpty() else settled(confirmed(pairs, texts, percent, width), "confirmed")
+        if found is not None and not found.isEmpty():
+            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if roots is not None else found.limit(0)
+            roots = components(known.unionByName(found)).withColumnRenamed("code", "node")
         last = heads.groupBy("bucket").agg(F.max(F.struct("c_weight", "c_node")).alias("last"))
         active = (
             active.drop("part").join(last, "bucket")
