@@ -17,7 +17,7 @@ SHINGLE, SEED, DIFFERENCES = 3, 42, 2
 #: Nodes with more fingerprints are refined: then 48 of 64 bits are fixed, 2**16 are left.
 DENSE = 4096
 #: Children of an index node, and fingerprints searched at a time.
-FAN, BATCH = 8, 512
+FAN, BATCH = 8, 4096
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
 
@@ -65,45 +65,56 @@ def document_codes(docs: DataFrame, text: str, id: str) -> DataFrame:
     )
 
 
-def _index(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Levels of nodes over Gray-sorted codes, the root's level first.
+def _within(counts: np.ndarray) -> np.ndarray:
+    """The place of each member inside its group, for groups of ``counts`` members."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
-    A node covers ``FAN`` neighbours of the level below. It is a mask of the bits that they
-    all share and the pattern of these bits.
+
+def _index(codes: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Trees over the Gray-sorted codes of many groups, the roots' level first.
+
+    A node covers ``FAN`` neighbours of the level below in its group. It is a mask of the bits
+    that they all share and the pattern of these bits. Each level comes with the number of its
+    nodes in every group; the groups have equally many levels.
     """
-    masks, patterns = np.full(len(codes), ~np.uint64(0)), codes
-    levels = [(masks, patterns)]
-    while len(masks) > 1:
-        firsts = np.arange(0, len(masks), FAN)
-        odd = (patterns ^ np.repeat(patterns[firsts], FAN)[: len(masks)]) | ~masks
+    masks, patterns, counts = np.full(len(codes), ~np.uint64(0)), codes, sizes
+    levels = [(masks, patterns, counts)]
+    while counts.max(initial=1) > 1:
+        firsts = np.flatnonzero(_within(counts) % FAN == 0)
+        covered = np.diff(np.r_[firsts, len(masks)])
+        odd = (patterns ^ np.repeat(patterns[firsts], covered)) | ~masks
         masks = ~np.bitwise_or.reduceat(odd, firsts)
         patterns = patterns[firsts] & masks
-        levels.append((masks, patterns))
+        counts = -(-counts // FAN)
+        levels.append((masks, patterns, counts))
     return levels[::-1]
 
 
-def _search(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places whose codes differ in at most ``DIFFERENCES`` bits, by tree descent.
+def _search(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places, of one group, whose codes differ in at most ``DIFFERENCES`` bits, by
+    tree descent.
 
     Differences add up on the way down, each level counting the bits that it fixes anew; a
     node beyond the limit drops all that lies below it.
     """
-    levels = _index(codes)
+    levels = _index(codes, sizes)
+    of = np.repeat(np.arange(len(sizes)), sizes)
     left, right = [], []
     for at in range(0, len(codes), BATCH):
-        queries = np.arange(at, min(at + BATCH, len(codes)))
-        who, node = queries, np.zeros(len(queries), np.int64)
-        apart, above = np.zeros(len(queries), np.int64), np.zeros(len(queries), np.uint64)
-        for depth, (masks, patterns) in enumerate(levels):
+        who = np.arange(at, min(at + BATCH, len(codes)))
+        place = np.zeros(len(who), np.int64)
+        apart, above = np.zeros(len(who), np.int64), np.zeros(len(who), np.uint64)
+        for depth, (masks, patterns, counts) in enumerate(levels):
             if depth:
-                children = (node[:, None] * FAN + np.arange(FAN)).ravel()
-                real = children < len(masks)
-                who, apart, above = (np.repeat(x, FAN)[real] for x in (who, apart, above))
-                node = children[real]
+                place = (place[:, None] * FAN + np.arange(FAN)).ravel()
+                who, apart, above = (np.repeat(x, FAN) for x in (who, apart, above))
+                real = place < counts[of[who]]
+                who, place, apart, above = who[real], place[real], apart[real], above[real]
+            node = (np.cumsum(counts) - counts)[of[who]] + place
             fresh = masks[node] & ~above
             apart = apart + np.bitwise_count((codes[who] ^ patterns[node]) & fresh)
             near = apart <= DIFFERENCES
-            who, node, apart, above = who[near], node[near], apart[near], masks[node[near]]
+            who, place, apart, above, node = who[near], place[near], apart[near], masks[node[near]], node[near]
         ahead = node > who
         left.append(who[ahead])
         right.append(node[ahead])
@@ -124,29 +135,25 @@ def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         root = nxt
 
 
-#: Groups up to this size are compared neighbour by neighbour, all groups at once.
-SMALL = 32
-
-
 def _links(group: np.ndarray, codes: np.ndarray) -> pd.DataFrame:
     """A star for every component of linked codes within a group; rows sorted by group and
-    Gray rank."""
+    Gray rank. Groups whose trees have equally many levels are searched together."""
     n = len(codes)
     begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[begins, n])
-    left, right = [], []
-    small = np.repeat(sizes <= SMALL, sizes)
-    for step in range(1, min(SMALL, int(sizes.max(initial=1)))):
-        a = np.flatnonzero(small[:-step] & (group[step:] == group[:-step]))
-        a = a[np.bitwise_count(codes[a] ^ codes[a + step]) <= DIFFERENCES]
-        left.append(a)
-        right.append(a + step)
-    for begin, size in zip(begins[sizes > SMALL], sizes[sizes > SMALL]):
-        a, b = _search(codes[begin : begin + size])
-        left.append(a + begin)
-        right.append(b + begin)
-    if not left:
-        return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+    depths = np.zeros(len(sizes), np.int64)
+    counts = sizes
+    while counts.max(initial=1) > 1:
+        depths += counts > 1
+        counts = -(-counts // FAN)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for depth in range(1, depths.max(initial=0) + 1):
+        own = depths == depth
+        if own.any():
+            places = np.repeat(begins[own], sizes[own]) + _within(sizes[own])
+            a, b = _search(codes[places], sizes[own])
+            left.append(places[a])
+            right.append(places[b])
     root = _roots(n, np.concatenate(left), np.concatenate(right))
     member = np.flatnonzero(root != np.arange(n))
     signed = codes.view(np.int64)
@@ -223,12 +230,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating stars: every node hands its larger neighbours to its smallest, then its
     smaller ones, until each component is one star. Each round is settled in the shared
-    folder, counted there, and takes sums that combine before the shuffle.
+    folder, and takes aggregates that combine before the shuffle.
     """
     edges = settled(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
@@ -241,10 +247,16 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = settled(small, "small-star")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        # stars: who has a neighbour below has only that one, and is nobody's neighbour below
+        ends = edges.select(F.explode(F.array(
+            F.struct(F.col("u").alias("node"), F.col("v").alias("below")),
+            F.struct(F.col("v").alias("node"), F.lit(None).cast(edges.schema["v"].dataType).alias("below")),
+        )).alias("e")).select("e.*")
+        odd = ends.groupBy("node").agg(
+            F.count("below").alias("n"), F.count("*").alias("all"), F.min("below").alias("low"), F.max("below").alias("high")
+        ).filter("n > 0 AND (n < all OR low < high)")
+        if odd.isEmpty():
             return edges.select(F.col("u").alias("code"), F.col("v").alias("root"))
-        seen = state
 
 
 def near_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
