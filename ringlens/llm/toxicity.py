@@ -1,4 +1,4 @@
-"""Toxicity: non-negative positive-unlabelled learning on hashed word stems."""
+"""Toxicity: non-negative positive-unlabelled learning on hashed words, stems and parts."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -11,21 +11,26 @@ from pyspark.sql import functions as F
 
 from ringlens.llm.common import whole
 from ringlens.llm.labelled import held_out, sample_texts, sigmoid
+from ringlens.llm.substring import word_hashes
 
-#: Hash space of features; prefix lengths (bytes) of a word that are features, besides
-#: the word's first eight bytes.
+#: Hash space of features; prefix lengths (bytes) of a word that are features, besides the
+#: whole word.
 BITS = 18
 PREFIXES = (4, 5, 6)
+#: Words with more bytes have the runs of so many bytes that begin at a later character as
+#: features too: the stems inside of compounds, and the words of scripts without blanks.
+LONG, PART = 8, 6
 #: Text bytes whose words are taken at a time.
 CHUNK = 1 << 20
 #: Positive and unlabelled documents to learn from, and bytes of each kind.
-SAMPLE, SAMPLE_BYTES = 10000, 32 << 20
+SAMPLE, SAMPLE_BYTES = 10000, 40 << 20
 #: Least log-likelihood ratio (Poisson) of a feature's count among toxic texts.
 SURPRISE = 8.0
 
 
 def word_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Text numbers and feature numbers of every word: hashes of its prefixes and itself.
+    """Text numbers and feature numbers of every word: hashes of its prefixes, of all of it,
+    and of the parts of a long one.
 
     Words are runs of digits, letters (A-Z lower-cased) and non-ASCII bytes.
     """
@@ -35,23 +40,31 @@ def word_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
     edges = np.diff(inside[codes].view(np.int8), prepend=np.int8(0))
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    length = np.minimum(end - start, 8).astype(np.uint64)
-    head = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))[start]
+    length = end - start
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
     begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
     doc = np.searchsorted(begins, start, side="right") - 1
-    docs, features = [], []
-    eight, full = np.uint64(8), np.uint64(64)
-    for width in (*PREFIXES, 0):
-        if width:
-            keep = length >= width
-            key = head[keep] & np.uint64((1 << 8 * width) - 1)
-        else:
-            keep = length > 0
-            key = head[keep] & (~np.uint64(0) >> (full - eight * length[keep]))
-        mixed = (key ^ np.uint64(width << 60)) * np.uint64(0x9E3779B97F4A7C15)
+    docs, keys, kinds = [], [], []
+
+    def add(own: np.ndarray, key: np.ndarray, kind: int) -> None:
+        docs.append(own)
+        keys.append(key)
+        kinds.append(kind)
+
+    for width in PREFIXES:
+        keep = length >= width
+        add(doc[keep], eight[start[keep]] & np.uint64((1 << 8 * width) - 1), width)
+    add(doc, word_hashes(data, start, end), 0)
+    long = length > LONG
+    parts = length[long] - PART
+    at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + np.repeat(start[long] + 1, parts)
+    first = codes[at] & 0xC0 != 0x80  # the first byte of a character
+    add(np.repeat(doc[long], parts)[first], eight[at[first]] & np.uint64((1 << 8 * PART) - 1), 7)
+    features = []
+    for key, kind in zip(keys, kinds):
+        mixed = (key ^ np.uint64(kind << 60)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        docs.append(doc[keep])
         features.append((mixed >> np.uint64(64 - BITS)).astype(np.int64))
     return np.concatenate(docs), np.concatenate(features)
 
@@ -169,7 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc
 def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id", **settings) -> DataFrame:
     """``id, score`` of every row: how likely its text is toxic, from 0 to 1.
 
-    Every word of a whole text counts; null and empty texts get the score of a text without
+    Every word of a whole text counts, and all of each word; null and empty texts get the score of a text without
     any telling word. Null and repeated ids are scored like others, null labels are not
     learnt from, and other columns are not read. Empty tables: no rows, or without labels
     the least score for every row.
@@ -191,7 +204,13 @@ def scorer(model: Model):
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id", limit: float = 0.5, **settings) -> DataFrame:
-    """The documents that score below ``limit``, with all their columns as they came."""
+    """The documents that score below ``limit``, with all their columns as they came.
+
+    A document is judged by its text alone: null and empty texts score as one without any
+    telling word and stay, long ones are read whole, repeated rows and equal texts get one
+    verdict, null and repeated ids stay, and no column's name matters but those given. An
+    empty table gives an empty one; without labels every document stays.
+    """
     model = learn(docs, labels, text, id, **settings)
     score = F.pandas_udf(lambda t: pd.Series(model.score([x.encode("utf-8", "surrogatepass") for x in t])), "double")
     return docs.filter(score(whole(text)) < limit)
