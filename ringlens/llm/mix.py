@@ -12,8 +12,9 @@ from ringlens.session import settled
 #: Multiplier of the golden-ratio sequence in 32-bit fractions: floor(2**32 / golden ratio).
 GOLDEN = 2654435769
 ONE = 1 << 32
-#: Slots of the schedule: at least this many, and one more for each 2**20 words of the mix.
-LEAST_SLOTS, WORDS_A_SLOT = 1 << 14, 1 << 20
+#: Slots of the schedule: so many (or one a word, if that is less), and one more for each 2**20
+#: words of the mix.
+SLOTS, WORDS_A_SLOT = 1 << 16, 1 << 20
 #: Random buckets in which a source's documents are put in order, and slots ranked at a time.
 ORDER_BUCKETS, RANK_CHUNK = 4096, 4096
 #: Most times that a word is taken.
@@ -24,8 +25,8 @@ EPOCHS = 2
 class Mix:
     """``input``: tag, id, source, size and, where asked for, all columns in ``doc``.
     ``documents``: the same but doc, with sid. ``sources``: sid, source, source_size, weight,
-    target, quota, slots. ``pieces``: the mix itself, a row per run of words taken from one
-    document into one slot."""
+    target, quota, slots, end (the words its slots take). ``pieces``: the mix itself, a row
+    per run of words taken from one document into one slot."""
 
     input: DataFrame
     documents: DataFrame
@@ -98,18 +99,22 @@ def schedule(spark, sources: DataFrame, slots: int) -> DataFrame:
     )
 
 
-def _block_start(rank: Column) -> Column:
-    """First word of a block: quota / slots words a block, the first ones one word longer."""
-    short, longer = F.floor(F.col("quota") / F.col("slots")), F.col("quota") % F.col("slots")
-    return rank * short + F.least(rank, longer)
+def _div(a: Column, b: Column) -> Column:
+    """Whole quotient of products that may outgrow a long."""
+    return F.call_function("div", a, b)
 
 
-def _block_of(word: Column) -> Column:
-    short, longer = F.floor(F.col("quota") / F.col("slots")), F.col("quota") % F.col("slots")
-    edge = longer * (short + 1)
-    return F.when(word < edge, F.floor(word / (short + 1))).otherwise(
-        longer + F.floor((word - edge) / F.greatest(short, F.lit(1)))
-    )
+def _wide(c: Column) -> Column:
+    return c.cast("decimal(19,0)")
+
+
+def _block_start(rank: Column, words: int, slots: int) -> Column:
+    """First word of a source's block of that rank; the blocks of all sources are equal, to a word."""
+    return _div(_wide(rank) * _wide(F.lit(words)), _wide(F.lit(slots)))
+
+
+def _block_of(word: Column, words: int, slots: int) -> Column:
+    return _div(_wide(word + 1) * _wide(F.lit(slots)) - 1, _wide(F.lit(words)))
 
 
 def mix_sources(
@@ -118,12 +123,13 @@ def mix_sources(
 ) -> Mix:
     """A mix of all sources by target weight, ``percent`` of the input's words long.
 
-    A document's size is its number of words. Each source's documents are put in a random
-    order (by a digest of seed and id) and laid on a line, twice over for a second epoch; the
-    line is cut into equal blocks, as many as the source has slots in a low-discrepancy
-    schedule, and the slot of rank r takes block r. So every stretch of the mix has nearly the
-    target proportions, each source gives its target to the word (``quota``), and no word is
-    taken more than twice.
+    A document's size is its number of words. The mix is a row of slots of equally many
+    words; a low-discrepancy schedule gives every slot to a source, so every stretch of slots
+    has nearly the target proportions, and a source's share is the number of its slots. Each
+    source's documents are put in a random order (by a digest of seed and id) and laid on a
+    line, twice over for a second epoch; the slot of rank r takes the r-th block of the line.
+    What a source gives differs from its target by a few blocks at most, and no word is taken
+    more than twice: a block beyond that is left short.
 
     Prefix sums over a source are taken in random buckets with summed offsets, so a source
     with a third of all documents is never in one task; source tables are one row a source.
@@ -131,7 +137,8 @@ def mix_sources(
     Null texts and texts without words have size 0 and give nothing; a null source is a
     source of its own, the last one; a source without words has target 0. Null and repeated
     ids, and rows that repeat in full, are documents of their own. An empty table gives empty
-    frames. A source too small for any point of the schedule gets one slot at its end.
+    frames. A source too small for any point of the schedule gets one slot at its end, with
+    the words of its target.
     """
     spark = docs.sparkSession
     words = F.regexp_count(whole(text), F.lit(WORD)).cast("long")
@@ -150,12 +157,17 @@ def mix_sources(
     )
     targets = settled(targets, "mix-targets")
     total = targets.agg(F.sum("quota")).first()[0] or 0
-    slots = LEAST_SLOTS + total // WORDS_A_SLOT
+    slots = max(1, min(SLOTS, total) + total // WORDS_A_SLOT)
+    total = max(total, 1)
     planned = settled(schedule(spark, targets, slots), "mix-schedule")
     counts = planned.groupBy("sid").agg(F.count("*").alias("slots"))
+    most = EPOCHS * F.col("source_size")
     sources = settled(
         targets.join(counts, "sid", "left").withColumn("scheduled", F.col("slots").isNotNull())
-        .withColumn("slots", F.coalesce("slots", F.lit(1)).cast("long")),
+        .withColumn("slots", F.coalesce("slots", F.lit(1)).cast("long"))
+        .withColumn("end", F.when(
+            F.col("scheduled"), F.least(_block_start(F.col("slots"), total, slots), most)
+        ).otherwise(F.col("quota"))),
         "mix-sources",
     )
     closing = sources.filter("NOT scheduled AND quota > 0").select(
@@ -176,53 +188,62 @@ def mix_sources(
         .withColumn("offset", F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n"))
         .drop("n")
     )
+    # a source without a scheduled slot has one block, as long as its target
+    rank_of = lambda word: F.when(F.col("scheduled"), _block_of(word, total, slots)).otherwise(0)
     laid = (
         line.withColumn("place", F.sum("size").over(within) - F.col("size"))
         .join(before, ["sid", "bucket"])
-        .join(sources.select("sid", "source_size", "quota", "slots"), "sid")
+        .join(sources.select("sid", "source_size", F.col("end").alias("line_end"), "scheduled"), "sid")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1))))
         .withColumn("first", F.col("offset") + F.col("place") + F.col("epoch") * F.col("source_size"))
-        .withColumn("end", F.least(F.col("first") + F.col("size"), F.col("quota")))
+        .withColumn("end", F.least(F.col("first") + F.col("size"), F.col("line_end")))
         .filter("first < end")
-        .withColumn("rank", F.explode(F.sequence(_block_of(F.col("first")), _block_of(F.col("end") - 1))))
+        .withColumn("rank", F.explode(F.sequence(rank_of(F.col("first")), rank_of(F.col("end") - 1))))
     )
     rank = F.col("rank")
-    start = F.greatest(F.col("first"), _block_start(rank))
-    end = F.least(F.col("end"), _block_start(rank + 1))
+    start = F.when(F.col("scheduled"), F.greatest(F.col("first"), _block_start(rank, total, slots))).otherwise(F.col("first"))
+    stop = F.when(F.col("scheduled"), F.least(F.col("end"), _block_start(rank + 1, total, slots))).otherwise(F.col("end"))
     pieces = laid.select(
         "sid", "rank", "tag", "id", "epoch", (start - F.col("first")).alias("first_word"),
-        (end - start).alias("n_words"),
+        (stop - start).alias("n_words"), start.alias("position"),
     ).join(planned, ["sid", "rank"])
     return Mix(raw, documents, sources, pieces)
 
 
 def taken_words(mix: Mix) -> DataFrame:
-    """``id, size, source_size, target, taken`` (and ``tag``) of every document."""
-    taken = mix.pieces.groupBy("tag").agg(F.sum("n_words").alias("taken"))
+    """``id, size, source_size, target, taken, first_slot, n_slots`` (and ``tag``) of every
+    document; ``first_slot`` is NULL where nothing is taken."""
+    taken = mix.pieces.groupBy("tag").agg(
+        F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_slots")
+    )
     return (
         mix.documents.join(mix.sources.select("sid", "source_size", "target"), "sid")
         .join(taken, "tag", "left")
-        .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+        .withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("taken", "n_slots")})
     )
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", **settings) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", stretch: int = 1 << 10, **settings
+) -> DataFrame:
     """The mix as documents, with the columns that came: a row for each time that words of
-    a document are taken.
+    a document are taken, in the order of the slots.
 
-    A document whose words are taken in part (at most one a source, where its target ends)
-    has the words taken, joined by blanks, and its length in ``n_chars`` if that exists. A
-    document none of whose words are taken is not in the mix.
+    Rows lie together by stretches of ``stretch`` slots and, within a stretch, in the order of
+    slot and place, so a reader that takes the stretches as they come reads the mix. A
+    document whose words are taken in part (at most one a source, where its slots end) has
+    the words taken, joined by blanks, and its length in ``n_chars`` if that exists. One none
+    of whose words are taken is not in the mix. Null, empty, tied and repeated rows are as in
+    ``mix_sources``; columns of any name are carried along.
     """
     mix = mix_sources(docs, text=text, payload=True, **settings)
-    taken = taken_words(mix).filter("taken > 0").select("tag", "taken")
-    rows = mix.input.select("tag", "size", "doc").join(taken, "tag").withColumn(
-        "time", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
+    times = mix.pieces.groupBy("tag", "epoch").agg(
+        F.sum("n_words").alias("own"), F.min("slot").alias("slot"), F.min("position").alias("position")
     )
-    own = F.least(F.col("size"), F.col("taken") - (F.col("time") - 1) * F.col("size"))
-    cut = own < F.col("size")
+    rows = mix.input.select("tag", "size", "doc").join(times, "tag")
+    cut = F.col("own") < F.col("size")
     full = F.col(f"doc.`{text}`")
-    part = F.array_join(F.slice(F.regexp_extract_all(full, F.lit(f"({WORD})")), F.lit(1), own.cast("int")), " ")
+    part = F.array_join(F.slice(F.regexp_extract_all(full, F.lit(f"({WORD})")), F.lit(1), F.col("own").cast("int")), " ")
     rows = rows.withColumn("cut", cut).withColumn("part", F.when(cut, part))
 
     def column(name: str) -> Column:
@@ -233,4 +254,6 @@ def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str | None = "
             came = F.when(F.col("cut"), F.char_length("part").cast(docs.schema[name].dataType)).otherwise(came)
         return came.alias(name)
 
-    return rows.select(*[column(c) for c in docs.columns])
+    rows = rows.select(F.struct(*[column(c) for c in docs.columns]).alias("doc"), "slot", "position")
+    together = rows.repartition(F.floor(F.col("slot") / stretch)).sortWithinPartitions("slot", "position")
+    return together.select("doc.*")

@@ -46,7 +46,10 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, text_sha256 FROM r
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = taken_words(mix_sources(table(spark, sf_dir, "documents")))
-    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return taken.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken",
+        F.coalesce("first_slot", F.lit(-1)).alias("first_slot"), "n_slots",
+    )
 
 
 SQL["op2_mix_sources"] = r"""
@@ -71,15 +74,37 @@ t AS (
   SELECT f.*, CASE WHEN l.rk IS NULL OR f.rk < l.rk THEN (2 * source_size)::DOUBLE
               ELSE (weight * l.num)::DOUBLE / l.den::DOUBLE END AS target
   FROM f LEFT JOIN l ON true),
+u AS (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM t),
+g AS (
+  SELECT greatest(sum(quota), 1)::BIGINT AS words,
+         greatest(1, least(65536, sum(quota)) + sum(quota) // 1048576)::BIGINT AS slots FROM u),
+i AS (
+  SELECT sid, floor((upto - quota)::DOUBLE / words::DOUBLE * 4294967296.0)::BIGINT AS low,
+         floor(upto::DOUBLE / words::DOUBLE * 4294967296.0)::BIGINT AS high
+  FROM (SELECT sid, quota, sum(quota) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) AS upto FROM u), g),
+z AS (
+  SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+  FROM (SELECT slot, (slot * 2654435769) % 4294967296 AS point FROM (SELECT unnest(range(slots)) AS slot FROM g))
+  JOIN i ON low <= point AND point < high),
+e AS (
+  SELECT u.sid, source, source_size, target, words, slots, n,
+         CASE WHEN n IS NULL THEN quota ELSE least((n::HUGEINT * words) // slots, 2 * source_size) END::BIGINT AS line_end
+  FROM u LEFT JOIN (SELECT sid, count(*) AS n FROM z GROUP BY 1) USING (sid), g),
 p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
-         (sum(d.size) OVER (PARTITION BY t.sid ORDER BY d.o, d.doc_id ROWS UNBOUNDED PRECEDING)
+  SELECT d.doc_id, d.size, e.*,
+         (sum(d.size) OVER (PARTITION BY e.sid ORDER BY d.o, d.doc_id ROWS UNBOUNDED PRECEDING)
           - d.size)::BIGINT AS a
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(a + size, quota) - a)
-        + greatest(0, least(a + size + source_size, quota) - a - source_size))::BIGINT AS taken
-FROM p
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+x AS (
+  SELECT *, CASE WHEN n IS NULL THEN 0 ELSE ((first + 1)::HUGEINT * slots - 1) // words END AS r1,
+         CASE WHEN n IS NULL THEN 0 ELSE (fin::HUGEINT * slots - 1) // words END AS r2
+  FROM (SELECT *, a + epoch * source_size AS first, least(a + epoch * source_size + size, line_end) AS fin
+        FROM p, (VALUES (0), (1)) v(epoch)))
+SELECT doc_id, size, source_size, target, sum(greatest(fin - first, 0))::BIGINT AS taken,
+       coalesce(min(CASE WHEN first < fin THEN coalesce(slot, x.sid + slots) END), -1)::BIGINT AS first_slot,
+       sum(CASE WHEN first < fin THEN r2 - r1 + 1 ELSE 0 END)::BIGINT AS n_slots
+FROM x LEFT JOIN z ON z.sid = x.sid AND z.rank = x.r1
+GROUP BY doc_id, size, source_size, target, x.sid, a
 """
 
 
