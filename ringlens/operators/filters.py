@@ -150,6 +150,10 @@ def sort_columns(sort) -> list[Column]:
     return out
 
 
+#: A page that ends within so many rows is a top-k; one further down is found by place.
+HEAP_ROWS = 100_000
+
+
 def page(
     df: DataFrame,
     sort: list[tuple[str, str]],
@@ -157,11 +161,21 @@ def page(
     limit: int = 50,
     offset: int = 0,
 ) -> DataFrame:
-    """One page of a fully ordered result; plans as a top-k, not as a full sort."""
+    """One page of a fully ordered result; ``tie_break`` is a unique key.
+
+    A page near the top plans as a top-k, not as a full sort. For one deep down, the sort
+    columns and the key alone are put in place, and the page's rows are joined to their places.
+    """
     named = {f for f, _ in sort}
     keys = list(sort) + [(c, "asc") for c in tie_break if c not in named]
-    ordered = order(df, keys)
-    return (ordered.offset(offset) if offset else ordered).limit(limit)
+    if offset + limit <= HEAP_ROWS:
+        ordered = order(df, keys)
+        return (ordered.offset(offset) if offset else ordered).limit(limit)
+    places = placed(df.select(*[f for f, _ in keys]), keys, "__place")
+    wanted = places.filter(F.col("__place").between(offset + 1, offset + limit))
+    wanted = settled(wanted.select(F.struct(*tie_break).alias("__key"), "__place"), "page")
+    rows = df.withColumn("__key", F.struct(*tie_break)).join(wanted, "__key")
+    return rows.orderBy("__place").drop("__key", "__place")
 
 
 def select_fields(df: DataFrame, fields: list[str] | None = None) -> DataFrame:

@@ -31,47 +31,36 @@ def dim_list(
 def tree(nodes: DataFrame, separator: str = " / ") -> DataFrame:
     """Path and depth of every node of an (id, parent_id, name) table.
 
-    Each round lifts the unfinished nodes by one level, joining them with the node table; a
-    parent is unique, so no join multiplies rows. Rounds end when no node has a parent left.
-    A node whose parents run in a circle, or into one, is on no tree: its path and depth are
-    NULL.
+    Every unfinished node knows a stretch of its path and the node above the stretch. A round
+    joins each with that node's own stretch, which doubles both, so a tree of depth d takes
+    about log2(d) rounds; ids are unique, so no join multiplies rows. Rounds end when no node
+    is unfinished, or none was finished: what is left then runs in a circle, or into one, is
+    on no tree, and has NULL for path and depth.
     """
     nodes = settled(nodes.select("id", "parent_id", "name"), "nodes")
-    above = nodes.select(
-        F.col("id").alias("__up"), F.col("parent_id").alias("__up_parent"), F.col("name").alias("__up_name")
-    )
-    rows = nodes.select(
-        "id",
-        F.col("name").alias("path"),
-        F.lit(0).alias("depth"),
-        F.col("parent_id").alias("__next"),
-    )
     known = nodes.select(F.col("id").alias("__up"))
-    rows = rows.join(known, F.col("__next") == F.col("__up"), "left").withColumn("__next", F.col("__up")).drop("__up")
-    done, left = [], rows
+    start = nodes.join(known, F.col("parent_id") == F.col("__up"), "left").select(
+        "id", F.col("name").alias("path"), F.lit(0).alias("depth"), F.col("__up").alias("__next")
+    )
+    done, left = [], start
     while True:
         left = settled(left, "tree")
-        top = left.filter("__next IS NULL").drop("__next")
-        left = left.filter("__next IS NOT NULL")
-        done.append(top)
+        top, left = left.filter("__next IS NULL"), left.filter("__next IS NOT NULL")
         if left.isEmpty():
-            break
-        if top.isEmpty():  # every depth up to the deepest has a node: what is left goes round
+            return reduce(DataFrame.unionByName, [*done, top]).drop("__next")
+        if done and top.isEmpty():
             lost = F.lit(None)
-            done.append(left.select("id", lost.cast("string").alias("path"), lost.cast("int").alias("depth")))
-            break
-        left = (
-            left.join(above, F.col("__next") == F.col("__up"))
-            .select(
-                "id",
-                F.concat("__up_name", F.lit(separator), "path").alias("path"),
-                (F.col("depth") + 1).alias("depth"),
-                F.col("__up_parent").alias("__parent"),
-            )
-            .join(known, F.col("__parent") == F.col("__up"), "left")
-            .select("id", "path", "depth", F.col("__up").alias("__next"))
+            circle = left.select("id", lost.cast("string").alias("path"), lost.cast("int").alias("depth"))
+            return reduce(DataFrame.unionByName, done).drop("__next").unionByName(circle)
+        done.append(top)
+        above = reduce(DataFrame.unionByName, [*done, left])
+        above = above.select(*[F.col(c).alias(f"__{c}") for c in ("id", "path", "depth")], F.col("__next").alias("__then"))
+        left = left.join(above, F.col("__next") == F.col("__id")).select(
+            "id",
+            F.concat("__path", F.lit(separator), "path").alias("path"),
+            (F.col("depth") + F.col("__depth") + 1).alias("depth"),
+            F.col("__then").alias("__next"),
         )
-    return reduce(DataFrame.unionByName, done)
 
 
 def filter_values(df: DataFrame, field: str) -> DataFrame:

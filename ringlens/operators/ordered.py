@@ -26,8 +26,8 @@ HEAVY_ROWS = 1_000_000
 class Running:
     """One derived column.
 
-    ``kind``: 'sum' (running sum), 'last' (latest non-null before the row) or 'next'
-    (earliest non-null after the row). ``inclusive`` counts the row itself.
+    ``kind``: 'sum' (running sum), 'max' (running maximum), 'last' (latest non-null before the
+    row) or 'next' (earliest non-null after the row). ``inclusive`` counts the row itself.
     """
 
     name: str
@@ -117,6 +117,10 @@ def _added(df: DataFrame, order: list[str], heavy: bool, specs) -> DataFrame:
             inside[s.name] = F.sum(s.value).over(local.rowsBetween(before, edge))
             totals.append(F.sum(s.value).alias(t))
             carries[t] = F.sum(t).over(pieces.rowsBetween(before, -1))
+        elif s.kind == "max":
+            inside[s.name] = F.max(s.value).over(local.rowsBetween(before, edge))
+            totals.append(F.max(s.value).alias(t))
+            carries[t] = F.max(t).over(pieces.rowsBetween(before, -1))
         elif s.kind == "last":
             inside[s.name] = F.last(s.value, True).over(local.rowsBetween(before, edge))
             totals.append(F.max_by(s.value, F.when(s.value.isNotNull(), rank)).alias(t))
@@ -144,6 +148,8 @@ def _added(df: DataFrame, order: list[str], heavy: bool, specs) -> DataFrame:
         t = F.col(f"__t_{s.name}")
         if s.kind == "sum":
             final[s.name] = F.coalesce(F.col(s.name), zero) + F.coalesce(t, zero)
+        elif s.kind == "max":
+            final[s.name] = F.greatest(F.col(s.name), t)
         else:
             final[s.name] = F.coalesce(F.col(s.name), t)
     return joined.withColumns(final).drop(*carries)

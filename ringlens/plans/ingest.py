@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from ringlens.operators import ingest as ig
 from ringlens.plans.registry import query
+from ringlens.session import shared_dir
+from ringlens.sources import store as st
 from ringlens.sources.model import named
 
 
@@ -229,9 +231,7 @@ def cost_spread(m):
     )
 
 
-@query(
-    "ingest_costs",
-    f"""
+ORACLE_COSTS = f"""
     WITH days AS (SELECT campaign_id, upload_id, cost / (upload_id % 4 + 1) AS daily_cost,
         unnest(generate_series(date_from, date_from + INTERVAL 1 DAY * (upload_id % 4), INTERVAL 1 DAY)) AS day
       FROM {UPLOAD_SQL}),
@@ -241,15 +241,20 @@ def cost_spread(m):
     SELECT campaign_id, strftime(day, '%Y-%m-%d') AS day, daily_cost FROM (
       SELECT campaign_id, day, daily_cost FROM latest WHERE daily_cost <> 0
       UNION ALL SELECT s.* FROM stored s ANTI JOIN latest USING (campaign_id, day))
-    """,
-)
-def ingest_costs(m):
-    stored = m.legs().select(
+    """
+
+
+def _daily_costs(m):
+    return m.legs().select(
         (F.col("employee_id") % 25).alias("campaign_id"),
         F.to_date("leg_time").alias("day"),
         F.lit(1.0).alias("daily_cost"),
     ).distinct()
-    out = ig.ingest_costs(_uploads(m), stored, ["upload_id"])
+
+
+@query("ingest_costs", ORACLE_COSTS)
+def ingest_costs(m):
+    out = ig.ingest_costs(_uploads(m), _daily_costs(m), ["upload_id"])
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
@@ -315,3 +320,62 @@ def apply_sales(m):
 def bulk_delete(m):
     ids = m.messages().filter("role = 'system'")
     return ig.delete_by_ids(m.messages(), ids, "chat_id").select("chat_id", "turn")
+
+
+STORED_SQL = """(SELECT o_orderkey AS ext_id, o_orderdate AS modified, o_totalprice AS amount, 0 AS version FROM orders
+      WHERE o_orderkey % 3 <> 0
+    UNION ALL SELECT l_orderkey, max(l_shipdate), sum(l_quantity), 1 FROM lineitem WHERE l_orderkey % 16 < 4 GROUP BY 1)"""
+
+
+def _deal_updates(m):
+    rows = m.legs().filter("call_id % 16 < 4").groupBy(F.col("call_id").alias("ext_id"))
+    return rows.agg(
+        F.max("leg_time").alias("modified"), F.sum(F.col("duration").cast("double")).alias("amount"), F.lit(1).alias("version")
+    )
+
+
+def _stored_deals(m):
+    """Two thirds of the deals stored, then the same upload twice."""
+    target = st.by_bucket(shared_dir(m.spark, "deals"), ["ext_id"], 16)
+    deals = m.calls().filter("call_id % 3 <> 0").select(
+        F.col("call_id").alias("ext_id"), F.col("start_time").alias("modified"), F.col("revenue").alias("amount"),
+        F.lit(0).alias("version"),
+    )
+    st.create(deals, target)
+    for _ in range(2):
+        st.upsert(_deal_updates(m), target, ["ext_id"], ["modified", "version"])
+    return target
+
+
+@query(
+    "stored_deals",
+    f"""SELECT * FROM {STORED_SQL}
+    QUALIFY row_number() OVER (PARTITION BY ext_id ORDER BY modified DESC, version DESC) = 1""",
+)
+def stored_deals(m):
+    return st.stored(m.spark, _stored_deals(m)).drop("bucket")
+
+
+@query(
+    "stored_deals_deleted",
+    f"""SELECT count(*) AS deals, CAST(sum(ext_id) AS BIGINT) AS ids FROM
+    (SELECT DISTINCT ext_id FROM {STORED_SQL}) WHERE ext_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""",
+)
+def stored_deals_deleted(m):
+    target = _stored_deals(m)
+    ids = m.calls().filter("status = 'P'").select(F.col("call_id").alias("ext_id"))
+    st.delete(ids, target, ["ext_id"])
+    return st.stored(m.spark, target).agg(F.count("*").alias("deals"), F.sum("ext_id").alias("ids"))
+
+
+@query("stored_costs", ORACLE_COSTS)
+def stored_costs(m):
+    """Costs stored by month; the uploads come in two parts, the second of them twice."""
+    target = st.by_month(shared_dir(m.spark, "costs"), "day")
+    st.create(_daily_costs(m), target)
+    uploads = _uploads(m)
+    middle = F.lit(uploads.agg(F.expr("percentile_approx(upload_id, 0.5)")).first()[0])
+    early, late = uploads.filter(F.col("upload_id") <= middle), uploads.filter(F.col("upload_id") > middle)
+    for part in (early, late, late):
+        st.upsert_costs(part, target, ["upload_id"])
+    return st.stored(m.spark, target).select("campaign_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "daily_cost")

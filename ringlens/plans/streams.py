@@ -8,9 +8,10 @@ from ringlens.operators.report import Metric, ReportSpec, report_table
 from ringlens.plans.aggregates import dsum
 from ringlens.plans.docs import CTE, catalog, doc_pages
 from ringlens.plans.registry import query
+from ringlens.plans.windows import secs
 from ringlens.session import shared_dir
 from ringlens.sources import sinks
-from ringlens.streaming import live
+from ringlens.streaming import live, stateful
 
 
 @query(
@@ -52,6 +53,75 @@ def ingest_stream(m):
     return ct.first_wins(written.select("ext_id", "ts"), ["ext_id"], ["ts"]).select("ext_id")
 
 
+VIEW_SESSIONS = f"""
+    SELECT visitor_id, min(ts) AS start_time, max(ts) AS last_time, count(*) AS visits FROM (
+      SELECT *, sum(fresh) OVER (PARTITION BY visitor_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS no FROM (
+        SELECT event_id, user_id AS visitor_id, ts, CASE WHEN {secs('lag(ts) OVER w', 'ts')} <= 1800 THEN 0 ELSE 1 END AS fresh
+        FROM events WHERE event_type = 'view' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)))
+    GROUP BY visitor_id, no"""
+
+
+def _sessions(m):
+    """The views arrive in five files, in time order, a file a batch."""
+    inbox, out = shared_dir(m.spark, "visits-inbox"), shared_dir(m.spark, "visits-open")
+    views = m.events().filter("kind = 'view'").select("visitor_id", "date_time")
+    span = views.agg(F.min("date_time"), F.max("date_time")).first()
+    share = F.lit((span[1] - span[0]).total_seconds() / 5 + 1)
+    part = F.floor(F.date_diff("date_time", F.lit(span[0])) * 86400 / share).cast("int")
+    for n in range(5):
+        views.filter(part == n).coalesce(1).write.mode("append").parquet(inbox)
+    stream = m.spark.readStream.schema(views.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    stateful.open_sessions(stream, out, 1800)
+    return out
+
+
+@query(
+    "open_sessions_stream",
+    f"""SELECT * FROM ({VIEW_SESSIONS})
+    WHERE {secs('last_time', "(SELECT max(ts) FROM events WHERE event_type = 'view')")} <= 1800""",
+)
+def open_sessions_stream(m):
+    rows = stateful.open_now(m.spark, _sessions(m))
+    return rows.select("visitor_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_time", "last_time")], "visits")
+
+
+@query("ended_sessions_stream", f"SELECT count(*) AS sessions, sum(visits)::BIGINT AS visits FROM ({VIEW_SESSIONS})")
+def ended_sessions_stream(m):
+    out = _sessions(m)
+    rows = stateful.ended(m.spark, out).unionByName(stateful.open_now(m.spark, out))
+    return rows.agg(F.count("*").alias("sessions"), F.sum("visits").alias("visits"))
+
+
+@query(
+    "ledgered_calls_stream",
+    """
+    WITH leg AS (SELECT l_orderkey AS ext_id, l_linenumber AS n, l_returnflag = 'A' AND l_quantity > 25 AS ok
+      FROM lineitem),
+    attempt AS (SELECT * FROM leg UNION ALL SELECT ext_id, n + 7, ok FROM leg WHERE n <= 2),
+    seen AS (
+      SELECT *, coalesce(sum(ok::INT) OVER w, 0) AS good, coalesce(sum((NOT ok)::INT) OVER w, 0) AS bad
+      FROM attempt WINDOW w AS (PARTITION BY ext_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT ext_id, count(*) AS attempts, coalesce(max(CASE WHEN ok THEN n END), -1) AS loaded_no
+    FROM seen WHERE good = 0 AND bad < 3 GROUP BY 1
+    """,
+)
+def ledgered_calls_stream(m):
+    """Attempts arrive in four batches by their number; the last one repeats the first."""
+    inbox, out = shared_dir(m.spark, "calls-inbox"), shared_dir(m.spark, "calls-loaded")
+    attempts = m.legs().select(
+        F.col("call_id").alias("ext_id"), F.col("leg_no").cast("long").alias("n"), "finish_reason", "duration"
+    )
+    for low, high, repeat in ((1, 2, 0), (3, 3, 0), (4, 7, 0), (1, 2, 7)):
+        rows = attempts.filter(F.col("n").between(low, high)).withColumn("n", F.col("n") + repeat)
+        rows.coalesce(1).write.mode("append").parquet(inbox)
+    stream = m.spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    ok = (F.col("finish_reason") == "A") & (F.col("duration") > 25)
+    stateful.ledgered(stream, out, ok, ["n"])
+    tried = stateful.ledger(m.spark, out).groupBy("ext_id").agg(F.count("*").alias("attempts"))
+    done = stateful.loaded(m.spark, out).select("ext_id", F.col("n").alias("loaded_no"))
+    return tried.join(done, "ext_id", "left").na.fill(-1, ["loaded_no"])
+
+
 @query(
     "pages_stream",
     f"""{CTE} SELECT page_id::VARCHAR AS path, strlen(html) > 0 AS read, false AS success FROM pages

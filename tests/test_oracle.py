@@ -14,7 +14,9 @@ ORDERED = [
     "lost_call_reaction", "hit_durations", "session_hits", "visitor_sessions", "tags_history",
     "state_history", "employee_stat", "person_timeline", "call_details", "chat_messages",
     "batch_cap", "attribution_window", "attribution_first", "attribution_last",
-    "attribution_linear", "attribution_position", "last_session_asof",
+    "attribution_linear", "attribution_position", "last_session_asof", "attribution_paths",
+    "attribution_chains", "session_communications", "session_summary", "visitor_sessions_nested",
+    "deal_communications", "report_values", "open_sessions_stream", "ledgered_calls_stream",
 ]
 
 

@@ -151,12 +151,57 @@ def test_facts_without_a_key_stay(spark, monkeypatch, heavy):
     ],
 )
 def test_pieces_follow_the_rows(spark, monkeypatch, places):
+    """As many pieces as the rows need, also where rows tie in the first order column."""
     monkeypatch.setattr(ordered, "HEAVY_ROWS", 100)
     df = spark.createDataFrame([(1, p, i) for i, p in enumerate(places)], "k int, p double, id int")
-    line = ordered.Line.of(df, ["k"], ["p", "id"], F.col("p"))
+    line = ordered.Line.of(df, ["k"], ["p", "id"])
     pieces = {r[ordered.PIECE]: r["count"] for r in line.rows.groupBy(ordered.PIECE).count().collect()}
-    tied = max(places.count(0.0), 1)
-    assert len(pieces) > 15 and max(pieces.values()) <= max(250, tied + 100)
+    assert len(pieces) > 15 and max(pieces.values()) <= 250
+
+
+def test_ordinary_keys_are_not_copied(spark, monkeypatch):
+    """Without a heavy key only the counts of heavy keys are written; with one, its rows."""
+    written = []
+    settle = ordered.settled
+    monkeypatch.setattr(ordered, "settled", lambda df, purpose: written.append((purpose, df.count())) or settle(df, purpose))
+    df = spark.createDataFrame([(i % 7, i, "x" * 50) for i in range(700)] + [(9, i, "y") for i in range(300)], "k int, id int, text string")
+    for heavy, want in ((10**6, [("heavy-keys", 0)]), (200, [("heavy-keys", 1), ("pieces", 300)])):
+        monkeypatch.setattr(ordered, "HEAVY_ROWS", heavy)
+        written.clear()
+        out = running(df, ["k"], ["id"], ordered.number("place"))
+        assert written == want
+        assert {(r.k, r.id): r.place for r in out.collect()} == {
+            (k, i): n for k in {*range(7), 9} for n, i in enumerate(sorted(x for x in ([i for i in range(700) if i % 7 == k] if k < 7 else range(300))), 1)
+        }
+
+
+@pytest.mark.parametrize("heavy, band", [(10**9, 1024), (3, 1024), (10**9, 2), (3, 2)])
+def test_touch_paths(spark, monkeypatch, heavy, band):
+    """The pairs of a plain interval join, whatever the bands and the heavy visitors."""
+    monkeypatch.setattr(ordered, "HEAVY_ROWS", heavy)
+    monkeypatch.setattr(at, "BAND", band)
+    sessions = [(None if i % 19 == 0 else k, t, i, i % 4) for i, (k, t, _, _) in enumerate(sample(150, 1))]
+    comms = [(None if i % 23 == 0 else k, t, 1000 + i) for i, (k, t, _, _) in enumerate(sample(120, 2))]
+    out = at.touch_paths(
+        spark.createDataFrame(sessions, "k int, ts timestamp_ntz, id int, channel int"),
+        spark.createDataFrame(comms, "k int, ts timestamp_ntz, id int"), "k", "ts", "id", 2, ["channel"],
+    )
+    assert "NestedLoop" not in out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    want = set()
+    for k, t, i in comms:
+        own = sorted((s[1], s[2], s[3]) for s in sessions if k is not None and s[0] == k and t - timedelta(days=2) <= s[1] <= t)
+        want |= {(k, i, sid, place, len(own), channel) for place, (_, sid, channel) in enumerate(own, 1)}
+    assert {tuple(r) for r in out.collect()} == want and out.count() == len(want)
+
+
+def test_bands_are_bounded(spark, monkeypatch):
+    """A visitor with all sessions is cut into bands of ``BAND`` sessions."""
+    monkeypatch.setattr(at, "BAND", 16)
+    rows = [(1, START + timedelta(minutes=i), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int")
+    late = spark.createDataFrame([(1, START + timedelta(minutes=600), 1)], "k int, ts timestamp_ntz, id int")
+    out = at.touch_paths(df, late, "k", "ts", "id", 2, [])
+    assert out.count() == 500 and {r.place for r in out.collect()} == set(range(1, 501))
 
 
 def test_percentile_and_median_are_exact(spark):

@@ -11,7 +11,8 @@ from ringlens.sources.model import Model
 SF = "/root/testdata/sf0.001"
 WRITES = {
     "visits_live_stream", "ingest_stream", "pages_stream", "catalog_scan", "catalog_openapi",
-    "batch_report_file", "report_export", "bundle_conflicts", "bundle_output",
+    "batch_report_file", "report_export", "bundle_conflicts", "bundle_output", "open_sessions_stream",
+    "ended_sessions_stream", "ledgered_calls_stream", "stored_deals", "stored_deals_deleted", "stored_costs",
 }
 
 
@@ -62,6 +63,23 @@ def test_page_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in text and "Exchange rangepartitioning" not in text
 
 
+def test_deep_page_keeps_no_heap(spark, monkeypatch):
+    """Far down, only the key and the sort columns are put in place; the result is the same."""
+    rows = spark.range(2000).selectExpr("id", "nullif(id % 37, 5) AS x", "repeat('p', 100) AS payload")
+    want = [r.id for r in flt.page(rows, [("x", "desc")], ["id"], 50, 1500).collect()]
+    monkeypatch.setattr(flt, "HEAP_ROWS", 100)
+    deep = flt.page(rows, [("x", "desc")], ["id"], 50, 1500)
+    assert deep.columns == rows.columns and [r.id for r in deep.collect()] == want
+    assert "TakeOrderedAndProject" not in plan(deep)
+    assert "TakeOrderedAndProject" not in plan(flt.page(rows, [("x", "desc")], ["id"], 50, 5_000_000))
+    assert flt.page(rows, [("x", "desc")], ["id"], 50, 5_000_000).count() == 0
+
+
+def test_values_of_reports_expand_nothing(spark):
+    for name in ("report_values", "report_values_total"):
+        assert "Expand" not in plan(entry.queries()[name](spark, SF))
+
+
 @pytest.mark.parametrize(
     "name", ["campaign_match", "doc_request_params", "validate_records", "financial_legs"]
 )
@@ -78,7 +96,7 @@ def test_python_functions_stay_out_of_plans(spark):
 @pytest.mark.parametrize(
     "name, most",
     [("attribution_window", 3), ("attribution_linear", 6), ("attribution_position", 6), ("running_visits", 2),
-     ("visitor_sessions", 2), ("employee_stat", 1), ("person_details", 1)],
+     ("visitor_sessions", 2), ("employee_stat", 2), ("person_details", 1), ("attribution_paths", 3)],
 )
 def test_inputs_are_read_once(spark, monkeypatch, name, most):
     """Scans of the events in everything that a query settles and in what is left to run."""
