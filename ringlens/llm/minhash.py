@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ringlens.llm.common import whole
 from ringlens.llm.simhash import components
+from ringlens.llm.substring import word_hashes
 from ringlens.session import settled
 
 #: Words of a shingle, and the least similarity of a link in percent.
@@ -24,12 +25,14 @@ BIN_BITS, BANDS, ROWS = 8, 42, 6
 CENTRES, MORE = 1, 64
 #: Members that are compared with one copy of their centre's text.
 STAR = 2000
-#: Bytes of text hashed at a time, words whose hashes a task remembers.
-BLOCK, REMEMBERED = 1 << 20, 1 << 18
+#: Bytes of text hashed at a time.
+BLOCK = 1 << 20
 
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
+#: 1 for the bytes that words are made of.
+WORD_BYTE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)], np.int8)
 _BINS = 1 << BIN_BITS
-_EDGES = np.arange(_BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
+_EVERY = np.arange(_BINS, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,69 +42,93 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def word_hashes(raw: bytes, known: WordHashes) -> np.ndarray:
-    """The hash of every word, A-Z lower-cased, a block of the text at a time."""
-    parts, at = [], 0
-    while at < len(raw):
-        cut = BLANK.search(raw, min(at + BLOCK, len(raw)))
-        end = cut.start() if cut else len(raw)
-        words = raw[at:end].lower().split()
-        parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        at = end
-    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
-
-
-def shingle_set(raw: bytes, known: WordHashes, width: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles; of fewer words, one for all of them."""
-    words = word_hashes(raw, known)
-    if not len(words):
-        return words
-    width = min(width, len(words))
-    hashes = mix(np.full(len(words) - width + 1, width, np.uint64))
+def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Numbers of texts, and texts of about ``BLOCK`` bytes together; a longer one comes in
+    pieces, cut at white space."""
+    numbers, parts, size = [], [], 0
+    for number, raw in enumerate(texts):
+        at = 0
+        while at < len(raw):
+            cut = BLANK.search(raw, at + BLOCK) if len(raw) - at > BLOCK else None
+            end = cut.start() if cut else len(raw)
+            numbers.append(number)
+            parts.append(raw[at:end])
+            size += end - at
+            at = end
+            if size >= BLOCK:
+                yield numbers, parts
+                numbers, parts, size = [], [], 0
+    if parts:
+        yield numbers, parts
+
+
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Text numbers and hashes of all words, A-Z lower-cased."""
+    docs, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for numbers, parts in _pieces(texts):
+        data = b" ".join(parts).lower() + b" "
+        edges = np.diff(WORD_BYTE[np.frombuffer(data, np.uint8)], prepend=np.int8(0))
+        start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        begins = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])
+        docs.append(np.asarray(numbers)[np.searchsorted(begins, start, side="right") - 1])
+        hashes.append(word_hashes(data, start, end))
+    return np.concatenate(docs), np.concatenate(hashes)
+
+
+def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """``ends, hashes``: the sorted distinct hashes of each text's shingles, one text after the
+    other; of fewer words, one hash for all of them."""
+    doc, words = words_of(texts)
+    count = np.bincount(doc, minlength=len(texts))
+    n = max(0, len(words) - width + 1)
+    whole = doc[:n] == doc[len(words) - n :]  # the shingle that begins here ends in the same text
+    hashes = mix(np.full(n, width, np.uint64))
     for i in range(width):
-        hashes = mix(hashes ^ words[i : len(words) - width + 1 + i]) + np.uint64(i)
-    return np.unique(hashes)
-
-
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """The smallest hash of each bin, a bin being a range of hashes: one permutation.
+        hashes = mix(hashes ^ words[i : i + n]) + np.uint64(i)
+    owner, hashes = [doc[:n][whole]], [hashes[whole]]
+    begins = np.cumsum(count) - count
+    for few in np.flatnonzero((count > 0) & (count < width)):
+        own = mix(np.full(1, count[few], np.uint64))
+        for i, word in enumerate(words[begins[few] : begins[few] + count[few]]):
+            own = mix(own ^ word) + np.uint64(i)
+        owner.append([few])
+        hashes.append(own)
+    doc, hashes = np.concatenate(owner), np.concatenate(hashes)
+    order = np.lexsort((hashes, doc))
+    doc, hashes = doc[order], hashes[order]
+    once = np.r_[True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])][: len(doc)]
+    return np.cumsum(np.bincount(doc[once], minlength=len(texts))), hashes[once]
+
+
+def signatures(ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The smallest hash of each bin of each set, a bin being a range of hashes: one permutation.
 
     An empty bin takes the value of a bin drawn by its own sequence of draws, the first that is
     not empty. The sequence is the same for every set, so two sets agree in a bin as often as
-    they are similar.
+    they are similar. The sets are not empty.
     """
-    first = np.searchsorted(hashes, _EDGES)
-    value = hashes[np.minimum(first, len(hashes) - 1)]
-    empty = np.flatnonzero((first == len(hashes)) | (value >> np.uint64(64 - BIN_BITS) != np.arange(_BINS, dtype=np.uint64)))
-    if len(empty):
-        filled = np.ones(_BINS, bool)
-        filled[empty] = False
-        draw = 0
-        while len(empty):
-            donor = mix(empty.astype(np.uint64) + np.uint64((draw + 1) << BIN_BITS)) >> np.uint64(64 - BIN_BITS)
-            found = filled[donor]
-            value[empty[found]] = value[donor[found]]
-            empty = empty[~found]
-            draw += 1
-    return value
-
-
-def buckets(hashes: np.ndarray) -> np.ndarray:
-    """One bucket for each band of the signature."""
-    bins = signature(hashes)[: BANDS * ROWS].reshape(BANDS, ROWS)
-    key = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for row in bins.T:
-        key = mix(key ^ row)
+    owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    place = owner * _BINS + (hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    value, filled = np.zeros(len(ends) * _BINS, np.uint64), np.zeros(len(ends) * _BINS, bool)
+    value[place[first]], filled[place[first]] = hashes[first], True
+    empty, draw = np.flatnonzero(~filled), 0
+    while len(empty):
+        draw += 1
+        donor = mix(_EVERY + np.uint64(draw << BIN_BITS)) >> np.uint64(64 - BIN_BITS)
+        source = empty - empty % _BINS + donor.astype(np.int64)[empty % _BINS]
+        found = filled[source]
+        value[empty[found]] = value[source[found]]
+        empty = empty[~found]
+    return value.reshape(len(ends), _BINS)
+
+
+def buckets(ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """One bucket of each set for each band of its signature."""
+    bins = signatures(ends, hashes)[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+    key = np.repeat(mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :], len(bins), axis=0)
+    for row in range(ROWS):
+        key = mix(key ^ bins[:, :, row])
     return key
 
 
@@ -113,19 +140,25 @@ def smallest_linked(percent: int) -> int:
 
 def _signed(percent: int, width: int):
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, pack = WordHashes(), zstandard.ZstdCompressor(level=3)
-        least = smallest_linked(percent)
+        pack, least = zstandard.ZstdCompressor(level=3), smallest_linked(percent)
         for batch in batches:
-            rows = []
-            for raw in batch["raw"]:
-                hashes = shingle_set(raw, known, width)
-                code = xxhash.xxh3_128_digest(hashes.tobytes())
-                if len(hashes) < least:
-                    rows.append((code, len(hashes), [], b""))
-                else:
-                    rows.append((code, len(hashes), buckets(hashes).view(np.int64), pack.compress(raw)))
-            out = pd.DataFrame(rows, columns=["code", "n", "buckets", "packed"], index=batch.index)
-            yield pd.concat([batch[["tag", "id"]], out], axis=1)
+            part = batch["raw"].str.len().to_numpy().cumsum() // BLOCK
+            for _, own in batch.groupby(part, sort=False):
+                texts = own["raw"].tolist()
+                ends, hashes = shingle_sets(texts, width)
+                sizes = np.diff(ends, prepend=0)
+                sets = [hashes[e - n : e] for e, n in zip(ends, sizes)]
+                able = np.flatnonzero(sizes >= least)
+                rows: list[list[int]] = [[]] * len(texts)
+                packed = [b""] * len(texts)
+                if len(able):
+                    keys = buckets(np.cumsum(sizes[able]), np.concatenate([sets[i] for i in able])).view(np.int64)
+                    for i, key in zip(able, keys):
+                        rows[i], packed[i] = key, pack.compress(texts[i])
+                yield own[["tag", "id"]].assign(
+                    code=[xxhash.xxh3_128_digest(h.tobytes()) for h in sets], n=sizes,
+                    buckets=pd.Series(rows, own.index, object), packed=packed,
+                )
 
     return sign
 
@@ -145,12 +178,12 @@ def signed_documents(docs: DataFrame, text: str, id: str, percent: int = PERCENT
 def _confirm(percent: int, width: int):
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by star, its centre first."""
-        known, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        unpack = zstandard.ZstdDecompressor()
         star, centre = None, None
         for batch in batches:
             left, right = [], []
             for a, part, node, packed in zip(batch["centre"], batch["part"], batch["node"], batch["packed"]):
-                hashes = shingle_set(unpack.decompress(packed), known, width)
+                _, hashes = shingle_sets([unpack.decompress(packed)], width)
                 if star != (a, part):
                     star, centre = (a, part), hashes
                     continue
