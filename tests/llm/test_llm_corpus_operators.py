@@ -155,7 +155,7 @@ def plain_groups(rows, percent, width):
     return sets, [(r[0], len(sets[i]), min((x for x in groups[find(i)] if x is not None), default=None)) for i, r in enumerate(rows)]
 
 
-@pytest.mark.parametrize("percent, width, limits", [(80, 2, {}), (80, 2, {"STAR": 2, "BLOCK": 64, "REMEMBERED": 10}), (90, 3, {}), (100, 2, {})])
+@pytest.mark.parametrize("percent, width, limits", [(80, 2, {}), (80, 2, {"STAR": 2, "BLOCK": 64}), (90, 3, {}), (100, 2, {})])
 def test_minhash_groups(odd, monkeypatch, percent, width, limits):
     for name, value in limits.items():
         monkeypatch.setattr(minhash, name, value)
@@ -197,7 +197,7 @@ def test_stars_lose_no_link(spark, monkeypatch):
     _, want = plain_groups(rows, 80, 2)
     assert got == {i: c for i, _, c in want}
     # a bucket of everything: rounds of stars alone must find all
-    monkeypatch.setattr(minhash, "buckets", lambda hashes: np.zeros(1, np.uint64))
+    monkeypatch.setattr(minhash, "MORE", 3)
     signed = minhash.signed_documents(docs, "text", "doc_id").drop("buckets").withColumn("buckets", F.array(F.lit(0).cast("long")))
     signed = minhash.settled(signed, "one-bucket")
     nodes = signed.select(F.col("tag").alias("node"), "n", "buckets")
@@ -209,12 +209,18 @@ def test_stars_lose_no_link(spark, monkeypatch):
 def test_signatures_agree_as_often_as_sets_are_similar():
     rnd = np.random.default_rng(11)
     for common, own in ((80, 10), (6, 2), (500, 500), (30, 70)):
-        agree = []
+        sets = []
         for _ in range(60):
             h = minhash.mix(rnd.integers(0, 1 << 63, common + 2 * own, dtype=np.uint64))
-            a, b = np.unique(h[: common + own]), np.unique(np.r_[h[:common], h[common + own :]])
-            agree.append((minhash.signature(a) == minhash.signature(b)).mean())
-        assert abs(np.mean(agree) - common / (common + 2 * own)) < 0.05
+            sets += [np.unique(h[: common + own]), np.unique(np.r_[h[:common], h[common + own :]])]
+        found = minhash.signatures(np.cumsum([len(x) for x in sets]), np.concatenate(sets))
+        assert abs((found[::2] == found[1::2]).mean() - common / (common + 2 * own)) < 0.05
+        for one, row in zip(sets, found):  # every bin holds a member, its own smallest where it has one
+            assert set(row) <= set(one)
+            smallest = {}
+            for x in one[::-1]:
+                smallest[int(x) >> 56] = x
+            assert all(row[b] == x for b, x in smallest.items())
 
 
 def test_small_sets_link_with_equal_sets_only():
@@ -225,10 +231,20 @@ def test_small_sets_link_with_equal_sets_only():
 
 
 def test_words_are_read_in_blocks(monkeypatch):
-    text = " ".join(random.Random(12).choices(WORDS, k=500)).encode() + b"\x0b\x0c\r\n" + "ÄÖ straße".encode()
-    want = minhash.word_hashes(text, minhash.WordHashes())
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choices(WORDS, k=n)).encode() + b"\x0b\x0c\r\n" + "ÄÖ straße".encode() for n in (500, 0, 3, 90)]
+    texts += [b"", b" \n", b"one", b"One", "é".encode() * 3000, b"one two"]
+    doc, words = minhash.words_of(texts)
+    assert np.bincount(doc, minlength=len(texts)).tolist() == [len(t.split()) for t in texts]
+    ids = dict(zip((w for t in texts for w in t.lower().split()), words.tolist()))
+    assert [ids[w] for t in texts for w in t.lower().split()] == words.tolist() and len(set(ids.values())) == len(ids)
+    whole = [x.tolist() for x in minhash.shingle_sets(texts)]
     monkeypatch.setattr(minhash, "BLOCK", 10)
-    assert (minhash.word_hashes(text, minhash.WordHashes()) == want).all() and len(want) == 502
+    assert (minhash.words_of(texts)[1] == words).all()
+    assert [x.tolist() for x in minhash.shingle_sets(texts)] == whole
+    alone = [minhash.shingle_sets([t])[1].tolist() for t in texts]
+    assert [x for own in alone for x in own] == whole[1]
+    assert minhash.shingle_sets([])[1].tolist() == []
 
 
 # --- ranked search
