@@ -24,11 +24,12 @@ SHARED = TOKENS - FREQUENT
 #: Words after the frequent ones whose counts go to the tasks, and steps of an octave in
 #: which counts are ranked. Counts of all other words are joined.
 KNOWN, OCTAVE = 1 << 17, 64
-#: Width of the hidden layer; tokens per step and per scoring block; text bytes at a time.
-HIDDEN, STEP, BLOCK, CHUNK = 24, 4096, 1 << 13, 1 << 21
+#: Width of the hidden layer; tokens per step and per scoring block; text bytes and tokens at
+#: a time.
+HIDDEN, STEP, BLOCK, CHUNK, RUN = 24, 1 << 14, 1 << 14, 1 << 21, 1 << 18
 #: Training rounds: in round r each document gives its words r, r + rounds, ..., so that
 #: every word is predicted once, whatever the number of rounds.
-ROUNDS, RATE = 2, 0.1
+ROUNDS, RATE = 1, 0.1
 #: Parts into which parameters are cut to be averaged, and models averaged at a time.
 PARTS, FAN_IN = 16, 16
 
@@ -183,12 +184,17 @@ def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
     return np.tanh(total, out=total)
 
 
-def _logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Scores whose exponentials stay in range: the hidden layer lies within -1 and 1, so
-    only weights that could carry a score too far need the rows' greatest ones."""
+def _far(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Whether scores could leave the range of their exponentials. The hidden layer lies
+    within -1 and 1, so only weights that could carry a score too far need the rows' greatest
+    scores to be taken off."""
+    return np.abs(weights).sum(-2).max(-1) + np.abs(bias).max(-1) > 60
+
+
+def _logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, far: bool) -> np.ndarray:
     z = h @ weights
     z += bias
-    if np.abs(weights).sum(0).max() + np.abs(bias).max() > 60:
+    if far:
         z -= z.max(axis=1, keepdims=True)
     return z
 
@@ -206,21 +212,27 @@ def _picked(z: np.ndarray, column: np.ndarray) -> np.ndarray:
     return own - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
+def _by_class(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts tokens of one class together, and the classes' edges in it."""
+    kind = (token // MEMBERS).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    return order, np.searchsorted(kind[order], np.arange(CLASSES + 1))
+
+
 def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Log-probability of each token given both sides: its class, then itself in the class."""
     out = np.empty(len(token), np.float64)
+    far, far_in = _far(p["classes"], p["class_bias"]), _far(p["members"], p["member_bias"])
     for at in range(0, len(token), BLOCK):
-        part = slice(at, at + BLOCK)
-        h, own = _hidden(p, context[:, part]), token[part]
-        kind, member = (own // MEMBERS).astype(np.uint8), own % MEMBERS
-        log_p = _picked(_logits(h, p["classes"], p["class_bias"]), kind).astype(np.float64)
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        order, edges = _by_class(token[at : at + BLOCK])
+        order += at
+        own, h = token[order], _hidden(p, context[:, order])
+        log_p = _picked(_logits(h, p["classes"], p["class_bias"], far), own // MEMBERS).astype(np.float64)
         for c in range(CLASSES):
-            of = order[edges[c] : edges[c + 1]]
-            if len(of):
-                log_p[of] += _picked(_logits(h[of], p["members"][c], p["member_bias"][c]), member[of])
-        out[part] = log_p
+            of = slice(edges[c], edges[c + 1])
+            if of.start < of.stop:
+                log_p[of] += _picked(_logits(h[of], p["members"][c], p["member_bias"][c], far_in[c]), own[of] % MEMBERS)
+        out[order] = log_p
     return out
 
 
@@ -242,20 +254,21 @@ class Trainer:
             size = int(np.prod(shape))
             g[name] = grad[at : at + size].reshape(shape)
             at += size
+        far, far_in = _far(p["classes"], p["class_bias"]), _far(p["members"], p["member_bias"])
+        order, edges = _by_class(token)
+        token, context = token[order], context[:, order]
         h = _hidden(p, context)
-        kind, member = (token // MEMBERS).astype(np.uint8), token % MEMBERS
-        d = _softmax(_logits(h, p["classes"], p["class_bias"]))
-        d[np.arange(n), kind] -= 1
+        member = token % MEMBERS
+        d = _softmax(_logits(h, p["classes"], p["class_bias"], far))
+        d[np.arange(n), token // MEMBERS] -= 1
         g["classes"][:] = h.T @ d
         g["class_bias"][:] = d.sum(0)
         back = d @ p["classes"].T
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
-            of = order[edges[c] : edges[c + 1]]
-            if len(of):
-                d = _softmax(_logits(h[of], p["members"][c], p["member_bias"][c]))
-                d[np.arange(len(of)), member[of]] -= 1
+            of = slice(edges[c], edges[c + 1])
+            if of.start < of.stop:
+                d = _softmax(_logits(h[of], p["members"][c], p["member_bias"][c], far_in[c]))
+                d[np.arange(len(d)), member[of]] -= 1
                 g["members"][c] = h[of].T @ d
                 g["member_bias"][c] = d.sum(0)
                 back[of] += d @ p["members"][c].T
@@ -293,18 +306,70 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return settled(counted, "lm-words")
 
 
-def _train(flat: np.ndarray, table: Words, turn: int, rounds: int):
-    def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trainer = Trainer(flat)
+def _code(table: Words):
+    """Tokens, and what is known of the words' shares, of whole texts."""
+
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            n, share = np.zeros(len(batch), np.int64), np.zeros(len(batch))
+            tokens, docs, rare = [b""], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for doc, h in hashed_words(batch["text"].tolist()):
                 token = table[h]
-                context = contexts(doc, token)
-                first = np.searchsorted(doc, doc)
-                pick = np.flatnonzero((np.arange(len(doc)) - first) % rounds == turn)
+                known, unknown = table.shares(h, token)
+                n += np.bincount(doc, minlength=len(batch))
+                share += np.bincount(doc, known, len(batch))
+                tokens.append(token.astype("<u2").tobytes())
+                docs.append(doc[unknown])
+                rare.append(h[unknown])
+            joined, ends = b"".join(tokens), 2 * np.cumsum(n)
+            lacking = np.cumsum(np.bincount(np.concatenate(docs), minlength=len(batch)))
+            yield batch.drop(columns="text").assign(
+                n_words=n, share=share, tokens=[joined[a:b] for a, b in zip(ends - 2 * n, ends)],
+                rare=pd.Series(np.split(np.concatenate(rare), lacking[:-1]), batch.index, object),
+            )
+
+    return coded
+
+
+def coded_documents(docs: DataFrame, table: Words, text: str, id: str | None = None) -> DataFrame:
+    """``tag, id, n_words, share, tokens, rare`` of every row, stored: two bytes a word, which
+    training and scoring read in place of the texts."""
+    names = [F.monotonically_increasing_id().alias("tag")]
+    kinds = "tag bigint"
+    if id is not None:
+        names.append(F.col(id).alias("id"))
+        kinds += f", id {docs.schema[id].dataType.simpleString()}"
+    rows = docs.select(*names, whole(text).alias("text")).mapInPandas(
+        _code(table), f"{kinds}, n_words bigint, share double, tokens binary, rare array<bigint>"
+    )
+    return settled(rows, "lm-tokens")
+
+
+def _runs(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Document numbers, tokens and contexts, about ``RUN`` tokens at a time. A run may end
+    inside of a document, whose words beyond it are still in the contexts."""
+    token = np.frombuffer(b"".join(batch["tokens"]), "<u2").astype(np.int64)
+    doc = np.repeat(np.arange(len(batch)), batch["n_words"])
+    reach = max(abs(s) for s in SIDES)
+    for at in range(0, len(token), RUN):
+        low, high = max(0, at - reach), min(len(token), at + RUN + reach)
+        own = slice(at - low, min(at + RUN, len(token)) - low)
+        yield doc[low:high][own], token[low:high][own], contexts(doc[low:high], token[low:high])[:, own]
+
+
+def _train(flat: np.ndarray, turn: int, rounds: int):
+    def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trainer = Trainer(flat)
+        for batch in batches:
+            begins = np.cumsum(batch["n_words"].to_numpy()) - batch["n_words"].to_numpy()
+            at = 0
+            for doc, token, context in _runs(batch):
+                place = np.arange(at, at + len(doc)) - begins[doc]
+                at += len(doc)
+                pick = np.flatnonzero(place % rounds == turn)
                 pick = np.random.default_rng(len(pick)).permutation(pick)
-                for at in range(0, len(pick), STEP):
-                    some = pick[at : at + STEP]
+                for first in range(0, len(pick), STEP):
+                    some = pick[first : first + STEP]
                     trainer.step(context[:, some], token[some])
         if trainer.seen:
             parts = np.array_split(trainer.flat * np.float32(trainer.seen), PARTS)
@@ -327,20 +392,18 @@ def _added(rows: pd.DataFrame) -> pd.DataFrame:
 MODEL_ROW = "grp int, part int, seen bigint, blob binary"
 
 
-def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[np.ndarray, Words]:
-    """Parameters and words from all documents.
+def train_coded(coded: DataFrame, table: Words, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters from all coded documents; every word is predicted in one of the rounds.
 
-    Word counts cover the whole corpus, and every word of it is predicted in one of the
-    rounds. In each round every task starts from the same
-    parameters, trains on its own documents and hands back what it learnt; these models are
-    averaged by number of words, sixteen at a time in a tree of shuffles, so no task and not
-    the driver takes more than a few models, however large the input.
+    In each round every task starts from the same parameters, trains on its own documents and
+    hands back what it learnt; these models are averaged by number of words, sixteen at a time
+    in a tree of shuffles, so no task and not the driver takes more than a few models, however
+    large the input.
     """
-    texts = docs.select(whole(text).alias("text"))
-    table = Words.of(word_counts(docs, text) if counts is None else counts)
     flat = start_parameters(table.total)
+    texts = coded.filter("n_words > 0").select("n_words", "tokens")
     for turn in range(rounds):
-        models = settled(texts.mapInPandas(_train(flat, table, turn, rounds), MODEL_ROW), "lm-models")
+        models = settled(texts.mapInPandas(_train(flat, turn, rounds), MODEL_ROW), "lm-models")
         groups = models.agg(F.max("grp")).first()[0]
         if groups is None:
             break
@@ -351,29 +414,28 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, counts: Dat
                 break
         rows = sorted(models.collect(), key=lambda r: r.part)  # PARTS rows, one model
         flat = np.concatenate([np.frombuffer(r.blob, np.float32) / np.float32(r.seen) for r in rows])
-    return flat, table
+    return flat
 
 
-def score_parts(flat: np.ndarray, table: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Number of words, summed conditional log-probability, and hashes of unknown words of
-    each text. The sum still lacks the logarithms of the unknown words' counts."""
-    p, n, total = split(flat), np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    docs, rare = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for doc, h in hashed_words(texts):
-        token = table[h]
-        share, unknown = table.shares(h, token)
-        n += np.bincount(doc, minlength=len(texts))
-        total += np.bincount(doc, log_probabilities(p, contexts(doc, token), token) + share, len(texts))
-        docs.append(doc[unknown])
-        rare.append(h[unknown])
-    ends = np.cumsum(np.bincount(np.concatenate(docs), minlength=len(texts)))
-    return n, total, np.split(np.concatenate(rare), ends[:-1])
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, Words]:
+    """Parameters and words from all documents. Word counts cover the whole corpus."""
+    table = Words.of(word_counts(docs, text))
+    return train_coded(coded_documents(docs, table, text), table, rounds), table
 
 
 def score_texts(flat: np.ndarray, table: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and summed conditional log-probability of texts without unknown words."""
-    n, total, _ = score_parts(flat, table, texts)
-    return n, total
+    """Number of words and summed conditional log-probability of texts, but for the logarithms
+    of the counts of words that are not known."""
+    batch = next(_code(table)(iter([pd.DataFrame({"text": texts})])))
+    return batch["n_words"].to_numpy(), _summed(split(flat), batch) + batch["share"].to_numpy()
+
+
+def _summed(p: dict[str, np.ndarray], batch: pd.DataFrame) -> np.ndarray:
+    """The sum of the tokens' log-probabilities in each coded text."""
+    total = np.zeros(len(batch))
+    for doc, token, context in _runs(batch):
+        total += np.bincount(doc, log_probabilities(p, context, token), len(batch))
+    return total
 
 
 def lm_scores(docs: DataFrame, text: str = "text", id: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
@@ -387,24 +449,23 @@ def lm_scores(docs: DataFrame, text: str = "text", id: str = "doc_id", rounds: i
     are not read.
     """
     counts = word_counts(docs, text)
-    flat, table = train(docs, text, rounds, counts)
+    table = Words.of(counts)
+    coded = coded_documents(docs, table, text, id)
+    flat = train_coded(coded, table, rounds)
     kind = docs.schema[id].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            n, total, rare = score_parts(flat, table, batch["text"].tolist())
-            yield batch[["tag", "id"]].assign(n_words=n, log_prob=total, rare=pd.Series(rare, batch.index, object))
-
-    rows = settled(
-        docs.select(
-            F.monotonically_increasing_id().alias("tag"), F.col(id).alias("id"), whole(text).alias("text")
-        ).mapInPandas(scored, f"tag bigint, id {kind}, n_words bigint, log_prob double, rare array<bigint>"),
-        "lm-scores",
+            total = _summed(split(flat), batch) + batch["share"].to_numpy()
+            yield batch[["tag", "id", "n_words"]].assign(log_prob=total)
+
+    rows = coded.select("tag", "id", "n_words", "share", "tokens").mapInPandas(
+        scored, f"tag bigint, id {kind}, n_words bigint, log_prob double"
     )
     lacking = (
-        rows.select("tag", F.explode("rare").alias("hash")).join(counts, "hash")
+        coded.select("tag", F.explode("rare").alias("hash")).join(counts, "hash")
         .groupBy("tag").agg(F.sum(F.log("n")).alias("lacking"))
     )
-    return rows.select("tag", "id", "n_words", "log_prob").join(lacking, "tag", "left").select(
+    return rows.join(lacking, "tag", "left").select(
         "id", "n_words", (F.col("log_prob") + F.coalesce("lacking", F.lit(0.0))).alias("log_prob")
     )
