@@ -42,6 +42,8 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
     holds, so a text that fills a third of the table is one row per run. Downwards, the
     winners go back the same way, so the last join meets a hot text once per run, not once.
 
+    Each level is stored, so it is merged once. Ids may be of any type that has an order.
+
     Null texts count as empty (one group). Null ids come after all others and may be kept.
     Rows that repeat in full form a group of which one row is kept. An empty table gives an
     empty result. Other columns are not read.
@@ -49,8 +51,7 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
     leaves = settled(digests(docs, text, id), "digests")
     identity = ["sha", "check", "length"]
     level = leaves.select(
-        F.struct("chars", (-F.col("id")).alias("minus_id"), (-F.col("tag")).alias("minus_tag"))
-        .alias("best"),
+        F.struct((-F.col("chars")).alias("chars"), F.col("id").isNull().alias("none"), "id", "tag").alias("best"),
         F.lit(1).cast("long").alias("n"),
         "run",
         *identity,
@@ -60,8 +61,9 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
         level = (
             level.withColumn("run", F.shiftright("run", FAN_IN_BITS))
             .groupBy("run", *identity)
-            .agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+            .agg(F.min("best").alias("best"), F.sum("n").alias("n"))
         )
+        level = settled(level, "digest-runs")
         levels.append(level)
     verdict = levels.pop().filter("n > 1")
     while levels:
@@ -76,14 +78,23 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
     return rows.select(
         "tag",
         "id",
-        F.when(alone, F.col("id")).otherwise(-F.col("best.minus_id")).alias("keep_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("tag") == -F.col("best.minus_tag"))).alias("kept"),
+        (alone | (F.col("tag") == F.col("best.tag"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The documents that stay, with all their columns; ids must be unique and not null."""
-    dropped = exact_groups(docs, text, id).filter("NOT kept").select(F.col("id").alias(id))
-    return docs.join(dropped, id, "left_anti")
+    """The rows that stay, with all their columns: one of each group of equal texts.
+
+    Rows are told apart by a stored tag, so null and repeated ids are no matter. Ties, empty
+    and null texts are settled as in ``exact_groups``.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("row"), row), "rows")
+    own = F.col(f"doc.`{id}`")
+    name = F.struct(own.isNull().alias("none"), own.alias("id"), "row").alias("name")
+    groups = exact_groups(rows.select(F.col(f"doc.`{text}`").alias("text"), name), "text", "name")
+    kept = groups.filter("kept").select(F.col("id.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")

@@ -7,10 +7,10 @@ from itertools import accumulate, combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import row_key, whole
+from ringlens.llm.common import whole
 from ringlens.session import settled
 
 SHINGLE, SEED, DIFFERENCES = 3, 42, 2
@@ -52,16 +52,15 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         codes = np.array([fingerprint(t) for t in batch["text"]], np.uint64)
-        yield batch[["id", "text_hash"]].assign(code=codes.view(np.int64))
+        yield batch.drop(columns="text").assign(code=codes.view(np.int64))
 
 
-def document_codes(docs: DataFrame, text: str, id: str) -> DataFrame:
-    """``id, text_hash, code`` per row; the code is the fingerprint as a signed long."""
+def document_codes(docs: DataFrame, text: str, id: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id, code`` and the ``carry`` columns per row; the code is the fingerprint as a signed long."""
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     kind = docs.schema[id].dataType.simpleString()
-    return docs.select(
-        row_key(id, text).alias("k"), whole(text).alias("text")
-    ).select("k.id", "k.text_hash", "text").mapInPandas(
-        _fingerprints, f"id {kind}, text_hash bigint, code bigint"
+    return docs.select(F.col(id).alias("id"), *carry, whole(text).alias("text")).mapInPandas(
+        _fingerprints, f"id {kind}{kinds}, code bigint"
     )
 
 
@@ -259,8 +258,8 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("code"), F.col("v").alias("root"))
 
 
-def near_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``id, text_hash, code, component_id, component`` of every row.
+def near_groups(docs: DataFrame, text: str = "text", id: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id, code, component_id, component`` of every row, and its ``carry`` columns.
 
     ``code`` is the SimHash (signed) of the text's three-word shingles, ``component`` names
     the group of rows that links of at most two differing bits connect, ``component_id`` is
@@ -272,7 +271,7 @@ def near_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Data
     ``component_id``. Repeated ids and rows are kept as they are. An empty table gives an
     empty result. Other columns are not read.
     """
-    rows = settled(document_codes(docs, text, id), "codes")
+    rows = settled(document_codes(docs, text, id, carry), "codes")
     gray = F.col("code")
     for shift in (1, 2, 4, 8, 16, 32):
         gray = gray.bitwiseXOR(F.shiftrightunsigned(gray, shift))
@@ -288,18 +287,12 @@ def near_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Data
 def near_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """One document of each group: that with the smallest id (null last), all columns kept.
 
-    Of rows that agree in id and text, one stays.
+    Rows are told apart by a stored tag; of several with that id the first as stored stays.
     """
-    groups = near_groups(docs, text, id)
-    keep = groups.groupBy("component").agg(
-        F.min(F.struct(F.isnull("id").alias("none"), "id", "text_hash")).alias("k")
-    ).select(F.struct("k.id", "k.text_hash").alias("key"))
-    keep = settled(keep, "near-kept")
-    rows = docs.select(row_key(id, text), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    once = Window.partitionBy("key").orderBy("key")
-    return (
-        rows.join(keep, "key", "left_semi")
-        .withColumn("n", F.row_number().over(once))
-        .filter("n = 1")
-        .select("doc.*")
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("row"), row), "near-rows")
+    plain = rows.select("row", F.col(f"doc.`{id}`").alias("id"), F.col(f"doc.`{text}`").alias("text"))
+    groups = near_groups(plain, "text", "id", ("row",))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    keep = settled(groups.groupBy("component").agg(F.min(first).alias("k")).select("k.row"), "near-kept")
+    return rows.join(keep, "row", "left_semi").select("doc.*")
