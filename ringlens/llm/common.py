@@ -22,12 +22,12 @@ def whole(text: str | Column) -> Column:
 
 
 def row_key(id: str, text: str) -> Column:
-    """``key``: id and text hash as one value, for tables whose ids repeat or are null.
+    """``key``: id and a 128-bit text hash as one value, for tables whose ids repeat or are null.
 
     Rows that agree in both are the same document, so anything computed from its text
     holds for each of them. Null ids inside the struct compare as equal.
     """
-    return F.struct(F.col(id).alias("id"), F.xxhash64(whole(text)).alias("text_hash")).alias("key")
+    return F.struct(F.col(id).alias("id"), F.unhex(F.md5(whole(text))).alias("text_hash")).alias("key")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
@@ -73,20 +74,37 @@ def winnow(words: Column, guarantee: int) -> Column:
     )
 
 
-def contamination(
+@dataclass(frozen=True)
+class Hits:
+    """``documents``: key, n_words, n_hit, combo (null without a hit). ``combos``: combo, items:
+    the sorted ids of the items whose windows occur, once for each set of items."""
+
+    documents: DataFrame
+    combos: DataFrame
+
+
+def contamination(docs: DataFrame, bench: DataFrame, **settings) -> DataFrame:
+    """``key, n_words, n_hit, items`` of each document (see ``find_hits``); ``items`` are the
+    sorted ids of the items whose windows occur, null where none does."""
+    hits = find_hits(docs, bench, **settings)
+    return hits.documents.join(hits.combos, "combo", "left").select("key", "n_words", "n_hit", "items")
+
+
+def find_hits(
     docs: DataFrame, bench: DataFrame, window: int = WINDOW, text: str = "text", id: str = "doc_id",
     item_text: str = "text", item_id: str = "item_id",
-) -> DataFrame:
-    """What of each document lies in benchmark windows: ``key, n_words, n_hit, items``.
+) -> Hits:
+    """What of each document lies in benchmark windows.
 
     A window is ``window`` words in a row of an item; a shorter item with words is one window.
-    ``n_hit`` counts the document's words inside any occurrence of a window, ``items`` are the
-    sorted ids (as strings) of the items whose windows occur, null or empty where none does.
+    ``n_hit`` counts the document's words inside any occurrence of a window.
 
     1. Both sides keep the smallest k-gram hash of each sliding window; the join of these
        fingerprints gives places in documents. Every whole window is among them.
     2. Around these places only, the document's words are cut into windows and joined with
-       the benchmark's windows by their text.
+       the benchmark's windows by their text. A window stands for its set of items under one
+       key, and sets are united once for each combination of them that documents have, so
+       documents and items that share a passage are never paired.
 
     Which side of a join is broadcast is Spark's choice from the size of the settled tables;
     beyond the threshold they are shuffled, and AQE splits a passage that fills many rows.
@@ -165,23 +183,29 @@ def contamination(
         .select("key", "c.n_words", "c.windows"),
         "marked",
     )
-    own = items.select(
-        "item",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.size("words") - F.col("t")),
-                lambda s: F.array_join(F.slice("words", s + 1, F.col("t")), " "),
-            )
-        ).alias("window"),
-    ).distinct()
+    digest = lambda names: F.sha2(F.to_json(F.struct(names)), 256)
+    own = (
+        items.select(
+            "item",
+            F.explode(
+                F.transform(
+                    F.sequence(F.lit(0), F.size("words") - F.col("t")),
+                    lambda s: F.array_join(F.slice("words", s + 1, F.col("t")), " "),
+                )
+            ).alias("window"),
+        )
+        .groupBy("window")
+        .agg(F.sort_array(F.collect_set("item")).alias("items"))
+    )
+    own = settled(own.withColumn("of", digest(F.col("items"))), "bench-windows")
     hits = (
         marked.select("key", F.explode("windows").alias("w"))
         .select("key", "w.s", "w.t", "w.window")
-        .join(own, "window")
+        .join(own.select("window", "of"), "window")
         .groupBy("key")
         .agg(
             F.sort_array(F.collect_set(F.struct("s", "t"))).alias("spans"),
-            F.sort_array(F.collect_set("item")).alias("items"),
+            F.sort_array(F.collect_set("of")).alias("sets"),
         )
     )
     begin = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
@@ -193,14 +217,25 @@ def contamination(
             (a["n"] + F.greatest(F.lit(0), end - F.greatest(a["end"], span["s"]))).alias("n"),
         )
 
-    hits = hits.select(
-        F.col("key").alias("at"), F.aggregate("spans", begin, covered, lambda a: a["n"].cast("long")).alias("n_hit"), "items"
+    hits = settled(
+        hits.select(
+            F.col("key").alias("at"), F.aggregate("spans", begin, covered, lambda a: a["n"].cast("long")).alias("n_hit"),
+            "sets", digest(F.col("sets")).alias("combo"),
+        ),
+        "hits",
     )
-    return (
+    once = hits.groupBy("combo").agg(F.any_value("sets").alias("sets")).select("combo", F.explode("sets").alias("of"))
+    sets = own.groupBy("of").agg(F.any_value("items").alias("items"))
+    combos = (
+        once.join(sets, "of").select("combo", F.explode("items").alias("item"))
+        .groupBy("combo").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    )
+    documents = (
         marked.select("key", "n_words")
-        .join(hits, F.col("key") == F.col("at"), "left")
-        .select("key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "items")
+        .join(hits.select("at", "n_hit", "combo"), F.col("key") == F.col("at"), "left")
+        .select("key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "combo")
     )
+    return Hits(documents, settled(combos, "combos"))
 
 
 def is_contaminated() -> Column:
@@ -209,7 +244,12 @@ def is_contaminated() -> Column:
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, text: str = "text", id: str = "doc_id", **names) -> DataFrame:
-    """The documents that are not contaminated, with all their columns as they came."""
-    bad = contamination(docs, bench, text=text, id=id, **names).filter(is_contaminated())
+    """The documents that are not contaminated, with all their columns as they came.
+
+    Null and empty texts and texts without words stay, long ones are read whole, rows that
+    agree in id and text go or stay together, ids may be null or repeat, columns of any name
+    are carried along; an empty table gives an empty one, an empty benchmark drops nothing.
+    """
+    bad = find_hits(docs, bench, text=text, id=id, **names).documents.filter(is_contaminated())
     bad = settled(bad.select("key").distinct(), "contaminated")
     return docs.join(bad, row_key(id, text) == bad["key"], "left_anti")

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens.llm.common import table
-from ringlens.llm.decontam import contamination, is_contaminated
+from ringlens.llm.decontam import find_hits, is_contaminated
 from ringlens.llm.divergence import source_divergence
 from ringlens.llm.exact import exact_groups
 from ringlens.llm.lm import lm_scores
@@ -120,12 +120,15 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return found.select(
+    found = find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    summed = found.combos.select(
+        "combo", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    )
+    return found.documents.join(summed, "combo", "left").select(
         F.col("key.id").alias("doc_id"), "n_words", "n_hit",
-        F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
 

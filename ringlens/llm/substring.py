@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import pickle
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -162,8 +163,9 @@ def _pack(hot: np.ndarray, buckets: int):
         for batch in batches:
             for part in _groups(batch):
                 ranks, hashes = part["rank"].to_numpy(), part["text_hash"].to_numpy()
-                texts: list[list[bytes]] = [[] for _ in range(buckets)]
-                where: list[list[np.ndarray]] = [[] for _ in range(buckets)]
+                # only buckets that occur: there may be millions, and a flush meets few
+                texts: dict[int, list[bytes]] = defaultdict(list)
+                where: dict[int, list[np.ndarray]] = defaultdict(list)
                 for p in super_kmers(part["text"].tolist()):
                     keep = np.flatnonzero(~np.isin(p.minimiser, hot))
                     bucket = (_mix(p.minimiser[keep]) % np.uint64(buckets)).astype(np.int64)
@@ -178,15 +180,14 @@ def _pack(hot: np.ndarray, buckets: int):
                     for x, y in zip(edges, [*edges[1:], len(keep)]):
                         texts[bucket[x]] += cut[x:y]
                         where[bucket[x]].append(place[:, x:y])
-                full = [i for i in range(buckets) if texts[i]]
-                blobs = []
+                full, blobs = sorted(texts), []
                 for i in full:
                     place = np.concatenate(where[i], axis=1)
                     docs, number = np.unique(place[0], return_inverse=True)
                     block = (ranks[docs], hashes[docs], number.astype(np.int32), place[1].astype(np.int32),
                              place[2].astype(np.int32), b" ".join(texts[i]))
                     blobs.append(squeeze.compress(pickle.dumps(block, 5)))
-                    texts[i], where[i] = [], []
+                    del texts[i], where[i]
                 yield pd.DataFrame({"bucket": pd.array(full, "int32"), "block": blobs})
 
     return packed
@@ -398,7 +399,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id: str = "doc_id") -> D
     """
     kind = docs.schema[id].dataType.simpleString()
     packed = F.transform("places", lambda p: F.shiftleft(p.cast("long"), 32).bitwiseOR(F.col("n").cast("long")))
-    runs = repeated_windows(docs, text, id).groupBy("rank", "text_hash").agg(F.flatten(F.collect_list(packed)).alias("runs"))
+    runs = repeated_windows(docs, text, id).groupBy("rank", "text_hash").agg(F.flatten(F.collect_set(packed)).alias("runs"))
     rows = docs.select(
         F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("rank"),
         F.xxhash64(whole(text)).alias("text_hash"), whole(text).alias("text"),
