@@ -21,14 +21,20 @@ GAP = "\x01"
 
 
 def grams(text: Column, lengths: Column) -> Column:
-    """The distinct substrings of a text of each of ``lengths``; the empty one for length 0."""
-    n = F.char_length(text)
-    of_length = lambda k: F.when(
-        k == 0, F.array(F.lit(""))
-    ).when(
-        n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda at: F.substr(text, at, k))
-    ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+    """The distinct substrings of a text of each of ``lengths``; the empty one for length 0.
+
+    The text is cut into characters once, so the work is in proportion to its length.
+    """
+    signs = F.filter(F.split(text, ""), lambda c: c != "")
+    none = F.array().cast("array<string>")
+
+    def of_length(chars: Column, k: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.size(chars) - k + 1, F.lit(1)))
+        pieces = F.transform(places, lambda at: F.array_join(F.slice(chars, at, k), ""))
+        return F.when(k == 0, F.array(F.lit(""))).when(F.size(chars) >= k, pieces).otherwise(none)
+
+    every = F.transform(F.array(signs), lambda chars: F.flatten(F.transform(lengths, lambda k: of_length(chars, k))))
+    return F.array_distinct(every[0])
 
 
 def literal_of(pattern: Column) -> Column:

@@ -163,26 +163,33 @@ def phrase_matches(rows: DataFrame, text: str, texts: list[str], separator: str)
 # ---- statistics ----------------------------------------------------------------
 
 
-def campaign_daily(
-    facts: dict[str, DataFrame], key: str = "campaign_id", ts: str = "date_time"
-) -> DataFrame:
-    """Daily counts and amounts per campaign from several facts.
-
-    Every fact is aggregated by itself and tagged; one more aggregate lines the parts up, so
-    no fact multiplies another and no outer join is needed.
-    """
+def daily_states(facts: dict[str, DataFrame], key: str = "campaign_id", ts: str = "date_time") -> DataFrame:
+    """``key, day, fact, n, v``: each fact counted and summed per day by itself, so none
+    multiplies another. States of the same key, day and fact add up."""
     parts = []
     for name, df in facts.items():
-        day = F.date_format(ts, "yyyy-MM-dd")
-        own = df.groupBy(key, day.alias("day")).agg(F.count("*").alias("n"), money_sum("amount").alias("v"))
+        own = df.groupBy(key, F.to_date(ts).alias("day")).agg(F.count("*").alias("n"), F.sum(money("amount")).alias("v"))
         parts.append(own.withColumn("fact", F.lit(name)))
-    together = reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def daily_lines(states: DataFrame, facts: list[str], key: str = "campaign_id") -> DataFrame:
+    """The states side by side: a count and an amount per fact, by key and day."""
     columns = []
     for name in facts:
         own = F.col("fact") == name
         columns.append(F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"{name}s"))
-        columns.append(F.coalesce(F.max(F.when(own, F.col("v"))), F.lit(0.0)).alias(f"{name}_amount"))
-    return together.groupBy(key, "day").agg(*columns)
+        amount = F.sum(F.when(own, F.col("v"))).cast("double")
+        columns.append(F.coalesce(amount, F.lit(0.0)).alias(f"{name}_amount"))
+    day = F.date_format("day", "yyyy-MM-dd").alias("day")
+    return states.groupBy(key, day).agg(*columns)
+
+
+def campaign_daily(
+    facts: dict[str, DataFrame], key: str = "campaign_id", ts: str = "date_time"
+) -> DataFrame:
+    """Daily counts and amounts per campaign from several facts, without an outer join."""
+    return daily_lines(daily_states(facts, key, ts), list(facts), key)
 
 
 def tracked(calls: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,11 +7,14 @@ from ringlens.functions.numbers import money_sum
 from ringlens.operators import filters as flt
 from ringlens.operators import flat as fl
 from ringlens.operators import sessions as ss
+from ringlens.operators import transcripts as tr
 from ringlens.operators import windows as wn
 from ringlens.operators.windows import seconds_between
 from ringlens.plans.aggregates import WIDE_SQL, dsum
 from ringlens.plans.registry import query
 from ringlens.plans.windows import CAMPAIGN_SQL, GAP, ORDER, campaign, secs
+from ringlens.session import shared_dir
+from ringlens.sources import store as st
 from ringlens.sources.model import named
 
 
@@ -452,6 +455,20 @@ def transcript_search(m):
     return fl.phrase_matches(rows, "text", ["License", "anth"], "\\.")
 
 
+SEARCH_SQL = """
+    SELECT transcript_id, phrase FROM (SELECT doc_id AS transcript_id, unnest(string_split(text, '.')) AS phrase
+      FROM documents) WHERE contains(lower(phrase), 'license') OR contains(lower(phrase), 'anth')
+    """
+
+
+@query("transcript_search_indexed", SEARCH_SQL)
+def transcript_search_indexed(m):
+    """The same search from a stored index."""
+    index = tr.TranscriptIndex(shared_dir(m.spark, "transcripts"), "transcript_id", "text", 64)
+    tr.build(m.transcripts(), index)
+    return tr.search(m.spark, index, ["License", "anth"], "\\.")
+
+
 @query(
     "state_history",
     f"""SELECT event_id, event_type AS state, prev AS previous_state FROM (
@@ -473,16 +490,16 @@ def _day_fact_sql(kind):
       {dsum('value')} AS v FROM events WHERE event_type = '{kind}' GROUP BY 1, 2)"""
 
 
-@query(
-    "campaign_daily",
-    f"""
+DAILY_SQL = f"""
     SELECT campaign_id, day, coalesce(a.n, 0) AS visits, coalesce(a.v, 0) AS visit_amount,
       coalesce(b.n, 0) AS chats, coalesce(b.v, 0) AS chat_amount,
       coalesce(c.n, 0) AS goals, coalesce(c.v, 0) AS goal_amount
     FROM {_day_fact_sql('view')} a FULL JOIN {_day_fact_sql('click')} b USING (campaign_id, day)
     FULL JOIN {_day_fact_sql('signup')} c USING (campaign_id, day)
-    """,
-)
+    """
+
+
+@query("campaign_daily", DAILY_SQL)
 def campaign_daily(m):
     def fact(kind):
         return _of_kind(m, kind).select(campaign(), "date_time", "amount")
@@ -490,6 +507,23 @@ def campaign_daily(m):
     return fl.campaign_daily({"visit": fact("view"), "chat": fact("click"), "goal": fact("signup")})
 
 
+@query("campaign_daily_stored", DAILY_SQL)
+def campaign_daily_stored(m):
+    """Three increments, the second of them late and added twice."""
+    target = st.by_month(shared_dir(m.spark, "daily"), "day")
+    kinds = {"visit": "view", "chat": "click", "goal": "signup"}
+
+    def increment(n):
+        rows = m.events().withColumn("part", F.when(F.col("event_id") % 10 == 0, 1).otherwise(2 * (F.col("event_id") % 2)))
+        own = rows.filter(F.col("part") == n).select(campaign(), "date_time", "amount", "kind")
+        return {name: own.filter(F.col("kind") == kind).drop("kind") for name, kind in kinds.items()}
+
+    st.create(fl.daily_states(increment(0)).withColumn("increment", F.lit(0)), target)
+    for n in (2, 1, 1):
+        st.add_daily(increment(n), target, n)
+    return st.daily(m.spark, target, list(kinds))
+
+
 SUMMARY_SQL = """count(DISTINCT l_partkey) AS active_numbers, count(*) AS calls,
       count(*) FILTER (WHERE l_returnflag = 'N') AS non_session_calls,
       bool_or(l_linestatus = 'O') AS has_dynamic, bool_or(l_linestatus <> 'O') AS has_static,

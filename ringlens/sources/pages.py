@@ -27,6 +27,18 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file below ``folder``, of any kind: (path, length, modified). Contents are not read.
+
+    As everywhere in Spark, files whose name begins with a dot or an underscore are not seen,
+    nor are empty folders.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select(
+        F.regexp_replace("path", "^file:(//)?", "").alias("path"), "length", F.col("modificationTime").alias("modified")
+    )
+
+
 def page_path(url: str | Column) -> Column:
     """File path of a web page: no scheme, query or fragment; a folder means its index."""
     bare = F.regexp_replace(F.regexp_replace(col(url), "^[a-z]+://", ""), "[?#].*$", "")
@@ -145,8 +157,12 @@ def scan_filter(pages: DataFrame, options: ScanOptions = ScanOptions()) -> DataF
 
 
 def scan_summary(pages: DataFrame, options: ScanOptions = ScanOptions()) -> DataFrame:
-    """One row of counts: files, html, skipped, unreadable, directories."""
-    seen = pages.filter(_reached("path", options)).select("path", F.col("html").isNull().alias("bad"))
+    """One row of counts: files, html, skipped, unreadable, directories.
+
+    ``pages`` are pages with their ``html`` (NULL: unreadable), or a listing of files.
+    """
+    bad = F.col("html").isNull() if "html" in pages.columns else F.lit(False)
+    seen = pages.filter(_reached("path", options)).select("path", bad.alias("bad"))
     html, skip = is_html("path", options), skip_file("path", options)
     # a skipped folder counts where it is met; what lies below it is never met
     folders = pages.select(F.explode(folders_of("path", options.root)).alias("dir")).filter(
@@ -166,15 +182,13 @@ def categorise(pages: DataFrame, root: str = "") -> DataFrame:
 
 
 def file_stats(pages: DataFrame, root: str = "") -> DataFrame:
-    """Page count, and the largest and smallest page with its size in bytes.
+    """Page count, and the largest and smallest page with its size in bytes, from the pages'
+    ``html`` or a listing's ``length``.
 
     One row per category and a row '*' for all pages, from one pass.
     """
-    sized = pages.select(
-        category("path", root).alias("category"),
-        "path",
-        F.octet_length("html").cast("long").alias("size"),
-    )
+    size = F.octet_length("html") if "html" in pages.columns else F.col("length")
+    sized = pages.select(category("path", root).alias("category"), "path", size.cast("long").alias("size"))
     largest = F.struct(-F.col("size"), F.col("path"))
     smallest = F.struct("size", "path")
     per_category = sized.rollup("category").agg(

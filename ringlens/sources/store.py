@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens.operators.catalog import last_wins
+from ringlens.operators.flat import daily_lines, daily_states
 from ringlens.operators.ingest import spread_costs
 from ringlens.session import remove_dir, settled
 
@@ -111,3 +112,19 @@ def upsert_costs(uploads: DataFrame, target: Target, order: list[str]) -> list[i
     kept = _held(spark, target, parts).join(latest, ["campaign_id", "day"], "left_anti")
     _replace(kept.unionByName(latest.filter("daily_cost <> 0")), target, parts)
     return parts
+
+
+def add_daily(facts: dict[str, DataFrame], target: Target, increment: int, key: str = "campaign_id") -> list[int]:
+    """Add an increment of facts to daily statistics stored by month.
+
+    An increment holds new rows of any days, corrections as rows with the difference. Its
+    states are stored under its number, so adding it again replaces it, and only the months
+    that it touches are written.
+    """
+    states = daily_states(facts, key).withColumn("increment", F.lit(increment))
+    return upsert(states, target, [key, "day", "fact", "increment"], ["increment"])
+
+
+def daily(spark: SparkSession, target: Target, facts: list[str], key: str = "campaign_id") -> DataFrame:
+    """The stored daily statistics, all increments together."""
+    return daily_lines(stored(spark, target), facts, key)

@@ -247,6 +247,29 @@ def test_scan(spark, site):
     assert stats["Fruit"].smallest_file.endswith("index.html")
 
 
+def test_listing_sees_every_file(spark, site):
+    """The audit of a folder with files of all kinds equals a walk through it; no content is read."""
+    import os
+
+    for name in ("fruit/peel.css", "fruit/core.txt", "nuts/shell.HTM", "nuts/notes.pdf", "big.bin"):
+        (site / name).write_bytes(b"x" * len(name))
+    root = str(site)
+    files = pg.list_files(spark, root)
+    walked = {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names}
+    assert {r.path: r.length for r in files.collect()} == walked
+    text = files._sc._jvm.PythonSQLUtils.explainString(files._jdf.queryExecution(), "formatted")
+    assert "content" not in text.split("ReadSchema")[1].split("\n")[0]
+    plain = pg.ScanOptions(root=root, skip_assets=False)
+    got = pg.scan_summary(files, plain).first()
+    seen = [p for p in walked if not any(x.startswith(".") for x in p[len(root):].split("/"))]
+    folders = {d for d, _, _ in os.walk(root) if d != root}
+    assert got.total_files == len(seen) and got.error_files == 0
+    assert got.html_files + got.skipped_files == sum(p.lower().endswith(".html") for p in seen)
+    assert got.total_dirs in (len(folders), len(folders) + 1)
+    stats = {r.category: r for r in pg.file_stats(files, root).collect()}
+    assert stats["*"].files == len(walked) and stats["*"].largest_size == max(walked.values())
+
+
 def test_patterns(spark):
     names = ["ab1.html", "ab2.html", "abc.html", "a.html", "AB9.HTML", "ab-.html", "a*b.html"]
     cases = {
@@ -271,22 +294,22 @@ def test_text_after_an_example(spark):
 
 
 def test_validation(spark):
-    rules = [("name", "string", True, None, None, None), ("age", "number", False, None, None, 0.0),
-             ("tags", "array", False, None, None, None)]
+    rules = [("orchard", "string", True, None, None, None), ("weight", "number", False, None, None, 2.5),
+             ("kinds", "array", False, None, None, None)]
     schema = ("rules array<struct<field string, type string, required boolean, enum array<string>,"
               " format string, minimum double>>, id int, payload string")
-    payloads = ['{"name": "John", "age": 30, "tags": []}', '{"age": 30}', '{"name": 5, "age": -1}',
-                '[1]', 'not json', '{"name": "x", "age": 1.5, "tags": {"a": 1}}', '{"name": null}']
+    payloads = ['{"orchard": "hillside", "weight": 41.25, "kinds": ["lime"]}', '{"weight": 7}', '{"orchard": [], "weight": 2}',
+                '"lime"', '{"orchard"', '{"orchard": "dale", "weight": 2.5, "kinds": "plum"}', '{"orchard": null}']
     df = spark.createDataFrame([(rules, i, p) for i, p in enumerate(payloads)], schema)
     checked = ct.validate(df, "payload", "rules")
     got = {}
     for e in ct.validation_errors(checked, "id").collect():
         got.setdefault(e.id, set()).add((e.field, e.type))
-    assert got[1] == {("name", "required")}
-    assert got[2] == {("name", "invalid_type"), ("age", "number_gte")}
+    assert got[1] == {("orchard", "required")}
+    assert got[2] == {("orchard", "invalid_type"), ("weight", "number_gte")}
     assert got[3] == got[4] == {("(root)", "invalid_type")}
-    assert got[5] == {("tags", "invalid_type")}
-    assert {f for f, _ in got[6]} == {"name"}
+    assert got[5] == {("kinds", "invalid_type")}
+    assert {f for f, _ in got[6]} == {"orchard"}
     assert {r.id for r in checked.filter("valid").collect()} == {0}
 
 
