@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from ringlens.functions import html as ht
 from ringlens.functions import text as tx
 
+# fixed values: versions and wording of the documents
+OPENAPI_VERSION, DOCUMENT_VERSION, RPC_VERSION = "3.0.0", "1.0.0", "2.0"
+SUCCESS_TEXT, FAILURE_TEXT = "Successful response", "Error response"
+TITLE_TEXT, ENDPOINT_TEXT, BUNDLE_TEXT = "API - ", "API endpoint for ", "Methods of "
+RPC_TEXT, ID_TEXT, METHOD_TEXT, METADATA_TEXT = (
+    "JSON-RPC version", "Request identifier", "Method name", "Response metadata",
+)
+
 # fixed values: labels and headings of a documentation page
 METHOD_LABEL = "Метод"
 DESCRIPTION_LABEL = "Описание"
@@ -230,10 +238,10 @@ def with_defaults(catalog: DataFrame, brand: str = "Service") -> DataFrame:
     return catalog.withColumns(
         {
             "title": F.coalesce(
-                F.nullif("title", F.lit("")), F.concat(F.lit(f"{brand} API - "), "name")
+                F.nullif("title", F.lit("")), F.concat(F.lit(f"{brand} {TITLE_TEXT}"), "name")
             ),
             "description": F.coalesce(
-                F.nullif("description", F.lit("")), F.concat(F.lit("API endpoint for "), "name")
+                F.nullif("description", F.lit("")), F.concat(F.lit(ENDPOINT_TEXT), "name")
             ),
         }
     )
@@ -276,8 +284,8 @@ def responses() -> Column:
     A repeated code keeps its last description.
     """
     standard = F.array(
-        F.struct(F.lit("200").alias("name"), F.lit("Successful response").alias("description")),
-        F.struct(F.lit("400").alias("name"), F.lit("Error response").alias("description")),
+        F.struct(F.lit("200").alias("name"), F.lit(SUCCESS_TEXT).alias("description")),
+        F.struct(F.lit("400").alias("name"), F.lit(FAILURE_TEXT).alias("description")),
     )
     special = F.transform(
         F.filter("errors", lambda e: tx.is_http_status(e.code)),
@@ -381,8 +389,8 @@ def openapi(catalog: DataFrame, brand: str = "Service") -> DataFrame:
         methods(catalog).withColumns({"summary": F.col("title"), "text": render_description()}),
         brand,
     ).withColumn("responses", responses())
-    version = _scalar("string", "JSON-RPC version", F.lit("2.0"))
-    ident = _scalar("number", "Request identifier")
+    version = _scalar("string", RPC_TEXT, F.lit(RPC_VERSION))
+    ident = _scalar("number", ID_TEXT)
     body = F.struct(
         F.lit(True).alias("required"),
         _content(
@@ -390,7 +398,7 @@ def openapi(catalog: DataFrame, brand: str = "Service") -> DataFrame:
                 {
                     "jsonrpc": version,
                     "id": ident,
-                    "method": _scalar("string", "Method name", F.col("name")),
+                    "method": _scalar("string", METHOD_TEXT, F.col("name")),
                     "params": _params_object("request_params"),
                 },
                 ["jsonrpc", "id", "method", "params"],
@@ -410,7 +418,7 @@ def openapi(catalog: DataFrame, brand: str = "Service") -> DataFrame:
                         F.when(~empty, data["properties"]).alias("properties"),
                         F.when(~empty, data["required"]).alias("required"),
                     ),
-                    "metadata": _scalar("object", "Response metadata"),
+                    "metadata": _scalar("object", METADATA_TEXT),
                 },
                 ["data", "metadata"],
             ),
@@ -447,10 +455,10 @@ def openapi(catalog: DataFrame, brand: str = "Service") -> DataFrame:
         F.array(F.lit(brand.lower())).alias("tags"),
     )
     document = F.struct(
-        F.lit("3.0.0").alias("openapi"),
+        F.lit(OPENAPI_VERSION).alias("openapi"),
         F.struct(
             F.col("title").alias("title"),
-            F.lit("1.0.0").alias("version"),
+            F.lit(DOCUMENT_VERSION).alias("version"),
             F.col("description").alias("description"),
         ).alias("info"),
         F.create_map(
@@ -563,7 +571,7 @@ def bundle_output(catalog: DataFrame, min_files: int = 1, brand: str = "Service"
     )
     info = bundles.select(
         "bundle", F.lit("info").alias("kind"), F.col("title").alias("entry"), nothing.alias("source"),
-        F.to_json(F.struct("title", F.concat(F.lit("Methods of "), "title").alias("description"))).alias("body"),
+        F.to_json(F.struct("title", F.concat(F.lit(BUNDLE_TEXT), "title").alias("description"))).alias("body"),
     )
     held = documents.unionByName(components).unionByName(errors).join(bundles.drop("title"), within)
     return info.unionByName(held.drop(*within))
@@ -602,7 +610,7 @@ def derive_rules(catalog: DataFrame) -> DataFrame:
                 F.lit(None).cast("double").alias("minimum"),
             )
             for field, kind, const in (
-                ("jsonrpc", "string", F.lit("2.0")),
+                ("jsonrpc", "string", F.lit(RPC_VERSION)),
                 ("id", "number", None),
                 ("method", "string", F.col("name")),
             )

@@ -763,3 +763,65 @@ def openapi_parameters(m):
     return documents.select(
         F.col("path").alias("page"), F.coalesce(F.size(properties), F.lit(0)).alias("params")
     )
+
+
+@query(
+    "openapi_fields",
+    f"""{CTE}, ok AS (SELECT * FROM page WHERE name <> ''),
+    q AS (SELECT page, '**Request Parameters:** ' || count(*) || E'\\n\\n' || string_agg(
+        '- `' || name || '` (' || type || ', ' || CASE WHEN required THEN 'required' ELSE 'optional' END
+        || '): ' || description, E'\\n\\n' ORDER BY name) AS text,
+        string_agg(name, ',' ORDER BY name) FILTER (WHERE required) AS needed,
+        string_agg(name, ',' ORDER BY name) AS named FROM request GROUP BY 1),
+    a AS (SELECT page, '**Response Parameters:** ' || count(*) || E'\\n\\n' || string_agg(
+        '- `' || name || '` (' || type || '): ' || description, E'\\n\\n' ORDER BY name) AS text,
+        string_agg(name, ',' ORDER BY name) AS named FROM response GROUP BY 1),
+    codes AS (
+      SELECT page, string_agg(code || '=' || description, ';' ORDER BY code) AS responses FROM (
+        SELECT page, '200' AS code, 'Successful response' AS description FROM ok
+        UNION ALL SELECT page, '400', 'Error response' FROM ok
+        UNION ALL SELECT page, code, description FROM (
+          SELECT page, code, error.description FROM error JOIN ok USING (page)
+          WHERE regexp_matches(code, '^[1-5][0-9][0-9]$')
+          QUALIFY row_number() OVER (PARTITION BY page, code ORDER BY i DESC) = 1)) GROUP BY 1),
+    e AS (SELECT page, count(*) AS n FROM error GROUP BY 1)
+    SELECT page, '3.0.0' AS openapi, '1.0.0' AS version, coalesce(nullif(title, ''), 'Service API - ' || name) AS title,
+      coalesce(nullif(description, ''), 'API endpoint for ' || name) AS description, '/' || name AS path,
+      {VERB_SQL.format(c='name')} AS verb, title AS summary,
+      concat_ws(E'\\n\\n', nullif(description, ''), q.text, a.text) AS text, 'service' AS tag, responses,
+      coalesce(q.needed, '') AS needed, coalesce(q.named, '') AS asked, coalesce(a.named, '') AS given,
+      coalesce(e.n, 0) AS errors
+    FROM ok LEFT JOIN q USING (page) LEFT JOIN a USING (page) LEFT JOIN codes USING (page) LEFT JOIN e USING (page)""",
+)
+def openapi_fields(m):
+    """Every field of the finished documents, read back from their text."""
+    documents = ct.openapi(catalog(m).withColumn("path", F.col("page"))).withColumn("d", F.parse_json("document"))
+    paths = F.variant_get("d", "$.paths", "map<string,map<string,variant>>")
+    rows = documents.select(F.col("path").alias("page"), "d", paths.alias("paths"))
+    operations = F.map_values("paths")[0]
+    rows = rows.withColumns({"verb": F.map_keys(operations)[0], "op": F.map_values(operations)[0]})
+
+    def get(column, path, kind="string"):
+        return F.try_variant_get(column, path, kind)
+
+    def schema(response):
+        return f"$.responses['{response}'].content['application/json'].schema.properties.result.properties.data.properties"
+
+    def names(found):
+        return F.coalesce(F.array_join(F.array_sort(F.map_keys(found)), ","), F.lit(""))
+
+    params = "$.requestBody.content['application/json'].schema.properties.params"
+    replies = get(F.col("op"), "$.responses", "map<string,variant>")
+    reply = lambda e: F.concat(e["key"], F.lit("="), F.try_variant_get(e["value"], "$.description", "string"))
+    needed = F.array_sort(get(F.col("op"), f"{params}.required", "array<string>"))
+    return rows.select(
+        "page", get("d", "$.openapi").alias("openapi"), get("d", "$.info.version").alias("version"),
+        get("d", "$.info.title").alias("title"), get("d", "$.info.description").alias("description"),
+        F.map_keys("paths")[0].alias("path"), "verb", get("op", "$.summary").alias("summary"),
+        get("op", "$.description").alias("text"), get("op", "$.tags[0]").alias("tag"),
+        F.array_join(F.array_sort(F.transform(F.map_entries(replies), reply)), ";").alias("responses"),
+        F.coalesce(F.array_join(needed, ","), F.lit("")).alias("needed"),
+        names(get(F.col("op"), f"{params}.properties", "map<string,variant>")).alias("asked"),
+        names(get(F.col("op"), schema("200"), "map<string,variant>")).alias("given"),
+        F.coalesce(F.size(get("d", "$['x-errors'].errors", "array<variant>")), F.lit(0)).alias("errors"),
+    )
