@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlens.llm.common import whole
@@ -21,8 +21,8 @@ SHINGLE, PERCENT = 2, 80
 #: A signature has 256 bins, of which the bands use 42 * 6: two sets with a similarity of 0.8
 #: share no band once in 300,000 times, two with 0.1 share one once in 20,000.
 BIN_BITS, BANDS, ROWS = 8, 42, 6
-#: Centres of a bucket's stars in the first round; each round takes 64 times as many.
-CENTRES, MORE = 1, 64
+#: Nodes, and shingles, of a bucket that lie in one block.
+BLOCK_NODES, BLOCK_SHINGLES = 128, 1 << 20
 #: Members that are compared with one copy of their centre's text.
 STAR = 2000
 #: Bytes of text hashed at a time.
@@ -216,59 +216,103 @@ def confirmed(edges: DataFrame, texts: DataFrame, percent: int, width: int) -> D
     )
 
 
+def _compare(percent: int, width: int):
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by block, its members before the probes that meet them. A probe
+        counts what it has in common with all members at once, and gives one link for each
+        component that it is linked with."""
+        unpack = zstandard.ZstdDecompressor()
+        block, members, index = None, [], None
+        for batch in batches:
+            left, right = [], []
+            for bucket, number, role, node, part, packed in zip(*(batch[c] for c in ("bucket", "block", "role", "node", "part", "packed"))):
+                if block != (bucket, number):
+                    block, members, index = (bucket, number), [], None
+                _, hashes = shingle_sets([unpack.decompress(packed)], width)
+                if role == 0:
+                    members.append((node, part, hashes))
+                    continue
+                if index is None:
+                    sizes = np.array([len(h) for _, _, h in members])
+                    every = np.concatenate([h for _, _, h in members])
+                    order = np.argsort(every, kind="stable")
+                    owner = np.repeat(np.arange(len(members)), sizes)[order]
+                    index = every[order], owner, sizes, np.array([m[0] for m in members]), np.array([m[1] for m in members])
+                every, owner, sizes, nodes, parts = index
+                low, high = np.searchsorted(every, hashes, "left"), np.searchsorted(every, hashes, "right")
+                count = high - low
+                at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+                common = np.bincount(owner[at], minlength=len(sizes))
+                linked = np.flatnonzero((100 * common >= percent * (sizes + len(hashes) - common)) & (parts != part))
+                first = np.unique(parts[linked], return_index=True)[1]
+                left += [node] * len(first)
+                right += nodes[linked[first]].tolist()
+            yield pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
+
+    return compare
+
+
+def crossed(parts: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links ``a, b`` between the components that meet in a bucket; ``parts`` has ``bucket,
+    node, n, part``.
+
+    The nodes of a bucket are dealt to blocks of bounded size. Those outside of the bucket's
+    largest component are probes and go to every block, where they are compared with all of
+    its nodes at once; so pairs are counted inside a block and never rows of a table.
+    """
+    per = parts.groupBy("bucket", "part").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
+    mixed = per.groupBy("bucket").agg(
+        F.max_by("part", F.struct("nodes", "part")).alias("main"), F.count("*").alias("parts"),
+        F.greatest(F.ceil(F.sum("nodes") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+    ).filter("parts > 1")
+    placed = settled(parts.join(mixed.select("bucket", "main", "blocks"), "bucket"), "mixed")
+    columns = ["bucket", "block", "role", "node", "part"]
+    members = placed.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "role": F.lit(0)})
+    probes = placed.filter("part <> main").withColumns(
+        {"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "role": F.lit(1)}
+    )
+    return (
+        members.select(*columns).unionByName(probes.select(*columns))
+        .join(texts, "node")
+        .repartition("bucket", "block")
+        .sortWithinPartitions("bucket", "block", "role")
+        .select(*columns, "packed")
+        .mapInPandas(_compare(percent, width), "a bigint, b bigint")
+    )
+
+
 def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """``node, root`` for every linked node but roots; ``nodes`` are ``node, n, buckets``.
 
-    In each bucket the nodes with the most company in all their buckets are centres, and only
-    pairs with a centre are compared, on the whole sets. Then linked nodes form components.
-    Buckets whose other nodes lie in several components go through further rounds with 64
-    times as many centres each, until every pair of a bucket was compared or lies in one
-    component: no candidate pair is lost, and copies of one text, however many, need a star.
+    First each bucket is a star: the node with the most company in all its buckets is the
+    centre, and the others are compared with it, on the whole sets. Links form components,
+    and most buckets then lie in one. In the others, the nodes outside of the largest
+    component are compared with all of the bucket. So no pair that shares a bucket is lost: it
+    was compared, or both lie in one component.
     """
     members = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
     company = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     met = settled(members.join(company, "bucket"), "met")
-    weights = met.groupBy("node").agg((-F.sum("size")).alias("weight"))
-    active = met.drop("size").join(weights, "node")
+    weights = settled(met.groupBy("node").agg((-F.sum("size")).alias("weight")), "weights")
     texts = settled(signed.select(F.col("tag").alias("node"), "packed").join(weights.select("node"), "node", "left_semi"), "met-texts")
-    roots = tried = None
-    centres = CENTRES
-    while True:
-        if roots is None:
-            active = active.withColumn("part", F.col("node"))
-        else:
-            active = active.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
-        if tried is not None:
-            mixed = active.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-            active = active.join(mixed.select("bucket"), "bucket", "left_semi")
-        active = settled(active, "active")
-        if active.isEmpty():
-            return roots if roots is not None else active.select("node", F.col("node").alias("root"))
-        order = Window.partitionBy("bucket").orderBy("weight", "node")
-        heads = active.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= centres)
-        heads = settled(heads.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("node", "n", "weight", "part")]), "centres")
-        pairs = (
-            active.join(heads, "bucket")
-            .filter("c_part <> part and (c_weight < weight or (c_weight = weight and c_node < node))")
-            .filter(f"100 * least(n, c_n) >= {percent} * greatest(n, c_n)")
-            .select(F.col("c_node").alias("centre"), "node")
-            .distinct()
-        )
-        if tried is not None:
-            pairs = pairs.join(tried, ["centre", "node"], "left_anti")
-        pairs = settled(pairs, "candidates")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = None if pairs.isEmpty() else settled(confirmed(pairs, texts, percent, width), "confirmed")
-        if found is not None and not found.isEmpty():
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if roots is not None else found.limit(0)
-            roots = components(known.unionByName(found)).withColumnRenamed("code", "node")
-        last = heads.groupBy("bucket").agg(F.max(F.struct("c_weight", "c_node")).alias("last"))
-        active = (
-            active.drop("part").join(last, "bucket")
-            .filter(F.struct("weight", "node") > F.struct("last.c_weight", "last.c_node"))
-            .drop("last")
-        )
-        centres *= MORE
+    heads = met.join(weights, "node").groupBy("bucket").agg(F.min(F.struct("weight", "node", "n")).alias("head"))
+    stars = (
+        met.join(heads, "bucket")
+        .filter(f"node <> head.node AND 100 * least(n, head.n) >= {percent} * greatest(n, head.n)")
+        .select(F.col("head.node").alias("centre"), "node")
+        .distinct()
+    )
+    found = settled(confirmed(settled(stars, "stars"), texts, percent, width), "confirmed")
+    roots = _roots_of(found)
+    parts = met.select("bucket", "node", "n").join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
+    more = settled(crossed(parts.drop("root"), texts, percent, width), "crossed")
+    if more.isEmpty():
+        return roots
+    return _roots_of(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _roots_of(links: DataFrame) -> DataFrame:
+    return links.toDF("node", "root") if links.isEmpty() else components(links).withColumnRenamed("code", "node")
 
 
 def minhash_groups(
