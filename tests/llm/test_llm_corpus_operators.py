@@ -155,7 +155,7 @@ def plain_groups(rows, percent, width):
     return sets, [(r[0], len(sets[i]), min((x for x in groups[find(i)] if x is not None), default=None)) for i, r in enumerate(rows)]
 
 
-@pytest.mark.parametrize("percent, width, limits", [(80, 2, {}), (80, 2, {"STAR": 2, "BLOCK": 64}), (90, 3, {}), (100, 2, {})])
+@pytest.mark.parametrize("percent, width, limits", [(80, 2, {}), (80, 2, {"STAR": 2, "BLOCK": 64, "BLOCK_NODES": 2, "BLOCK_SHINGLES": 500}), (90, 3, {}), (100, 2, {})])
 def test_minhash_groups(odd, monkeypatch, percent, width, limits):
     for name, value in limits.items():
         monkeypatch.setattr(minhash, name, value)
@@ -179,7 +179,7 @@ def test_minhash_keeps_one_of_each_group(odd, empty):
 
 
 def test_stars_lose_no_link(spark, monkeypatch):
-    """Texts that share a bucket, of which only some are similar to a centre: more rounds."""
+    """Texts that share a bucket, of which only some are similar to the centre."""
     rnd = random.Random(10)
     base = [rnd.choice(WORDS) for _ in range(200)]
     rows = []
@@ -196,8 +196,8 @@ def test_stars_lose_no_link(spark, monkeypatch):
     got = {r.id: r.component_id for r in minhash.minhash_groups(docs).collect()}
     _, want = plain_groups(rows, 80, 2)
     assert got == {i: c for i, _, c in want}
-    # a bucket of everything: rounds of stars alone must find all
-    monkeypatch.setattr(minhash, "MORE", 3)
+    # a bucket of everything: the star and the blocks alone must find all
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 7)
     signed = minhash.signed_documents(docs, "text", "doc_id").drop("buckets").withColumn("buckets", F.array(F.lit(0).cast("long")))
     signed = minhash.settled(signed, "one-bucket")
     nodes = signed.select(F.col("tag").alias("node"), "n", "buckets")

@@ -55,6 +55,21 @@ def test_exact_groups(odd):
     assert sum(r.kept for r in rows) == len(groups)
 
 
+def test_exact_groups_of_any_id(spark):
+    least = -(1 << 63)
+    rows = spark.createDataFrame([(least, "a"), (5, "a"), (None, "a"), (7, "b")], "doc_id long, text string")
+    assert {(r.id, r.keep_id, r.kept) for r in exact.exact_groups(rows).collect()} == {
+        (least, least, True), (5, least, False), (None, least, False), (7, 7, True)}
+    named = spark.createDataFrame([("x9", "a"), ("x10", "a "), ("", "c")], "doc_id string, text string")
+    assert {(r.id, r.keep_id) for r in exact.exact_groups(named).collect()} == {("x9", "x10"), ("x10", "x10"), ("", "")}
+
+
+def test_exact_dedup_of_repeated_and_null_ids(spark):
+    docs = spark.createDataFrame([(1, "x"), (2, "x"), (2, "other"), (None, "z"), (None, "z"), (3, None), (4, " ")], "doc_id long, text string")
+    kept = sorted(map(tuple, exact.exact_dedup(docs).collect()), key=str)
+    assert kept == sorted([(1, "x"), (2, "other"), (None, "z"), (4, " ")], key=str)
+
+
 def test_exact_dedup_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "a b", 1), (2, "a  b", 2), (3, "c", 3)], "doc_id long, text string, n int")
     assert sorted(map(tuple, exact.exact_dedup(docs).collect())) == [(2, "a  b", 2), (3, "c", 3)]
@@ -100,9 +115,48 @@ def test_mix_pieces(spark, odd):
     per_source = Counter()
     for tag, *_ in covered:
         per_source[rows[tag].source] += 1
-    for s in found.sources.collect():
-        assert per_source[s.source] == s.quota
-    assert len({(p.sid, p.rank): p.slot for p in pieces}) == len({p.slot for p in pieces})
+    for x in found.sources.collect():
+        assert per_source[x.source] == x.end <= 2 * x.source_size
+    assert len({(p.sid, p["rank"]): p.slot for p in pieces}) == len({p.slot for p in pieces})
+    for r in rows.values():
+        own = [p for p in pieces if p.tag == r.tag]
+        assert (r.first_slot, r.n_slots) == (min((p.slot for p in own), default=None), len(own))
+
+
+def test_shares_come_from_the_slots(spark, monkeypatch):
+    """A good sequence gives every source its target and every stretch of slots the shares; a
+    bad one gives other shares."""
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 50), f"s{i % 4}") for i in range(800)], "doc_id long, text string, source string")
+
+    def mixed():
+        found = mix.mix_sources(docs)
+        pieces = found.pieces.select("slot", "sid", "n_words").collect()
+        return {x.sid: x.target for x in found.sources.collect()}, pieces
+
+    target, pieces = mixed()
+    total, slots = sum(target.values()), max(p.slot for p in pieces) + 1
+    for cut in (0.1, 0.25, 0.5, 0.9, 1.0):
+        own = Counter()
+        for p in pieces:
+            if p.slot < cut * slots:
+                own[p.sid] += p.n_words
+        assert all(abs(own[x] - cut * t) <= 12 * (total / slots + 1) for x, t in target.items()), (cut, own, target)
+    monkeypatch.setattr(mix, "GOLDEN", 1)
+    _, bad = mixed()
+    own = Counter()
+    for p in bad:
+        own[p.sid] += p.n_words
+    assert any(abs(own[x] - t) > 0.2 * t for x, t in target.items())
+
+
+def test_the_mix_comes_in_the_order_of_slots(spark):
+    docs = spark.createDataFrame([(i, f"d{i} " * 20, f"s{i % 3}") for i in range(300)], "doc_id long, text string, source string")
+    found = mix.mix_sources(docs)
+    slot = {}
+    for p in found.pieces.collect():
+        slot[p.id, p.epoch] = min(slot.get((p.id, p.epoch), (1 << 60, 0)), (p.slot, p.position))
+    rows = mix.mixed_documents(docs, n_chars=None, stretch=1 << 20).collect()  # one stretch: the mix itself
+    assert [r.doc_id for r in rows] == [i for (i, _), _ in sorted(slot.items(), key=lambda x: x[1])]
 
 
 def test_schedule_has_low_discrepancy(spark):
@@ -242,6 +296,17 @@ def contaminated(text, items, window=13):
     return len(own), len(hit), sorted(found)
 
 
+def test_a_shared_passage_pairs_nothing(spark):
+    """Documents and items that share a passage meet in one set of items."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"d{i} {passage}") for i in range(2000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"{passage} b{i}") for i in range(2000)], "item_id long, text string")
+    found = decontam.find_hits(docs, bench)
+    assert found.combos.count() == 1
+    assert found.combos.select(F.size("items")).first()[0] == 2000
+    assert found.documents.agg(F.min("n_hit"), F.max("n_hit"), F.count("*")).first() == (30, 30, 2000)
+
+
 def test_contamination(spark, empty):
     rnd = random.Random(2)
     say = lambda n: " ".join(rnd.choice(WORDS) for _ in range(n))
@@ -283,6 +348,56 @@ def test_toxicity_finds_the_word_that_tells():
     assert scores[0] < 0.3 and scores[1] < 0.3 and scores[2] > 0.5 and scores[3] > 0.5
 
 
+def test_words_count_to_their_end():
+    """What follows the eighth byte makes other features, in compounds and without blanks."""
+    def of(text):
+        doc, feature = toxicity.word_features([text.encode()])
+        assert (doc == 0).all()
+        return set(feature.tolist())
+
+    a, b = of("unbelievablyfoo"), of("unbelievZZZbar")
+    assert a != b and len(a - b) > 2 and len(b - a) > 2
+    assert of("schimpfwort") & of("hauptschimpfwort") - of("haupt")
+    long = "".join(chr(0x4E00 + i) for i in range(300))
+    assert of("毒害") & of(long[:150] + "毒害" + long[150:])
+    for cut in (10, 100, 290):
+        assert of(long) != of(long[:cut] + "字" + long[cut + 1 :])
+    texts = [b"", b"one two", b"unbelievable", "é".encode() * 40, b"..."]
+    doc, feature = toxicity.word_features(texts)
+    for i, t in enumerate(texts):
+        assert sorted(feature[doc == i].tolist()) == sorted(toxicity.word_features([t])[1].tolist())
+
+
+def test_the_risk_is_the_one_stated(monkeypatch):
+    """The fitted weights make the non-negative risk lower than any small change of one does."""
+    rnd = random.Random(7)
+    say = lambda n: " ".join(rnd.choice(WORDS) for _ in range(n)).encode()
+    toxic = [say(30) + b" vile awful" for _ in range(40)]
+    mixed = [say(40) for _ in range(300)] + [say(20) + b" vile" for _ in range(20)]
+    prior = 0.1
+    model = toxicity.fit(toxic, mixed, prior, steps=2000, rate=0.02, decay=0.0)
+
+    def risk(weights):
+        def margin(texts):
+            doc, col = toxicity.present(texts, model.wanted)
+            return np.bincount(doc, weights[col], len(texts)) + weights[-1]
+
+        loss = lambda g: np.logaddexp(0, -g).mean()
+        p, u = margin(toxic), margin(mixed)
+        return prior * loss(p) + max(0.0, loss(-u) - prior * loss(-p))
+
+    best = risk(model.weights)
+    start = np.zeros_like(model.weights)
+    start[-1] = math.log(prior / (1 - prior))
+    assert best < risk(start)
+    for i in range(len(model.weights)):
+        for change in (-0.5, 0.5):
+            other = model.weights.copy()
+            other[i] += change
+            if i == len(other) - 1 or other[i] >= 0:
+                assert risk(other) >= best - 0.02
+
+
 def test_quality_on_odd_tables(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.quality_scores(odd, none).collect()} == {0.5}
@@ -341,6 +456,31 @@ def test_links_by_brute_force(spark, monkeypatch, dense):
     assert groups(unsigned) == groups(want)
 
 
+def test_every_node_is_searched_as_a_tree(monkeypatch):
+    """Groups of two codes and of thousands go through the same descent, many at a time."""
+    rnd = random.Random(15)
+    groups, calls = [], []
+    for size in [1, 2, 2, 3, 8, 9, 64, 65, 600, *[2] * 200]:
+        base = rnd.getrandbits(64)
+        own = {base}
+        while len(own) < size:
+            own.add(rnd.choice(sorted(own)[-9:]) ^ (1 << rnd.randrange(64)) ^ (rnd.randrange(2) << rnd.randrange(64)))
+        groups.append(np.array(sorted(own, key=lambda c: int(simhash.gray_rank(np.array([c], np.uint64))[0])), np.uint64))
+    search = simhash._search
+    monkeypatch.setattr(simhash, "_search", lambda codes, sizes: calls.append(len(sizes)) or search(codes, sizes))
+    monkeypatch.setattr(simhash, "BATCH", 100)
+    number = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    stars = simhash._links(number, np.concatenate(groups))
+    assert sum(calls) == sum(len(g) > 1 for g in groups) and max(calls) > 200 and len(calls) <= 4
+    got = {}
+    for a, b in zip(stars["a"], stars["b"]):
+        got[a % (1 << 64)] = b % (1 << 64)
+    for g in groups:
+        root = linked([int(c) for c in g])
+        parts = lambda m: {frozenset(k for k in m if m[k] == v) for v in set(m.values())}
+        assert parts({int(c): got.get(int(c), int(c)) for c in g}) == parts(root)
+
+
 def test_gray_rank_is_the_place_in_the_sequence():
     places = np.arange(5000, dtype=np.uint64)
     assert (simhash.gray_rank(places ^ (places >> np.uint64(1))) == places).all()
@@ -351,6 +491,14 @@ def test_chains_become_one_component(spark):
     assert {r.code: r.root for r in simhash.components(links).collect()} == {**{i: 0 for i in range(1, 61)}, 101: 100}
 
 
+def test_near_dedup_keeps_one_of_a_hot_row(spark):
+    """Rows that agree in a null id and the text are told apart by their tags."""
+    rows = [(None, "a b c d", i % 2) for i in range(3000)] + [(4, "a b c d", 5), (4, "a b c d", 5), (3, "other words here now", 1), (None, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(8)
+    kept = sorted(map(tuple, simhash.near_dedup(docs).collect()), key=str)
+    assert kept == sorted([(4, "a b c d", 5), (3, "other words here now", 1), (None, "", 0)], key=str)
+
+
 def test_near_dedup_on_odd_tables(odd, empty):
     rows = simhash.near_groups(odd).collect()
     assert len(rows) == len(odd_rows())
@@ -390,6 +538,21 @@ def test_repeats_by_brute_force(spark, odd, monkeypatch, limits):
     assert got == sorted(without_repeats(rows), key=str)
 
 
+def test_buckets_that_do_not_occur_cost_nothing():
+    """Packing takes as long for ten million buckets as for ten."""
+    import time
+
+    import pandas as pd
+
+    rnd = random.Random(16)
+    batch = pd.DataFrame({"rank": range(40), "text_hash": range(40), "text": [" ".join(rnd.choices(WORDS, k=200)) for _ in range(40)]})
+    none = np.empty(0, np.uint64)
+    for buckets in (10, 10_000_000):
+        start = time.perf_counter()
+        out = pd.concat(substring._pack(none, buckets)(iter([batch])))
+        assert out["bucket"].is_unique and out["bucket"].max() < buckets and time.perf_counter() - start < 5
+
+
 def test_repeats_of_nothing(empty):
     assert substring.remove_repeats(empty).count() == 0
 
