@@ -11,7 +11,8 @@ SCHEMA = "ext_id int, modified int, amount int"
 
 
 def files(path):
-    return {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+    found = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    return {f: os.stat(f).st_mtime_ns for f in found}
 
 
 def held(spark, target):
