@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,29 +20,37 @@ MIN_DOCS = 10
 TOP_TERMS = 10
 #: What a share of 1 counts as.
 UNIT = 1_000_000_000
+#: Counts up to here, times the unit, are longs.
+LARGE = 9_000_000_000
 #: Distinct terms that a counting task holds before it hands them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 400_000
 #: Pairs of tree nodes whose corrections a task holds before it adds them up.
 HELD_PAIRS = 1 << 18
 
 PLAIN = plain_bytes()
 
 
-def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each term and documents with it, by language and source."""
     groups, held = defaultdict(lambda: (Counter(), Counter())), 0
 
-    def counted() -> pd.DataFrame:
-        parts = []
+    def counted() -> Iterator[pa.RecordBatch]:
         for (lang, source), (count, docs) in groups.items():
-            terms = list(count)
-            part = {"term": [t.decode("utf-8", "replace") for t in terms], "n": list(count.values())}
-            parts.append(pd.DataFrame(part | {"docs": [docs[t] for t in terms]}).assign(lang=lang, source=source))
+            terms, n = list(count), len(count)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang]).take(pa.array(np.zeros(n, np.int32))),
+                    pa.array([source]).take(pa.array(np.zeros(n, np.int32))),
+                    pa.array(terms, pa.binary()).cast(pa.string()),
+                    pa.array(np.fromiter(count.values(), np.int64, n)),
+                    pa.array(np.fromiter(map(docs.__getitem__, terms), np.int64, n)),
+                ],
+                ["lang", "source", "term", "n", "docs"],
+            )
         groups.clear()
-        return pd.concat(parts)[["lang", "source", "term", "n", "docs"]]
 
     for batch in batches:
-        for lang, source, raw in zip(batch["lang"], batch["source"], batch["raw"]):
+        for lang, source, raw in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "raw"))):
             count, docs = groups[lang, source]
             before, seen = len(count), set()
             for terms in term_blocks(raw, PLAIN):
@@ -50,17 +59,16 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             docs.update(seen)
             held += len(count) - before
             if held > HELD_TERMS:
-                yield counted()
+                yield from counted()
                 held = 0
-    if held:
-        yield counted()
+    yield from counted()
 
 
 def term_counts(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """``lang, source, term, n, docs`` over all documents."""
     rows = docs.select(
         whole(lang).alias("lang"), whole(source).alias("source"), whole(text).cast("binary").alias("raw")
-    ).mapInPandas(_count_terms, "lang string, source string, term string, n bigint, docs bigint")
+    ).mapInArrow(_count_terms, "lang string, source string, term string, n bigint, docs bigint")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -69,11 +77,12 @@ def _div(a: Column, b: Column) -> Column:
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
-    """A smoothed share in units; as decimals, since the product outgrows a long."""
+    """A smoothed share in units; of a count whose product outgrows a long, as decimals."""
     whole_number = "decimal(19,0)"
-    above = F.lit(UNIT).cast("decimal(10,0)") * (count + 2).cast(whole_number)
-    below = F.greatest(total + 2 * terms, F.lit(1)).cast(whole_number)
-    return 1 + _div(above, below)
+    below = F.greatest(total + 2 * terms, F.lit(1))
+    small = _div(F.least(count + 2, F.lit(LARGE)) * UNIT, below)
+    large = _div(F.lit(UNIT).cast("decimal(10,0)") * (count + 2).cast(whole_number), below.cast(whole_number))
+    return 1 + F.when(count + 2 <= LARGE, small).otherwise(large)
 
 
 def _gap(p: Column, q: Column) -> Column:
@@ -155,60 +164,68 @@ def _tree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass(frozen=True)
 class Audit:
-    """``groups``: ``lang, source, rank, total, terms, lang_total, zero`` per group;
-    ``priced``: ``lang, source, term, n, rank, share, zero, lang_share`` per kept term that
-    occurs in a group."""
+    """``groups``: ``lang, source, rank, total, terms, lang_total, zero`` per group; ``rows``:
+    ``lang, term, lang_share, path`` per kept term, the path being ``rank, n, share, zero`` of
+    each source that has the term, in the order of sources."""
 
     groups: DataFrame
-    priced: DataFrame
+    rows: DataFrame
 
 
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, text: str = "text", lang: str = "lang", source: str = "source") -> Audit:
-    """Groups, their kept terms and shares. Null texts, languages and sources count as ''."""
-    counts = settled(term_counts(docs, text, lang, source), "term-counts")
-    kept = settled(
-        counts.groupBy("lang", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
+    """Groups, and the priced row of every kept term. Null texts, languages and sources count as ''."""
+    found = docs.select(whole(lang).alias("lang"), whole(source).alias("source")).distinct()
+    ranked = settled(
+        found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("source"))), "ranks"
+    )
+    rows = settled(
+        term_counts(docs, text, lang, source).join(ranked, ["lang", "source"])
+        .groupBy("lang", "term")
+        .agg(
+            F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"),
+            F.sort_array(F.collect_list(F.struct("rank", "n"))).alias("path"),
+        )
         .filter(F.col("docs") >= min_docs)
-        .select("lang", "term", "lang_n"),
-        "kept-terms",
+        .select("lang", "term", "lang_n", "path"),
+        "term-rows",
     )
-    entries = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
-    totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    totals = rows.select("lang", F.explode("path").alias("e")).groupBy("lang", F.col("e.rank").alias("rank")).agg(F.sum("e.n").alias("total"))
+    langs = rows.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
     none = F.lit(0).cast("long")
-    found = docs.select(whole(lang).alias("lang"), whole(source).alias("source")).distinct()
     groups = settled(
-        found.join(totals, ["lang", "source"], "left")
-        .join(langs, "lang", "left")
-        .na.fill(0)
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("source")))
+        ranked.join(totals, ["lang", "rank"], "left").join(langs, "lang", "left").na.fill(0)
         .withColumn("zero", _share(none, F.col("total"), F.col("terms"))),
         "groups",
     )
-    priced = (
-        entries.join(groups, ["lang", "source"])
-        .withColumn("share", _share(F.col("n"), F.col("total"), F.col("terms")))
-        .withColumn("lang_share", _share(F.col("lang_n"), F.col("lang_total"), F.col("terms")))
+    of_lang = groups.groupBy("lang", "terms", "lang_total").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "total", "zero"))).alias("of")
     )
-    columns = ["lang", "source", "term", "n", "rank", "share", "zero", "lang_share"]
-    return Audit(groups, settled(priced.select(*columns), "priced"))
 
+    def priced(e: Column) -> Column:
+        own = F.get("of", e["rank"] - 1)
+        share = _share(e["n"], own["total"], F.col("terms")).alias("share")
+        return F.struct(e["rank"].alias("rank"), e["n"].alias("n"), share, own["zero"].alias("zero"))
 
-def tree_corrections(priced: DataFrame) -> DataFrame:
+    rows = rows.join(of_lang, "lang").select(
+        "lang", "term", _share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("lang_share"),
+        F.transform("path", priced).alias("path"),
+    )
+    return Audit(groups, settled(rows, "priced"))
+
+
+def tree_corrections(rows: DataFrame) -> DataFrame:
     """``lang, a, b, value``: what pairs of sources need where a term occurs in both.
 
-    A term's row is the path of its counts in the order of the sources. Equal rows are one
-    path with a multiplicity. Paths are dealt in ranges of their order, so each task walks a
+    A term's row is the path of its counts in the order of the sources; equal rows pass
+    through the same nodes. Paths are dealt in ranges of their order, so each task walks a
     connected part of the tree; a node whose rows lie in several parts is added up from them.
     """
-    item = F.struct("rank", "n", "share", "zero")
-    rows = priced.groupBy("lang", "term").agg(F.sort_array(F.collect_list(item)).alias("path"))
-    paths = rows.filter(F.size("path") > 1).groupBy("lang", "path").agg(F.count("*").alias("times"))
     return (
-        paths.repartitionByRange("lang", "path")
+        rows.filter(F.size("path") > 1)
+        .select("lang", "path")
+        .repartitionByRange("lang", "path")
         .sortWithinPartitions("lang", "path")
-        .select("lang", *[F.col(f"path.{c}").alias(c) for c in ("rank", "n", "share", "zero")], "times")
+        .select("lang", *[F.col(f"path.{c}").alias(c) for c in ("rank", "n", "share", "zero")], F.lit(1).cast("long").alias("times"))
         .mapInPandas(_tree, "lang string, a int, b int, value bigint")
     )
 
@@ -216,7 +233,7 @@ def tree_corrections(priced: DataFrame) -> DataFrame:
 def single_corrections(found: Audit) -> DataFrame:
     """``lang, a, b, value``: what a count of one source changes against the other sources'
     zero, once per distinct count."""
-    one = found.priced.groupBy("lang", "rank", "share", "zero").agg(F.count("*").alias("times"))
+    one = found.rows.select("lang", F.explode("path").alias("e")).groupBy("lang", "e.rank", "e.share", "e.zero").agg(F.count("*").alias("times"))
     other = found.groups.select("lang", F.col("rank").alias("other"), F.col("zero").alias("q"))
     change = F.col("times") * (_gap(F.col("share"), F.col("q")) - _gap(F.col("zero"), F.col("q")))
     return (
@@ -237,7 +254,7 @@ def source_pairs(found: Audit) -> DataFrame:
     a = groups.select("lang", "terms", *[F.col(c).alias(f"{c}_a") for c in ("rank", "source", "zero")])
     b = groups.select("lang", *[F.col(c).alias(f"{c}_b") for c in ("rank", "source", "zero")])
     plain = a.join(b, "lang").filter("rank_a < rank_b")
-    changes = single_corrections(found).unionByName(tree_corrections(found.priced))
+    changes = single_corrections(found).unionByName(tree_corrections(found.rows))
     changes = changes.groupBy("lang", F.col("a").alias("rank_a"), F.col("b").alias("rank_b")).agg(F.sum("value").alias("change"))
     value = F.col("terms") * _gap(F.col("zero_a"), F.col("zero_b")) + F.coalesce("change", F.lit(0))
     both = F.array(F.struct(F.col("source_a").alias("source"), F.col("source_b").alias("item")),
@@ -251,8 +268,12 @@ def source_pairs(found: Audit) -> DataFrame:
 
 def source_terms(found: Audit) -> DataFrame:
     """``lang, source, item, value``: the terms that a source has more of than its language."""
-    more = found.priced.filter("share > lang_share")
-    return more.select("lang", "source", F.col("term").alias("item"), _gap(F.col("share"), F.col("lang_share")).alias("value"))
+    more = found.rows.select(
+        "lang", F.col("term").alias("item"), "lang_share",
+        F.explode(F.filter("path", lambda e: e["share"] > F.col("lang_share"))).alias("e"),
+    )
+    gaps = more.select("lang", F.col("e.rank").alias("rank"), "item", _gap(F.col("e.share"), F.col("lang_share")).alias("value"))
+    return gaps.join(found.groups.select("lang", "rank", "source"), ["lang", "rank"]).select("lang", "source", "item", "value")
 
 
 def source_divergence(
