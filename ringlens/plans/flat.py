@@ -464,7 +464,7 @@ SEARCH_SQL = """
 @query("transcript_search_indexed", SEARCH_SQL)
 def transcript_search_indexed(m):
     """The same search from a stored index."""
-    index = tr.TranscriptIndex(shared_dir(m.spark, "transcripts"), "transcript_id", "text", 64)
+    index = tr.TranscriptIndex(shared_dir(m.spark, "transcripts"), "transcript_id", "text", 16)
     tr.build(m.transcripts(), index)
     return tr.search(m.spark, index, ["License", "anth"], "\\.")
 

@@ -95,12 +95,13 @@ def ended_sessions_stream(m):
 @query(
     "ledgered_calls_stream",
     """
-    WITH leg AS (SELECT l_orderkey AS ext_id, l_linenumber AS n, l_returnflag = 'A' AND l_quantity > 25 AS ok
-      FROM lineitem),
-    attempt AS (SELECT * FROM leg UNION ALL SELECT ext_id, n + 7, ok FROM leg WHERE n <= 2),
+    WITH leg AS (SELECT l_orderkey AS ext_id, l_linenumber AS n, l_returnflag = 'A' AND l_quantity > 25 AS ok,
+        l_returnflag AS flag, l_quantity AS quantity FROM lineitem),
+    attempt AS (SELECT * FROM leg UNION ALL SELECT ext_id, n + 7, ok, flag, quantity FROM leg WHERE n <= 2),
     seen AS (
       SELECT *, coalesce(sum(ok::INT) OVER w, 0) AS good, coalesce(sum((NOT ok)::INT) OVER w, 0) AS bad
-      FROM attempt WINDOW w AS (PARTITION BY ext_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+      FROM attempt WINDOW w AS (PARTITION BY ext_id ORDER BY n, flag, quantity
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT ext_id, count(*) AS attempts, coalesce(max(CASE WHEN ok THEN n END), -1) AS loaded_no
     FROM seen WHERE good = 0 AND bad < 3 GROUP BY 1
     """,
@@ -116,7 +117,7 @@ def ledgered_calls_stream(m):
         rows.coalesce(1).write.mode("append").parquet(inbox)
     stream = m.spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
     ok = (F.col("finish_reason") == "A") & (F.col("duration") > 25)
-    stateful.ledgered(stream, out, ok, ["n"])
+    stateful.ledgered(stream, out, ok, ["n", "finish_reason", "duration"])
     tried = stateful.ledger(m.spark, out).groupBy("ext_id").agg(F.count("*").alias("attempts"))
     done = stateful.loaded(m.spark, out).select("ext_id", F.col("n").alias("loaded_no"))
     return tried.join(done, "ext_id", "left").na.fill(-1, ["loaded_no"])
