@@ -18,7 +18,8 @@ from ringlens.llm.substring import word_hashes
 BITS = 18
 PREFIXES = (4, 5, 6)
 #: Words with more bytes have the runs of so many bytes that begin at a later character as
-#: features too: the stems inside of compounds, and the words of scripts without blanks.
+#: features too, the same as a prefix of that length: the stems inside of compounds, and the
+#: words of scripts without blanks.
 LONG, PART = 8, 6
 #: Text bytes whose words are taken at a time.
 CHUNK = 1 << 20
@@ -59,7 +60,7 @@ def word_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     parts = length[long] - PART
     at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + np.repeat(start[long] + 1, parts)
     first = codes[at] & 0xC0 != 0x80  # the first byte of a character
-    add(np.repeat(doc[long], parts)[first], eight[at[first]] & np.uint64((1 << 8 * PART) - 1), 7)
+    add(np.repeat(doc[long], parts)[first], eight[at[first]] & np.uint64((1 << 8 * PART) - 1), PART)
     features = []
     for key, kind in zip(keys, kinds):
         mixed = (key ^ np.uint64(kind << 60)) * np.uint64(0x9E3779B97F4A7C15)
