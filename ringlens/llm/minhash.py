@@ -21,8 +21,8 @@ SHINGLE, PERCENT = 2, 80
 #: A signature has 256 bins, of which the bands use 42 * 6: two sets with a similarity of 0.8
 #: share no band once in 300,000 times, two with 0.1 share one once in 20,000.
 BIN_BITS, BANDS, ROWS = 8, 42, 6
-#: Nodes, and shingles, of a bucket that lie in one block.
-BLOCK_NODES, BLOCK_SHINGLES = 128, 1 << 20
+#: Nodes, and shingles, that lie in one block.
+BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 21
 #: Members that are compared with one copy of their centre's text.
 STAR = 2000
 #: Bytes of text hashed at a time.
@@ -225,13 +225,16 @@ def _compare(percent: int, width: int):
         block, members, index = None, [], None
         for batch in batches:
             left, right = [], []
-            for bucket, number, role, node, part, packed in zip(*(batch[c] for c in ("bucket", "block", "role", "node", "part", "packed"))):
-                if block != (bucket, number):
-                    block, members, index = (bucket, number), [], None
+            columns = zip(*(batch[c] for c in ("merged", "bucket", "block", "role", "node", "part", "packed")))
+            for *own, role, node, part, packed in columns:
+                if block != own:
+                    block, members, index = own, [], None
                 _, hashes = shingle_sets([unpack.decompress(packed)], width)
                 if role == 0:
                     members.append((node, part, hashes))
                     continue
+                if not members:  # the hash left this block without any
+                    continue
                 if index is None:
                     sizes = np.array([len(h) for _, _, h in members])
                     every = np.concatenate([h for _, _, h in members])
@@ -252,31 +255,53 @@ def _compare(percent: int, width: int):
     return compare
 
 
+def _effort(rows: DataFrame, key: str) -> DataFrame:
+    """Per group: its blocks, and how many texts it moves: every node once, and the probes
+    (nodes outside of the main component) to every block."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    counted = rows.groupBy("main", key).agg(
+        F.count("*").alias("nodes"), F.count_if(F.col("part") != F.col("main")).alias("probes"), blocks.alias("blocks")
+    )
+    return counted.withColumn("moved", F.col("nodes") + F.col("probes") * F.col("blocks"))
+
+
 def crossed(parts: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links ``a, b`` between the components that meet in a bucket; ``parts`` has ``bucket,
     node, n, part``.
 
-    The nodes of a bucket are dealt to blocks of bounded size. Those outside of the bucket's
-    largest component are probes and go to every block, where they are compared with all of
-    its nodes at once; so pairs are counted inside a block and never rows of a table.
+    A group is a bucket, or all buckets with the same largest component together where that
+    moves fewer texts. Its nodes are dealt to blocks of bounded size; those outside of the
+    largest component are probes and go to every block, where they are compared with all of its
+    nodes at once. So pairs are counted inside a block and are never rows of a table.
     """
-    per = parts.groupBy("bucket", "part").agg(F.count("*").alias("nodes"), F.sum("n").alias("shingles"))
+    per = parts.groupBy("bucket", "part").agg(F.count("*").alias("nodes"))
     mixed = per.groupBy("bucket").agg(
-        F.max_by("part", F.struct("nodes", "part")).alias("main"), F.count("*").alias("parts"),
-        F.greatest(F.ceil(F.sum("nodes") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+        F.max_by("part", F.struct("nodes", "part")).alias("main"), F.count("*").alias("parts")
     ).filter("parts > 1")
-    placed = settled(parts.join(mixed.select("bucket", "main", "blocks"), "bucket"), "mixed")
-    columns = ["bucket", "block", "role", "node", "part"]
-    members = placed.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "role": F.lit(0)})
-    probes = placed.filter("part <> main").withColumns(
-        {"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "role": F.lit(1)}
+    placed = settled(parts.join(mixed.select("bucket", "main"), "bucket"), "mixed")
+    once = settled(placed.groupBy("main", "node", "part").agg(F.max("n").alias("n")).withColumn("bucket", F.col("main")), "mixed-once")
+    apart, together = settled(_effort(placed, "bucket"), "apart"), _effort(once, "bucket")
+    plan = settled(
+        apart.groupBy("main").agg(F.sum("moved").alias("moved_apart")).join(together.drop("bucket"), "main")
+        .select("main", "blocks", (F.col("moved") <= F.col("moved_apart")).alias("merged")),
+        "effort",
+    )
+    columns = ["merged", "bucket", "node", "part", "main", "blocks"]
+    rows = once.join(plan.filter("merged"), "main").select(*columns).unionByName(
+        placed.join(plan.filter("NOT merged").select("main", "merged"), "main")
+        .join(apart.select("bucket", "blocks"), "bucket").select(*columns)
     )
+    # a member goes to the block of its hash, a probe to every block besides
+    own = F.array(F.struct(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role")))
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("block"), F.lit(1).alias("role")))
+    places = F.when(F.col("part") != F.col("main"), F.concat(own, every)).otherwise(own)
+    group = ["merged", "bucket", "block"]
     return (
-        members.select(*columns).unionByName(probes.select(*columns))
+        rows.select("merged", "bucket", "node", "part", F.explode(places).alias("at"))
+        .select("merged", "bucket", "at.block", "at.role", "node", "part")
         .join(texts, "node")
-        .repartition("bucket", "block")
-        .sortWithinPartitions("bucket", "block", "role")
-        .select(*columns, "packed")
+        .repartition(*group)
+        .sortWithinPartitions(*group, "role")
         .mapInPandas(_compare(percent, width), "a bigint, b bigint")
     )
 
@@ -287,7 +312,7 @@ def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, wi
     First each bucket is a star: the node with the most company in all its buckets is the
     centre, and the others are compared with it, on the whole sets. Links form components,
     and most buckets then lie in one. In the others, the nodes outside of the largest
-    component are compared with all of the bucket. So no pair that shares a bucket is lost: it
+    component are compared with all of the bucket (see ``crossed``). So no pair that shares a bucket is lost: it
     was compared, or both lie in one component.
     """
     members = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
