@@ -45,6 +45,21 @@ def test_only_candidates_are_read(spark, index):
         tr.search(spark, index, [], "\\.")
 
 
+def test_postings_are_listed_by_blocks(spark, tmp_path, monkeypatch):
+    """A gram has a row per block and not per transcript; an id with two texts is found by either."""
+    monkeypatch.setattr(tr, "BLOCK", 40)
+    rows = [(i, f"plum {i % 7} pear") for i in range(60)] + [(5, "a zebra"), (5, "a quagga"), (8, "zeb bra")]
+    every = spark.createDataFrame(rows, "doc long, said string").coalesce(1)
+    index = tr.TranscriptIndex(str(tmp_path / "index"), "doc", "said", 4)
+    tr.build(every, index)
+    stored = spark.read.parquet(index.folder("postings"))
+    lists = stored.filter("gram = 'plu'").select(F.size("ids")).collect()
+    assert sum(r[0] for r in lists) == 60 and 1 < len(lists) < 60
+    for texts in (["zebra"], ["QUAGGA", "3 pe"]):
+        want = sorted(map(tuple, fl.phrase_matches(every, "said", texts, "\\.").collect()))
+        assert sorted(map(tuple, tr.search(spark, index, texts, "\\.").collect())) == want
+
+
 def test_grams_are_substrings(spark):
     from ringlens.operators.conditions import grams
 
