@@ -182,7 +182,7 @@ def catalog_scan(m):
 def catalog_openapi(m):
     out = shared_dir(m.spark, "openapi")
     sinks.write_catalog(catalog(m), out, "openapi")
-    documents = sinks.read_catalog(m.spark, out)
+    documents = sinks.read_catalog(m.spark, out, schema=sinks.DOCUMENTS)
     return documents.groupBy("domain", "api").agg(F.count("document").alias("documents"))
 
 

@@ -2,12 +2,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ringlens.functions.text import safe_name
 from ringlens.operators import catalog as ct
 
 EXPORT_FORMATS = ("csv", "json", "parquet", "orc")
+#: What ``write_catalog`` stores as 'openapi'.
+DOCUMENTS = StructType([StructField(c, StringType()) for c in ("file", "document", "api", "domain")])
 
 
 def write_catalog(catalog: DataFrame, path: str, fmt: str = "json", brand: str = "Service") -> None:
