@@ -62,16 +62,14 @@ VIEW_SESSIONS = f"""
 
 
 def _sessions(m):
-    """The views arrive in five files, in time order, a file a batch."""
+    """The views arrive in five parts, in time order, a part a batch."""
     inbox, out = shared_dir(m.spark, "visits-inbox"), shared_dir(m.spark, "visits-open")
     views = m.events().filter("kind = 'view'").select("visitor_id", "date_time")
     span = views.agg(F.min("date_time"), F.max("date_time")).first()
     share = F.lit((span[1] - span[0]).total_seconds() / 5 + 1)
     part = F.floor(F.date_diff("date_time", F.lit(span[0])) * 86400 / share).cast("int")
     for n in range(5):
-        views.filter(part == n).coalesce(1).write.mode("append").parquet(inbox)
-    stream = m.spark.readStream.schema(views.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    stateful.open_sessions(stream, out, 1800)
+        stateful.open_sessions(live.arrived(views.filter(part == n), inbox), out, 1800)
     return out
 
 
@@ -112,12 +110,10 @@ def ledgered_calls_stream(m):
     attempts = m.legs().select(
         F.col("call_id").alias("ext_id"), F.col("leg_no").cast("long").alias("n"), "finish_reason", "duration"
     )
+    ok = (F.col("finish_reason") == "A") & (F.col("duration") > 25)
     for low, high, repeat in ((1, 2, 0), (3, 3, 0), (4, 7, 0), (1, 2, 7)):
         rows = attempts.filter(F.col("n").between(low, high)).withColumn("n", F.col("n") + repeat)
-        rows.coalesce(1).write.mode("append").parquet(inbox)
-    stream = m.spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    ok = (F.col("finish_reason") == "A") & (F.col("duration") > 25)
-    stateful.ledgered(stream, out, ok, ["n", "finish_reason", "duration"])
+        stateful.ledgered(live.arrived(rows, inbox), out, ok, ["n", "finish_reason", "duration"])
     tried = stateful.ledger(m.spark, out).groupBy("ext_id").agg(F.count("*").alias("attempts"))
     done = stateful.loaded(m.spark, out).select("ext_id", F.col("n").alias("loaded_no"))
     return tried.join(done, "ext_id", "left").na.fill(-1, ["loaded_no"])

@@ -33,6 +33,16 @@ def page_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def arrived(rows: DataFrame, inbox: str) -> DataFrame:
+    """Put rows into an inbox, in as many files as they have tasks, and stream the inbox.
+
+    A job that drains the stream each time, with its progress stored, takes what has arrived
+    since as one batch, however many files it is.
+    """
+    rows.write.mode("append").parquet(inbox)
+    return rows.sparkSession.readStream.schema(rows.schema).parquet(inbox)
+
+
 def drain(stream: DataFrame, out: str, mode: str = "append") -> None:
     """Run a stream to completion into ``out/batch=<n>`` folders.
 

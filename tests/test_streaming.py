@@ -201,3 +201,13 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     for crc in (out / "progress" / "commits").glob(".1.crc"):
         crc.unlink()
     assert take(spark, source, str(out)) == state == ([("a", 1), ("e", 1)], [("a", True), ("b", False), ("b", False), ("b", False), ("e", True)])
+
+
+def test_arrivals_of_many_files_are_one_batch(spark, tmp_path):
+    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
+    for n in (1, 2, 3):
+        rows = spark.range(20).select(F.col("id").alias("ext_id"), F.lit(n).cast("long").alias("n")).repartition(4)
+        stateful.ledgered(live.arrived(rows, inbox), out, F.col("n") == 2, ["n"])
+    held = stateful.ledger(spark, out).groupBy("batch").count().collect()
+    assert {tuple(r) for r in held} == {(0, 20), (1, 20)}
+    assert stateful.loaded(spark, out).count() == 20
