@@ -757,13 +757,17 @@ def extremes(rows: DataFrame, ident: str, cost: str) -> DataFrame:
 
 
 def summary_lists(results: DataFrame) -> DataFrame:
-    """Method names and error messages of a batch in long form with their counts."""
+    """Method names and error messages of a batch in long form with their counts.
+
+    Entries that are NULL go by their count: a filter on the entry would move down to the scan
+    and run the extraction there a second time, before its rows are dealt to the tasks.
+    """
     return (
         results.select(
             F.when(F.col("success"), "method").otherwise("error").alias("list"),
             F.when(F.col("success"), F.col("name")).otherwise(F.col("error")).alias("entry"),
         )
-        .filter(F.col("entry").isNotNull())
         .groupBy("list", "entry")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("entry").alias("n"))
+        .filter("n > 0")
     )

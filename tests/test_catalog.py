@@ -347,3 +347,29 @@ def test_sinks(spark, catalog, tmp_path):
         sinks.write_catalog(catalog, str(tmp_path / "x"), "xml")
     with pytest.raises(ValueError):
         sinks.export_report(catalog, str(tmp_path / "x"), "xlsx")
+
+
+def test_summary_lists_deals_pages_before_extraction(spark, tmp_path):
+    """No filter on the extracted name moves below the exchange that deals the pages."""
+    import __spark_entry__ as entry
+
+    listed = entry.queries()["summary_lists"](spark, "/root/testdata/sf0.001")
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Repartition") :]
+    assert "Filter" not in below
+
+
+def test_summary_lists_drops_missing_entries(spark):
+    results = spark.createDataFrame(
+        [(True, "a", None), (True, None, None), (False, None, "bad"), (None, "b", None)],
+        "success boolean, name string, error string",
+    )
+    assert sorted(map(tuple, ct.summary_lists(results).collect())) == [("error", "bad", 1), ("method", "a", 1)]
+
+
+def test_written_documents_are_read_without_inference(spark, tmp_path):
+    out = str(tmp_path / "openapi")
+    rows = spark.createDataFrame([("f", "{}", "data", "deal")], "file string, document string, api string, domain string")
+    rows.write.partitionBy("api", "domain").json(out)
+    back = sinks.read_catalog(spark, out, schema=sinks.DOCUMENTS)
+    assert [tuple(r) for r in back.select("file", "document", "api", "domain").collect()] == [("f", "{}", "data", "deal")]
