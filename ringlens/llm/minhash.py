@@ -306,6 +306,23 @@ def crossed(parts: DataFrame, texts: DataFrame, percent: int, width: int) -> Dat
     )
 
 
+def picked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows whose ``tag`` is a ``node``.
+
+    Nodes are put down as bitmaps of 32,768 neighbouring tags, 4 KB each. As tags follow the
+    order of the rows, those are few and small, so Spark broadcasts them where it would deal
+    out all texts to meet a list of nodes.
+    """
+    placed = nodes.select(F.bitmap_bucket_number("node").alias("place"), F.bitmap_bit_position("node").alias("bit"))
+    marks = settled(
+        placed.repartition("place").groupBy("place").agg(F.bitmap_construct_agg("bit").alias("marks")), "marks"
+    )
+    bit = F.bitmap_bit_position("tag")
+    byte = F.substring("marks", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))
+    found = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit, F.lit(8)).cast("int")) == 1
+    return rows.join(marks, F.bitmap_bucket_number("tag") == F.col("place")).filter(found).select(*rows.columns)
+
+
 def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """``node, root`` for every linked node but roots; ``nodes`` are ``node, n, buckets``.
 
@@ -319,7 +336,7 @@ def linked_nodes(signed: DataFrame, nodes: DataFrame, percent: int = PERCENT, wi
     company = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     met = settled(members.join(company, "bucket"), "met")
     weights = settled(met.groupBy("node").agg((-F.sum("size")).alias("weight")), "weights")
-    texts = settled(signed.select(F.col("tag").alias("node"), "packed").join(weights.select("node"), "node", "left_semi"), "met-texts")
+    texts = settled(picked(signed.select("tag", "packed"), weights).withColumnRenamed("tag", "node"), "met-texts")
     heads = met.join(weights, "node").groupBy("bucket").agg(F.min(F.struct("weight", "node", "n")).alias("head"))
     stars = (
         met.join(heads, "bucket")

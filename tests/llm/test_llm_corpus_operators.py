@@ -206,6 +206,39 @@ def test_stars_lose_no_link(spark, monkeypatch):
     assert len({(tags[i], c) for i, _, c in want}) == len({c for _, _, c in want}) == len(set(tags.values()))
 
 
+def test_picked_rows_are_those_of_the_nodes(spark):
+    rows = spark.range(0, 150_000, 1, 3).select(F.monotonically_increasing_id().alias("tag"), F.col("id").cast("string").alias("packed"))
+    tags = [r.tag for r in rows.select("tag").collect()]
+    want = {*tags[:2], *tags[49_990:50_010], tags[32_767], tags[32_768], tags[32_769], *tags[7::11], tags[-1]}
+    nodes = spark.createDataFrame([(t,) for t in sorted(want)], "node long")
+    got = [r.tag for r in minhash.picked(rows, nodes).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert minhash.picked(rows, nodes.limit(0)).count() == 0
+
+
+def test_texts_are_not_dealt_out_to_meet_a_long_list_of_nodes(spark, monkeypatch):
+    rnd, plans, settle = random.Random(5), {}, minhash.settled
+
+    def settled(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, purpose)
+
+    monkeypatch.setattr(minhash, "settled", settled)
+    rows = []
+    for pair in range(3000):
+        words = [f"p{pair}w{rnd.randrange(9)}x{i}" for i in range(30)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[:-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        got = {r.id: r.component_id for r in minhash.minhash_groups(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == {i: i - i % 2 for i, _ in rows}
+    assert "BroadcastHashJoin" in plans["met-texts"] and "SortMergeJoin" not in plans["met-texts"]
+
+
 def test_signatures_agree_as_often_as_sets_are_similar():
     rnd = np.random.default_rng(11)
     for common, own in ((80, 10), (6, 2), (500, 500), (30, 70)):
