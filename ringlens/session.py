@@ -27,10 +27,11 @@ def local_session(cpus: str | int = "*", app: str = "ringlens") -> SparkSession:
 def settled(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder and read it back.
 
-    The work behind it runs once, and a lost executor does not bring it back.
+    The work behind it runs once, and a lost executor does not bring it back. Such tables may
+    hold whole texts and stay until ``release``, so they are compressed with zstd.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

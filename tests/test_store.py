@@ -84,3 +84,11 @@ def test_a_cluster_needs_a_shared_folder():
     local = SimpleNamespace(conf={"spark.sql.warehouse.dir": "file:/tmp/w"}, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError):
         session.shared_dir(local, "x")
+
+
+def test_settled_tables_are_packed_tightly(spark):
+    words = " ".join(f"word{i * 7919 % 1000}" for i in range(2000))
+    frame = spark.range(200).selectExpr("id", f"concat(id, ' {words}') AS text")
+    back = session.settled(frame, "packed")
+    assert sorted(r.id for r in back.collect()) == list(range(200))
+    assert back.inputFiles() and all(f.endswith(".zstd.parquet") for f in back.inputFiles())
